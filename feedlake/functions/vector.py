@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedlake.schema import EMBED_DIM
 
 _DIGEST_BYTES = 32
-_WORD_BYTES = 4
 
 
 def norm(vector: Column) -> Column:
@@ -21,36 +20,28 @@ def cosine(left: Column, right: Column) -> Column:
     return F.when(size == 0, F.lit(0.0)).otherwise(dot / size)
 
 
-def with_hash_embedding(
-    df: DataFrame, text: Column, out: str = "vector", dim: int = EMBED_DIM
-) -> DataFrame:
-    """Add a deterministic unit vector made from the SHA-256 of a text.
+def _bound(value: Column, body) -> Column:
+    """`body(value)` with the value computed once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def hash_embedding(text: Column, dim: int = EMBED_DIM) -> Column:
+    """A deterministic unit vector made from the SHA-256 of a text.
 
     Each digest byte b stands for b / 255 - 0.5, the 32 values are repeated up
-    to `dim` and the whole is scaled to length 1. The digest is computed once
-    per row; its bytes are taken out of eight 32-bit words by shifts, and the
-    length is known from the 32 values, so no lambda runs over `dim` elements.
+    to `dim` and the whole is scaled to length 1. Digest and length are bound
+    once per row, and lambdas run over 32 values only: the repetition does not
+    change the direction, and the length follows from the 32 squares. A byte is
+    never exactly 127.5, so the length is positive.
     """
     if dim % _DIGEST_BYTES:
         raise ValueError(f"dim must be a multiple of {_DIGEST_BYTES}")
     copies = dim // _DIGEST_BYTES
-    hashed = df.withColumn("_digest", F.sha2(text, 256))
-    words = hashed.withColumns(
-        {
-            f"_w{i}": F.conv(F.substring("_digest", 8 * i + 1, 8), 16, 10).cast("long")
-            for i in range(_DIGEST_BYTES // _WORD_BYTES)
-        }
-    )
-    values = [
-        F.shiftright(F.col(f"_w{i}"), 8 * (_WORD_BYTES - 1 - j)).bitwiseAND(F.lit(255)) / F.lit(255.0) - F.lit(0.5)
-        for i in range(_DIGEST_BYTES // _WORD_BYTES)
-        for j in range(_WORD_BYTES)
-    ]
-    raw = words.withColumns({f"_b{i}": value for i, value in enumerate(values)})
-    squares = sum((F.col(f"_b{i}") * F.col(f"_b{i}") for i in range(_DIGEST_BYTES)), F.lit(0.0))
-    sized = raw.withColumn("_norm", F.sqrt(F.lit(float(copies)) * squares))
-    unit = F.array(*[F.col(f"_b{i}") / F.col("_norm") for i in range(_DIGEST_BYTES)])
-    # Digest bytes never hit 0.5 exactly (127.5 is no integer), so the norm is positive.
-    scaled = sized.withColumn(out, F.flatten(F.array_repeat(unit, copies)))
-    helpers = ["_digest", "_norm", *[f"_w{i}" for i in range(8)], *[f"_b{i}" for i in range(_DIGEST_BYTES)]]
-    return scaled.drop(*helpers)
+    pairs = F.regexp_extract_all(F.sha2(text, 256), F.lit("(..)"), F.lit(1))
+    values = F.transform(pairs, lambda pair: F.conv(pair, 16, 10).cast("double") / 255.0 - 0.5)
+
+    def scaled(v: Column) -> Column:
+        squares = F.aggregate(v, F.lit(0.0), lambda total, x: total + x * x)
+        return _bound(F.sqrt(F.lit(float(copies)) * squares), lambda length: F.transform(v, lambda x: x / length))
+
+    return F.flatten(F.array_repeat(_bound(values, scaled), copies))

@@ -32,18 +32,20 @@ def create_table(spark: SparkSession, name: str, schema: StructType, partition_b
     )
 
 
-def balanced(df: DataFrame, partition_by: str | None) -> DataFrame:
+def balanced(df: DataFrame, partition_by: str) -> DataFrame:
     """Bring rows of a partition value together before a write.
 
     The rebalance hint lets AQE split a value that holds much of the data and
     join small ones, so neither one huge task nor many tiny files result.
     """
-    return df.hint("rebalance", F.col(partition_by)) if partition_by else df.hint("rebalance")
+    return df.hint("rebalance", F.col(partition_by))
 
 
 def _write(df: DataFrame, path: str, partition_by: str | None) -> None:
-    writer = balanced(df, partition_by).write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        balanced(df, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int, partition_by: str | None = None) -> None:
@@ -79,6 +81,8 @@ def current_rows(
     """
     log = read_batches(spark, root, schema)
     upto = last_snapshot(spark, root)
+    if upto is None and len(list_names(spark, f"{root}/log")) == 1:
+        return log.drop("batch_id")
     if upto is None:
         return one_per_key(log, key, [F.col("batch_id").desc()]).drop("batch_id")
     later = log.filter(F.col("batch_id") > upto)

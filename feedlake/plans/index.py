@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from feedlake.functions.ids import long_to_point, point_id, point_to_long
 from feedlake.functions.text import embed_text, head
-from feedlake.functions.vector import with_hash_embedding
+from feedlake.functions.vector import hash_embedding
 from feedlake.operators.knn import knn
 from feedlake.operators.tables import checked, current_rows, write_batch
 from feedlake.schema import BODY_CHARS, EMBED_BATCH, EMBED_DIM, LOOKBACK_DAYS, POINT, TOP_K
@@ -31,7 +31,7 @@ def embedded(
 ) -> DataFrame:
     """Add a vector per row: the hash embedding, or that of a given model."""
     if model is None:
-        return with_hash_embedding(df, text, out, dim)
+        return df.withColumn(out, hash_embedding(text, dim))
     source = df.withColumn("_text", text)
     schema = StructType([*df.schema.fields, StructField(out, ArrayType(DoubleType()))])
 

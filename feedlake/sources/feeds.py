@@ -38,38 +38,42 @@ ATOM_ENTRY = StructType(
     ]
 )
 
-RSS = StructType([StructField("channel", StructType([StructField("item", ArrayType(RSS_ITEM))]))])
-ATOM = StructType([StructField("entry", ArrayType(ATOM_ENTRY))])
+# The name of the root element is not looked at, so one shape reads the three
+# kinds of document: items in a channel, items at the root, and entries.
+DOCUMENT = StructType(
+    [
+        StructField("channel", StructType([StructField("item", ArrayType(RSS_ITEM))])),
+        StructField("item", ArrayType(RSS_ITEM)),
+        StructField("entry", ArrayType(ATOM_ENTRY)),
+    ]
+)
 
 _XML = {"ignoreNamespace": "true"}
 
 
-def _rss_entry(item: str) -> list[Column]:
+def _rss_entry(item: Column) -> list[Column]:
     # A guid stands in for a missing link unless it is marked as no permalink.
-    permalink = F.when(
-        F.coalesce(F.lower(F.col(f"{item}.guid._isPermaLink")), F.lit("true")) == "true", F.col(f"{item}.guid._VALUE")
-    )
+    guid = item["guid"]
+    is_link = F.coalesce(F.lower(guid["_isPermaLink"]), F.lit("true")) == "true"
     return [
-        strip(F.coalesce(F.col(f"{item}.link"), permalink)).alias("link"),
-        F.col(f"{item}.title").alias("title"),
-        strip(F.col(f"{item}.pubDate")).alias("published"),
-        strip(F.col(f"{item}.date")).alias("updated"),
-        F.col(f"{item}.summary").alias("summary"),
-        F.col(f"{item}.description").alias("description"),
+        strip(F.coalesce(item["link"], F.when(is_link, guid["_VALUE"]))).alias("link"),
+        item["title"].alias("title"),
+        strip(item["pubDate"]).alias("published"),
+        strip(item["date"]).alias("updated"),
+        item["summary"].alias("summary"),
+        item["description"].alias("description"),
     ]
 
 
-def _atom_entry(item: str) -> list[Column]:
-    alternate = F.filter(
-        F.col(f"{item}.link"), lambda link: F.coalesce(link["_rel"], F.lit("alternate")) == "alternate"
-    )
+def _atom_entry(entry: Column) -> list[Column]:
+    alternate = F.filter(entry["link"], lambda link: F.coalesce(link["_rel"], F.lit("alternate")) == "alternate")
     return [
         strip(F.get(alternate, F.lit(0))["_href"]).alias("link"),
-        F.col(f"{item}.title").alias("title"),
-        strip(F.col(f"{item}.published")).alias("published"),
-        strip(F.col(f"{item}.updated")).alias("updated"),
-        F.col(f"{item}.summary._VALUE").alias("summary"),
-        F.col(f"{item}.content._VALUE").alias("description"),
+        entry["title"].alias("title"),
+        strip(entry["published"]).alias("published"),
+        strip(entry["updated"]).alias("updated"),
+        entry["summary"]["_VALUE"].alias("summary"),
+        entry["content"]["_VALUE"].alias("description"),
     ]
 
 
@@ -83,13 +87,19 @@ def entries_from_documents(documents: DataFrame, xml: str = "xml") -> DataFrame:
     """Explode a column of whole RSS or Atom documents into entries.
 
     All other columns are kept; `entry_no` is the place within the document.
-    A document of the other kind yields no rows on each side, so the two
-    readings simply add up.
     """
     kept = [c for c in documents.columns if c != xml]
-    rss = documents.select(*kept, F.posexplode(F.from_xml(F.col(xml), RSS, _XML)["channel"]["item"]).alias("entry_no", "e"))
-    atom = documents.select(*kept, F.posexplode(F.from_xml(F.col(xml), ATOM, _XML)["entry"]).alias("entry_no", "e"))
-    return rss.select(*kept, "entry_no", *_rss_entry("e")).unionByName(atom.select(*kept, "entry_no", *_atom_entry("e")))
+
+    def all_of(items: Column, entry) -> Column:
+        return F.coalesce(F.transform(items, lambda item: F.struct(*entry(item))), F.array())
+
+    parsed = documents.select(*kept, F.from_xml(F.col(xml), DOCUMENT, _XML).alias("d"))
+    found = F.concat(
+        all_of(F.col("d.channel.item"), _rss_entry),
+        all_of(F.col("d.item"), _rss_entry),
+        all_of(F.col("d.entry"), _atom_entry),
+    )
+    return parsed.select(*kept, F.posexplode(found).alias("entry_no", "e")).select(*kept, "entry_no", "e.*")
 
 
 def read_feed_files(spark: SparkSession, path: str, kind: str = "rss") -> DataFrame:
@@ -101,7 +111,7 @@ def read_feed_files(spark: SparkSession, path: str, kind: str = "rss") -> DataFr
     schema = StructType([*shape.fields, StructField("feed_url", StringType())])
     rows = spark.read.format("xml").options(rowTag=tag, **_XML).schema(schema).load(path)
     packed = rows.select("feed_url", F.struct(*shape.fieldNames()).alias("e"))
-    return packed.select("feed_url", *project("e"))
+    return packed.select("feed_url", *project(F.col("e")))
 
 
 def tagged(entries: DataFrame, feeds: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.functions import vector as vec
 from feedlake.functions.ids import link_id, point_id
 from feedlake.functions.text import embed_text, plain_body, strip
 from feedlake.functions.times import parsed, published_at
-from feedlake.functions.vector import norm, with_hash_embedding
 from feedlake.operators.dedupe import first_seen
 from feedlake.operators.knn import knn
 from feedlake.operators.merge import insert_only, upsert
@@ -302,9 +302,9 @@ def embed_texts(spark, sf):
 
 @query
 def hash_embedding(spark, sf):
-    rows = with_hash_embedding(table(spark, sf, "documents").select("doc_id", "text"), F.col("text"))
+    rows = table(spark, sf, "documents").select("doc_id", vec.hash_embedding(F.col("text")).alias("vector"))
     parts = [F.round(F.get("vector", F.lit(i)), 8).alias(f"v{i}") for i in (0, 17, 31, 1535)]
-    return rows.select("doc_id", F.size("vector").alias("dim"), F.round(norm(F.col("vector")), 8).alias("length"), *parts)
+    return rows.select("doc_id", F.size("vector").alias("dim"), F.round(vec.norm(F.col("vector")), 8).alias("length"), *parts)
 
 
 @query
@@ -340,7 +340,7 @@ def _questions(spark, sf):
 @query
 def knn_topk(spark, sf):
     """Nearest stored vectors of every benchmark text."""
-    asked = with_hash_embedding(_questions(spark, sf), F.col("text"), dim=KNN_DIM).select("qid", "vector")
+    asked = _questions(spark, sf).select("qid", vec.hash_embedding(F.col("text"), KNN_DIM).alias("vector"))
     stored = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     return knn(asked, stored, BRIEFING_TOP_K)
 
