@@ -27,7 +27,9 @@ from feedlake.operators.topk import top_per
 
 SCORE_DIGITS = 8
 QUERY_BYTES = 64 * 1024 * 1024
-SLICE_ROWS = 4096
+# The vectors are copied once per slice of queries, so those slices are larger.
+QUERY_SLICE_BYTES = 128 * 1024 * 1024
+VECTOR_SLICE_BYTES = 32 * 1024 * 1024
 _BLOCK_CELLS = 4_000_000
 
 _CANDIDATE = "qid long, vec_id long, score double"
@@ -102,10 +104,7 @@ def _with_sent_queries(queries: DataFrame, vectors: DataFrame, k: int) -> DataFr
     return vectors.mapInArrow(score, _CANDIDATE)
 
 
-def _with_slices(queries: DataFrame, vectors: DataFrame, k: int, n_queries: int, slice_rows: int) -> DataFrame:
-    n_vectors = vectors.count()
-    rows, cols = max(1, ceil(n_queries / slice_rows)), max(1, ceil(n_vectors / slice_rows))
-
+def _with_slices(queries: DataFrame, vectors: DataFrame, k: int, rows: int, cols: int) -> DataFrame:
     def cut(df: DataFrame, key: str, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
         return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_n)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))
@@ -128,7 +127,8 @@ def knn(
     vectors: DataFrame,
     k: int,
     query_bytes: int = QUERY_BYTES,
-    slice_rows: int = SLICE_ROWS,
+    query_slice_bytes: int = QUERY_SLICE_BYTES,
+    vector_slice_bytes: int = VECTOR_SLICE_BYTES,
 ) -> DataFrame:
     """Top k of `vectors(vec_id, vector)` for each of `queries(qid, vector)`.
 
@@ -136,10 +136,13 @@ def knn(
     """
     queries = queries.select(F.col("qid").cast("long"), F.col("vector").cast("array<double>")).filter("vector is not null")
     vectors = vectors.select(F.col("vec_id").cast("long"), F.col("vector").cast("array<double>")).filter("vector is not null")
-    row = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("vector") * 8 + 8), F.lit(0)).alias("b")).first()
-    if row["b"] <= query_bytes:
+    width = F.size("vector") * 8 + 8
+    size = queries.agg(F.coalesce(F.sum(width), F.lit(0)).alias("all"), F.max(width).alias("one")).first()
+    if size["all"] <= query_bytes:
         candidates = _with_sent_queries(queries, vectors, k)
     else:
-        candidates = _with_slices(queries, vectors, k, row["n"], slice_rows)
+        rows = ceil(size["all"] / query_slice_bytes)
+        cols = max(1, ceil(vectors.count() * size["one"] / vector_slice_bytes))
+        candidates = _with_slices(queries, vectors, k, rows, cols)
     ranked = top_per(candidates, ["qid"], k, [F.col("score").desc(), F.col("vec_id").asc()])
     return ranked.select("qid", "rank", "vec_id", "score")

@@ -24,12 +24,14 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def create_table(spark: SparkSession, name: str, schema: StructType, partition_by: str, path: str) -> None:
+def create_table(spark: SparkSession, name: str, schema: StructType, partition_by: list[str], path: str) -> bool:
+    """Create an external table unless it exists; tells whether it did."""
+    if spark.catalog.tableExists(name):
+        return False
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY (`{partition_by}`) LOCATION '{path}'"
-    )
+    parts = ", ".join(f"`{c}`" for c in partition_by)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
+    return True
 
 
 def balanced(df: DataFrame, partition_by: str) -> DataFrame:
@@ -61,36 +63,53 @@ def read_batches(spark: SparkSession, root: str, schema: StructType) -> DataFram
     return spark.read.schema(wide).option("basePath", path).parquet(path).select(*wide.fieldNames())
 
 
+def _newest(spark: SparkSession, path: str, label: str) -> int | None:
+    """Highest number among the folders `<label>=<n>` whose write was committed."""
+    numbers = [int(name.split("=", 1)[1]) for name in list_names(spark, path) if name.startswith(f"{label}=")]
+    committed = (n for n in sorted(numbers, reverse=True) if path_exists(spark, f"{path}/{label}={n}/_SUCCESS"))
+    return next(committed, None)
+
+
+def last_batch(spark: SparkSession, root: str) -> int | None:
+    return _newest(spark, f"{root}/log", "batch_id")
+
+
 def last_snapshot(spark: SparkSession, root: str) -> int | None:
-    """Newest snapshot whose write was committed."""
-    numbers = sorted(
-        (int(name.split("=", 1)[1]) for name in list_names(spark, f"{root}/snapshot") if name.startswith("upto=")),
-        reverse=True,
-    )
-    return next((n for n in numbers if path_exists(spark, f"{root}/snapshot/upto={n}/_SUCCESS")), None)
+    return _newest(spark, f"{root}/snapshot", "upto")
 
 
 def current_rows(
-    spark: SparkSession, root: str, schema: StructType, key: str, limit_bytes: int = BROADCAST_BYTES
+    spark: SparkSession,
+    root: str,
+    schema: StructType,
+    key: str,
+    limit_bytes: int = BROADCAST_BYTES,
+    upto: int | None = None,
 ) -> DataFrame:
-    """Latest row per key over the snapshot and the batches after it.
+    """Latest row per key over the snapshot and the batches after it (up to `upto`).
 
     Each batch holds a key once, so the batch number alone picks the survivor.
     Snapshot rows are only tested against the keys of the later batches; as
-    long as those keys fit a broadcast, the snapshot is not shuffled.
+    long as those keys fit a broadcast, the snapshot is not shuffled, and a
+    filter on its partition column reaches its scan.
     """
     log = read_batches(spark, root, schema)
-    upto = last_snapshot(spark, root)
-    if upto is None and len(list_names(spark, f"{root}/log")) == 1:
+    if upto is not None:
+        log = log.filter(F.col("batch_id") <= upto)
+    base = last_snapshot(spark, root)
+    if base is None and len(list_names(spark, f"{root}/log")) == 1:
         return log.drop("batch_id")
-    if upto is None:
-        return one_per_key(log, key, [F.col("batch_id").desc()]).drop("batch_id")
-    later = log.filter(F.col("batch_id") > upto)
-    newest = one_per_key(later, key, [F.col("batch_id").desc()]).drop("batch_id")
-    stored = spark.read.schema(schema).parquet(f"{root}/snapshot/upto={upto}").select(*schema.fieldNames())
+    newest_first = [F.col("batch_id").desc()]
+    if base is None:
+        return one_per_key(log, key, newest_first).drop("batch_id")
+    later = log.filter(F.col("batch_id") > base)
+    stored = spark.read.schema(schema).parquet(f"{root}/snapshot/upto={base}").select(*schema.fieldNames())
+    if last_batch(spark, root) == base:
+        return stored
     keys = later.select(key).distinct()
     if measure(keys)[1] <= limit_bytes:
         keys = F.broadcast(keys)
+    newest = one_per_key(later, key, newest_first).drop("batch_id")
     return stored.join(keys, key, "left_anti").select(*schema.fieldNames()).unionByName(newest)
 
 
@@ -99,12 +118,12 @@ def compact(spark: SparkSession, root: str, schema: StructType, key: str, partit
 
     Older folders are left alone: readers may still use them.
     """
-    log = read_batches(spark, root, schema)
-    upto = log.agg(F.max("batch_id")).first()[0]
+    upto = last_batch(spark, root)
     if upto is None:
         raise ValueError(f"nothing stored below {root}")
     if last_snapshot(spark, root) != upto:
-        _write(current_rows(spark, root, schema, key), f"{root}/snapshot/upto={upto}", partition_by)
+        rows = current_rows(spark, root, schema, key, upto=upto)
+        _write(rows, f"{root}/snapshot/upto={upto}", partition_by)
     return upto
 
 

@@ -43,13 +43,21 @@ def top_keywords_per_day(daily: DataFrame, k: int = TOP_KEYWORDS) -> DataFrame:
 
 
 def build_gold(silver: DataFrame, root: str, date: str | None = None) -> None:
-    """Write both marts; with a date only that day's partitions are replaced."""
-    rows = for_date(silver, date)
-    for name, mart in (("gold_daily_source", daily_source(rows)), ("gold_daily_keyword", daily_keyword(rows))):
-        if date:
-            replace_partition(mart, f"{root}/{name}", date)
-        else:
-            replace_table(mart, f"{root}/{name}")
+    """Write both marts; with a date only that day's partitions are replaced.
+
+    The columns of a single day are kept for the second mart. A full rebuild
+    reads its two or three columns twice instead of storing a copy of them.
+    """
+    if not date:
+        replace_table(daily_source(silver), f"{root}/gold_daily_source")
+        replace_table(daily_keyword(silver), f"{root}/gold_daily_keyword")
+        return
+    day = for_date(silver, date).select("dt", "source", "title").persist()
+    try:
+        replace_partition(daily_source(day), f"{root}/gold_daily_source", date)
+        replace_partition(daily_keyword(day), f"{root}/gold_daily_keyword", date)
+    finally:
+        day.unpersist()
 
 
 def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -1,0 +1,190 @@
+import datetime as dt
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from feedlake.operators.dedupe import one_per_key
+from feedlake.operators.joins import known_keys, lookup_join
+from feedlake.operators.merge import insert_only, upsert
+from feedlake.operators.tables import (
+    compact,
+    current_rows,
+    last_batch,
+    last_snapshot,
+    read_batches,
+    replace_partition,
+    replace_table,
+    save_as_table,
+    write_batch,
+)
+from feedlake.plans.catalog import discover_partitions, open_tables
+from feedlake.plans.silver import latest_order, silver, silver_batch
+from feedlake.schema import SILVER_LOG
+from feedlake.streaming.streams import read_bronze, read_silver, write_bronze, write_silver
+from tests.helpers import event, events, plan, values
+
+ROWS = "id string, v int"
+
+
+def keyed(spark, *rows):
+    return spark.createDataFrame(list(rows), ROWS)
+
+
+def test_one_per_key_limits_before_the_shuffle(spark):
+    rows = spark.range(30000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("id"), F.col("id").alias("v"))
+    best = one_per_key(rows, "id", [F.col("v").desc()])
+    assert best.count() == 20001
+    assert best.filter("id = 'hot'").first()["v"] == 29997
+    text = plan(best)
+    assert "row_number(), 1, Partial" in text and "row_number(), 1, Final" in text
+
+
+batches = st.lists(st.lists(st.tuples(st.sampled_from("abcd"), st.integers(0, 9)), max_size=6), min_size=1, max_size=3)
+
+
+@settings(max_examples=6, deadline=None)
+@given(batches)
+def test_merges_against_dictionaries(spark, parts):
+    first, last = {}, {}
+    stored, latest = keyed(spark), keyed(spark)
+    for part in parts:
+        batch = spark.createDataFrame(part, ROWS)
+        stored = insert_only(stored, batch, "id", [F.col("v")])
+        latest = upsert(latest, batch, "id", [F.col("v").desc()])
+        best_low, best_high = {}, {}
+        for key, v in part:
+            best_low[key] = min(v, best_low.get(key, 99))
+            best_high[key] = max(v, best_high.get(key, -1))
+        first = {**best_low, **first}
+        last = {**last, **best_high}
+    assert dict(values(stored, "id", "v")) == first and stored.count() == len(first)
+    assert dict(values(latest, "id", "v")) == last and latest.count() == len(last)
+
+
+def test_merges_reject_null_keys_and_repeat_safely(spark):
+    target, batch = keyed(spark, ("a", 1)), keyed(spark, (None, 5), ("a", 2), ("b", 3))
+    once = upsert(target, batch, "id", [F.col("v").desc()])
+    assert values(once, "id", "v") == [("a", 2), ("b", 3)]
+    assert values(upsert(once, batch, "id", [F.col("v").desc()]), "id", "v") == values(once, "id", "v")
+    assert values(insert_only(target, batch, "id", [F.col("v")]), "id", "v") == [("a", 1), ("b", 3)]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_lookup_join_both_ways(spark, limit):
+    facts = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"), "id")
+    lookup = spark.createDataFrame([("hot", "H")] + [(f"k{n}", f"n{n}") for n in range(6)], "k string, name string")
+    joined = lookup_join(facts, lookup, "k", ["id"], limit_bytes=limit)
+    assert values(joined, "id", "name") == values(facts.join(lookup, "k"), "id", "name")
+    assert ("BroadcastHashJoin" in plan(joined)) or limit == 0
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_known_keys_both_ways(spark, limit):
+    target, batch = keyed(spark, ("a", 1), ("b", 2)), keyed(spark, ("b", 9), ("c", 9))
+    assert values(known_keys(target, batch.select("id"), "id", limit), "id") == [("b",)]
+
+
+def test_latest_arrival_survives_in_silver(spark):
+    rows = events(
+        spark,
+        event("a", title="old"),
+        event("a", title="new", arrived="2025-11-03 11:00:00"),
+        event("b", title=""),
+        event("c", title=None),
+        event("d", title=" "),
+        event(None, title="t"),
+        event("e", title="z", source="s1"),
+        event("e", title="y", source="s2"),
+    )
+    assert values(silver(rows), "id", "title") == [("a", "new"), ("d", " "), ("e", "y")]
+    assert str(silver(rows).filter("id = 'a'").first()["dt"]) == "2025-11-03"
+
+
+def test_bronze_batches_keep_the_first_and_survive_replay(spark, root):
+    one = events(spark, event("a", title="1"), event("a", title="0", arrived="2025-11-03 09:00:00"), event(None))
+    two = events(spark, event("a", title="2"), event("b", title="2", source="other"))
+    for _ in range(2):
+        write_bronze(one, 0, root)
+    write_bronze(two, 1, root)
+    for batch_id, batch in ((1, two), (0, one)):
+        write_bronze(batch, batch_id, root)
+    assert values(read_bronze(spark, root), "id", "title", "source") == [("a", "0", "s"), ("b", "2", "other")]
+
+
+def test_silver_batches_let_the_last_win_and_move_between_days(spark, root):
+    write_silver(events(spark, event("a", title="1", published="2025-11-01 00:00:00"), event("b")), 0, root)
+    moved = events(spark, event("a", title="2", published="2025-11-02 00:00:00"))
+    for _ in range(2):
+        write_silver(moved, 1, root)
+    want = [("a", "2", dt.date(2025, 11, 2)), ("b", "title", dt.date(2025, 11, 3))]
+    assert values(read_silver(spark, root), "id", "title", "dt") == want
+    assert compact(spark, root, SILVER_LOG, "id", "dt") == 1
+    assert values(read_silver(spark, root), "id", "title", "dt") == want
+    write_silver(events(spark, event("b", title="3"), event("c")), 2, root)
+    after = [want[0], ("b", "3", want[1][2]), ("c", "title", want[1][2])]
+    assert values(read_silver(spark, root), "id", "title", "dt") == after
+    for limit in (0, 1 << 30):
+        assert values(current_rows(spark, root, SILVER_LOG, "id", limit), "id", "title", "dt") == after
+    assert compact(spark, root, SILVER_LOG, "id", "dt") == 2 and last_snapshot(spark, root) == 2
+    assert values(read_silver(spark, root), "id", "title", "dt") == after
+
+
+def test_days_are_pruned_in_a_snapshot(spark, root):
+    write_silver(events(spark, event("a", published="2025-11-01 00:00:00"), event("b")), 0, root)
+    compact(spark, root, SILVER_LOG, "id", "dt")
+    write_silver(events(spark, event("c")), 1, root)
+    day = read_silver(spark, root).filter(F.col("dt") == F.to_date(F.lit("2025-11-03")))
+    assert values(day, "id") == [("b",), ("c",)]
+    scans = [line for line in plan(day).splitlines() if "FileScan parquet [id" in line]
+    assert any("PartitionFilters: [isnotnull(dt" in line for line in scans), scans
+
+
+def test_writes_are_rebalanced_by_partition_value(spark, root):
+    write_batch(silver_batch(events(spark, event("a"))), root, 0, "dt")
+    from feedlake.operators.tables import balanced
+
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(balanced(read_batches(spark, root, SILVER_LOG), "dt"))
+
+
+def test_nothing_stored_yet(spark, root):
+    assert last_batch(spark, root) is None and last_snapshot(spark, root) is None
+    assert read_batches(spark, root, SILVER_LOG).count() == 0
+    assert read_silver(spark, root).count() == 0
+    with pytest.raises(ValueError):
+        compact(spark, root, SILVER_LOG, "id")
+
+
+def test_replacing_one_partition_leaves_the_others(spark, root):
+    day = lambda *rows: spark.createDataFrame(list(rows), "dt string, n int").withColumn("dt", F.to_date("dt"))
+    path = f"{root}/t"
+    read = lambda: values(spark.read.schema("n int, dt date").parquet(path).withColumn("dt", F.col("dt").cast("string")), "dt", "n")
+    replace_table(day(("2025-11-01", 1), ("2025-11-02", 2)), path)
+    replace_partition(day(("2025-11-02", 5), ("2025-11-03", 9)), path, "2025-11-02")
+    assert read() == [("2025-11-01", 1), ("2025-11-02", 5)]
+    replace_partition(day(), path, "2025-11-02")
+    assert read() == [("2025-11-01", 1)]
+    replace_table(day(("2025-11-04", 4)), path)
+    assert read() == [("2025-11-04", 4)]
+
+
+def test_catalog_tables(spark, root):
+    created = open_tables(spark, "news_test", root)
+    assert len(created) == 5 and open_tables(spark, "news_test", root) == []
+    write_silver(events(spark, event("a", title="1"), event("b")), 0, f"{root}/silver")
+    write_silver(events(spark, event("a", title="2")), 1, f"{root}/silver")
+    discover_partitions(spark, "news_test", root)
+    assert spark.table("news_test.silver_log").count() == 3
+    assert values(spark.table("news_test.silver_news"), "id", "title") == [("a", "2"), ("b", "title")]
+
+
+def test_replacing_a_catalog_table(spark):
+    rows = spark.createDataFrame([("2025-11-01", 1)], "dt string, n int")
+    for n in (1, 2):
+        save_as_table(rows.withColumn("n", F.lit(n)), "gold_test")
+    assert values(spark.table("gold_test"), "dt", "n") == [("2025-11-01", 2)]
+
+
+def test_latest_order_is_total_on_its_columns():
+    assert len(latest_order()) == 4
