@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedlake.schema import BLANKS, NON_TOKEN_PATTERN, SPACE_PATTERN, TAG_PATTERN
+from feedlake.schema import BLANKS, NON_WORD_PATTERN, SPACE_PATTERN, TAG_PATTERN
 
 
 def strip(text: Column) -> Column:
@@ -23,8 +23,12 @@ def first_filled(*candidates: Column) -> Column:
 
 
 def without_tags(text: Column) -> Column:
-    """Markup removed (not replaced by a space); null becomes ''."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), TAG_PATTERN, "")
+    """Markup removed (not replaced by a space); null becomes ''.
+
+    A byte search spares the pattern the many texts that hold no tag.
+    """
+    present = F.coalesce(text, F.lit(""))
+    return F.when(F.contains(present, F.lit("<")), F.regexp_replace(present, TAG_PATTERN, "")).otherwise(present)
 
 
 def squeezed(text: Column) -> Column:
@@ -36,14 +40,14 @@ def plain_body(text: Column) -> Column:
     return squeezed(without_tags(text))
 
 
-def tokens(title: Column) -> Column:
-    """White-space separated pieces of a title, as an array."""
-    return F.split(title, SPACE_PATTERN)
+def title_words(title: Column) -> Column:
+    """The white-space separated pieces of a title as an array, each reduced to
+    Hangul syllables, Latin letters and digits (and possibly empty).
 
-
-def bare_token(token: Column) -> Column:
-    """Hangul syllables, Latin letters and digits only."""
-    return F.regexp_replace(token, NON_TOKEN_PATTERN, "")
+    White space is left alone by the pattern, so the title can be reduced as a
+    whole before it is split: one replacement per title, not one per piece.
+    """
+    return F.split(F.regexp_replace(title, NON_WORD_PATTERN, ""), SPACE_PATTERN)
 
 
 def embed_text(title: Column, body: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.functions.text import bare_token, tokens
+from feedlake.functions.text import title_words
 from feedlake.operators.tables import replace_partition, replace_table
 from feedlake.operators.topk import top, top_per
 from feedlake.schema import MIN_TOKEN_CHARS, STOP_WORDS
@@ -25,9 +25,9 @@ def daily_source(silver: DataFrame) -> DataFrame:
 
 def daily_keyword(silver: DataFrame, stop_words: list[str] = STOP_WORDS) -> DataFrame:
     """Occurrences of each token in the titles of a day; case counts."""
-    pieces = silver.select("dt", F.explode(tokens(F.col("title"))).alias("token"))
-    words = pieces.withColumn("token", bare_token(F.col("token"))).filter(F.length("token") >= MIN_TOKEN_CHARS)
-    return words.filter(~F.col("token").isin(stop_words)).groupBy("dt", "token").agg(F.count(F.lit(1)).alias("freq"))
+    words = silver.select("dt", F.explode(title_words(F.col("title"))).alias("token"))
+    kept = words.filter((F.length("token") >= MIN_TOKEN_CHARS) & ~F.col("token").isin(stop_words))
+    return kept.groupBy("dt", "token").agg(F.count(F.lit(1)).alias("freq"))
 
 
 def top_sources(daily: DataFrame, k: int = TOP_SOURCES) -> DataFrame:

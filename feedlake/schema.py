@@ -76,7 +76,7 @@ STOP_WORDS = [
 
 TAG_PATTERN = "<[^>]+>"
 SPACE_PATTERN = "\\s+"
-NON_TOKEN_PATTERN = "[^가-힣A-Za-z0-9]"
+NON_WORD_PATTERN = "[^가-힣A-Za-z0-9\\s]"
 MIN_TOKEN_CHARS = 2
 
 ID_HEX_CHARS = 16

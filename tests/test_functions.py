@@ -1,5 +1,6 @@
 import hashlib
 import math
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -45,9 +46,18 @@ def test_first_filled(spark):
     assert [r[0] for r in rows.select(text.first_filled(F.col("x"), F.col("y"))).collect()] == ["a", "b", "b", "", ""]
 
 
-def test_tokens_of_a_korean_title(spark):
-    rows = spark.range(1).select(F.explode(text.tokens(F.lit(" 삼성전자, 3분기 (속보) A·I 그"))).alias("t"))
-    assert [r[0] for r in rows.select(text.bare_token(F.col("t"))).collect()] == ["", "삼성전자", "3분기", "속보", "AI", "그"]
+def test_words_of_a_korean_title(spark):
+    words = one(spark, text.title_words(F.col("t")), t=" 삼성전자, 3분기 - (속보) A·I\xa0x 그")
+    assert words == ["", "삼성전자", "3분기", "속보", "AIx", "그"]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet=" \t\n\x0b\xa0　-.a1가é", max_size=15), min_size=1, max_size=20))
+def test_words_equal_pieces_cleaned_one_by_one(spark, samples):
+    rows = spark.createDataFrame([(s,) for s in samples], "t string").select("t", text.title_words(F.col("t")).alias("w"))
+    for row in rows.collect():
+        pieces = [re.sub("[^가-힣A-Za-z0-9]", "", p) for p in re.split("[ \t\n\x0b\f\r]+", row["t"])]
+        assert [w for w in row["w"] if w] == [p for p in pieces if p]
 
 
 def test_embed_text(spark):
