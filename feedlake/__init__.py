@@ -1 +1,9 @@
 """News-feed analytics on Spark: ingest, clean, aggregate, index, brief."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job: executors need no copy of
+# this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

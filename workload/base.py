@@ -24,8 +24,19 @@ LINK_ROOT = "https://news.example/"
 RFC822 = "Mon, 03 Nov 2025 10:00:00 +0900"
 
 
+# Stated, so that no job has to look for them first.
+SCHEMAS = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+    "benchmark": "item_id long, text string",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return pin(spark).read.parquet(f"{sf}/{name}.parquet")
+    return pin(spark).read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def feeds(spark: SparkSession, sf: str) -> DataFrame:

@@ -141,10 +141,10 @@ def _search(name: str, asked: str, points: str) -> str:
   FROM {asked} q LEFT JOIN {name}_hits h ON h.qid = q.qid GROUP BY q.qid)"""
 
 
-def _points(source: str = "source") -> str:
+def _points(source: str = "source", silver: str = "silver") -> str:
     return f"""points AS (
   SELECT CAST('0x' || id AS UBIGINT) AS point_id, {_digest_vector(_embed_text('title', 'body'))} AS v,
-    {source} AS source, title, substr(body, 1, 2000) AS body, link FROM silver)"""
+    {source} AS source, title, substr(body, 1, 2000) AS body, link FROM {silver})"""
 
 
 _ROLES = Roles()
@@ -181,6 +181,15 @@ def _reinforced(query: str, critique: str) -> str:
     return f"{query} || ' (보강 포인트: ' || substr({critique}, 1, 200) || ')'"
 
 
+_LOOP = f"""q1 AS (SELECT item_id AS qid, text AS query, text FROM benchmark),
+{_round('one', 'q1', 1)},
+q2 AS (SELECT qid, query, {_reinforced('query', 'critique')} AS text FROM one WHERE verdict <> 'APPROVE'),
+{_round('two', 'q2', 2)},
+settled AS (SELECT * FROM one WHERE verdict = 'APPROVE' UNION ALL SELECT * FROM two)"""
+
+_BRIEFING = _echo(_ROLES.reporter, _labelled("[승인된 분석]", "analysis", "[근거 기사]"))
+
+
 def _sql(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -208,7 +217,7 @@ def oracle_sql() -> dict[str, str]:
             EV, "SELECT id, source, title, md5(summary) AS summary_md5, link, published_raw, ingested_at FROM ev"
         ),
         "event_id": _sql(ENTRIES, "SELECT doc_id, substr(sha256(link), 1, 16) AS id FROM entries"),
-        "first_seen_events": _sql(
+        "first_seen": _sql(
             f"{EV}, {_FIRST}", f"SELECT id, source, title, published_raw, {_shown('kafka_ts')} AS kafka_ts FROM first"
         ),
         "new_since_published": _sql(
@@ -241,7 +250,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "json_props": "SELECT event_id, CAST(props ->> 'k' AS INTEGER) AS k FROM events",
         "html_strip": f"SELECT page_id, {_plain('html')} AS body FROM pages",
-        "published_times": _sql(
+        "published_at": _sql(
             EV,
             f"""SELECT id, published_raw,
               {_shown("coalesce(try_cast(published_raw AS TIMESTAMP), kafka_ts)")} AS published_at,
@@ -253,8 +262,8 @@ def oracle_sql() -> dict[str, str]:
         "silver_clean": _sql(SILVER, f"{silver_like} silver"),
         "bronze_merge": _sql(f"{EV}, {_BRONZE}", f"SELECT {_BRONZE_COLUMNS} FROM bronze"),
         "silver_upsert": _sql(f"{CLEAN}, {_STREAM_SILVER}", f"{silver_like} last"),
-        "daily_source_counts": _sql(COUNTS, "SELECT CAST(dt AS VARCHAR) AS dt, source, article_count FROM counts"),
-        "daily_keyword_counts": _sql(WORDS, "SELECT CAST(dt AS VARCHAR) AS dt, token, freq FROM words"),
+        "daily_source": _sql(COUNTS, "SELECT CAST(dt AS VARCHAR) AS dt, source, article_count FROM counts"),
+        "daily_keyword": _sql(WORDS, "SELECT CAST(dt AS VARCHAR) AS dt, token, freq FROM words"),
         "daily_keyword_for_date": _sql(
             WORDS, f"SELECT CAST(dt AS VARCHAR) AS dt, token, freq FROM words WHERE dt = DATE '{DATE}'"
         ),
@@ -267,30 +276,30 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'keyword' AS mart, CAST(dt AS VARCHAR) AS dt, token AS name, freq AS n FROM (
               SELECT * FROM w1 WHERE dt <> DATE '{DATE}' UNION ALL SELECT * FROM w2 WHERE dt = DATE '{DATE}')""",
         ),
-        "top_source_days": _sql(
+        "top_sources": _sql(
             COUNTS,
             """SELECT CAST(dt AS VARCHAR) AS dt, source, article_count FROM counts
             ORDER BY article_count DESC, counts.dt, source LIMIT 10""",
         ),
-        "top_keyword_days": _sql(
+        "top_keywords": _sql(
             WORDS,
             """SELECT CAST(dt AS VARCHAR) AS dt, token, freq FROM words
             ORDER BY freq DESC, words.dt, token LIMIT 15""",
         ),
-        "top_keywords_by_day": _sql(
+        "top_keywords_per_day": _sql(
             WORDS,
             """SELECT CAST(dt AS VARCHAR) AS dt, token, freq,
               CAST(row_number() OVER (PARTITION BY words.dt ORDER BY freq DESC, token) AS INTEGER) AS rank
             FROM words QUALIFY rank <= 15""",
         ),
         "recent_articles": _sql(SILVER, f"{silver_like} silver WHERE silver.dt >= DATE '{AS_OF}' - INTERVAL 1 DAY"),
-        "embed_texts": _sql(SILVER, f"SELECT id, md5({_embed_text('title', 'body')}) AS text_md5 FROM silver"),
+        "embed_text": _sql(SILVER, f"SELECT id, md5({_embed_text('title', 'body')}) AS text_md5 FROM silver"),
         "hash_embedding": _sql(
             _HASHED,
             """SELECT doc_id, 1536 AS dim, CAST(1.0 AS DOUBLE) AS length, round(v[1] / size, 8) AS v0,
               round(v[18] / size, 8) AS v17, round(v[32] / size, 8) AS v31, round(v[32] / size, 8) AS v1535 FROM sized""",
         ),
-        "point_ids": _sql(
+        "point_id": _sql(
             ENTRIES,
             """SELECT doc_id, CAST(CAST('0x' || substr(sha256(link), 1, 16) AS UBIGINT) AS VARCHAR) AS point_id
             FROM entries""",
@@ -325,20 +334,20 @@ def oracle_sql() -> dict[str, str]:
               {_labelled('[분석]', 'analysis')} AS critique_prompt,
               {_labelled('[승인된 분석]', 'analysis', '[근거 기사]')} AS report_prompt FROM a""",
         ),
-        "verdicts": """SELECT conv_id, turn, CASE WHEN contains(string_split(upper(answer), 'VERDICT:')[-1], 'APPROVE')
+        "verdict": """SELECT conv_id, turn, CASE WHEN contains(string_split(upper(answer), 'VERDICT:')[-1], 'APPROVE')
               THEN 'APPROVE' ELSE 'REVISE' END AS verdict
             FROM (SELECT conv_id, turn, CASE role WHEN 'assistant' THEN text || chr(10) || 'Verdict: approve'
               WHEN 'user' THEN 'APPROVE? ' || text || chr(10) || 'VERDICT: REVISE' ELSE text END AS answer
               FROM conversations)""",
         "briefing_loop": _sql(
             f"""{SILVER}, {_points("CASE WHEN source IN ('src3', 'src7') THEN source || ' Approved' ELSE source END")},
-            q1 AS (SELECT item_id AS qid, text AS query, text FROM benchmark),
-            {_round('one', 'q1', 1)},
-            q2 AS (SELECT qid, query, {_reinforced('query', 'critique')} AS text FROM one WHERE verdict <> 'APPROVE'),
-            {_round('two', 'q2', 2)},
-            settled AS (SELECT * FROM one WHERE verdict = 'APPROVE' UNION ALL SELECT * FROM two)""",
-            f"""SELECT qid, contexts, research, analysis, critique, verdict, loops,
-              {_echo(_ROLES.reporter, _labelled('[승인된 분석]', 'analysis', '[근거 기사]'))} AS briefing FROM settled""",
+            {_LOOP}""",
+            f"SELECT qid, contexts, research, analysis, critique, verdict, loops, {_BRIEFING} AS briefing FROM settled",
+        ),
+        "daily_run": _sql(
+            f"""{CLEAN}, {_STREAM_SILVER},
+            recent AS (SELECT * FROM last WHERE dt >= DATE '{AS_OF}' - INTERVAL 1 DAY), {_points(silver='recent')}, {_LOOP}""",
+            f"SELECT qid, contexts, verdict, loops, {_BRIEFING} AS briefing FROM settled",
         ),
         "stream_bronze": _sql(f"{EV}, {_BRONZE}", f"SELECT {_BRONZE_COLUMNS} FROM bronze"),
         "stream_silver": _sql(f"{CLEAN}, {_STREAM_SILVER}", f"{silver_like} last"),

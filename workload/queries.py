@@ -15,7 +15,9 @@ from feedlake.functions.times import parsed, published_at
 from feedlake.operators.dedupe import first_seen
 from feedlake.operators.knn import knn
 from feedlake.operators.merge import insert_only, upsert
+from feedlake.operators.tables import compact
 from feedlake.plans import briefing as br
+from feedlake.plans.daily import run_daily
 from feedlake.plans.index import collection, index_articles, recent, retrieve
 from feedlake.plans.ingest import poll_counters
 from feedlake.plans.marts import (
@@ -29,7 +31,7 @@ from feedlake.plans.marts import (
     top_sources,
 )
 from feedlake.plans.silver import arrival_order, cleaned, latest_order, silver
-from feedlake.schema import BRIEFING_TOP_K
+from feedlake.schema import BRIEFING_TOP_K, SILVER_LOG
 from feedlake.session import cut_lineage, workspace
 from feedlake.sources.feeds import entries_from_documents
 from feedlake.sources.messages import (
@@ -46,6 +48,7 @@ from feedlake.streaming.streams import (
     start_bronze,
     start_dedupe,
     start_silver,
+    write_silver,
 )
 from workload.base import LAST_DROP, entries, events, feeds, retagged, shown, table
 
@@ -58,9 +61,12 @@ KNN_DIM = 64
 _QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    _QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        _QUERIES[name] = fn
+        return fn
+
+    return register
 
 
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,8 +103,8 @@ def _element(name: str, text):
     return F.concat(F.lit(f"<{name}>"), _escaped(text), F.lit(f"</{name}>"))
 
 
-@query
-def feed_items_xml(spark, sf):
+@query("feed_items_xml")
+def q_feed_items_xml(spark, sf):
     """Feed documents (RSS, and Atom for French texts) back to tagged entries."""
     rows = entries(spark, sf).withColumn("text", F.coalesce("summary", "description"))
     rss = F.concat(
@@ -132,26 +138,26 @@ def feed_items_xml(spark, sf):
     )
 
 
-@query
-def feed_events(spark, sf):
+@query("feed_events")
+def q_feed_events(spark, sf):
     return events(spark, sf).select(
         "id", "source", "title", F.md5("summary").alias("summary_md5"), "link", "published_raw", "ingested_at"
     )
 
 
-@query
-def event_id(spark, sf):
+@query("event_id")
+def q_event_id(spark, sf):
     return entries(spark, sf).select("doc_id", link_id(F.col("link")).alias("id"))
 
 
-@query
-def first_seen_events(spark, sf):
+@query("first_seen")
+def q_first_seen(spark, sf):
     rows = first_seen(events(spark, sf), arrival_order())
     return rows.select("id", "source", "title", "published_raw", shown(F.col("kafka_ts")).alias("kafka_ts"))
 
 
-@query
-def new_since_published(spark, sf):
+@query("new_since_published")
+def q_new_since_published(spark, sf):
     """What the later drops add to the ids published in the first one."""
     rows = events(spark, sf)
     published = rows.filter(F.col("drop_no") == 0).select("id")
@@ -159,14 +165,14 @@ def new_since_published(spark, sf):
     return later.select("id", "source", "link", shown(F.col("kafka_ts")).alias("kafka_ts"))
 
 
-@query
-def ingest_counters(spark, sf):
+@query("ingest_counters")
+def q_ingest_counters(spark, sf):
     counted = poll_counters(first_seen(events(spark, sf), arrival_order()), "kafka_ts")
     return counted.withColumn("poll_at", F.date_format("poll_at", "yyyy-MM-dd HH:mm"))
 
 
-@query
-def keyed_publish(spark, sf):
+@query("keyed_publish")
+def q_keyed_publish(spark, sf):
     """Published messages read back from the log."""
     path = workspace(spark, "messages")
     publish_files(to_messages(events(spark, sf), "kafka_ts"), path)
@@ -176,8 +182,8 @@ def keyed_publish(spark, sf):
     return rows.select("key", "e.*", "sent_at").withColumn("summary", F.md5("summary"))
 
 
-@query
-def json_events(spark, sf):
+@query("json_events")
+def q_json_events(spark, sf):
     """Messages with binary values, some of them unreadable, to typed columns."""
     messages = to_messages(events(spark, sf), "kafka_ts")
     readable = F.col("key") < "c"
@@ -186,8 +192,8 @@ def json_events(spark, sf):
     return rows.withColumns({"summary": F.md5("summary"), "kafka_ts": shown(F.col("kafka_ts"))})
 
 
-@query
-def json_props(spark, sf):
+@query("json_props")
+def q_json_props(spark, sf):
     rows = table(spark, sf, "events")
     return rows.select("event_id", F.from_json("props", "k int").alias("p")).select("event_id", "p.k")
 
@@ -195,13 +201,13 @@ def json_props(spark, sf):
 # --- silver ----------------------------------------------------------------
 
 
-@query
-def html_strip(spark, sf):
+@query("html_strip")
+def q_html_strip(spark, sf):
     return table(spark, sf, "pages").select("page_id", plain_body(F.col("html")).alias("body"))
 
 
-@query
-def published_times(spark, sf):
+@query("published_at")
+def q_published_at(spark, sf):
     rows = events(spark, sf)
     return rows.select(
         "id",
@@ -212,8 +218,8 @@ def published_times(spark, sf):
     )
 
 
-@query
-def silver_clean(spark, sf):
+@query("silver_clean")
+def q_silver_clean(spark, sf):
     return _silver_shown(_silver(spark, sf))
 
 
@@ -224,8 +230,8 @@ def _fold(spark, sf, rows, merge, label):
     return reduce(lambda target, batch: merge(cut_lineage(target, label), batch), batches[1:], stored)
 
 
-@query
-def bronze_merge(spark, sf):
+@query("bronze_merge")
+def q_bronze_merge(spark, sf):
     merged = _fold(spark, sf, events(spark, sf), lambda t, b: insert_only(t, b, "id", arrival_order()), "bronze")
     return merged.select(
         "id", "source", "title", F.md5("summary").alias("summary_md5"), "link", "published_raw", "ingested_at",
@@ -233,8 +239,8 @@ def bronze_merge(spark, sf):
     )
 
 
-@query
-def silver_upsert(spark, sf):
+@query("silver_upsert")
+def q_silver_upsert(spark, sf):
     rows = cleaned(events(spark, sf)).drop("summary")
     return _silver_shown(_fold(spark, sf, rows, lambda t, b: upsert(t, b, "id", latest_order()), "silver"))
 
@@ -242,23 +248,23 @@ def silver_upsert(spark, sf):
 # --- marts -----------------------------------------------------------------
 
 
-@query
-def daily_source_counts(spark, sf):
+@query("daily_source")
+def q_daily_source(spark, sf):
     return _dated(daily_source(_silver(spark, sf)))
 
 
-@query
-def daily_keyword_counts(spark, sf):
+@query("daily_keyword")
+def q_daily_keyword(spark, sf):
     return _dated(daily_keyword(_silver(spark, sf)))
 
 
-@query
-def daily_keyword_for_date(spark, sf):
+@query("daily_keyword_for_date")
+def q_daily_keyword_for_date(spark, sf):
     return _dated(daily_keyword(for_date(_silver(spark, sf), DATE)))
 
 
-@query
-def gold_replace(spark, sf):
+@query("gold_replace")
+def q_gold_replace(spark, sf):
     """Marts of the first two drops; then one date built again from all drops."""
     root = workspace(spark, "gold")
     rows = events(spark, sf)
@@ -272,48 +278,48 @@ def gold_replace(spark, sf):
     )
 
 
-@query
-def top_source_days(spark, sf):
+@query("top_sources")
+def q_top_sources(spark, sf):
     return _dated(top_sources(daily_source(_silver(spark, sf))))
 
 
-@query
-def top_keyword_days(spark, sf):
+@query("top_keywords")
+def q_top_keywords(spark, sf):
     return _dated(top_keywords(daily_keyword(_silver(spark, sf))))
 
 
-@query
-def top_keywords_by_day(spark, sf):
+@query("top_keywords_per_day")
+def q_top_keywords_per_day(spark, sf):
     return _dated(top_keywords_per_day(daily_keyword(_silver(spark, sf))))
 
 
 # --- index -----------------------------------------------------------------
 
 
-@query
-def recent_articles(spark, sf):
+@query("recent_articles")
+def q_recent_articles(spark, sf):
     return _silver_shown(recent(_silver(spark, sf), AS_OF, 1))
 
 
-@query
-def embed_texts(spark, sf):
+@query("embed_text")
+def q_embed_text(spark, sf):
     return _silver(spark, sf).select("id", F.md5(embed_text(F.col("title"), F.col("body"))).alias("text_md5"))
 
 
-@query
-def hash_embedding(spark, sf):
+@query("hash_embedding")
+def q_hash_embedding(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", vec.hash_embedding(F.col("text")).alias("vector"))
     parts = [F.round(F.get("vector", F.lit(i)), 8).alias(f"v{i}") for i in (0, 17, 31, 1535)]
     return rows.select("doc_id", F.size("vector").alias("dim"), F.round(vec.norm(F.col("vector")), 8).alias("length"), *parts)
 
 
-@query
-def point_ids(spark, sf):
+@query("point_id")
+def q_point_id(spark, sf):
     return entries(spark, sf).select("doc_id", point_id(link_id(F.col("link"))).cast("string").alias("point_id"))
 
 
-@query
-def vector_upsert(spark, sf):
+@query("vector_upsert")
+def q_vector_upsert(spark, sf):
     """Points of the first drop, then of the later ones, into one collection."""
     root = workspace(spark, "points")
     rows = events(spark, sf)
@@ -337,8 +343,8 @@ def _questions(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
 
 
-@query
-def knn_topk(spark, sf):
+@query("knn_topk")
+def q_knn_topk(spark, sf):
     """Nearest stored vectors of every benchmark text."""
     asked = _questions(spark, sf).select("qid", vec.hash_embedding(F.col("text"), KNN_DIM).alias("vector"))
     stored = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
@@ -351,14 +357,14 @@ def _stored_points(spark, sf, rows=None):
     return collection(spark, root)
 
 
-@query
-def rag_contexts(spark, sf):
+@query("rag_contexts")
+def q_rag_contexts(spark, sf):
     asked = _questions(spark, sf)
     return br.contexts(asked, retrieve(asked, _stored_points(spark, sf), BRIEFING_TOP_K))
 
 
-@query
-def briefing_prompts(spark, sf):
+@query("briefing_prompts")
+def q_briefing_prompts(spark, sf):
     """The prompts of all four roles, the critique being the question itself."""
     asked = _questions(spark, sf)
     found = br.contexts(asked, retrieve(asked, _stored_points(spark, sf), BRIEFING_TOP_K))
@@ -376,8 +382,8 @@ def briefing_prompts(spark, sf):
     )
 
 
-@query
-def verdicts(spark, sf):
+@query("verdict")
+def q_verdict(spark, sf):
     """Verdicts of review texts: marked for two of the roles, unmarked for the third."""
     rows = table(spark, sf, "conversations")
     answer = (
@@ -388,8 +394,8 @@ def verdicts(spark, sf):
     return rows.select("conv_id", "turn", br.verdict(answer).alias("verdict"))
 
 
-@query
-def briefing_loop(spark, sf):
+@query("briefing_loop")
+def q_briefing_loop(spark, sf):
     """Full review loop; articles of one desk carry a name the reviewer approves."""
     rows = _silver(spark, sf)
     desk = F.when(F.col("source").isin("src3", "src7"), F.concat("source", F.lit(" Approved"))).otherwise(F.col("source"))
@@ -411,8 +417,8 @@ def _stream(spark, sf, label, start):
     return f"{root}/table"
 
 
-@query
-def stream_bronze(spark, sf):
+@query("stream_bronze")
+def q_stream_bronze(spark, sf):
     path = _stream(spark, sf, "bronze", lambda m, t: start_bronze(event_stream(m), t, availableNow=True))
     return read_bronze(spark, path).select(
         "id", "source", "title", F.md5("summary").alias("summary_md5"), "link", "published_raw", "ingested_at",
@@ -420,18 +426,30 @@ def stream_bronze(spark, sf):
     )
 
 
-@query
-def stream_silver(spark, sf):
+@query("stream_silver")
+def q_stream_silver(spark, sf):
     path = _stream(spark, sf, "silver", lambda m, t: start_silver(event_stream(m), t, availableNow=True))
     return _silver_shown(read_silver(spark, path))
 
 
-@query
-def stream_dedupe(spark, sf):
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf):
     """First event per id over a delay longer than the log."""
     path = _stream(spark, sf, "dedupe", lambda m, t: start_dedupe(m, t, "400 days", availableNow=True))
     return spark.read.parquet(f"{path}/data").select("id", "link", "title")
 
 
+@query("daily_run")
+def q_daily_run(spark, sf):
+    """The daily jobs for one date on stored silver: marts, index of recent articles, briefings."""
+    root = workspace(spark, "daily")
+    rows = events(spark, sf)
+    for n in range(LAST_DROP + 1):
+        write_silver(rows.filter(F.col("drop_no") == n), n, f"{root}/silver")
+    compact(spark, f"{root}/silver", SILVER_LOG, "id", "dt")
+    asked = _questions(spark, sf).withColumnRenamed("text", "query")
+    return run_daily(spark, root, AS_OF, 0, asked, lookback=1).select("qid", "contexts", "verdict", "loops", "briefing")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
