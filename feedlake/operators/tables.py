@@ -54,28 +54,53 @@ def write_batch(df: DataFrame, root: str, batch_id: int, partition_by: str | Non
     _write(df, f"{root}/log/batch_id={batch_id}", partition_by)
 
 
-def read_batches(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """All stored batches with their `batch_id`; empty before the first one."""
-    wide = StructType([*schema.fields, StructField("batch_id", LongType())])
-    path = f"{root}/log"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], wide)
-    return spark.read.schema(wide).option("basePath", path).parquet(path).select(*wide.fieldNames())
+def _numbers(spark: SparkSession, path: str, label: str) -> list[int]:
+    """Numbers of the folders `<label>=<n>`, without one that is still being written.
 
-
-def _newest(spark: SparkSession, path: str, label: str) -> int | None:
-    """Highest number among the folders `<label>=<n>` whose write was committed."""
-    numbers = [int(name.split("=", 1)[1]) for name in list_names(spark, path) if name.startswith(f"{label}=")]
-    committed = (n for n in sorted(numbers, reverse=True) if path_exists(spark, f"{path}/{label}={n}/_SUCCESS"))
-    return next(committed, None)
+    Batches and snapshots are written one after the other, so only the newest
+    can be unfinished.
+    """
+    prefix = f"{label}="
+    found = sorted(int(name.removeprefix(prefix)) for name in list_names(spark, path) if name.startswith(prefix))
+    if found and not path_exists(spark, f"{path}/{prefix}{found[-1]}/_SUCCESS"):
+        found.pop()
+    return found
 
 
 def last_batch(spark: SparkSession, root: str) -> int | None:
-    return _newest(spark, f"{root}/log", "batch_id")
+    return max(_numbers(spark, f"{root}/log", "batch_id"), default=None)
 
 
 def last_snapshot(spark: SparkSession, root: str) -> int | None:
-    return _newest(spark, f"{root}/snapshot", "upto")
+    return max(_numbers(spark, f"{root}/snapshot", "upto"), default=None)
+
+
+def read_batches(
+    spark: SparkSession, root: str, schema: StructType, after: int | None = None, upto: int | None = None
+) -> DataFrame:
+    """Stored batches with their `batch_id`; only the folders asked for are listed."""
+    wide = StructType([*schema.fields, StructField("batch_id", LongType())])
+    path = f"{root}/log"
+    stored = _numbers(spark, path, "batch_id")
+    wanted = [n for n in stored if (after is None or n > after) and (upto is None or n <= upto)]
+    if not wanted:
+        return spark.createDataFrame([], wide)
+    folders = [f"{path}/batch_id={n}" for n in wanted]
+    return spark.read.schema(wide).option("basePath", path).parquet(*folders).select(*wide.fieldNames())
+
+
+def _snapshot(spark: SparkSession, root: str, schema: StructType, number: int) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{root}/snapshot/upto={number}").select(*schema.fieldNames())
+
+
+def stored_rows(spark: SparkSession, root: str, schema: StructType, without: int | None = None) -> DataFrame:
+    """All stored rows of a table that holds each key once, less one later batch."""
+    base = last_snapshot(spark, root)
+    later = read_batches(spark, root, schema, after=base)
+    if without is not None:
+        later = later.filter(F.col("batch_id") != without)
+    later = later.drop("batch_id")
+    return later if base is None else _snapshot(spark, root, schema, base).unionByName(later)
 
 
 def current_rows(
@@ -93,23 +118,21 @@ def current_rows(
     long as those keys fit a broadcast, the snapshot is not shuffled, and a
     filter on its partition column reaches its scan.
     """
-    log = read_batches(spark, root, schema)
-    if upto is not None:
-        log = log.filter(F.col("batch_id") <= upto)
     base = last_snapshot(spark, root)
-    if base is None and len(list_names(spark, f"{root}/log")) == 1:
-        return log.drop("batch_id")
-    newest_first = [F.col("batch_id").desc()]
+    later = read_batches(spark, root, schema, base, upto)
+    numbers = [n for n in _numbers(spark, f"{root}/log", "batch_id") if base is None or n > base]
+    if len(numbers) <= 1:
+        newest = later.drop("batch_id")
+    else:
+        newest = one_per_key(later, key, [F.col("batch_id").desc()]).drop("batch_id")
     if base is None:
-        return one_per_key(log, key, newest_first).drop("batch_id")
-    later = log.filter(F.col("batch_id") > base)
-    stored = spark.read.schema(schema).parquet(f"{root}/snapshot/upto={base}").select(*schema.fieldNames())
-    if last_batch(spark, root) == base:
+        return newest
+    stored = _snapshot(spark, root, schema, base)
+    if not numbers:
         return stored
     keys = later.select(key).distinct()
     if measure(keys)[1] <= limit_bytes:
         keys = F.broadcast(keys)
-    newest = one_per_key(later, key, newest_first).drop("batch_id")
     return stored.join(keys, key, "left_anti").select(*schema.fieldNames()).unionByName(newest)
 
 

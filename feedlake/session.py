@@ -16,6 +16,9 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Where every task's part of the smaller side is below this, AQE hashes it
+    # and the wide side of a join (texts, mostly) is not sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 _local_roots: dict[str, str] = {}
@@ -25,14 +28,14 @@ def build_session(app: str = "feedlake", master: str | None = None, zone: str =
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for name, value in _SETTINGS.items():
-        builder = builder.config(name, value)
     return pin(builder.getOrCreate(), zone)
 
 
 def pin(spark: SparkSession, zone: str = "UTC") -> SparkSession:
-    """Fix the session zone, so that `dt` does not depend on the machine."""
+    """Fix the session zone, so that `dt` does not depend on the machine, and turn on AQE."""
     spark.conf.set("spark.sql.session.timeZone", zone)
+    for name, value in _SETTINGS.items():
+        spark.conf.set(name, value)
     return spark
 
 

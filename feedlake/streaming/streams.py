@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedlake.operators.dedupe import one_per_key
 from feedlake.operators.joins import known_keys
-from feedlake.operators.tables import current_rows, read_batches, write_batch
+from feedlake.operators.tables import current_rows, stored_rows, write_batch
 from feedlake.plans.silver import arrival_order, silver_batch
 from feedlake.schema import BRONZE, SILVER, SILVER_LOG, WATERMARK
 from feedlake.sources.messages import decode
@@ -34,7 +34,7 @@ def write_bronze(batch: DataFrame, batch_id: int, root: str) -> None:
     spark = batch.sparkSession
     fresh = one_per_key(batch.filter(F.col("id").isNotNull()), "id", arrival_order()).persist()
     try:
-        stored = read_batches(spark, root, BRONZE).filter(F.col("batch_id") != batch_id)
+        stored = stored_rows(spark, root, BRONZE, without=batch_id)
         known = known_keys(stored, fresh.select("id"), "id")
         new = fresh.join(known, "id", "left_anti").select(*BRONZE.fieldNames())
         write_batch(new, root, batch_id, "source")
@@ -48,7 +48,7 @@ def write_silver(batch: DataFrame, batch_id: int, root: str) -> None:
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    return read_batches(spark, root, BRONZE).drop("batch_id")
+    return stored_rows(spark, root, BRONZE)
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
@@ -107,19 +107,27 @@ def thinned(events: DataFrame) -> DataFrame:
     return events.mapInArrow(_newest_per_id, events.schema)
 
 
-def start_dedupe(messages: DataFrame, root: str, delay: str = WATERMARK, **trigger) -> StreamingQuery:
+def start_dedupe(
+    messages: DataFrame, root: str, delay: str = WATERMARK, partitions: int | None = None, **trigger
+) -> StreamingQuery:
     """First event per id, remembered for `delay` behind the newest event.
 
     Events older than the watermark are dropped. The keys are kept in RocksDB,
-    on disk rather than on the heap; a restarted query goes on from the
-    checkpoint with the store it began with.
+    on disk rather than on the heap. The state is split into `partitions`, by
+    default one per core of the cluster; a restarted query goes on with the
+    store and the number of partitions it began with.
     """
     spark = messages.sparkSession
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, STATE_STORE)
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+    }
+    before = {name: spark.conf.get(name) for name in wanted}
+    events = thinned(decode(messages).filter("id is not null")).withWatermark("kafka_ts", delay)
     try:
-        events = thinned(decode(messages).filter("id is not null")).withWatermark("kafka_ts", delay)
+        # A query keeps the settings it was started under.
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         return (
             events.dropDuplicatesWithinWatermark(["id"])
             .writeStream.format("parquet")
@@ -130,4 +138,5 @@ def start_dedupe(messages: DataFrame, root: str, delay: str = WATERMARK, **trigg
             .start()
         )
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -21,7 +21,7 @@ from feedlake.operators.tables import (
 )
 from feedlake.plans.catalog import discover_partitions, open_tables
 from feedlake.plans.silver import latest_order, silver, silver_batch
-from feedlake.schema import SILVER_LOG
+from feedlake.schema import BRONZE, SILVER_LOG
 from feedlake.streaming.streams import read_bronze, read_silver, write_bronze, write_silver
 from tests.helpers import event, events, plan, values
 
@@ -113,6 +113,28 @@ def test_bronze_batches_keep_the_first_and_survive_replay(spark, root):
     assert values(read_bronze(spark, root), "id", "title", "source") == [("a", "0", "s"), ("b", "2", "other")]
 
 
+def test_bronze_goes_on_after_a_compaction(spark, root):
+    write_bronze(events(spark, event("a", title="1")), 0, root)
+    compact(spark, root, BRONZE, "id", "source")
+    again = events(spark, event("a", title="2"), event("b", title="2"))
+    for _ in range(2):
+        write_bronze(again, 1, root)
+    want = [("a", "1"), ("b", "2")]
+    assert values(read_bronze(spark, root), "id", "title") == want
+    compact(spark, root, BRONZE, "id", "source")
+    write_bronze(again, 1, root)
+    assert values(read_bronze(spark, root), "id", "title") == want
+
+
+def test_an_unfinished_batch_is_not_read(spark, root):
+    write_bronze(events(spark, event("a")), 0, root)
+    events(spark, event("b")).write.partitionBy("source").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{root}/log/batch_id=1"
+    )
+    assert values(read_bronze(spark, root), "id") == [("a",)]
+    assert last_batch(spark, root) == 0
+
+
 def test_silver_batches_let_the_last_win_and_move_between_days(spark, root):
     write_silver(events(spark, event("a", title="1", published="2025-11-01 00:00:00"), event("b")), 0, root)
     moved = events(spark, event("a", title="2", published="2025-11-02 00:00:00"))

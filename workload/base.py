@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.times import iso
-from feedlake.operators.joins import lookup_join
 from feedlake.plans.ingest import to_events
 from feedlake.session import pin
 
@@ -97,10 +96,6 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return to_events(stamped, ingested_at=iso(F.col("kafka_ts")), keep=["kafka_ts", "drop_no"])
 
 
-def retagged(rows: DataFrame, names: DataFrame) -> DataFrame:
-    return lookup_join(rows, names, "feed_url", spread_by=["link", "title"])
-
-
 def shown(moment: Column) -> Column:
     """Timestamps leave the queries as text, so that both engines agree."""
     return F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS")

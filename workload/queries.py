@@ -33,7 +33,7 @@ from feedlake.plans.marts import (
 from feedlake.plans.silver import arrival_order, cleaned, latest_order, silver
 from feedlake.schema import BRIEFING_TOP_K, SILVER_LOG
 from feedlake.session import cut_lineage, workspace
-from feedlake.sources.feeds import entries_from_documents
+from feedlake.sources.feeds import entries_from_documents, tagged
 from feedlake.sources.messages import (
     decode,
     message_file_stream,
@@ -50,7 +50,7 @@ from feedlake.streaming.streams import (
     start_silver,
     write_silver,
 )
-from workload.base import LAST_DROP, entries, events, feeds, retagged, shown, table
+from workload.base import LAST_DROP, entries, events, feeds, shown, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,7 +127,7 @@ def q_feed_items_xml(spark, sf):
         F.lit("</summary></entry></feed>"),
     )
     documents = rows.select("doc_id", "feed_url", F.when(F.col("description").isNull(), rss).otherwise(atom).alias("xml"))
-    found = retagged(entries_from_documents(documents), feeds(spark, sf))
+    found = tagged(entries_from_documents(documents), feeds(spark, sf))
     return found.select(
         "doc_id",
         "source",
