@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 
 from feedlake.session import BROADCAST_BYTES, measure
 
-SALTS = 32
+# A key with more than one part in this many of all rows is split.
+PIECES = 1000
+
+
+def hot_keys(facts: DataFrame, on: str, pieces: int = PIECES) -> DataFrame:
+    """(key, _pieces) of the keys that hold more than 1 / `pieces` of all rows.
+
+    There are fewer than `pieces` of them, whatever the size of the facts.
+    """
+    total = facts.count()
+    counts = facts.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") * pieces > total)
+    return counts.select(on, F.ceil(F.col("_n") * pieces / total).cast("int").alias("_pieces"))
 
 
 def lookup_join(
@@ -15,21 +26,23 @@ def lookup_join(
     lookup: DataFrame,
     on: str,
     spread_by: list[str],
-    how: str = "inner",
     limit_bytes: int = BROADCAST_BYTES,
+    pieces: int = PIECES,
 ) -> DataFrame:
-    """Join facts with a lookup table that has one row per key.
+    """Inner join of facts with a lookup table that has one row per key.
 
     A lookup whose measured size is below the limit is broadcast. Otherwise
-    both sides are shuffled on (key, salt): the lookup is copied once per salt
-    and a hot key of the facts is spread over all salts by a hash of
-    `spread_by`, which is stable when a lost task runs again.
+    both sides are shuffled on (key, piece): rows of a hot key are spread over
+    pieces by a hash of `spread_by`, which is stable when a lost task runs
+    again, and only the lookup rows of hot keys are copied, once per piece.
     """
     if measure(lookup)[1] <= limit_bytes:
-        return facts.join(F.broadcast(lookup), on, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+        return facts.join(F.broadcast(lookup), on)
+    hot = F.broadcast(hot_keys(facts, on, pieces))
+    count = F.coalesce("_pieces", F.lit(1))
+    spread = facts.join(hot, on, "left").withColumn("_piece", F.pmod(F.xxhash64(*spread_by), count).cast("int"))
+    copies = lookup.join(hot, on, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), count - 1)))
+    return spread.drop("_pieces").join(copies.drop("_pieces"), [on, "_piece"]).drop("_piece")
 
 
 def known_keys(

@@ -71,6 +71,11 @@ def last_batch(spark: SparkSession, root: str) -> int | None:
     return max(_numbers(spark, f"{root}/log", "batch_id"), default=None)
 
 
+def next_batch(spark: SparkSession, root: str) -> int:
+    """Number for a batch that is to win over all stored ones."""
+    return max((n for n in (last_batch(spark, root), last_snapshot(spark, root)) if n is not None), default=-1) + 1
+
+
 def last_snapshot(spark: SparkSession, root: str) -> int | None:
     return max(_numbers(spark, f"{root}/snapshot", "upto"), default=None)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.operators.tables import current_rows
+from feedlake.operators.tables import current_rows, next_batch
 from feedlake.plans.briefing import ChatModel, run_briefings, write_briefings
 from feedlake.plans.index import Embedder, collection, index_articles, recent, retrieve
 from feedlake.plans.marts import build_gold
@@ -15,7 +15,6 @@ def run_daily(
     spark: SparkSession,
     root: str,
     date: str,
-    run_id: int,
     queries: DataFrame | None = None,
     embedder: Embedder | None = None,
     model: ChatModel | None = None,
@@ -25,12 +24,12 @@ def run_daily(
 ) -> DataFrame:
     """Run the three jobs for `date` on the tables below `root`.
 
-    `run_id` numbers the batch of index points; running the same date again
-    with the same number replaces what the first run wrote.
+    Running a date again replaces its marts and briefings and upserts the same
+    index points.
     """
     silver = current_rows(spark, f"{root}/silver", SILVER_LOG, "id")
     build_gold(silver, f"{root}/gold", date)
-    index_articles(recent(silver, date, lookback), f"{root}/points", run_id, dim, embedder)
+    index_articles(recent(silver, date, lookback), f"{root}/points", next_batch(spark, f"{root}/points"), dim, embedder)
     stored = collection(spark, f"{root}/points")
     if queries is None:
         queries = spark.createDataFrame([(1, DEFAULT_QUERY)], "qid long, query string")

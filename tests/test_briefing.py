@@ -109,7 +109,7 @@ def test_daily_run(spark, root):
     rows = [event(f"{n:016x}", title=f"Growth report {n}", published=f"2025-11-0{1 + n % 3} 08:00:00") for n in range(9)]
     write_silver(events(spark, *rows), 0, f"{root}/silver")
     for _ in range(2):
-        out = run_daily(spark, root, "2025-11-03", run_id=7)
+        out = run_daily(spark, root, "2025-11-03")
     assert out.count() == 1 and out.first()["loops"] == 2
     assert "링크: https://n/" in out.first()["contexts"]
     files = glob.glob(f"{root}/briefings/dt=2025-11-03/*.txt")

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from feedlake.operators.dedupe import one_per_key
-from feedlake.operators.joins import known_keys, lookup_join
+from feedlake.operators.joins import hot_keys, known_keys, lookup_join
 from feedlake.operators.merge import insert_only, upsert
 from feedlake.operators.tables import (
     compact,
@@ -77,7 +77,15 @@ def test_lookup_join_both_ways(spark, limit):
     lookup = spark.createDataFrame([("hot", "H")] + [(f"k{n}", f"n{n}") for n in range(6)], "k string, name string")
     joined = lookup_join(facts, lookup, "k", ["id"], limit_bytes=limit)
     assert values(joined, "id", "name") == values(facts.join(lookup, "k"), "id", "name")
-    assert ("BroadcastHashJoin" in plan(joined)) or limit == 0
+    assert limit == 0 or "BroadcastHashJoin" in plan(joined)
+
+
+def test_hot_keys_are_few_and_split_by_their_share(spark):
+    facts = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    assert values(hot_keys(facts, "k", 30), "k", "_pieces") == [("hot", 10)]
+    lookup = facts.select("k").distinct().withColumn("name", F.upper("k"))
+    joined = lookup_join(facts, lookup, "k", ["id"], limit_bytes=0, pieces=30)
+    assert joined.count() == 9000 and joined.filter("upper(k) <> name").count() == 0
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 30])

@@ -448,7 +448,7 @@ def q_daily_run(spark, sf):
         write_silver(rows.filter(F.col("drop_no") == n), n, f"{root}/silver")
     compact(spark, f"{root}/silver", SILVER_LOG, "id", "dt")
     asked = _questions(spark, sf).withColumnRenamed("text", "query")
-    return run_daily(spark, root, AS_OF, 0, asked, lookback=1).select("qid", "contexts", "verdict", "loops", "briefing")
+    return run_daily(spark, root, AS_OF, asked, lookback=1).select("qid", "contexts", "verdict", "loops", "briefing")
 
 
 def queries() -> dict[str, Query]:
