@@ -46,41 +46,43 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 class _Best:
-    """The k best candidates per query seen so far, as three flat arrays."""
+    """The k best candidates per query seen so far, best first; free places score -inf."""
 
     def __init__(self, n_queries: int, k: int):
-        self.n, self.k = n_queries, k
-        self.query = np.empty(0, np.int64)
-        self.vec_id = np.empty(0, np.int64)
-        self.score = np.empty(0, np.float64)
-        self.floor = np.full(n_queries, -np.inf)
+        self.k = k
+        self.score = np.full((n_queries, k), -np.inf)
+        self.vec_id = np.zeros((n_queries, k), np.int64)
 
     def add(self, queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
-        step = max(1, _BLOCK_CELLS // max(1, self.n))
-        for start in range(0, len(ids), step):
-            part = slice(start, start + step)
-            scores = np.round(queries @ vectors[part].T, SCORE_DIGITS) + 0.0
-            bar = self.floor
+        step = max(1, _BLOCK_CELLS // max(1, len(ids)))
+        for start in range(0, len(queries), step):
+            scores = np.round(queries[start : start + step] @ vectors.T, SCORE_DIGITS) + 0.0
+            scores[np.isnan(scores)] = -np.inf
+            # Only what reaches the k-th place so far, or in this block, is looked at.
+            bar = self.score[start : start + step, -1]
             if scores.shape[1] > self.k:
                 cut = scores.shape[1] - self.k
                 bar = np.maximum(bar, np.partition(scores, cut, axis=1)[:, cut])
-            q, c = np.nonzero(scores >= bar[:, None])
-            self._keep(q, ids[part][c], scores[q, c])
-
-    def _keep(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
-        q = np.concatenate([self.query, q])
-        ids = np.concatenate([self.vec_id, ids])
-        scores = np.concatenate([self.score, scores])
+            q, c = np.nonzero((scores >= bar[:, None]) & (scores > -np.inf))
+            if len(q):
+                self._merge(q + start, ids[c], scores[q, c])
+
+    def _merge(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Rank the new candidates of some queries together with their old ones."""
+        touched = np.unique(q)
+        q = np.concatenate([np.repeat(touched, self.k), q])
+        ids = np.concatenate([self.vec_id[touched].ravel(), ids])
+        scores = np.concatenate([self.score[touched].ravel(), scores])
         order = np.lexsort((ids, -scores, q))
         q, ids, scores = q[order], ids[order], scores[order]
         place = np.arange(len(q)) - np.searchsorted(q, q)
         kept = place < self.k
-        self.query, self.vec_id, self.score = q[kept], ids[kept], scores[kept]
-        last = place[kept] == self.k - 1
-        self.floor[self.query[last]] = self.score[last]
+        self.vec_id[q[kept], place[kept]] = ids[kept]
+        self.score[q[kept], place[kept]] = scores[kept]
 
     def rows(self, query_ids: np.ndarray) -> dict[str, np.ndarray]:
-        return {"qid": query_ids[self.query], "vec_id": self.vec_id, "score": self.score}
+        q, place = np.nonzero(self.score > -np.inf)
+        return {"qid": query_ids[q], "vec_id": self.vec_id[q, place], "score": self.score[q, place]}
 
 
 def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:

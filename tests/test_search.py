@@ -46,6 +46,26 @@ def test_empty_sides_and_missing_vectors(spark, limits):
     assert values(knn(some, stored, 3, **limits), "qid", "rank", "vec_id") == [(1, 1, 1)]
 
 
+@pytest.mark.parametrize("cells", [1, 50, 10**6])
+def test_blocks_of_any_size_agree(cells, monkeypatch):
+    import feedlake.operators.knn as module
+
+    monkeypatch.setattr(module, "_BLOCK_CELLS", cells)
+    rng = np.random.default_rng(3)
+    queries, vectors = rng.normal(size=(17, 4)), np.repeat(rng.normal(size=(10, 4)), 5, axis=0)
+    vectors[7] = np.nan
+    ids = rng.permutation(50).astype(np.int64)
+    unit = lambda m: m / np.linalg.norm(m, axis=1)[:, None]
+    best = module._Best(17, 8)
+    for start in range(0, 50, 9):
+        part = slice(start, start + 9)
+        best.add(unit(queries), unit(vectors)[part], ids[part])
+    kept = [n for n in range(50) if n != 7]
+    want = brute(list(enumerate(queries)), [(int(ids[n]), vectors[n]) for n in kept], 8)
+    got = best.rows(np.arange(17))
+    assert sorted((q, v) for q, v in zip(got["qid"], got["vec_id"])) == sorted((q, v) for q, _, v, _ in want)
+
+
 def test_all_pairs_never_become_rows(spark):
     rows = spark.range(50).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
     found = knn(rows.withColumnRenamed("vec_id", "qid"), rows, 3)
