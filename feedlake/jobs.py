@@ -29,9 +29,9 @@ from feedlake.streaming.streams import read_silver, run_ingest
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.servers:
-        messages = message_kafka_stream(spark, args.servers, args.topic)
+        messages = message_kafka_stream(spark, args.servers, args.topic, args.per_batch)
     else:
-        messages = message_file_stream(spark, f"{args.root}/inbox")
+        messages = message_file_stream(spark, f"{args.root}/inbox", args.per_batch)
     run_ingest(messages, args.root, **({"availableNow": True} if args.once else {}))
 
 
@@ -104,6 +104,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--servers", help="Kafka bootstrap servers; without them <root>/inbox is read")
     out.add_argument("--topic", default="news.raw")
     out.add_argument("--once", action="store_true", help="stop when all present messages are in")
+    out.add_argument("--per-batch", type=int, help="messages (or files of the inbox) per micro-batch")
     out.add_argument("--lookback", type=int, default=LOOKBACK_DAYS)
     out.add_argument("--max-loops", type=int, default=MAX_LOOPS)
     out.add_argument("--top-k", type=int, default=TOP_K)

@@ -38,14 +38,18 @@ def message_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE).parquet(path)
 
 
-def message_file_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(MESSAGE).parquet(path)
+def message_file_stream(spark: SparkSession, path: str, per_batch: int | None = None) -> DataFrame:
+    """The folder as a stream; `per_batch` limits the files of one micro-batch."""
+    limit = {"maxFilesPerTrigger": str(per_batch)} if per_batch else {}
+    return spark.readStream.schema(MESSAGE).options(**limit).parquet(path)
 
 
-def message_kafka_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def message_kafka_stream(spark: SparkSession, servers: str, topic: str, per_batch: int | None = None) -> DataFrame:
+    """The topic as a stream; `per_batch` limits the messages of one micro-batch."""
+    limit = {"maxOffsetsPerTrigger": str(per_batch)} if per_batch else {}
     raw = (
         spark.readStream.format("kafka")
-        .options(**{"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"})
+        .options(**{"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}, **limit)
         .load()
     )
     return raw.select("key", "value", "timestamp")

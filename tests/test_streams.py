@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from feedlake.operators.tables import last_batch
 from feedlake.plans.silver import silver
 from feedlake.sources.messages import decode, message_file_stream, message_files, publish_files, to_messages
 from feedlake.streaming.streams import (
@@ -50,6 +51,15 @@ def test_a_stream_without_new_data_changes_nothing(spark, root):
     assert read_bronze(spark, f"{root}/t/bronze").count() == 2
 
 
+def test_a_backlog_is_taken_in_small_batches(spark, root):
+    for drop in DROPS:
+        land(spark, f"{root}/inbox", drop)
+    run_ingest(message_file_stream(spark, f"{root}/inbox", per_batch=1), f"{root}/t", availableNow=True)
+    assert last_batch(spark, f"{root}/t/bronze") > 1
+    assert values(read_bronze(spark, f"{root}/t/bronze"), "id") == [("a",), ("b",), ("c",), ("d",)]
+    assert values(read_silver(spark, f"{root}/t/silver"), "id") == [("a",), ("b",), ("d",)]
+
+
 def test_broken_messages_stay_out(spark, root):
     rows = events(spark, event("a"))
     broken = to_messages(rows, "kafka_ts").withColumn("value", F.lit("{oops"))
