@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 from feedlake.operators.topk import top_per
 
 SCORE_DIGITS = 8
+_SLACK = 10.0**-SCORE_DIGITS
 QUERY_BYTES = 64 * 1024 * 1024
 # The vectors are copied once per slice of queries, so those slices are larger.
 QUERY_SLICE_BYTES = 128 * 1024 * 1024
 VECTOR_SLICE_BYTES = 32 * 1024 * 1024
+# Vectors, and scores, that a task holds as a matrix at one time.
+_BLOCK_ROWS = 2048
 _BLOCK_CELLS = 4_000_000
 
 _CANDIDATE = "qid long, vec_id long, score double"
@@ -56,16 +59,23 @@ class _Best:
     def add(self, queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
         step = max(1, _BLOCK_CELLS // max(1, len(ids)))
         for start in range(0, len(queries), step):
-            scores = np.round(queries[start : start + step] @ vectors.T, SCORE_DIGITS) + 0.0
-            scores[np.isnan(scores)] = -np.inf
-            # Only what reaches the k-th place so far, or in this block, is looked at.
-            bar = self.score[start : start + step, -1]
-            if scores.shape[1] > self.k:
+            own = slice(start, start + step)
+            scores = queries[own] @ vectors.T
+            # Only what can take a place is looked at: what reaches the k-th
+            # score so far or, while there are free places, the k-th of the
+            # block. A NaN reaches nothing. Rounding can lift a score by less
+            # than the slack.
+            floor, last_id = self.score[own, -1], self.vec_id[own, -1]
+            bar = floor
+            if scores.shape[1] > self.k and np.isneginf(floor).any():
                 cut = scores.shape[1] - self.k
-                bar = np.maximum(bar, np.partition(scores, cut, axis=1)[:, cut])
-            q, c = np.nonzero((scores >= bar[:, None]) & (scores > -np.inf))
-            if len(q):
-                self._merge(q + start, ids[c], scores[q, c])
+                lowest = np.partition(np.where(np.isnan(scores), -np.inf, scores), cut, axis=1)[:, cut]
+                bar = np.maximum(bar, lowest)
+            q, c = np.nonzero(scores >= (bar - _SLACK)[:, None])
+            found, new_ids = np.round(scores[q, c], SCORE_DIGITS) + 0.0, ids[c]
+            better = (found > floor[q]) | (new_ids < last_id[q])
+            if better.any():
+                self._merge(q[better] + start, new_ids[better], found[better])
 
     def _merge(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """Rank the new candidates of some queries together with their old ones."""
@@ -99,8 +109,9 @@ def _with_sent_queries(queries: DataFrame, vectors: DataFrame, k: int) -> DataFr
         query_ids, query_matrix = sent.value
         best = _Best(len(query_ids), k)
         for batch in batches:
-            if batch.num_rows:
-                best.add(query_matrix, _matrix(batch.column("vector")), _ids(batch.column("vec_id")))
+            for start in range(0, batch.num_rows, _BLOCK_ROWS):
+                part = batch.slice(start, _BLOCK_ROWS)
+                best.add(query_matrix, _matrix(part.column("vector")), _ids(part.column("vec_id")))
         yield pa.RecordBatch.from_pydict(best.rows(query_ids))
 
     return vectors.mapInArrow(score, _CANDIDATE)
