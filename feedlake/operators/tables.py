@@ -170,10 +170,6 @@ def replace_partition(df: DataFrame, path: str, value: str, partition_by: str =
     _write(rows, f"{path}/{partition_by}={value}", None)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-
-
 def save_as_table(df: DataFrame, name: str, partition_by: str = "dt") -> None:
     """Replace a catalog table, as `createOrReplace` does on a v2 catalog."""
     balanced(df, partition_by).write.mode("overwrite").format("parquet").partitionBy(partition_by).saveAsTable(name)

@@ -26,11 +26,14 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 
 
 def event_stream(messages: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    return decode(messages).withWatermark("kafka_ts", delay)
+    """Decoded events; each progress report counts them and those without an id."""
+    events = decode(messages).withWatermark("kafka_ts", delay)
+    without_id = F.count_if(F.col("id").isNull())
+    return events.observe("events", F.count(F.lit(1)).alias("total"), without_id.alias("without_id"))
 
 
 def write_bronze(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Insert the ids of a batch that no other batch has stored."""
+    """Insert the ids of a batch that no other batch has stored; rows without one are rejected."""
     spark = batch.sparkSession
     fresh = one_per_key(batch.filter(F.col("id").isNotNull()), "id", arrival_order()).persist()
     try:

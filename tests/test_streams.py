@@ -8,6 +8,7 @@ from feedlake.streaming.streams import (
     read_bronze,
     read_silver,
     run_ingest,
+    start_bronze,
     start_dedupe,
     start_silver,
     thinned,
@@ -69,6 +70,14 @@ def test_broken_messages_stay_out(spark, root):
     assert values(read_silver(spark, f"{root}/t/silver"), "id") == [("a",)]
 
 
+def test_progress_counts_events_without_an_id(spark, root):
+    land(spark, f"{root}/inbox", [event("a"), event(None), event(None)])
+    query = start_bronze(event_stream(message_file_stream(spark, f"{root}/inbox")), f"{root}/t", availableNow=True)
+    query.awaitTermination()
+    counted = [p["observedMetrics"]["events"] for p in query.recentProgress if p["numInputRows"]]
+    assert [(row["total"], row["without_id"]) for row in counted] == [(3, 2)]
+
+
 def dedupe(spark, root, drops, delay):
     for drop in drops:
         land(spark, f"{root}/inbox", drop)

@@ -218,3 +218,12 @@ def test_replacing_a_catalog_table(spark):
 
 def test_latest_order_is_total_on_its_columns():
     assert len(latest_order()) == 4
+
+
+def test_an_empty_batch_is_written(spark, root):
+    rows = events(spark, event("a"))
+    for n, batch in enumerate([rows.limit(0), rows.filter("title = 'none'"), events(spark, event(None))]):
+        write_bronze(batch, n, root)
+    assert read_bronze(spark, root).count() == 0 and last_batch(spark, root) == 2
+    write_bronze(rows, 3, root)
+    assert values(read_bronze(spark, root), "id") == [("a",)]
