@@ -24,8 +24,10 @@ _SETTINGS = {
 _local_roots: dict[str, str] = {}
 
 
-def build_session(app: str = "feedlake", master: str | None = None, zone: str = "UTC") -> SparkSession:
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+def build_session(
+    app: str = "feedlake", master: str | None = None, zone: str = "UTC", settings: dict[str, str] | None = None
+) -> SparkSession:
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").config(map=settings or {})
     if master:
         builder = builder.master(master)
     return pin(builder.getOrCreate(), zone)

@@ -50,6 +50,12 @@ DOCUMENT = StructType(
 
 _XML = {"ignoreNamespace": "true"}
 
+_BARE_AMPERSAND = "&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
+
+
+def _is_read(document: Column) -> Column:
+    return document["channel"].isNotNull() | document["item"].isNotNull() | document["entry"].isNotNull()
+
 
 def _rss_entry(item: Column) -> list[Column]:
     # A guid stands in for a missing link unless it is marked as no permalink.
@@ -86,14 +92,18 @@ def feed_list(spark: SparkSession, feeds: list[tuple[str, str]] = FEEDS) -> Data
 def entries_from_documents(documents: DataFrame, xml: str = "xml") -> DataFrame:
     """Explode a column of whole RSS or Atom documents into entries.
 
-    All other columns are kept; `entry_no` is the place within the document.
+    All other columns are kept; `entry_no` is the place within the document. A
+    document that is no XML only because of its ampersands (`A & B`, `&nbsp;`)
+    is read a second time with these escaped.
     """
     kept = [c for c in documents.columns if c != xml]
 
     def all_of(items: Column, entry) -> Column:
         return F.coalesce(F.transform(items, lambda item: F.struct(*entry(item))), F.array())
 
-    parsed = documents.select(*kept, F.from_xml(F.col(xml), DOCUMENT, _XML).alias("d"))
+    strict = documents.select(*kept, xml, F.from_xml(F.col(xml), DOCUMENT, _XML).alias("_strict"))
+    mended = F.from_xml(F.regexp_replace(F.col(xml), _BARE_AMPERSAND, "&amp;"), DOCUMENT, _XML)
+    parsed = strict.select(*kept, F.when(_is_read(F.col("_strict")), F.col("_strict")).otherwise(mended).alias("d"))
     found = F.concat(
         all_of(F.col("d.channel.item"), _rss_entry),
         all_of(F.col("d.item"), _rss_entry),

@@ -45,6 +45,14 @@ def test_documents_of_all_kinds(spark):
     assert not [r for r in got if r[0] == "none"]
 
 
+def test_loose_ampersands_are_mended(spark):
+    loose = "<rss><channel><item><title>A & B&nbsp;C &amp; D &#65;</title><link>https://n/1?a=1&b=2</link></item></channel></rss>"
+    kept = "<rss><channel><item><title><![CDATA[A & B]]></title><link>https://n/2</link></item></channel></rss>"
+    rows = spark.createDataFrame([(loose,), (kept,)], "xml string")
+    got = values(entries_from_documents(rows), "link", "title")
+    assert got == [("https://n/1?a=1&b=2", "A & B&nbsp;C & D A"), ("https://n/2", "A & B")]
+
+
 def test_landed_files_are_tagged_by_feed(spark, root):
     feeds = [("First", "https://f/one?a=1"), ("Second", "https://f/two")]
     for (_, url), body in zip(feeds, (RSS, RSS.replace("https://n/1", "https://n/9"))):
