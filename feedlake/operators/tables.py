@@ -108,6 +108,25 @@ def stored_rows(spark: SparkSession, root: str, schema: StructType, without: int
     return later if base is None else _snapshot(spark, root, schema, base).unionByName(later)
 
 
+def _newest(batches: DataFrame, key: str, limit_bytes: int) -> DataFrame:
+    """Row of the highest batch per key; a batch holds a key once.
+
+    Few keys come again in another batch, as a rule. A count over the key
+    column finds them, and if they fit a broadcast, the rows themselves are
+    neither shuffled nor sorted and filters on them reach the scan.
+    """
+    again = (
+        batches.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("batch_id").alias("_last"))
+        .filter(F.col("_n") > 1)
+        .select(key, "_last")
+    )
+    if measure(again)[1] > limit_bytes:
+        return one_per_key(batches, key, [F.col("batch_id").desc()])
+    marked = batches.join(F.broadcast(again), key, "left")
+    return marked.filter(F.col("_last").isNull() | (F.col("_last") == F.col("batch_id")))
+
+
 def current_rows(
     spark: SparkSession,
     root: str,
@@ -118,18 +137,14 @@ def current_rows(
 ) -> DataFrame:
     """Latest row per key over the snapshot and the batches after it (up to `upto`).
 
-    Each batch holds a key once, so the batch number alone picks the survivor.
     Snapshot rows are only tested against the keys of the later batches; as
-    long as those keys fit a broadcast, the snapshot is not shuffled, and a
-    filter on its partition column reaches its scan.
+    long as those keys fit a broadcast, the snapshot is not shuffled.
     """
     base = last_snapshot(spark, root)
     later = read_batches(spark, root, schema, base, upto)
     numbers = [n for n in _numbers(spark, f"{root}/log", "batch_id") if base is None or n > base]
-    if len(numbers) <= 1:
-        newest = later.drop("batch_id")
-    else:
-        newest = one_per_key(later, key, [F.col("batch_id").desc()]).drop("batch_id")
+    newest = later if len(numbers) <= 1 else _newest(later, key, limit_bytes)
+    newest = newest.select(*schema.fieldNames())
     if base is None:
         return newest
     stored = _snapshot(spark, root, schema, base)

@@ -16,6 +16,9 @@ from feedlake.functions.vector import hash_embedding
 from feedlake.operators.knn import knn
 from feedlake.operators.tables import checked, current_rows, write_batch
 from feedlake.schema import BODY_CHARS, EMBED_BATCH, EMBED_DIM, LOOKBACK_DAYS, POINT, TOP_K
+from feedlake.session import BROADCAST_BYTES, cut_lineage
+
+HIT_BYTES = 64
 
 Embedder = Callable[[list[str]], list[list[float]]]
 
@@ -82,12 +85,16 @@ def search(queries: DataFrame, stored: DataFrame, k: int = TOP_K, **limits: int)
     """Top k points for each (qid, vector), with score and payload fields.
 
     Vectors and payloads are read separately: the scan that scores carries no
-    text, and the one that fetches payloads carries no vectors.
+    text, and the one that fetches payloads carries no vectors. There are at
+    most k hits per query, so their number is known to fit a broadcast, or not,
+    before the search; if it does, the payloads are not shuffled.
     """
     keyed = stored.select(point_to_long(F.col("point_id")).alias("vec_id"), "vector")
     hits = knn(queries, keyed, k, **limits)
+    if queries.count() * k * HIT_BYTES <= BROADCAST_BYTES:
+        hits = F.broadcast(hits)
     payloads = stored.select(point_to_long(F.col("point_id")).alias("vec_id"), "payload")
-    found = hits.join(payloads, "vec_id")
+    found = payloads.join(hits, "vec_id")
     return found.select("qid", "rank", long_to_point(F.col("vec_id")).alias("point_id"), "score", "payload.*")
 
 
@@ -95,4 +102,7 @@ def retrieve(
     queries: DataFrame, stored: DataFrame, k: int = TOP_K, dim: int = EMBED_DIM, model: Embedder | None = None
 ) -> DataFrame:
     """Top k articles for each (qid, text)."""
-    return search(embedded(queries, F.col("text"), "vector", dim, model).select("qid", "vector"), stored, k)
+    asked = embedded(queries, F.col("text"), "vector", dim, model).select("qid", "vector")
+    if model is not None:
+        asked = cut_lineage(asked, "questions")  # the search looks at them more than once
+    return search(asked, stored, k)

@@ -128,6 +128,27 @@ def test_a_given_model_is_called_in_batches(spark):
     assert {r["v"][1] for r in out} == {64.0, 8.0}
 
 
+def test_payloads_are_not_shuffled_for_few_hits(spark, root):
+    index_articles(articles(spark, *[event(h) for h in HEX]), root, 0)
+    asked = spark.createDataFrame([(1, "t")], "qid long, text string")
+    text = retrieve(asked, collection(spark, root), 2)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_a_given_model_sees_a_question_once(spark, root):
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(texts):
+        calls.add(len(texts))
+        return [[1.0, float(len(t))] for t in texts]
+
+    index_articles(articles(spark, *[event(h) for h in HEX]), root, 0, 2, model)
+    assert calls.value == 3
+    asked = spark.createDataFrame([(1, "t"), (2, "u")], "qid long, text string")
+    assert retrieve(asked, collection(spark, root), 2, 2, model).count() == 4
+    assert calls.value == 5
+
+
 def test_search_of_an_empty_collection(spark, root):
     index_articles(articles(spark, event(HEX[0])).limit(0), root, 0)
     asked = spark.createDataFrame([(1, [0.0] * 1536)], PAIR)

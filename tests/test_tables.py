@@ -161,6 +161,19 @@ def test_silver_batches_let_the_last_win_and_move_between_days(spark, root):
     assert values(read_silver(spark, root), "id", "title", "dt") == after
 
 
+def test_days_are_pruned_before_a_compaction(spark, root):
+    write_silver(events(spark, event("a", title="1"), event("b")), 0, root)
+    write_silver(events(spark, event("a", title="2", published="2025-11-01 00:00:00")), 1, root)
+    day = read_silver(spark, root).filter(F.col("dt") == F.to_date(F.lit("2025-11-03")))
+    assert values(day, "id") == [("b",)]
+    scans = [line for line in plan(day).splitlines() if "FileScan parquet [id" in line]
+    assert any("PartitionFilters: [isnotnull(dt" in line for line in scans), scans
+    assert "WindowGroupLimit" not in plan(day)
+    wide = current_rows(spark, root, SILVER_LOG, "id", limit_bytes=-1)
+    assert "WindowGroupLimit" in plan(wide)
+    assert values(wide, "id", "title") == values(read_silver(spark, root), "id", "title") == [("a", "2"), ("b", "title")]
+
+
 def test_days_are_pruned_in_a_snapshot(spark, root):
     write_silver(events(spark, event("a", published="2025-11-01 00:00:00"), event("b")), 0, root)
     compact(spark, root, SILVER_LOG, "id", "dt")
