@@ -164,7 +164,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, paired: int = PAIRED_MEMBE
     if max_bits < 2:  # a common neighbour proves two bits only
         flips = [F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64 if max_bits else 0)]
         found = many.select("fp", F.explode(F.array(F.lit(0).cast("long"), *flips)).alias("flip"))
-        other = F.col("fp").bitwiseXOR("flip")
+        other = F.col("fp").bitwiseXOR(F.col("flip"))
         found = found.select(F.col("fp").alias("a"), other.alias("b")).filter("a < b")
         return pairs.unionByName(found.join(many.withColumnRenamed("fp", "b"), "b", "left_semi").select("a", "b"))
     around = many.select("fp", F.explode(_neighbours(F.col("fp"))).alias("common"))
@@ -234,7 +234,7 @@ def deduplicated(docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX
     """
     found = near_duplicates(docs, size, max_bits)
     heads = cut_lineage(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_head")), "simhash-heads")
-    kept = docs.join(heads.distinct(), F.col("doc_id") == F.col("_head"), "left_semi")
+    kept = docs.join(heads.distinct(), docs["doc_id"] == heads["_head"], "left_semi")
     if heads.groupBy("_head").count().filter("count > 1").take(1):
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter("doc_id IS NULL"))

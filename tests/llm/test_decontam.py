@@ -1,0 +1,110 @@
+import itertools
+import random
+
+import pytest
+
+from feedlake.llm import decontam
+from tests.llm.fixtures import documents, odd_rows, plain, words
+
+ITEMS = "item_id long, text string, doc_id long"
+
+
+def items(spark, *rows):
+    return spark.createDataFrame([(i, t, 9) for i, t in rows], ITEMS)
+
+
+def brute(tokens, item, least=13, share=0.8):
+    """Some stretch on some diagonal is long and equal enough, trying all of them that begin and end with an equal token."""
+    for diagonal in range(-len(item), len(tokens)):
+        pairs = [(i, i - diagonal) for i in range(max(0, diagonal), min(len(tokens), diagonal + len(item)))]
+        equal = [tokens[i] == item[j] for i, j in pairs]
+        sums = best = start = 0
+        found = None
+        for k, same in enumerate(equal):
+            sums += 1 if same else -2
+            if sums < 0:
+                sums, start = 0, k + 1
+            elif sums > best:
+                best, found = sums, (start, k + 1)
+        for part in ((0, len(equal)), found):
+            if part and part[1] - part[0] >= min(least, len(item)) and sum(equal[slice(*part)]) >= share * (part[1] - part[0]):
+                return True
+    return False
+
+
+def cases(seed):
+    rng = random.Random(seed)
+    benchmark = [(k, words(rng, rng.randrange(8, 40))) for k in range(30)]
+    docs = []
+    for n in range(120):
+        text = words(rng, rng.randrange(20, 80)).split()
+        if n % 3 == 0:
+            item = benchmark[rng.randrange(30)][1].split()
+            low = rng.randrange(0, max(1, len(item) - 12))
+            part = item[low : low + rng.randrange(6, 40)]
+            for _ in range(rng.randrange(4)):
+                part[rng.randrange(len(part))] = "changed"
+            at = rng.randrange(len(text))
+            text[at:at] = part
+        docs.append((n, " ".join(text)))
+    return benchmark, docs
+
+
+def test_against_all_diagonals(spark):
+    benchmark, docs = cases(11)
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(plain(spark, *docs), items(spark, *benchmark)).collect()}
+    expected = {(d, i) for d, text in docs for i, item in benchmark if brute(text.split(), item.split())}
+    assert found <= expected  # whatever is reported is an overlap
+    assert len(found) >= 0.95 * len(expected) > 20  # seeds miss a few with several substitutions at once
+    exact = {(d, i) for d, text in docs for i, item in benchmark if item in text}
+    assert exact <= found
+
+
+def test_slices_find_the_same(spark):
+    benchmark, docs = cases(12)
+    frames = plain(spark, *docs), items(spark, *benchmark)
+    whole = sorted(decontam.contaminated(*frames).collect())
+    assert sorted(decontam.contaminated(*frames, slice_tokens=100).collect()) == whole
+    clean = {r["doc_id"] for r in decontam.clean(frames[0], frames[1], slice_tokens=100).collect()}
+    assert clean == {d for d, _ in docs} - {r["doc_id"] for r in whole}
+
+
+@pytest.mark.parametrize("size,substituted", [(13, 2), (16, 3)])
+def test_masks_find_any_substitutions(size, substituted):
+    windows = [{at + k for k, kept in enumerate(mask) if kept == "1"} for mask in decontam.MASKS for at in range(size - len(mask) + 1)]
+    for places in itertools.combinations(range(size), substituted):
+        assert any(not window & set(places) for window in windows)
+
+
+@pytest.mark.parametrize("position", range(14))
+def test_one_substitution_anywhere(spark, position):
+    rng = random.Random(position)
+    item = words(rng, 14, 10_000).split()
+    copy = list(item)
+    copy[position] = "other"
+    text = " ".join([*words(rng, 20, 10_000).split(), *copy, *words(rng, 20, 10_000).split()])
+    index = decontam.build_index([{"item_id": 1, "tokens": list(decontam.Words().hashes(" ".join(item)).view("int64"))}], decontam.MASKS, 13, 0.8)
+    assert decontam.overlaps(index, decontam.Words().hashes(text))
+
+
+def test_case_and_punctuation(spark):
+    text = "Alpha beta, gamma; delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    found = decontam.contaminated(plain(spark, (1, text.upper().replace(" ", "  ")), (2, "nothing here")), items(spark, (5, text)))
+    assert [(r["doc_id"], r["item_id"], r["equal_tokens"]) for r in found.collect()] == [(1, 5, 15)]
+
+
+def test_odd_rows(spark):
+    rows = odd_rows()
+    docs, bench = documents(spark, *rows), items(spark, (1, rows[3][1]), (2, None), (3, ""), (None, "a b"), (4, "one"))
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()}
+    assert found == {(4, 1), (5, 1), (None, 1)}
+    kept = decontam.clean(plain(spark, *rows), bench)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert kept.count() == len(rows) - 3
+
+
+def test_empty_tables(spark):
+    docs, bench = plain(spark, (1, "a")), items(spark, (1, words(random.Random(1), 20)))
+    assert decontam.contaminated(docs.filter("doc_id > 1"), bench).count() == 0
+    assert decontam.contaminated(docs, bench.filter("item_id > 1")).count() == 0
+    assert decontam.clean(docs, bench.filter("item_id > 1")).count() == 1
