@@ -14,12 +14,6 @@ def norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x))
 
 
-def cosine(left: Column, right: Column) -> Column:
-    dot = F.aggregate(F.zip_with(left, right, lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
-    size = norm(left) * norm(right)
-    return F.when(size == 0, F.lit(0.0)).otherwise(dot / size)
-
-
 def _bound(value: Column, body) -> Column:
     """`body(value)` with the value computed once, however often body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

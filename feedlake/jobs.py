@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: ingest, gold, embed, brief, daily, retrieve, compact."""
+"""Jobs for spark-submit: collect, ingest, gold, embed, brief, daily, retrieve, compact."""
 
 from __future__ import annotations
 
@@ -9,8 +9,10 @@ from pyspark.sql import SparkSession
 
 from feedlake.operators.tables import compact, last_batch, next_batch
 from feedlake.plans.briefing import contexts, run_briefings, write_briefings
+from feedlake.plans.catalog import open_tables, refresh_tables
 from feedlake.plans.daily import run_daily
 from feedlake.plans.index import collection, index_articles, recent, retrieve
+from feedlake.plans.ingest import publish_new
 from feedlake.plans.marts import build_gold, read_gold, top_keywords, top_sources
 from feedlake.schema import (
     BRIEFING_TOP_K,
@@ -18,13 +20,20 @@ from feedlake.schema import (
     DEFAULT_QUERY,
     LOOKBACK_DAYS,
     MAX_LOOPS,
-    POINT,
+    POINT_LOG,
     SILVER_LOG,
     TOP_K,
 )
 from feedlake.session import build_session
+from feedlake.sources.feeds import feed_list, read_feed_files
 from feedlake.sources.messages import message_file_stream, message_kafka_stream
-from feedlake.streaming.streams import read_silver, run_ingest
+from feedlake.streaming.streams import run_ingest
+
+
+def collect(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Landed feed documents to the message log; shows what came from each feed."""
+    documents = read_feed_files(spark, f"{args.root}/feeds")
+    publish_new(documents, feed_list(spark), f"{args.root}/inbox").show(truncate=False)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -37,15 +46,15 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def gold(spark: SparkSession, args: argparse.Namespace) -> None:
     root = f"{args.root}/gold"
-    build_gold(read_silver(spark, f"{args.root}/silver"), root, args.date)
+    build_gold(spark.table(f"{args.database}.silver_news"), root, args.date)
     top_sources(read_gold(spark, root, "gold_daily_source")).show(truncate=False)
     top_keywords(read_gold(spark, root, "gold_daily_keyword")).show(truncate=False)
 
 
 def embed(spark: SparkSession, args: argparse.Namespace) -> None:
     root = f"{args.root}/points"
-    rows = recent(read_silver(spark, f"{args.root}/silver"), args.date or str(dt.date.today()), args.lookback)
-    print(f"{index_articles(rows, root, next_batch(spark, root))} articles indexed")
+    rows = recent(spark.table(f"{args.database}.silver_news"), args.date or str(dt.date.today()), args.lookback)
+    print(f"{index_articles(rows, root, next_batch(spark, root), replace=False)} articles indexed")
 
 
 def _asked(spark: SparkSession, text: str, name: str):
@@ -75,16 +84,17 @@ def search(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact_all(spark: SparkSession, args: argparse.Namespace) -> None:
-    for name, schema, key, part in (
-        ("bronze", BRONZE, "id", "source"),
-        ("silver", SILVER_LOG, "id", "dt"),
-        ("points", POINT, "point_id", None),
+    for name, schema, key, part, order in (
+        ("bronze", BRONZE, "id", "source", None),
+        ("silver", SILVER_LOG, "id", "dt", None),
+        ("points", POINT_LOG, "point_id", "bucket", "vec_id"),
     ):
         if last_batch(spark, f"{args.root}/{name}") is not None:
-            compact(spark, f"{args.root}/{name}", schema, key, part)
+            compact(spark, f"{args.root}/{name}", schema, key, part, order)
 
 
 JOBS = {
+    "collect": collect,
     "ingest": ingest,
     "gold": gold,
     "embed": embed,
@@ -99,6 +109,7 @@ def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="feedlake.jobs", description=__doc__)
     out.add_argument("job", choices=JOBS)
     out.add_argument("root", help="folder of the tables")
+    out.add_argument("--database", default="news", help="catalog database that shows the tables")
     out.add_argument("--date", help="ISO date; for gold none means all days, elsewhere today")
     out.add_argument("--query", default="")
     out.add_argument("--servers", help="Kafka bootstrap servers; without them <root>/inbox is read")
@@ -113,7 +124,10 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    JOBS[args.job](build_session(f"feedlake-{args.job}"), args)
+    spark = build_session(f"feedlake-{args.job}")
+    open_tables(spark, args.database, args.root)
+    JOBS[args.job](spark, args)
+    refresh_tables(spark, args.database, args.root)
 
 
 if __name__ == "__main__":

@@ -4,10 +4,9 @@ No pair of query and vector ever becomes a row. Tasks score a block of vectors
 against a block of queries with one matrix product and keep k candidates per
 query; the candidates of all tasks are then ranked per query.
 
-* Queries below the size limit go to every task, and the vectors are read once
-  without a shuffle.
-* Beyond it both tables are cut into slices and joined slice by slice, so no
-  task holds more than one slice of either side.
+Queries go to every task in chunks below a size limit, which counts the candidates
+they will need; for each chunk the vectors are read without a shuffle. Vectors of another
+length than the queries fail the job.
 
 Scores are rounded to `SCORE_DIGITS` before they are compared, so that equal
 vectors tie whatever order a sum was taken in; ties go to the smaller id.
@@ -16,21 +15,23 @@ vectors tie whatever order a sum was taken in; ties go to the smaller id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.operators.topk import top_per
+from feedlake.session import cut_lineage
 
 SCORE_DIGITS = 8
 _SLACK = 10.0**-SCORE_DIGITS
 QUERY_BYTES = 64 * 1024 * 1024
-# The vectors are copied once per slice of queries, so those slices are larger.
-QUERY_SLICE_BYTES = 128 * 1024 * 1024
-VECTOR_SLICE_BYTES = 32 * 1024 * 1024
+# A candidate's score and id.
+_CANDIDATE_BYTES = 16
 # Vectors, and scores, that a task holds as a matrix at one time.
 _BLOCK_ROWS = 2048
 _BLOCK_CELLS = 4_000_000
@@ -38,12 +39,15 @@ _BLOCK_CELLS = 4_000_000
 _CANDIDATE = "qid long, vec_id long, score double"
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Rows of equal length as a matrix of unit vectors; a zero row stays zero."""
+def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Rows of `dim` values as a matrix of unit vectors; a zero row stays zero."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    if (lengths != dim).any():
+        raise ValueError(f"a vector has {lengths[lengths != dim][0]} values, the queries have {dim}")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    matrix = flat.reshape(len(column), -1)
+    matrix = flat.reshape(len(column), dim)
     size = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
     return matrix / np.where(size == 0, 1.0, size)[:, None]
 
@@ -99,11 +103,12 @@ def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.asarray(column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy(), np.int64)
 
 
-def _with_sent_queries(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+def _candidates(queries: DataFrame, vectors: DataFrame, k: int, dim: int) -> DataFrame:
+    """The k best vectors of each task for a chunk of queries."""
     table = queries.toArrow()
     if not table.num_rows:
         return vectors.sparkSession.createDataFrame([], _CANDIDATE)
-    sent = vectors.sparkSession.sparkContext.broadcast((_ids(table["qid"]), _matrix(table["vector"])))
+    sent = vectors.sparkSession.sparkContext.broadcast((_ids(table["qid"]), _matrix(table["vector"], dim)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, query_matrix = sent.value
@@ -111,51 +116,33 @@ def _with_sent_queries(queries: DataFrame, vectors: DataFrame, k: int) -> DataFr
         for batch in batches:
             for start in range(0, batch.num_rows, _BLOCK_ROWS):
                 part = batch.slice(start, _BLOCK_ROWS)
-                best.add(query_matrix, _matrix(part.column("vector")), _ids(part.column("vec_id")))
+                best.add(query_matrix, _matrix(part.column("vector"), dim), _ids(part.column("vec_id")))
         yield pa.RecordBatch.from_pydict(best.rows(query_ids))
 
     return vectors.mapInArrow(score, _CANDIDATE)
 
 
-def _with_slices(queries: DataFrame, vectors: DataFrame, k: int, rows: int, cols: int) -> DataFrame:
-    def cut(df: DataFrame, key: str, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_n)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))
-        )
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"qid": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        best = _Best(left.num_rows, k)
-        best.add(_matrix(left["vector"]), _matrix(right["vector"]), _ids(right["vec_id"]))
-        return pa.table(best.rows(_ids(left["qid"])))
-
-    q = cut(queries, "qid", "_row", rows, "_col", cols).groupBy("_row", "_col")
-    v = cut(vectors, "vec_id", "_col", cols, "_row", rows).groupBy("_row", "_col")
-    return q.cogroup(v).applyInArrow(score, _CANDIDATE)
-
-
-def knn(
-    queries: DataFrame,
-    vectors: DataFrame,
-    k: int,
-    query_bytes: int = QUERY_BYTES,
-    query_slice_bytes: int = QUERY_SLICE_BYTES,
-    vector_slice_bytes: int = VECTOR_SLICE_BYTES,
-) -> DataFrame:
+def knn(queries: DataFrame, vectors: DataFrame, k: int, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """Top k of `vectors(vec_id, vector)` for each of `queries(qid, vector)`.
 
-    Ids are unique longs. Returns (qid, rank, vec_id, score), rank from 1.
+    Ids are unique longs, vectors without a value are left out. Returns (qid, rank, vec_id, score),
+    rank from 1.
     """
     queries = queries.select(F.col("qid").cast("long"), F.col("vector").cast("array<double>")).filter("vector is not null")
     vectors = vectors.select(F.col("vec_id").cast("long"), F.col("vector").cast("array<double>")).filter("vector is not null")
-    width = F.size("vector") * 8 + 8
-    size = queries.agg(F.coalesce(F.sum(width), F.lit(0)).alias("all"), F.max(width).alias("one")).first()
-    if size["all"] <= query_bytes:
-        candidates = _with_sent_queries(queries, vectors, k)
-    else:
-        rows = ceil(size["all"] / query_slice_bytes)
-        cols = max(1, ceil(vectors.count() * size["one"] / vector_slice_bytes))
-        candidates = _with_slices(queries, vectors, k, rows, cols)
-    ranked = top_per(candidates, ["qid"], k, [F.col("score").desc(), F.col("vec_id").asc()])
+    length = F.size("vector")
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.min(length).alias("least"), F.max(length).alias("dim")).first()
+    if not size["n"]:
+        return vectors.sparkSession.createDataFrame([], "qid long, rank int, vec_id long, score double")
+    if size["least"] != size["dim"]:
+        raise ValueError(f"the queries have vectors of {size['least']} to {size['dim']} values")
+    need = size["n"] * (size["dim"] * 8 + 8 + k * _CANDIDATE_BYTES)
+    chunks = max(1, ceil(need / max(1, query_bytes)))
+    if chunks > 1:
+        queries = cut_lineage(queries, "knn-queries")
+    frames = [
+        _candidates(queries.filter(F.pmod(F.xxhash64("qid"), F.lit(chunks)) == n), vectors, k, size["dim"])
+        for n in range(chunks)
+    ]
+    ranked = top_per(reduce(DataFrame.unionByName, frames), ["qid"], k, [F.col("score").desc(), F.col("vec_id").asc()])
     return ranked.select("qid", "rank", "vec_id", "score")

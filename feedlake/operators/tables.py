@@ -8,20 +8,33 @@ so that writing a batch again replaces exactly its own rows, and, after a
 compaction, as a snapshot of all batches up to one,
 
     <root>/snapshot/upto=<n>/<partition>=<value>/…
+
+Beside the rows of a batch lie its keys, dealt into hash buckets, and those of
+its keys that an earlier batch holds too:
+
+    <root>/keys/batch_id=<n>/bucket=<b>/…
+    <root>/again/batch_id=<n>/…
+
+A writer looks for its keys in their buckets only, and a reader learns from the
+second, small table which stored rows are superseded, without looking at the
+keys of all rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from feedlake.operators.dedupe import one_per_key
+from feedlake.operators.joins import known_keys
 from feedlake.session import BROADCAST_BYTES, list_names, measure, path_exists
 
+KEY_BUCKETS = 16
+
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def create_database(spark: SparkSession, name: str, path: str | None = None) -> None:
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType, partition_by: list[str], path: str) -> bool:
@@ -43,32 +56,109 @@ def balanced(df: DataFrame, partition_by: str) -> DataFrame:
     return df.hint("rebalance", F.col(partition_by))
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None) -> None:
+def _write(
+    df: DataFrame, path: str, partition_by: str | None, sort_by: str | None = None, mode: str = "overwrite"
+) -> None:
     if partition_by:
-        balanced(df, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        df = balanced(df, partition_by)
+        if sort_by:
+            df = df.sortWithinPartitions(partition_by, sort_by)
+        df.write.mode(mode).partitionBy(partition_by).parquet(path)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode(mode).parquet(path)
+
+
+def write_batch(
+    df: DataFrame, root: str, batch_id: int, partition_by: str | None = None, sort_by: str | None = None, replace: bool = True
+) -> None:
+    """Store the rows of a batch; without `replace` a number that is taken fails."""
+    _write(df, f"{root}/log/batch_id={batch_id}", partition_by, sort_by, "overwrite" if replace else "errorifexists")
+
 
+def bucket_of(key: Column | str, buckets: int = KEY_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _read_keys(spark: SparkSession, root: str, schema: StructType, key: str, wanted: list[int]) -> DataFrame:
+    """(key, bucket, batch_id) of the keys of some batches."""
+    path = f"{root}/keys"
+    wide = StructType([schema[key], StructField("bucket", IntegerType()), StructField("batch_id", LongType())])
+    folders = [f"{path}/batch_id={n}" for n in wanted if path_exists(spark, f"{path}/batch_id={n}/_SUCCESS")]
+    if not folders:
+        return spark.createDataFrame([], wide)
+    return spark.read.schema(wide).option("basePath", path).parquet(*folders).select(*wide.fieldNames())
+
+
+def stored_keys(
+    fresh: DataFrame, root: str, schema: StructType, key: str, before: int | None = None, without: int | None = None
+) -> DataFrame:
+    """Those of the (unique) keys of `fresh` that other batches hold: of batches below
+    `before`, or of all but `without`. Only the buckets that occur in `fresh` are read."""
+    spark = fresh.sparkSession
+    numbers = _folder_numbers(spark, f"{root}/keys", "batch_id")
+    wanted = [n for n in numbers if (before is None or n < before) and n != without]
+    touched = [row[0] for row in fresh.select(bucket_of(key)).distinct().collect()]  # at most one per bucket
+    stored = _read_keys(spark, root, schema, key, wanted).filter(F.col("bucket").isin(touched))
+    return known_keys(stored, fresh.select(key), key).distinct()
 
-def write_batch(df: DataFrame, root: str, batch_id: int, partition_by: str | None = None) -> None:
-    _write(df, f"{root}/log/batch_id={batch_id}", partition_by)
 
+def write_keys(fresh: DataFrame, root: str, batch_id: int, key: str) -> None:
+    keys = fresh.select(key, bucket_of(key).alias("bucket"))
+    _write(keys, f"{root}/keys/batch_id={batch_id}", "bucket", key)
 
-def _numbers(spark: SparkSession, path: str, label: str) -> list[int]:
+
+def write_keyed(
+    df: DataFrame, root: str, batch_id: int, key: str, partition_by: str | None = None, sort_by: str | None = None,
+    replace: bool = True,
+) -> None:
+    """Store a batch that holds a key once, with what readers need to find the latest rows.
+
+    The batch counts as stored when the last of the three folders is complete.
+    """
+    spark = df.sparkSession
+    write_batch(df, root, batch_id, partition_by, sort_by, replace)
+    written = spark.read.schema(df.schema).parquet(f"{root}/log/batch_id={batch_id}").select(key)
+    write_keys(written, root, batch_id, key)
+    again = stored_keys(written, root, df.schema, key, before=batch_id)
+    _write(again, f"{root}/again/batch_id={batch_id}", None)
+
+
+def _again(spark: SparkSession, root: str, schema: StructType, key: str, numbers: list[int]) -> DataFrame:
+    """(key, _last): keys that batches of these numbers hold again, with the last such batch."""
+    path = f"{root}/again"
+    wide = StructType([schema[key], StructField("batch_id", LongType())])
+    folders = [f"{path}/batch_id={n}" for n in _folder_numbers(spark, path, "batch_id") if n in numbers]
+    if not folders:
+        return spark.createDataFrame([], StructType([schema[key], StructField("_last", LongType())]))
+    rows = spark.read.schema(wide).option("basePath", path).parquet(*folders)
+    return rows.groupBy(key).agg(F.max("batch_id").alias("_last"))
+
+
+def _folder_numbers(spark: SparkSession, path: str, label: str) -> list[int]:
+    prefix = f"{label}="
+    return sorted(int(name.removeprefix(prefix)) for name in list_names(spark, path) if name.startswith(prefix))
+
+
+def _numbers(spark: SparkSession, root: str, folder: str, label: str) -> list[int]:
     """Numbers of the folders `<label>=<n>`, without one that is still being written.
 
     Batches and snapshots are written one after the other, so only the newest
-    can be unfinished.
+    can be unfinished. A batch of a keyed log is complete with its `again` folder.
     """
-    prefix = f"{label}="
-    found = sorted(int(name.removeprefix(prefix)) for name in list_names(spark, path) if name.startswith(prefix))
-    if found and not path_exists(spark, f"{path}/{prefix}{found[-1]}/_SUCCESS"):
-        found.pop()
+    found = _folder_numbers(spark, f"{root}/{folder}", label)
+    if found:
+        last = "again" if folder == "log" and path_exists(spark, f"{root}/again") else folder
+        if not path_exists(spark, f"{root}/{last}/{label}={found[-1]}/_SUCCESS"):
+            found.pop()
     return found
 
 
+def batch_numbers(spark: SparkSession, root: str) -> list[int]:
+    return _numbers(spark, root, "log", "batch_id")
+
+
 def last_batch(spark: SparkSession, root: str) -> int | None:
-    return max(_numbers(spark, f"{root}/log", "batch_id"), default=None)
+    return max(batch_numbers(spark, root), default=None)
 
 
 def next_batch(spark: SparkSession, root: str) -> int:
@@ -77,7 +167,7 @@ def next_batch(spark: SparkSession, root: str) -> int:
 
 
 def last_snapshot(spark: SparkSession, root: str) -> int | None:
-    return max(_numbers(spark, f"{root}/snapshot", "upto"), default=None)
+    return max(_numbers(spark, root, "snapshot", "upto"), default=None)
 
 
 def read_batches(
@@ -86,7 +176,7 @@ def read_batches(
     """Stored batches with their `batch_id`; only the folders asked for are listed."""
     wide = StructType([*schema.fields, StructField("batch_id", LongType())])
     path = f"{root}/log"
-    stored = _numbers(spark, path, "batch_id")
+    stored = batch_numbers(spark, root)
     wanted = [n for n in stored if (after is None or n > after) and (upto is None or n <= upto)]
     if not wanted:
         return spark.createDataFrame([], wide)
@@ -98,35 +188,13 @@ def _snapshot(spark: SparkSession, root: str, schema: StructType, number: int) -
     return spark.read.schema(schema).parquet(f"{root}/snapshot/upto={number}").select(*schema.fieldNames())
 
 
-def stored_rows(spark: SparkSession, root: str, schema: StructType, without: int | None = None) -> DataFrame:
-    """All stored rows of a table that holds each key once, less one later batch."""
+def stored_rows(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """All stored rows of a table that holds each key once."""
     base = last_snapshot(spark, root)
-    later = read_batches(spark, root, schema, after=base)
-    if without is not None:
-        later = later.filter(F.col("batch_id") != without)
-    later = later.drop("batch_id")
+    later = read_batches(spark, root, schema, after=base).drop("batch_id")
     return later if base is None else _snapshot(spark, root, schema, base).unionByName(later)
 
 
-def _newest(batches: DataFrame, key: str, limit_bytes: int) -> DataFrame:
-    """Row of the highest batch per key; a batch holds a key once.
-
-    Few keys come again in another batch, as a rule. A count over the key
-    column finds them, and if they fit a broadcast, the rows themselves are
-    neither shuffled nor sorted and filters on them reach the scan.
-    """
-    again = (
-        batches.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("batch_id").alias("_last"))
-        .filter(F.col("_n") > 1)
-        .select(key, "_last")
-    )
-    if measure(again)[1] > limit_bytes:
-        return one_per_key(batches, key, [F.col("batch_id").desc()])
-    marked = batches.join(F.broadcast(again), key, "left")
-    return marked.filter(F.col("_last").isNull() | (F.col("_last") == F.col("batch_id")))
-
-
 def current_rows(
     spark: SparkSession,
     root: str,
@@ -137,26 +205,28 @@ def current_rows(
 ) -> DataFrame:
     """Latest row per key over the snapshot and the batches after it (up to `upto`).
 
-    Snapshot rows are only tested against the keys of the later batches; as
-    long as those keys fit a broadcast, the snapshot is not shuffled.
+    A row is superseded if a later batch holds its key again. Those keys were found
+    when the batches were written; while they fit a broadcast, the rows are neither
+    shuffled nor sorted, and filters on them reach the scan.
     """
     base = last_snapshot(spark, root)
-    later = read_batches(spark, root, schema, base, upto)
-    numbers = [n for n in _numbers(spark, f"{root}/log", "batch_id") if base is None or n > base]
-    newest = later if len(numbers) <= 1 else _newest(later, key, limit_bytes)
-    newest = newest.select(*schema.fieldNames())
-    if base is None:
-        return newest
-    stored = _snapshot(spark, root, schema, base)
-    if not numbers:
-        return stored
-    keys = later.select(key).distinct()
-    if measure(keys)[1] <= limit_bytes:
-        keys = F.broadcast(keys)
-    return stored.join(keys, key, "left_anti").select(*schema.fieldNames()).unionByName(newest)
-
-
-def compact(spark: SparkSession, root: str, schema: StructType, key: str, partition_by: str | None = None) -> int:
+    numbers = [n for n in batch_numbers(spark, root) if (base is None or n > base) and (upto is None or n <= upto)]
+    rows = read_batches(spark, root, schema, base, upto).withColumnRenamed("batch_id", "_version")
+    if base is not None:
+        stored = _snapshot(spark, root, schema, base).withColumn("_version", F.lit(base).cast("long"))
+        rows = stored.unionByName(rows)
+    if not numbers or (base is None and len(numbers) == 1):
+        return rows.select(*schema.fieldNames())
+    again = _again(spark, root, schema, key, numbers)
+    if measure(again)[1] <= limit_bytes:
+        again = F.broadcast(again)
+    marked = rows.join(again, key, "left").filter(F.col("_last").isNull() | (F.col("_last") <= F.col("_version")))
+    return marked.select(*schema.fieldNames())
+
+
+def compact(
+    spark: SparkSession, root: str, schema: StructType, key: str, partition_by: str | None = None, sort_by: str | None = None
+) -> int:
     """Write a snapshot of everything stored so far; returns its batch number.
 
     Older folders are left alone: readers may still use them.
@@ -166,7 +236,7 @@ def compact(spark: SparkSession, root: str, schema: StructType, key: str, partit
         raise ValueError(f"nothing stored below {root}")
     if last_snapshot(spark, root) != upto:
         rows = current_rows(spark, root, schema, key, upto=upto)
-        _write(rows, f"{root}/snapshot/upto={upto}", partition_by)
+        _write(rows, f"{root}/snapshot/upto={upto}", partition_by, sort_by)
     return upto
 
 

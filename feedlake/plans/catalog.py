@@ -1,7 +1,9 @@
 """Names for the stored tables, so that SQL users can read them.
 
 The batch folders become external tables; `silver_news` and `news_points` are
-views that show the latest row per key.
+views that show the latest row per key. A row is superseded where a later batch
+holds its key again, which the small `*_again` tables tell; so a filter on `dt`
+prunes folders, and the rows are not shuffled while those tables fit a broadcast.
 """
 
 from __future__ import annotations
@@ -9,51 +11,98 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
 
-from feedlake.operators.tables import create_database, create_table
-from feedlake.schema import BRONZE, POINT, SILVER, SILVER_LOG
-from feedlake.session import path_exists
+from feedlake.operators.tables import batch_numbers, create_database, create_table, last_snapshot
+from feedlake.schema import BRONZE, POINT, POINT_LOG, SILVER, SILVER_LOG
+from feedlake.session import BROADCAST_BYTES, list_names, measure, path_exists
 
 _DAILY_SOURCE = StructType().add("source", "string").add("article_count", "long").add("dt", "date")
 _DAILY_KEYWORD = StructType().add("token", "string").add("freq", "long").add("dt", "date")
 
 
-def _logged(schema: StructType) -> StructType:
-    return StructType([*schema.fields, StructField("batch_id", LongType())])
+def _numbered(schema: StructType, number: str) -> StructType:
+    return StructType([*schema.fields, StructField(number, LongType())])
 
 
+def _key(schema: StructType, key: str) -> StructType:
+    return _numbered(StructType([schema[key]]), "batch_id")
+
+
+# name: (columns, partition columns, folder)
 _TABLES = {
-    "bronze_news": (_logged(BRONZE), ["batch_id", "source"], "bronze/log"),
-    "silver_log": (_logged(SILVER_LOG), ["batch_id", "dt"], "silver/log"),
-    "point_log": (_logged(POINT), ["batch_id"], "points/log"),
+    "bronze_news": (_numbered(BRONZE, "batch_id"), ["batch_id", "source"], "bronze/log"),
+    "silver_log": (_numbered(SILVER_LOG, "batch_id"), ["batch_id", "dt"], "silver/log"),
+    "silver_snapshot": (_numbered(SILVER_LOG, "upto"), ["upto", "dt"], "silver/snapshot"),
+    "silver_again": (_key(SILVER, "id"), ["batch_id"], "silver/again"),
+    "point_log": (_numbered(POINT_LOG, "batch_id"), ["batch_id", "bucket"], "points/log"),
+    "point_snapshot": (_numbered(POINT_LOG, "upto"), ["upto", "bucket"], "points/snapshot"),
+    "point_again": (_key(POINT, "point_id"), ["batch_id"], "points/again"),
     "gold_daily_source": (_DAILY_SOURCE, ["dt"], "gold/gold_daily_source"),
     "gold_daily_keyword": (_DAILY_KEYWORD, ["dt"], "gold/gold_daily_keyword"),
 }
 
+# view: (prefix of its tables, folder, key, columns)
+_VIEWS = {
+    "silver_news": ("silver", "silver", "id", SILVER),
+    "news_points": ("point", "points", "point_id", POINT),
+}
+
 
 def open_tables(spark: SparkSession, database: str, root: str) -> list[str]:
-    """Create database, tables and views that do not exist yet; returns the new tables."""
-    create_database(spark, database)
+    """Create the database and the tables that do not exist yet, and show what is stored;
+    returns the new tables."""
+    create_database(spark, database, f"{root}/database")
     created = [
         name
         for name, (schema, parts, folder) in _TABLES.items()
         if create_table(spark, f"{database}.{name}", schema, parts, f"{root}/{folder}")
     ]
-    _latest_view(spark, database, "silver_news", "silver_log", "id", SILVER)
-    _latest_view(spark, database, "news_points", "point_log", "point_id", POINT)
+    refresh_tables(spark, database, root)
     return created
 
 
-def _latest_view(spark: SparkSession, database: str, view: str, log: str, key: str, schema: StructType) -> None:
+def refresh_tables(spark: SparkSession, database: str, root: str) -> None:
+    """Let the tables and views show what is stored now, without unfinished batches and snapshots."""
+    for name, (_, parts, folder) in _TABLES.items():
+        if not path_exists(spark, f"{root}/{folder}"):
+            continue
+        if parts == ["dt"]:
+            spark.catalog.recoverPartitions(f"{database}.{name}")
+            continue
+        _add_finished(spark, f"{database}.{name}", root, folder, parts)
+    for view, (prefix, folder, key, schema) in _VIEWS.items():
+        _latest_view(spark, f"{database}.{view}", f"{database}.{prefix}", key, schema, last_snapshot(spark, f"{root}/{folder}"))
+
+
+def _add_finished(spark: SparkSession, table: str, root: str, folder: str, parts: list[str]) -> None:
+    home, kind = folder.split("/")
+    base = f"{root}/{home}"
+    if kind == "snapshot":
+        newest = last_snapshot(spark, base)
+        numbers = [] if newest is None else [newest]
+    else:
+        numbers = batch_numbers(spark, base)
+    known = {row["partition"] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for number in numbers:
+        first = f"{parts[0]}={number}"
+        path = f"{root}/{folder}/{first}"
+        inner = [name for name in list_names(spark, path) if "=" in name] if len(parts) > 1 else [""]
+        for part in inner:
+            spec = "/".join(p for p in (first, part) if p)
+            if spec not in known:
+                values = ", ".join(f"`{c}` = '{v}'" for c, v in (p.split("=", 1) for p in spec.split("/")))
+                spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({values}) LOCATION '{root}/{folder}/{spec}'")
+    spark.catalog.refreshTable(table)
+
+
+def _latest_view(spark: SparkSession, view: str, prefix: str, key: str, schema: StructType, base: int | None) -> None:
     columns = ", ".join(f"`{name}`" for name in schema.fieldNames())
+    rows = f"SELECT {columns}, batch_id AS version FROM {prefix}_log"
+    if base is not None:
+        rows += f" WHERE batch_id > {base} UNION ALL SELECT {columns}, upto AS version FROM {prefix}_snapshot WHERE upto = {base}"
+    again = f"SELECT {key} AS again, max(batch_id) AS latest FROM {prefix}_again GROUP BY {key}"
+    # What the table shows changes with a refresh only, so its size is known here.
+    hint = "/*+ BROADCAST(a) */ " if measure(spark.sql(again))[1] <= BROADCAST_BYTES else ""
     spark.sql(
-        f"CREATE VIEW IF NOT EXISTS {database}.{view} AS SELECT {columns} FROM ("
-        f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY batch_id DESC) AS nth FROM {database}.{log}"
-        ") WHERE nth = 1"
+        f"CREATE OR REPLACE VIEW {view} AS SELECT {hint}{columns} FROM ({rows}) r LEFT ANTI JOIN ({again}) a "
+        f"ON r.{key} = a.again AND a.latest > r.version"
     )
-
-
-def discover_partitions(spark: SparkSession, database: str, root: str) -> None:
-    """Let a catalog that keeps its own partition list see new batch folders."""
-    for name, (_, _, folder) in _TABLES.items():
-        if path_exists(spark, f"{root}/{folder}"):
-            spark.catalog.recoverPartitions(f"{database}.{name}")

@@ -29,7 +29,8 @@ def run_daily(
     """
     silver = current_rows(spark, f"{root}/silver", SILVER_LOG, "id")
     build_gold(silver, f"{root}/gold", date)
-    index_articles(recent(silver, date, lookback), f"{root}/points", next_batch(spark, f"{root}/points"), dim, embedder)
+    fresh = recent(silver, date, lookback)
+    index_articles(fresh, f"{root}/points", next_batch(spark, f"{root}/points"), dim, embedder, replace=False)
     stored = collection(spark, f"{root}/points")
     if queries is None:
         queries = spark.createDataFrame([(1, DEFAULT_QUERY)], "qid long, query string")

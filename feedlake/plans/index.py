@@ -14,11 +14,12 @@ from feedlake.functions.ids import long_to_point, point_id, point_to_long
 from feedlake.functions.text import embed_text, head
 from feedlake.functions.vector import hash_embedding
 from feedlake.operators.knn import knn
-from feedlake.operators.tables import checked, current_rows, write_batch
-from feedlake.schema import BODY_CHARS, EMBED_BATCH, EMBED_DIM, LOOKBACK_DAYS, POINT, TOP_K
-from feedlake.session import BROADCAST_BYTES, cut_lineage
+from feedlake.operators.tables import bucket_of, checked, current_rows, write_keyed
+from feedlake.schema import BODY_CHARS, EMBED_BATCH, EMBED_DIM, LOOKBACK_DAYS, POINT_LOG, TOP_K
+from feedlake.session import BROADCAST_BYTES, cut_lineage, measure, path_exists
 
-HIT_BYTES = 64
+# Points are stored by bucket, and by id within it.
+POINT_BUCKETS = 16
 
 Embedder = Callable[[list[str]], list[list[float]]]
 
@@ -68,41 +69,59 @@ def points(silver: DataFrame, dim: int = EMBED_DIM, model: Embedder | None = Non
     )
 
 
+def open_collection(spark: SparkSession, root: str, dim: int) -> bool:
+    """Create the collection if it does not exist; tells whether it did. Fails for another dimension."""
+    path = f"{root}/dimension"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        stored = spark.read.schema("dim int").parquet(path).first()["dim"]
+        if stored != dim:
+            raise ValueError(f"the collection holds vectors of {stored} values, not {dim}")
+        return False
+    spark.createDataFrame([(dim,)], "dim int").coalesce(1).write.mode("overwrite").parquet(path)
+    return True
+
+
 def index_articles(
-    silver: DataFrame, root: str, batch_id: int, dim: int = EMBED_DIM, model: Embedder | None = None
+    silver: DataFrame, root: str, batch_id: int, dim: int = EMBED_DIM, model: Embedder | None = None, replace: bool = True
 ) -> int:
-    """Upsert the points of the given articles (one row per id); returns their number."""
+    """Upsert the points of the given articles (one row per id); returns their number.
+
+    Two jobs that take the same new number would replace each other's points; without
+    `replace` the later one fails.
+    """
+    open_collection(silver.sparkSession, root, dim)
     seen = Observation("indexed")
-    write_batch(points(silver, dim, model).observe(seen, F.count(F.lit(1)).alias("n")), root, batch_id)
+    rows = points(silver, dim, model).withColumn("vec_id", point_to_long(F.col("point_id")))
+    rows = rows.withColumn("bucket", bucket_of("vec_id", POINT_BUCKETS)).observe(seen, F.count(F.lit(1)).alias("n"))
+    write_keyed(rows, root, batch_id, "point_id", "bucket", "vec_id", replace)
     return seen.get["n"]
 
 
 def collection(spark: SparkSession, root: str) -> DataFrame:
-    return current_rows(spark, root, POINT, "point_id")
+    return current_rows(spark, root, POINT_LOG, "point_id")
 
 
 def search(queries: DataFrame, stored: DataFrame, k: int = TOP_K, **limits: int) -> DataFrame:
     """Top k points for each (qid, vector), with score and payload fields.
 
     Vectors and payloads are read separately: the scan that scores carries no
-    text, and the one that fetches payloads carries no vectors. There are at
-    most k hits per query, so their number is known to fit a broadcast, or not,
-    before the search; if it does, the payloads are not shuffled.
+    text, and the one that fetches payloads carries no vectors and reads only the buckets
+    that hold a hit. The hits are stored first; if they fit a broadcast, the payloads are not shuffled.
     """
-    keyed = stored.select(point_to_long(F.col("point_id")).alias("vec_id"), "vector")
-    hits = knn(queries, keyed, k, **limits)
-    if queries.count() * k * HIT_BYTES <= BROADCAST_BYTES:
+    hits = cut_lineage(knn(queries, stored.select("vec_id", "vector"), k, **limits), "hits")
+    hits = hits.withColumn("bucket", bucket_of("vec_id", POINT_BUCKETS))
+    touched = [row[0] for row in hits.select("bucket").distinct().collect()]  # at most one per bucket
+    if measure(hits)[1] <= BROADCAST_BYTES:
         hits = F.broadcast(hits)
-    payloads = stored.select(point_to_long(F.col("point_id")).alias("vec_id"), "payload")
-    found = payloads.join(hits, "vec_id")
+    payloads = stored.select("vec_id", "bucket", "payload").filter(F.col("bucket").isin(touched))
+    found = payloads.join(hits, ["bucket", "vec_id"])
     return found.select("qid", "rank", long_to_point(F.col("vec_id")).alias("point_id"), "score", "payload.*")
 
 
 def retrieve(
     queries: DataFrame, stored: DataFrame, k: int = TOP_K, dim: int = EMBED_DIM, model: Embedder | None = None
 ) -> DataFrame:
-    """Top k articles for each (qid, text)."""
+    """Top k articles for each (qid, text). Questions are embedded once and stored, as the
+    search looks at them more than once."""
     asked = embedded(queries, F.col("text"), "vector", dim, model).select("qid", "vector")
-    if model is not None:
-        asked = cut_lineage(asked, "questions")  # the search looks at them more than once
-    return search(asked, stored, k)
+    return search(cut_lineage(asked, "questions"), stored, k)

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from feedlake.functions.ids import link_id
 from feedlake.functions.text import first_filled, strip
 from feedlake.functions.times import iso
+from feedlake.operators.dedupe import first_seen
 from feedlake.schema import POLL_SECONDS
+from feedlake.session import cut_lineage, list_names
+from feedlake.sources.feeds import entries_from_documents, tagged, unread_documents
+from feedlake.sources.messages import message_files, publish_files, to_messages
 
 
 def to_events(entries: DataFrame, ingested_at: Column | None = None, keep: list[str] | None = None) -> DataFrame:
@@ -30,15 +34,45 @@ def to_events(entries: DataFrame, ingested_at: Column | None = None, keep: list[
     )
 
 
-def poll_counters(first_seen: DataFrame, arrived: str, poll_seconds: int = POLL_SECONDS) -> DataFrame:
+def list_order() -> list[Column]:
+    """Place of the feed in the list, then place in the feed document."""
+    return [F.col("feed_no").asc(), F.col("entry_no").asc(), F.col("title").asc(), F.col("published_raw").asc()]
+
+
+def publish_new(
+    documents: DataFrame, feeds: DataFrame, log: str, ingested_at: Column | None = None, sent_at: Column | None = None
+) -> DataFrame:
+    """Publish the entries of landed feed documents that the log does not hold yet.
+
+    `documents(feed_url, xml)` are tagged by `feeds(feed_no, source, feed_url)`; of entries
+    with one link the first in list order is published. Returns (feed_url, documents, unread, entries):
+    per feed of the list how many documents came, could not be read, and how many entries were in them.
+    """
+    spark = documents.sparkSession
+    sent = F.current_timestamp() if sent_at is None else sent_at
+    entries = cut_lineage(entries_from_documents(documents), "entries")
+    events = to_events(tagged(entries, feeds), ingested_at, keep=["feed_no", "entry_no"])
+    published = message_files(spark, log).select(F.col("key").alias("id")) if list_names(spark, log) else None
+    fresh = first_seen(events, list_order(), published)
+    publish_files(to_messages(fresh.withColumn("_sent", sent), "_sent"), log)
+    came = documents.groupBy("feed_url").agg(F.count(F.lit(1)).alias("documents"))
+    unread = unread_documents(documents).groupBy("feed_url").agg(F.count(F.lit(1)).alias("unread"))
+    found = entries.groupBy("feed_url").agg(F.count(F.lit(1)).alias("entries"))
+    report = feeds.join(came, "feed_url", "left").join(unread, "feed_url", "left").join(found, "feed_url", "left")
+    counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("documents", "unread", "entries")]
+    return report.orderBy("feed_no").select("feed_url", *counts)
+
+
+def poll_counters(events: DataFrame, arrived: str, poll_seconds: int = POLL_SECONDS) -> DataFrame:
     """(poll_at, published_count, seen_total) per poll that published anything.
 
     The running total is taken within each day and shifted by the total of the
     days before it. Only the day totals, one row per day, meet in one task.
     """
     poll = F.timestamp_seconds(F.floor(F.unix_timestamp(arrived) / poll_seconds) * poll_seconds)
-    counts = first_seen.groupBy(poll.alias("poll_at")).agg(F.count(F.lit(1)).alias("published_count"))
-    counts = counts.withColumn("_day", F.to_date("poll_at"))
+    counts = events.groupBy(poll.alias("poll_at")).agg(F.count(F.lit(1)).alias("published_count"))
+    # One row per poll; stored, as two windows look at them.
+    counts = cut_lineage(counts.withColumn("_day", F.to_date("poll_at")), "polls")
     before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     days = counts.groupBy("_day").agg(F.sum("published_count").alias("_n"))
     shifted = days.select("_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

@@ -7,6 +7,8 @@ from pyspark.sql.types import (
     DateType,
     DecimalType,
     DoubleType,
+    IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -56,6 +58,13 @@ POINT = StructType(
     ]
 )
 
+# A point in the log: the id as a long, and the bucket that holds it.
+POINT_LOG = StructType([*POINT.fields, StructField("vec_id", LongType()), StructField("bucket", IntegerType())])
+
+# What is kept of titles: Hangul syllables, Latin letters, digits, and white space, at which
+# the title is then split.
+NON_WORD_PATTERN = "[^가-힣A-Za-z0-9\\s]"
+
 # ---------------------------------------------------------------------------
 # Results depend on them, so they are stated as they are.
 # ---------------------------------------------------------------------------
@@ -76,7 +85,6 @@ STOP_WORDS = [
 
 TAG_PATTERN = "<[^>]+>"
 SPACE_PATTERN = "\\s+"
-NON_WORD_PATTERN = "[^가-힣A-Za-z0-9\\s]"
 MIN_TOKEN_CHARS = 2
 
 ID_HEX_CHARS = 16

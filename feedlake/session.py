@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +20,6 @@ _SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
-_local_roots: dict[str, str] = {}
-
 
 def build_session(
     app: str = "feedlake", master: str | None = None, zone: str = "UTC", settings: dict[str, str] | None = None
@@ -42,21 +39,32 @@ def pin(spark: SparkSession, zone: str = "UTC") -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by `spark.checkpoint.dir`."""
+    """Folder every executor can reach, as named by `spark.checkpoint.dir`.
+
+    Where it is not set, a local master falls back on Spark's own scratch
+    folder, since driver and executors are one process there.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="feedlake-")
-    return _local_roots[context.applicationId]
+    return context.getConf().get("spark.local.dir", "/tmp").split(",")[0].rstrip("/")
 
 
 def workspace(spark: SparkSession, label: str) -> str:
-    """A new, unused folder name below the shared root."""
-    return f"{shared_root(spark)}/feedlake/{label}-{uuid.uuid4().hex}"
+    """A new, unused folder name below the shared root.
+
+    All of them lie in one folder of the application, which is removed when it ends.
+    """
+    home = f"{shared_root(spark)}/feedlake/{spark.sparkContext.applicationId}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(home)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        system.mkdirs(target)
+        system.deleteOnExit(target)
+    return f"{home}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:
@@ -84,19 +92,32 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in found]
 
 
-def _width(field: T.StructField):
-    name = f"`{field.name}`"
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + 24
-    if isinstance(field.dataType, T.ArrayType):
-        return F.greatest(F.coalesce(F.size(name), F.lit(0)), F.lit(0)) * 8 + 24
+def _width(value: Column, kind: T.DataType) -> Column:
+    """Estimated bytes of a value, parts of nested ones included."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 24
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+            inner = F.greatest(F.coalesce(F.size(value), F.lit(0)), F.lit(0)) * 8
+        else:
+            each = F.transform(value, lambda x: _width(x, kind.elementType).cast("long"))
+            inner = F.coalesce(F.aggregate(each, F.lit(0).cast("long"), lambda total, n: total + n), F.lit(0))
+        return inner + 24
+    if isinstance(kind, T.MapType):
+        keys, values = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        return _width(F.map_keys(value), keys) + _width(F.map_values(value), values)
+    if isinstance(kind, T.StructType):
+        total = F.lit(16)
+        for field in kind.fields:
+            total = total + _width(value[field.name], field.dataType)
+        return total
     return F.lit(16)
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, estimated bytes) of a flat frame, from one aggregate row."""
+    """(rows, estimated bytes) of a frame, from one aggregate row."""
     width = F.lit(0).cast("long")
     for field in df.schema.fields:
-        width = width + _width(field)
+        width = width + _width(F.col(f"`{field.name}`"), field.dataType)
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     return row["n"], row["b"]

@@ -3,6 +3,9 @@
 An entry has `link, title, published, updated, summary, description`, all
 strings, null where the document has no such element. Fetching over the
 network is left to whatever lands the files.
+
+Names keep their prefixes, so that `<media:title>` or `<atom:link>` beside a `<title>`
+or `<link>` is not taken for it; of the prefixed elements only `<dc:date>` is used.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ def _strings(*names: str) -> list[StructField]:
 
 RSS_ITEM = StructType(
     [
-        *_strings("title", "link", "pubDate", "date", "description", "summary"),
+        *_strings("title", "link", "pubDate", "dc:date", "date", "description", "summary"),
         StructField("guid", StructType(_strings("_VALUE", "_isPermaLink"))),
     ]
 )
@@ -48,7 +51,7 @@ DOCUMENT = StructType(
     ]
 )
 
-_XML = {"ignoreNamespace": "true"}
+_XML = {"ignoreNamespace": "false"}
 
 _BARE_AMPERSAND = "&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 
@@ -65,7 +68,7 @@ def _rss_entry(item: Column) -> list[Column]:
         strip(F.coalesce(item["link"], F.when(is_link, guid["_VALUE"]))).alias("link"),
         item["title"].alias("title"),
         strip(item["pubDate"]).alias("published"),
-        strip(item["date"]).alias("updated"),
+        strip(F.coalesce(item["dc:date"], item["date"])).alias("updated"),
         item["summary"].alias("summary"),
         item["description"].alias("description"),
     ]
@@ -89,39 +92,44 @@ def feed_list(spark: SparkSession, feeds: list[tuple[str, str]] = FEEDS) -> Data
     return spark.createDataFrame(rows, "feed_no int, source string, feed_url string")
 
 
+def _parsed(documents: DataFrame, xml: str) -> DataFrame:
+    """All other columns, and `d`: the document, read strictly or else with its ampersands mended."""
+    kept = [c for c in documents.columns if c != xml]
+    strict = documents.select(*kept, xml, F.from_xml(F.col(xml), DOCUMENT, _XML).alias("_strict"))
+    mended = F.from_xml(F.regexp_replace(F.col(xml), _BARE_AMPERSAND, "&amp;"), DOCUMENT, _XML)
+    return strict.select(*kept, F.when(_is_read(F.col("_strict")), F.col("_strict")).otherwise(mended).alias("d"))
+
+
 def entries_from_documents(documents: DataFrame, xml: str = "xml") -> DataFrame:
     """Explode a column of whole RSS or Atom documents into entries.
 
     All other columns are kept; `entry_no` is the place within the document. A
     document that is no XML only because of its ampersands (`A & B`, `&nbsp;`)
-    is read a second time with these escaped.
+    is read a second time with these escaped. Documents that cannot be read at all give no
+    entries here; `unread_documents` has them.
     """
     kept = [c for c in documents.columns if c != xml]
 
     def all_of(items: Column, entry) -> Column:
         return F.coalesce(F.transform(items, lambda item: F.struct(*entry(item))), F.array())
 
-    strict = documents.select(*kept, xml, F.from_xml(F.col(xml), DOCUMENT, _XML).alias("_strict"))
-    mended = F.from_xml(F.regexp_replace(F.col(xml), _BARE_AMPERSAND, "&amp;"), DOCUMENT, _XML)
-    parsed = strict.select(*kept, F.when(_is_read(F.col("_strict")), F.col("_strict")).otherwise(mended).alias("d"))
     found = F.concat(
         all_of(F.col("d.channel.item"), _rss_entry),
         all_of(F.col("d.item"), _rss_entry),
         all_of(F.col("d.entry"), _atom_entry),
     )
-    return parsed.select(*kept, F.posexplode(found).alias("entry_no", "e")).select(*kept, "entry_no", "e.*")
-
-
-def read_feed_files(spark: SparkSession, path: str, kind: str = "rss") -> DataFrame:
-    """Entries of landed files below `<path>/feed_url=<escaped url>/`."""
-    tag, shape, project = {
-        "rss": ("item", RSS_ITEM, _rss_entry),
-        "atom": ("entry", ATOM_ENTRY, _atom_entry),
-    }[kind]
-    schema = StructType([*shape.fields, StructField("feed_url", StringType())])
-    rows = spark.read.format("xml").options(rowTag=tag, **_XML).schema(schema).load(path)
-    packed = rows.select("feed_url", F.struct(*shape.fieldNames()).alias("e"))
-    return packed.select("feed_url", *project(F.col("e")))
+    return _parsed(documents, xml).select(*kept, F.posexplode(found).alias("entry_no", "e")).select(*kept, "entry_no", "e.*")
+
+
+def unread_documents(documents: DataFrame, xml: str = "xml") -> DataFrame:
+    """The other columns of the documents that cannot be read as a feed."""
+    return _parsed(documents, xml).filter(~_is_read(F.col("d")) | F.col("d").isNull()).drop("d")
+
+
+def read_feed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(feed_url, xml): landed files below `<path>/feed_url=<escaped url>/`, one document each."""
+    schema = StructType(_strings("value", "feed_url"))
+    return spark.read.schema(schema).text(path, wholetext=True).select("feed_url", F.col("value").alias("xml"))
 
 
 def tagged(entries: DataFrame, feeds: DataFrame) -> DataFrame:

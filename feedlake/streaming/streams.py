@@ -1,28 +1,36 @@
 """Streams from the message log into bronze and silver, and watermark dedupe.
 
-Both tables take one folder per micro-batch (see `operators.tables`). A batch
-that is delivered again overwrites its own folder, so at-least-once delivery
+All tables take one folder per micro-batch (see `operators.tables`). A batch
+that is delivered again overwrites its own folders, so at-least-once delivery
 leaves each id once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
 from feedlake.operators.dedupe import one_per_key
-from feedlake.operators.joins import known_keys
-from feedlake.operators.tables import current_rows, stored_rows, write_batch
+from feedlake.operators.tables import (
+    batch_numbers,
+    current_rows,
+    read_batches,
+    stored_keys,
+    stored_rows,
+    write_batch,
+    write_keyed,
+    write_keys,
+)
 from feedlake.plans.silver import arrival_order, silver_batch
 from feedlake.schema import BRONZE, SILVER, SILVER_LOG, WATERMARK
 from feedlake.sources.messages import decode
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# How often a running ingest looks whether a query has ended.
+POLL_SECONDS = 1
+
+FIRST_LOG = StructType([*BRONZE.fields, StructField("day", DateType())])
 
 
 def event_stream(messages: DataFrame, delay: str = WATERMARK) -> DataFrame:
@@ -33,21 +41,24 @@ def event_stream(messages: DataFrame, delay: str = WATERMARK) -> DataFrame:
 
 
 def write_bronze(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Insert the ids of a batch that no other batch has stored; rows without one are rejected."""
-    spark = batch.sparkSession
+    """Insert the ids of a batch that no other batch has stored; rows without one are rejected.
+
+    Of what is stored only the key buckets are read in which the batch has ids.
+    """
     fresh = one_per_key(batch.filter(F.col("id").isNotNull()), "id", arrival_order()).persist()
     try:
-        stored = stored_rows(spark, root, BRONZE, without=batch_id)
-        known = known_keys(stored, fresh.select("id"), "id")
+        known = stored_keys(fresh, root, BRONZE, "id", without=batch_id)
         new = fresh.join(known, "id", "left_anti").select(*BRONZE.fieldNames())
         write_batch(new, root, batch_id, "source")
+        stored = batch.sparkSession.read.schema(BRONZE).parquet(f"{root}/log/batch_id={batch_id}")
+        write_keys(stored.select("id"), root, batch_id, "id")
     finally:
         fresh.unpersist()
 
 
 def write_silver(batch: DataFrame, batch_id: int, root: str) -> None:
     """Append the clean rows of a batch; readers take the latest per id."""
-    write_batch(silver_batch(batch), root, batch_id, "dt")
+    write_keyed(silver_batch(batch), root, batch_id, "id", "dt")
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
@@ -86,60 +97,62 @@ def run_ingest(messages: DataFrame, root: str, **trigger) -> None:
     if trigger.get("availableNow"):
         for query in running:
             query.awaitTermination()
-    else:
-        messages.sparkSession.streams.awaitAnyTermination()
+    while all(query.isActive for query in running):
+        running[0].awaitTermination(POLL_SECONDS)
+    for query in running:
+        if query.exception() is not None:
+            raise query.exception()
 
 
-def _newest_per_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = pa.table({"id": batch["id"], "ts": batch["kafka_ts"], "row": np.arange(batch.num_rows)})
-        rows = rows.sort_by([("id", "ascending"), ("ts", "descending")])
-        ids = rows["id"].to_numpy()
-        starts = np.ones(len(ids), bool)
-        starts[1:] = ids[1:] != ids[:-1]
-        yield batch.take(rows["row"].filter(pa.array(starts)).combine_chunks())
+def _marks(spark: SparkSession, root: str, before: int) -> DataFrame:
+    """(newest): the newest time of each batch below a number."""
+    folders = [f"{root}/marks/batch_id={n}" for n in batch_numbers(spark, root) if n < before]
+    if not folders:
+        return spark.createDataFrame([], "newest timestamp")
+    return spark.read.schema("newest timestamp").parquet(*folders)
 
 
-def thinned(events: DataFrame) -> DataFrame:
-    """At most one event per id and Arrow batch, the newest.
+def write_first(batch: DataFrame, batch_id: int, root: str, delay: str = WATERMARK) -> None:
+    """Store the first event of each id of a batch, unless it is late or its id is remembered.
 
-    A stateful dedupe sends every event to the task of its id. Thinning first
-    keeps an id that fills much of a micro-batch from landing there row by
-    row. The newest event is kept because an older one may already be late.
+    The watermark is the newest time of all earlier batches less the delay. Events before
+    it are late; ids are remembered while the time of their first event is
+    no more than the delay behind it. Events lie in folders by day, and only the days
+    within reach are read.
     """
-    return events.mapInArrow(_newest_per_id, events.schema)
+    spark = batch.sparkSession
+    span = F.expr(f"INTERVAL {delay}")
+    mark = _marks(spark, root, batch_id).agg((F.max("newest") - span).alias("w"), (F.max("newest") - span - span).alias("reach")).first()
+    seen = batch.persist()
+    try:
+        rows = seen.filter(F.col("id").isNotNull())
+        if mark["w"] is not None:
+            rows = rows.filter(F.col("kafka_ts") >= F.lit(mark["w"]))
+        first = one_per_key(rows, "id", arrival_order())
+        stored = read_batches(spark, root, FIRST_LOG, upto=batch_id - 1)
+        if mark["reach"] is not None:
+            reach = F.lit(mark["reach"])
+            stored = stored.filter((F.col("day") >= F.to_date(reach)) & (F.col("kafka_ts") >= reach))
+        new = first.join(stored.select("id"), "id", "left_anti").select(*BRONZE.fieldNames())
+        newest = seen.agg(F.max("kafka_ts").alias("newest")).filter("newest IS NOT NULL")
+        newest.coalesce(1).write.mode("overwrite").parquet(f"{root}/marks/batch_id={batch_id}")
+        write_batch(new.withColumn("day", F.to_date("kafka_ts")), root, batch_id, "day")
+    finally:
+        seen.unpersist()
+
+
+def read_first(spark: SparkSession, root: str) -> DataFrame:
+    return read_batches(spark, root, FIRST_LOG).select(*BRONZE.fieldNames())
 
 
-def start_dedupe(
-    messages: DataFrame, root: str, delay: str = WATERMARK, partitions: int | None = None, **trigger
-) -> StreamingQuery:
+def start_dedupe(messages: DataFrame, root: str, delay: str = WATERMARK, **trigger) -> StreamingQuery:
     """First event per id, remembered for `delay` behind the newest event.
 
-    Events older than the watermark are dropped. The keys are kept in RocksDB,
-    on disk rather than on the heap. The state is split into `partitions`, by
-    default one per core of the cluster; a restarted query goes on with the
-    store and the number of partitions it began with.
+    A stateful operator would send every event to the task of its id and keep whichever
+    comes first there. Here each micro-batch is a static frame, so that the first event by
+    arrival wins, each task sends one row per id, and the memory is the stored table itself.
     """
-    spark = messages.sparkSession
-    wanted = {
-        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
-        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
-    }
-    before = {name: spark.conf.get(name) for name in wanted}
-    events = thinned(decode(messages).filter("id is not null")).withWatermark("kafka_ts", delay)
-    try:
-        # A query keeps the settings it was started under.
-        for name, value in wanted.items():
-            spark.conf.set(name, value)
-        return (
-            events.dropDuplicatesWithinWatermark(["id"])
-            .writeStream.format("parquet")
-            .option("path", f"{root}/data")
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .outputMode("append")
-            .trigger(**(trigger or {"processingTime": "0 seconds"}))
-            .start()
-        )
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+    return _start(
+        decode(messages), lambda batch, batch_id, path: write_first(batch, batch_id, path, delay), root,
+        trigger or {"processingTime": "0 seconds"},
+    )

@@ -112,10 +112,20 @@ def test_daily_run(spark, root):
         out = run_daily(spark, root, "2025-11-03")
     assert out.count() == 1 and out.first()["loops"] == 2
     assert "링크: https://n/" in out.first()["contexts"]
-    files = glob.glob(f"{root}/briefings/dt=2025-11-03/*.txt")
+    files = glob.glob(f"{root}/briefings/dt=2025-11-03/qid=1/*.txt")
     assert "".join(open(f, encoding="utf-8").read() for f in files).startswith("[MOCK-LLM]")
+    assert [tuple(r) for r in br.read_briefings(spark, f"{root}/briefings").collect()] == [("2025-11-03", 1, out.first()["briefing"])]
     words = spark.read.schema("token string, freq long, dt date").parquet(f"{root}/gold/gold_daily_keyword")
     assert values(words.withColumn("dt", F.col("dt").cast("string")), "dt", "token", "freq") == [
         ("2025-11-03", "Growth", 3), ("2025-11-03", "report", 3),
     ]
     assert json.dumps([r["loops"] for r in out.collect()]) == "[2]"
+
+
+def test_briefings_of_several_queries_keep_apart(spark, root):
+    rows = [(1, "# One\n\nline\n"), (2, "# Two"), (30, "")]
+    br.write_briefings(spark.createDataFrame(rows, "qid long, briefing string"), root, "2025-11-03")
+    br.write_briefings(spark.createDataFrame(rows[:1], "qid long, briefing string"), root, "2025-11-04")
+    assert values(br.read_briefings(spark, root), "dt", "qid", "briefing") == [
+        ("2025-11-03", 1, rows[0][1]), ("2025-11-03", 2, "# Two"), ("2025-11-03", 30, ""), ("2025-11-04", 1, rows[0][1]),
+    ]

@@ -129,11 +129,5 @@ def test_known_digest_byte(spark):
     assert row[0] / row[1] == pytest.approx(raw[0] / raw[1])
 
 
-def test_cosine(spark):
-    rows = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])], "a array<double>, b array<double>")
-    got = [r[0] for r in rows.select(vector.cosine(F.col("a"), F.col("b"))).collect()]
-    assert got == pytest.approx([1 / math.sqrt(2), 0.0])
-
-
 def test_stop_words_are_the_eighteen():
     assert len(STOP_WORDS) == 18 and len(set(STOP_WORDS)) == 18

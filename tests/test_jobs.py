@@ -1,11 +1,29 @@
+import os
+import urllib.parse
+
 from feedlake.jobs import main
 from feedlake.operators.tables import last_snapshot
 from feedlake.plans.marts import read_gold
-from feedlake.sources.messages import publish_files, to_messages
+from feedlake.schema import FEEDS
+from feedlake.sources.messages import message_files, publish_files, to_messages
 from feedlake.streaming.streams import read_bronze, read_silver
 from tests.helpers import event, events
 
 
+def test_collect_job(spark, root, capsys):
+    folder = f"{root}/feeds/feed_url={urllib.parse.quote(FEEDS[0][1], safe='')}"
+    os.makedirs(folder)
+    with open(f"{folder}/1.xml", "w", encoding="utf-8") as out:
+        out.write("<rss><channel><item><title>t</title><link>https://n/1</link></item></channel></rss>")
+    for _ in range(2):
+        main(["collect", root, "--database", "jobs_collect"])
+    assert message_files(spark, f"{root}/inbox").count() == 1
+    main(["ingest", root, "--once", "--database", "jobs_collect"])
+    assert spark.table("jobs_collect.silver_news").count() == 1
+    assert spark.table("jobs_collect.bronze_news").first()["source"] == FEEDS[0][0]
+    assert FEEDS[0][1] in capsys.readouterr().out.replace("...", "")
+
+
 def test_all_jobs_in_order(spark, root, capsys):
     rows = [event(f"{n:016x}", title=f"Growth report {n}", published="2025-11-03 08:00:00") for n in range(5)]
     publish_files(to_messages(events(spark, *rows), "kafka_ts"), f"{root}/inbox")

@@ -2,9 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare, connect
 from tests.conftest import SF
+from workload.oracle import oracle_sql
+from workload.queries import queries
 
 
 @pytest.fixture(scope="module")

@@ -2,15 +2,16 @@
 
 import pytest
 
-from __spark_entry__ import queries
 from tests.conftest import SMALL
 from tests.helpers import plan
+from workload.queries import queries
 
 DEDUPED = ["first_seen", "new_since_published", "silver_clean", "daily_source", "daily_keyword", "top_keywords", "recent_articles"]
-IN_PYTHON = {"knn_topk", "rag_contexts", "briefing_prompts"}
+IN_PYTHON = {"knn_topk"}
+RUN_STREAMS = ("stream_", "both_", "replayed_", "daily_run", "indexed_", "empty_")
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if not n.startswith("stream_") and n != "daily_run"])
+@pytest.mark.parametrize("name", [n for n in queries() if not n.startswith(RUN_STREAMS)])
 def test_no_pairs_and_no_row_wise_python(spark, name):
     text = plan(queries()[name](spark, SMALL))
     for operator in ("CartesianProduct", "NestedLoop", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
@@ -25,7 +26,7 @@ def test_one_row_per_key_leaves_each_task(spark, name):
 
 
 @pytest.mark.parametrize("name", ["daily_keyword", "daily_source", "top_keywords"])
-def test_marts_do_not_shuffle_texts(spark, name):
+def test_marts_do_not_carry_bodies(spark, name):
     frame = queries()[name](spark, SMALL)
     projections = [line for line in plan(frame).splitlines() if "Project [" in line]
     assert not any("summary" in line or "body" in line for line in projections)
@@ -40,3 +41,10 @@ def test_only_named_columns_are_read(spark):
 def test_heads_are_taken_per_task(spark):
     assert "TakeOrderedAndProject" in plan(queries()["top_sources"](spark, SMALL))
     assert "WindowGroupLimit" in plan(queries()["top_keywords_per_day"](spark, SMALL))
+
+
+def test_a_named_day_prunes_folders_and_shuffles_no_rows(spark):
+    text = plan(queries()["silver_by_name"](spark, SMALL))
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line and "title" in line]
+    assert scans and all("isnotnull(dt" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+    assert "SortMergeJoin" not in text

@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from feedlake.operators.knn import knn
 from feedlake.plans.index import collection, embedded, index_articles, points, recent, retrieve, search
 from feedlake.plans.silver import silver
-from tests.helpers import event, events, values
+from tests.helpers import event, events, plan, values
 
 PAIR = "qid long, vector array<double>"
 STORED = "vec_id long, vector array<double>"
 
-WAYS = [{}, {"query_bytes": 0, "query_slice_bytes": 600, "vector_slice_bytes": 2000}]
+WAYS = [{}, {"query_bytes": 900}]
 
 
 def brute(queries, vectors, k):
@@ -66,6 +66,21 @@ def test_blocks_of_any_size_agree(cells, monkeypatch):
     assert sorted((q, v) for q, v in zip(got["qid"], got["vec_id"])) == sorted((q, v) for q, _, v, _ in want)
 
 
+@pytest.mark.parametrize("bad", ["vectors", "queries"])
+def test_vectors_of_another_length_fail(spark, bad):
+    pair = spark.createDataFrame([(1, [1.0, 0.0])], PAIR)
+    ragged = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0, 3.0])], PAIR)
+    queries, stored = (pair, ragged) if bad == "vectors" else (ragged, pair)
+    with pytest.raises(Exception, match="values"):
+        knn(queries, stored.withColumnRenamed("qid", "vec_id"), 1).collect()
+
+
+def test_the_candidates_count_in_the_size_of_a_chunk(spark):
+    rows = spark.range(40).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
+    scans = lambda k: plan(knn(rows.withColumnRenamed("vec_id", "qid"), rows, k, query_bytes=4000)).count("MapInArrow")
+    assert scans(1) == 1 and scans(100) > 10
+
+
 def test_all_pairs_never_become_rows(spark):
     rows = spark.range(50).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
     found = knn(rows.withColumnRenamed("vec_id", "qid"), rows, 3)
@@ -135,6 +150,24 @@ def test_payloads_are_not_shuffled_for_few_hits(spark, root):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_payloads_of_other_buckets_are_not_read(spark, root):
+    index_articles(articles(spark, *[event(f"{n:016x}", title=f"t{n}") for n in range(60)]), root, 0)
+    asked = spark.createDataFrame([(1, "t7\ntext")], "qid long, text string")
+    found = retrieve(asked, collection(spark, root), 1)
+    assert values(found, "title") == [("t7",)]
+    scans = [line for line in plan(found).splitlines() if "FileScan" in line and "payload" in line]
+    assert scans and all("bucket" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+
+
+def test_one_dimension_and_one_writer_per_collection(spark, root):
+    rows = articles(spark, event(HEX[0]))
+    index_articles(rows, root, 0, 64)
+    with pytest.raises(ValueError, match="64"):
+        index_articles(rows, root, 1, 32)
+    with pytest.raises(Exception, match="exists"):
+        index_articles(rows, root, 0, 64, replace=False)
+
+
 def test_a_given_model_sees_a_question_once(spark, root):
     calls = spark.sparkContext.accumulator(0)
 

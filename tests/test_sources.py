@@ -3,9 +3,9 @@ import urllib.parse
 
 from pyspark.sql import functions as F
 
-from feedlake.plans.ingest import poll_counters, to_events
+from feedlake.plans.ingest import poll_counters, publish_new, to_events
 from feedlake.operators.dedupe import first_seen
-from feedlake.sources.feeds import entries_from_documents, feed_list, read_feed_files, tagged
+from feedlake.sources.feeds import entries_from_documents, feed_list, read_feed_files, tagged, unread_documents
 from feedlake.sources.messages import decode, message_files, publish_files, to_messages
 from tests.helpers import at, event, events, values
 
@@ -42,7 +42,18 @@ def test_documents_of_all_kinds(spark):
     assert by_link["https://n/5"][5:] == ("2025-11-03T10:00:00Z", None, "body")
     assert by_link["https://n/6"][6] == "s"
     assert by_link["https://n/7"][0] == "d"
-    assert not [r for r in got if r[0] == "none"]
+    assert not [r for r in got if r[0] in ("none", "broken")]
+    assert values(unread_documents(rows), "feed_url") == [("broken",), ("none",)]
+
+
+def test_elements_of_other_name_spaces_are_not_mistaken(spark):
+    rss = """<rss xmlns:media="m" xmlns:atom="a" xmlns:dc="d"><channel><atom:link href="self"/><item><title>own</title>
+    <media:title>other</media:title><link>https://n/1</link><atom:link href="https://n/self"/><dc:date>2025</dc:date>
+    <dc:title>x</dc:title></item></channel></rss>"""
+    atom = """<feed xmlns="http://www.w3.org/2005/Atom" xmlns:m="m"><entry><m:title>other</m:title><title>own</title>
+    <link href="https://n/2"/><m:link href="https://n/x"/></entry></feed>"""
+    rows = spark.createDataFrame([(rss,), (atom,)], "xml string")
+    assert values(entries_from_documents(rows), "link", "title", "updated") == [("https://n/1", "own", "2025"), ("https://n/2", "own", None)]
 
 
 def test_loose_ampersands_are_mended(spark):
@@ -60,7 +71,7 @@ def test_landed_files_are_tagged_by_feed(spark, root):
         os.makedirs(folder)
         with open(f"{folder}/poll.xml", "w", encoding="utf-8") as out:
             out.write(body)
-    rows = tagged(read_feed_files(spark, root), feed_list(spark, feeds))
+    rows = tagged(entries_from_documents(read_feed_files(spark, root)), feed_list(spark, feeds))
     found = values(to_events(rows), "source", "link", "title")
     assert ("First", "https://n/1", "A <b>1</b>") in found and ("Second", "https://n/9", "A <b>1</b>") in found
     assert len(found) == 4
@@ -70,7 +81,24 @@ def test_atom_files(spark, root):
     os.makedirs(f"{root}/feed_url=u")
     with open(f"{root}/feed_url=u/poll.xml", "w", encoding="utf-8") as out:
         out.write(ATOM)
-    assert values(read_feed_files(spark, root, "atom"), "link") == [("https://n/5",), ("https://n/6",)]
+    assert values(entries_from_documents(read_feed_files(spark, root)), "link") == [("https://n/5",), ("https://n/6",)]
+
+
+def test_new_entries_are_published_once_and_failures_counted(spark, root):
+    item = "<item><title>{}</title><link>https://n/{}</link></item>"
+    rss = lambda *items: "<rss><channel>" + "".join(item.format(t, n) for t, n in items) + "</channel></rss>"
+    feeds = feed_list(spark, [("one", "u1"), ("two", "u2"), ("three", "u3")])
+    polls = [
+        [("u2", rss(("two a", "a"), ("two b", "b"))), ("u1", rss(("one a", "a"), ("again a", "a"))), ("u3", "<rss><chan")],
+        [("u1", rss(("late a", "a"), ("one c", "c"))), ("u3", rss())],
+    ]
+    reports = []
+    for poll in polls:
+        report = publish_new(spark.createDataFrame(poll, "feed_url string, xml string"), feeds, f"{root}/log")
+        reports.append([tuple(r) for r in report.collect()])
+    sent = decode(message_files(spark, f"{root}/log"))
+    assert values(sent, "link", "source", "title") == [("https://n/a", "one", "one a"), ("https://n/b", "two", "two b"), ("https://n/c", "one", "one c")]
+    assert reports == [[("u1", 1, 0, 2), ("u2", 1, 0, 2), ("u3", 1, 1, 0)], [("u1", 1, 0, 2), ("u2", 0, 0, 0), ("u3", 1, 0, 0)]]
 
 
 def test_events_from_entries(spark):

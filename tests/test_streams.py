@@ -1,19 +1,25 @@
+import threading
+import time
+
 from pyspark.sql import functions as F
 
-from feedlake.operators.tables import last_batch
+from feedlake.operators.tables import last_batch, stored_keys
 from feedlake.plans.silver import silver
 from feedlake.sources.messages import decode, message_file_stream, message_files, publish_files, to_messages
 from feedlake.streaming.streams import (
     event_stream,
     read_bronze,
+    read_first,
     read_silver,
     run_ingest,
     start_bronze,
     start_dedupe,
     start_silver,
-    thinned,
+    write_bronze,
+    write_first,
 )
-from tests.helpers import event, events, values
+from feedlake.schema import BRONZE
+from tests.helpers import event, events, plan, values
 
 DROPS = [
     [event("a", title="a1"), event("b", title="b1"), event("a", title="a0", arrived="2025-11-03 09:00:00")],
@@ -82,7 +88,7 @@ def dedupe(spark, root, drops, delay):
     for drop in drops:
         land(spark, f"{root}/inbox", drop)
         start_dedupe(message_file_stream(spark, f"{root}/inbox"), f"{root}/t", delay, availableNow=True).awaitTermination()
-    return values(spark.read.parquet(f"{root}/t/data"), "id", "title")
+    return values(read_first(spark, f"{root}/t"), "id", "title")
 
 
 def test_dedupe_forgets_after_the_delay_and_drops_late_events(spark, root):
@@ -100,8 +106,52 @@ def test_dedupe_forgets_after_the_delay_and_drops_late_events(spark, root):
     assert got == [("a", "again"), ("a", "first"), ("b", "b"), ("c", "far")]
 
 
-def test_thinning_keeps_the_newest_per_id(spark):
-    rows = events(spark, *[event("hot", arrived=f"2025-11-03 10:{m:02}:00") for m in range(50)], event("x"), event("y"))
-    kept = thinned(rows.coalesce(1))
-    assert kept.schema == rows.schema
-    assert values(kept.withColumn("t", F.date_format("kafka_ts", "HH:mm")), "id", "t") == [("hot", "10:49"), ("x", "10:00"), ("y", "10:00")]
+def test_dedupe_keeps_the_first_event_of_a_batch(spark, root):
+    drop = [event("a", title=f"at {m}", arrived=f"2025-11-03 10:{m:02}:00") for m in range(50, 9, -1)]
+    assert dedupe(spark, root, [drop, [event("a", title="later", arrived="2025-11-03 10:55:00")]], "2 hours") == [("a", "at 10")]
+
+
+def test_dedupe_survives_replay(spark, root):
+    one = events(spark, event("a", title="1"), event("b", title="1", arrived="2025-11-03 10:30:00"), event(None))
+    two = events(spark, event("a", title="2", arrived="2025-11-03 11:00:00"), event("c", title="2", arrived="2025-11-03 11:00:00"))
+    write_first(one, 0, root)
+    for _ in range(2):
+        write_first(two, 1, root)
+    assert values(read_first(spark, root), "id", "title") == [("a", "1"), ("b", "1"), ("c", "2")]
+    write_first(events(spark, event(None)), 2, root)
+    write_first(one.limit(0), 3, root)
+    assert read_first(spark, root).count() == 3
+
+
+def test_only_touched_key_buckets_are_read(spark, root):
+    write_bronze(events(spark, *[event(f"id{n}") for n in range(200)]), 0, root)
+    fresh = events(spark, event("id7"), event("other"))
+    known = stored_keys(fresh, root, BRONZE, "id")
+    assert values(known, "id") == [("id7",)]
+    scans = [line for line in plan(known).splitlines() if "FileScan" in line and "bucket" in line]
+    assert any("PartitionFilters: [" in line and "bucket" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+    assert not any("title" in line for line in scans)
+
+
+def test_run_until_a_query_ends(spark, root):
+    land(spark, f"{root}/inbox", DROPS[0])
+    ended = threading.Event()
+
+    def run():
+        run_ingest(message_file_stream(spark, f"{root}/inbox"), f"{root}/t", processingTime="1 second")
+        ended.set()
+
+    threading.Thread(target=run, daemon=True).start()
+    for _ in range(200):
+        if len(spark.streams.active) == 2 and all(q.lastProgress for q in spark.streams.active):
+            break
+        time.sleep(0.2)
+    assert not ended.is_set()
+    for query in spark.streams.active:
+        query.processAllAvailable()
+    spark.streams.active[0].stop()
+    assert ended.wait(30)
+    for query in spark.streams.active:
+        query.stop()
+    spark.streams.resetTerminated()
+    assert values(read_bronze(spark, f"{root}/t/bronze"), "id") == [("a",), ("b",)]

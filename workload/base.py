@@ -1,10 +1,10 @@
 """The feed relation that the registered queries share.
 
-Each document becomes one feed entry; the event with the same number gives its
-time of arrival. Exact copies of a text share a link and therefore an id.
-Entries below 100 characters come without a link. The date texts take the
-forms that feeds use: ISO with offset, a plain timestamp in `updated`,
-RFC-822, and none.
+Each document becomes one feed entry, its whole text being title and summary; the event
+with the same number gives its time of arrival (a fixed one where there is none). Exact
+copies of a text share a link and therefore an id. Every tenth document brings a second entry, with a
+negative number, that has no link. The date texts take the forms that feeds
+use: ISO with offset, a plain timestamp in `updated`, RFC-822, and none.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.times import iso
 from feedlake.plans.ingest import to_events
-from feedlake.session import pin
 
 FIRST_DAY = "2024-01-01"
 LAST_DROP = 2
 FEED_ROOT = "https://feeds.example/"
 LINK_ROOT = "https://news.example/"
 RFC822 = "Mon, 03 Nov 2025 10:00:00 +0900"
+NO_EVENT = "2024-01-01 00:00:00"
 
 
 # Stated, so that no job has to look for them first.
@@ -35,16 +35,18 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return pin(spark).read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def feeds(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed list: the sources, in the order of their numbers."""
     names = table(spark, sf, "documents").select("source").distinct()
-    return names.select(F.concat(F.lit(FEED_ROOT), F.col("source")).alias("feed_url"), "source")
+    number = F.regexp_extract("source", "([0-9]+)$", 1).cast("int")
+    return names.select(number.alias("feed_no"), F.concat(F.lit(FEED_ROOT), F.col("source")).alias("feed_url"), "source")
 
 
 def entries(spark: SparkSession, sf: str) -> DataFrame:
-    """One entry per document.
+    """One entry per document, and the linkless ones.
 
     All that comes from the text is computed before the join, so that a query
     which needs only an id and a title does not shuffle the text.
@@ -55,23 +57,27 @@ def entries(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id",
         "source",
         F.concat(F.lit(FEED_ROOT), F.col("source")).alias("feed_url"),
-        F.when(F.col("n_chars") < 100, F.lit(""))
-        .otherwise(F.concat(F.lit(LINK_ROOT), F.md5(F.col("text"))))
-        .alias("link"),
-        F.concat(F.lit("  "), F.substring("text", 1, 80), F.lit("　")).alias("title"),
+        F.concat(F.lit(LINK_ROOT), F.md5(F.col("text"))).alias("link"),
+        F.concat(F.lit("  "), F.col("text"), F.lit("　")).alias("title"),
         F.when(~french, F.col("text")).alias("summary"),
         F.when(french, F.col("text")).alias("description"),
         form.alias("_form"),
     )
     arrivals = table(spark, sf, "events").select(
-        F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("kafka_ts")
+        F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("_arrived")
     )
     moment = F.col("kafka_ts")
-    return documents.join(arrivals, "doc_id").select(
-        "doc_id",
+    # Arrivals are narrow: where they fit, they go to the texts instead of both being shuffled.
+    dated = documents.join(arrivals, "doc_id", "left")
+    dated = dated.withColumn("kafka_ts", F.coalesce("_arrived", F.lit(NO_EVENT).cast("timestamp")))
+    # The second, linkless entries.
+    twice = F.when(F.col("doc_id") % 10 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    dated = dated.withColumn("_bare", F.explode(twice))
+    return dated.select(
+        F.when(F.col("_bare"), -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"),
         "source",
         "feed_url",
-        "link",
+        F.when(F.col("_bare"), F.lit("")).otherwise(F.col("link")).alias("link"),
         "title",
         F.when(F.col("_form") == 0, F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ssxxx"))
         .when(F.col("_form") == 2, F.lit(RFC822))

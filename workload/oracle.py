@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from feedlake.plans.briefing import Roles
 from feedlake.schema import BLANKS, NO_HITS, ROLE_CHARS, STOP_WORDS
-from workload.base import FEED_ROOT, FIRST_DAY, LINK_ROOT, RFC822
+from workload.base import FEED_ROOT, FIRST_DAY, LINK_ROOT, NO_EVENT, RFC822
 from workload.queries import AS_OF, DATE
 
 
@@ -21,16 +21,19 @@ def _shown(moment: str) -> str:
 
 ENTRIES = f"""
 entries AS (
-  SELECT d.doc_id, d.source, '{FEED_ROOT}' || d.source AS feed_url,
-    CASE WHEN d.n_chars < 100 THEN '' ELSE '{LINK_ROOT}' || md5(d.text) END AS link,
-    '  ' || substr(d.text, 1, 80) || '　' AS title,
-    CASE d.doc_id % 4 WHEN 0 THEN strftime(e.ts, '%Y-%m-%dT%H:%M:%S') || '+00:00'
+  SELECT CASE WHEN bare THEN -1 - number ELSE number END AS doc_id, source, '{FEED_ROOT}' || source AS feed_url,
+    CASE WHEN bare THEN '' ELSE '{LINK_ROOT}' || md5(text) END AS link,
+    '  ' || text || '　' AS title,
+    CASE number % 4 WHEN 0 THEN strftime(arrived, '%Y-%m-%dT%H:%M:%S') || '+00:00'
       WHEN 2 THEN '{RFC822}' ELSE '' END AS published,
-    CASE d.doc_id % 4 WHEN 1 THEN strftime(e.ts, '%Y-%m-%d %H:%M:%S') END AS updated,
-    CASE WHEN d.lang <> 'fr' THEN d.text END AS summary,
-    CASE WHEN d.lang = 'fr' THEN d.text END AS description,
-    e.ts AS kafka_ts
-  FROM documents d JOIN events e ON d.doc_id = e.event_id)
+    CASE number % 4 WHEN 1 THEN strftime(arrived, '%Y-%m-%d %H:%M:%S') END AS updated,
+    CASE WHEN lang <> 'fr' THEN text END AS summary,
+    CASE WHEN lang = 'fr' THEN text END AS description,
+    arrived AS kafka_ts, CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS feed_no
+  FROM (
+    SELECT d.doc_id AS number, d.source, d.text, d.lang, coalesce(e.ts, TIMESTAMP '{NO_EVENT}') AS arrived,
+      unnest(CASE WHEN d.doc_id % 10 = 0 THEN [false, true] ELSE [false] END) AS bare
+    FROM documents d LEFT JOIN events e ON d.doc_id = e.event_id))
 """
 
 EV = (
@@ -40,7 +43,7 @@ ev AS (
   SELECT substr(sha256(link), 1, 16) AS id, source, {_strip('title')} AS title,
     {_strip("coalesce(nullif(summary, ''), nullif(description, ''), '')")} AS summary, link,
     coalesce(nullif(published, ''), nullif(updated, ''), '') AS published_raw,
-    strftime(kafka_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ingested_at, kafka_ts,
+    strftime(kafka_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ingested_at, kafka_ts, feed_no,
     greatest(0, least(2, date_diff('day', DATE '{FIRST_DAY}', CAST(kafka_ts AS DATE)))) AS drop_no
   FROM entries WHERE link <> '')
 """
@@ -202,6 +205,8 @@ _BRONZE = f"bronze AS {_one('ev', 'drop_no, ' + _ARRIVAL)}"
 
 _STREAM_SILVER = f"last AS {_one('clean', 'drop_no DESC, ' + _LATEST)}"
 
+_COMPONENTS = ", ".join(f"round(v[{i + 1}] / size, 8) AS v{i}" for i in range(32))
+
 _ASKED = "asked AS (SELECT item_id AS qid, text FROM benchmark)"
 
 
@@ -210,8 +215,20 @@ def oracle_sql() -> dict[str, str]:
     return {
         "feed_items_xml": _sql(
             ENTRIES,
-            f"""SELECT doc_id, source, link, {_strip('title')} AS title, published,
-            md5({_strip('coalesce(summary, description)')}) AS text_md5 FROM entries""",
+            f"""SELECT doc_id, 0 AS entry_no, source, link, {_strip('title')} AS title, published, NULL AS updated,
+              md5({_strip('coalesce(summary, description)')}) AS text_md5 FROM entries WHERE doc_id % 25 <> 3
+            UNION ALL
+            SELECT doc_id, 1, source, 'https://news.example/second', 'second', '', '2025-11-03T10:00:00Z', md5('more')
+            FROM entries WHERE doc_id % 25 <> 3
+            UNION ALL
+            SELECT doc_id, NULL, source, NULL, NULL, '', NULL, NULL FROM entries WHERE doc_id % 25 = 3""",
+        ),
+        "feeds_to_log": _sql(
+            # These documents carry no `updated`.
+            EV.replace("coalesce(nullif(published, ''), nullif(updated, ''), '')", "coalesce(published, '')")
+            + f", sent AS {_one('ev', 'drop_no, feed_no, title, published_raw')}",
+            """SELECT id, source, md5(title) AS title_md5, md5(summary) AS summary_md5, link, published_raw,
+              'now' AS ingested_at, '2025-11-0' || (drop_no + 1) || ' 00:00:00.000000' AS sent_at FROM sent""",
         ),
         "feed_events": _sql(
             EV, "SELECT id, source, title, md5(summary) AS summary_md5, link, published_raw, ingested_at FROM ev"
@@ -296,8 +313,7 @@ def oracle_sql() -> dict[str, str]:
         "embed_text": _sql(SILVER, f"SELECT id, md5({_embed_text('title', 'body')}) AS text_md5 FROM silver"),
         "hash_embedding": _sql(
             _HASHED,
-            """SELECT doc_id, 1536 AS dim, CAST(1.0 AS DOUBLE) AS length, round(v[1] / size, 8) AS v0,
-              round(v[18] / size, 8) AS v17, round(v[32] / size, 8) AS v31, round(v[32] / size, 8) AS v1535 FROM sized""",
+            f"SELECT doc_id, 1536 AS dim, CAST(1.0 AS DOUBLE) AS length, {_COMPONENTS}, true AS repeats FROM sized",
         ),
         "point_id": _sql(
             ENTRIES,
@@ -309,8 +325,8 @@ def oracle_sql() -> dict[str, str]:
             merged AS (SELECT * FROM b1 UNION ALL SELECT * FROM b0 WHERE id NOT IN (SELECT id FROM b1)),
             embedded AS (SELECT *, {_digest_vector(_embed_text('title', 'body'))} AS v FROM merged),
             sized AS (SELECT *, sqrt(48 * list_sum(list_transform(v, lambda x: x * x))) AS size FROM embedded)""",
-            """SELECT CAST(CAST('0x' || id AS UBIGINT) AS VARCHAR) AS point_id, round(v[1] / size, 8) AS v0,
-              round(v[32] / size, 8) AS v1535, id AS article_id, source, title, substr(body, 1, 2000) AS body, link,
+            f"""SELECT CAST(CAST('0x' || id AS UBIGINT) AS VARCHAR) AS point_id, {_COMPONENTS}, true AS repeats,
+              id AS article_id, source, title, substr(body, 1, 2000) AS body, link,
               CAST(published_at AS VARCHAR) AS published_at FROM sized""",
         ),
         "knn_topk": _sql(
@@ -347,9 +363,36 @@ def oracle_sql() -> dict[str, str]:
         "daily_run": _sql(
             f"""{CLEAN}, {_STREAM_SILVER},
             recent AS (SELECT * FROM last WHERE dt >= DATE '{AS_OF}' - INTERVAL 1 DAY), {_points(silver='recent')}, {_LOOP}""",
-            f"SELECT qid, contexts, verdict, loops, {_BRIEFING} AS briefing FROM settled",
+            f"SELECT qid, contexts, verdict, loops, {_BRIEFING} AS briefing, '{AS_OF}' AS dt FROM settled",
+        ),
+        "indexed_total": _sql(
+            CLEAN,
+            "SELECT CAST(drop_no AS INTEGER) AS batch, count(DISTINCT id) AS indexed FROM clean GROUP BY drop_no",
+        ),
+        "empty_inputs": _sql(
+            SILVER,
+            """SELECT unnest(['hits', 'contexts', 'briefings', 'points', 'published again', 'stored']) AS name,
+              unnest([0, 0, 0, 0, 0, count(*)]) AS n FROM silver""",
+        ),
+        "both_tables": _sql(
+            f"{CLEAN}, {_BRONZE}, {_STREAM_SILVER}",
+            """SELECT 'bronze' AS name, id, source, md5(title) AS title_md5, link FROM bronze
+            UNION ALL SELECT 'silver', id, source, md5(title), link FROM last""",
+        ),
+        "replayed_batches": _sql(
+            f"{CLEAN}, {_BRONZE}, {_STREAM_SILVER}",
+            f"""SELECT 'bronze' AS name, id, source, published_raw AS published, md5(title) AS title_md5 FROM bronze
+            UNION ALL SELECT 'silver', id, source, {_shown('published_at')}, md5(title) FROM last""",
+        ),
+        "silver_by_name": _sql(
+            f"{CLEAN}, {_STREAM_SILVER}",
+            f"SELECT {_SILVER_COLUMNS}, '9/0' AS opened FROM last WHERE last.dt = DATE '{DATE}'",
         ),
         "stream_bronze": _sql(f"{EV}, {_BRONZE}", f"SELECT {_BRONZE_COLUMNS} FROM bronze"),
         "stream_silver": _sql(f"{CLEAN}, {_STREAM_SILVER}", f"{silver_like} last"),
-        "stream_dedupe": _sql(EV, "SELECT DISTINCT id, link, title FROM ev"),
+        "stream_dedupe": _sql(
+            f"{EV}, {_BRONZE}",
+            f"""SELECT id, source, link, md5(title) AS title_md5, published_raw, {_shown('kafka_ts')} AS kafka_ts
+            FROM bronze""",
+        ),
     }

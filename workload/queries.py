@@ -17,9 +17,11 @@ from feedlake.operators.knn import knn
 from feedlake.operators.merge import insert_only, upsert
 from feedlake.operators.tables import compact
 from feedlake.plans import briefing as br
+from feedlake.plans.briefing import read_briefings
+from feedlake.plans.catalog import open_tables
 from feedlake.plans.daily import run_daily
-from feedlake.plans.index import collection, index_articles, recent, retrieve
-from feedlake.plans.ingest import poll_counters
+from feedlake.plans.index import collection, index_articles, points, recent, retrieve
+from feedlake.plans.ingest import poll_counters, publish_new
 from feedlake.plans.marts import (
     build_gold,
     daily_keyword,
@@ -32,8 +34,8 @@ from feedlake.plans.marts import (
 )
 from feedlake.plans.silver import arrival_order, cleaned, latest_order, silver
 from feedlake.schema import BRIEFING_TOP_K, SILVER_LOG
-from feedlake.session import cut_lineage, workspace
-from feedlake.sources.feeds import entries_from_documents, tagged
+from feedlake.session import cut_lineage, pin, workspace
+from feedlake.sources.feeds import entries_from_documents, tagged, unread_documents
 from feedlake.sources.messages import (
     decode,
     message_file_stream,
@@ -44,13 +46,16 @@ from feedlake.sources.messages import (
 from feedlake.streaming.streams import (
     event_stream,
     read_bronze,
+    read_first,
     read_silver,
+    run_ingest,
     start_bronze,
     start_dedupe,
     start_silver,
+    write_bronze,
     write_silver,
 )
-from workload.base import LAST_DROP, entries, events, feeds, shown, table
+from workload.base import LAST_DROP, drop_number, entries, events, feeds, shown, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,7 +68,8 @@ _QUERIES: dict[str, Query] = {}
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        _QUERIES[name] = fn
+        # Days must not depend on the zone of the machine.
+        _QUERIES[name] = lambda spark, sf: fn(pin(spark), sf)
         return fn
 
     return register
@@ -103,41 +109,82 @@ def _element(name: str, text):
     return F.concat(F.lit(f"<{name}>"), _escaped(text), F.lit(f"</{name}>"))
 
 
+def _rss(rows, more=""):
+    """A feed document per row, with elements of other name spaces beside the plain ones."""
+    return F.concat(
+        F.lit("<rss version='2.0' xmlns:media='urn:m' xmlns:atom='urn:a' xmlns:dc='urn:d'><channel><title>feed</title><item>"),
+        _element("title", rows["title"]),
+        F.lit("<media:title>picture</media:title>"),
+        _element("link", rows["link"]),
+        F.lit("<atom:link href='https://feeds.example/self'/>"),
+        _element("pubDate", F.coalesce(rows["published"], F.lit(""))),
+        _element("description", F.coalesce(rows["summary"], rows["description"])),
+        F.lit(f"</item>{more}</channel></rss>"),
+    )
+
+
+_SECOND_RSS = (
+    "<item><title>second</title><media:title>picture</media:title><guid>https://news.example/second</guid>"
+    "<dc:date>2025-11-03T10:00:00Z</dc:date><description>more</description></item>"
+)
+_SECOND_ATOM = (
+    "<entry><title>second</title><link href='https://news.example/second'/><updated>2025-11-03T10:00:00Z</updated>"
+    "<summary>more</summary></entry>"
+)
+
+
 @query("feed_items_xml")
 def q_feed_items_xml(spark, sf):
-    """Feed documents (RSS, and Atom for French texts) back to tagged entries."""
-    rows = entries(spark, sf).withColumn("text", F.coalesce("summary", "description"))
-    rss = F.concat(
-        F.lit("<rss version='2.0'><channel><title>feed</title><item>"),
-        _element("title", F.col("title")),
-        _element("link", F.col("link")),
-        _element("pubDate", F.col("published")),
-        _element("description", F.col("text")),
-        F.lit("</item></channel></rss>"),
-    )
+    """Feed documents of two entries (RSS, and Atom for French texts) back to tagged entries; some are broken."""
+    rows = entries(spark, sf)
     atom = F.concat(
-        F.lit("<feed xmlns='http://www.w3.org/2005/Atom'><title>feed</title><entry>"),
+        F.lit("<feed xmlns='http://www.w3.org/2005/Atom' xmlns:media='urn:m'><title>feed</title><entry>"),
         _element("title", F.col("title")),
-        F.lit("<link rel='alternate' href='"),
+        F.lit("<media:title>picture</media:title><link rel='alternate' href='"),
         _escaped(F.col("link")),
         F.lit("'/><link rel='self' href='https://feeds.example/self'/>"),
-        _element("published", F.col("published")),
+        _element("published", F.coalesce("published", F.lit(""))),
         F.lit("<summary type='html'>"),
-        _escaped(F.col("text")),
-        F.lit("</summary></entry></feed>"),
+        _escaped(F.coalesce("summary", "description")),
+        F.lit(f"</summary></entry>{_SECOND_ATOM}</feed>"),
     )
-    documents = rows.select("doc_id", "feed_url", F.when(F.col("description").isNull(), rss).otherwise(atom).alias("xml"))
-    found = tagged(entries_from_documents(documents), feeds(spark, sf))
+    xml = F.when(F.col("description").isNull(), _rss(rows, _SECOND_RSS)).otherwise(atom)
+    broken = F.col("doc_id") % 25 == 3
+    documents = rows.select("doc_id", "feed_url", F.when(broken, F.regexp_replace(xml, "second</title>.*$", "")).otherwise(xml).alias("xml"))
+    documents = cut_lineage(documents, "feed-documents")
+    read, unread = entries_from_documents(documents), unread_documents(documents)
+    both = read.select("doc_id", "feed_url", "entry_no", "link", "title", "published", "updated", "summary", "description")
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in both.dtypes[2:]]
+    found = tagged(both.unionByName(unread.select("doc_id", "feed_url", *none)), feeds(spark, sf))
     return found.select(
         "doc_id",
+        "entry_no",
         "source",
-        F.coalesce("link", F.lit("")).alias("link"),
+        "link",
         strip(F.col("title")).alias("title"),
         F.coalesce("published", F.lit("")).alias("published"),
+        "updated",
         F.md5(strip(F.coalesce("summary", "description"))).alias("text_md5"),
     )
 
 
+@query("feeds_to_log")
+def q_feeds_to_log(spark, sf):
+    """Feed documents that land in three drops, published where the log does not hold them yet."""
+    log = workspace(spark, "feed-log")
+    rows = entries(spark, sf)
+    rows = rows.withColumn("drop_no", drop_number(F.col("kafka_ts")))
+    landed = cut_lineage(rows.select("feed_url", _rss(rows).alias("xml"), "drop_no"), "landed")
+    for n in range(LAST_DROP + 1):
+        documents = landed.filter(F.col("drop_no") == n).select("feed_url", "xml")
+        publish_new(documents, feeds(spark, sf), log, F.lit("now"), F.lit(f"2025-11-0{n + 1} 00:00:00").cast("timestamp"))
+    sent = decode(message_files(spark, log))
+    return sent.select(
+        "id", "source", F.md5("title").alias("title_md5"), F.md5("summary").alias("summary_md5"), "link", "published_raw",
+        "ingested_at", shown(F.col("kafka_ts")).alias("sent_at"),
+    )
+
+
 @query("feed_events")
 def q_feed_events(spark, sf):
     return events(spark, sf).select(
@@ -306,11 +353,17 @@ def q_embed_text(spark, sf):
     return _silver(spark, sf).select("id", F.md5(embed_text(F.col("title"), F.col("body"))).alias("text_md5"))
 
 
+def _components():
+    """The 32 different values of a hash embedding, and whether the rest repeats them."""
+    vector = F.col("vector")
+    repeats = F.flatten(F.array_repeat(F.slice(vector, 1, 32), 48)) == vector
+    return [*[F.round(F.get(vector, F.lit(i)), 8).alias(f"v{i}") for i in range(32)], repeats.alias("repeats")]
+
+
 @query("hash_embedding")
 def q_hash_embedding(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", vec.hash_embedding(F.col("text")).alias("vector"))
-    parts = [F.round(F.get("vector", F.lit(i)), 8).alias(f"v{i}") for i in (0, 17, 31, 1535)]
-    return rows.select("doc_id", F.size("vector").alias("dim"), F.round(vec.norm(F.col("vector")), 8).alias("length"), *parts)
+    return rows.select("doc_id", F.size("vector").alias("dim"), F.round(vec.norm(F.col("vector")), 8).alias("length"), *_components())
 
 
 @query("point_id")
@@ -328,8 +381,7 @@ def q_vector_upsert(spark, sf):
     stored = collection(spark, root)
     return stored.select(
         F.col("point_id").cast("string").alias("point_id"),
-        F.round(F.get("vector", F.lit(0)), 8).alias("v0"),
-        F.round(F.get("vector", F.lit(1535)), 8).alias("v1535"),
+        *_components(),
         "payload.article_id",
         "payload.source",
         "payload.title",
@@ -339,6 +391,35 @@ def q_vector_upsert(spark, sf):
     )
 
 
+@query("indexed_total")
+def q_indexed_total(spark, sf):
+    """What each of three index jobs reports."""
+    root = workspace(spark, "points")
+    rows = events(spark, sf)
+    drops = [rows.filter(F.col("drop_no") == n) for n in range(LAST_DROP + 1)]
+    counts = [(n, index_articles(silver(drop), root, n, KNN_DIM)) for n, drop in enumerate(drops)]
+    return spark.createDataFrame(counts, "batch int, indexed long")
+
+
+@query("empty_inputs")
+def q_empty_inputs(spark, sf):
+    """Rows that jobs make of no questions, no articles in reach and no new events."""
+    asked = _questions(spark, sf).filter(F.length("text") < 0)
+    stored = _stored_points(spark, sf)
+    old = recent(_silver(spark, sf), "2999-01-01", 1)
+    rows = events(spark, sf)
+    parts = {
+        "hits": retrieve(asked, stored, BRIEFING_TOP_K),
+        "contexts": br.contexts(asked, retrieve(asked, stored, BRIEFING_TOP_K)),
+        "briefings": br.run_briefings(asked.withColumnRenamed("text", "query"), lambda q: retrieve(q, stored, BRIEFING_TOP_K)),
+        "points": points(old),
+        "published again": first_seen(rows, arrival_order(), rows),
+        "stored": stored,
+    }
+    counts = [part.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, part in parts.items()]
+    return reduce(lambda left, right: left.unionByName(right), counts)
+
+
 def _questions(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
 
@@ -432,23 +513,69 @@ def q_stream_silver(spark, sf):
     return _silver_shown(read_silver(spark, path))
 
 
+@query("both_tables")
+def q_both_tables(spark, sf):
+    """Bronze and silver from one definition of the events."""
+    root = workspace(spark, "both")
+    rows = events(spark, sf)
+    for n in range(LAST_DROP + 1):
+        publish_files(to_messages(rows.filter(F.col("drop_no") == n), "kafka_ts"), f"{root}/inbox")
+        run_ingest(message_file_stream(spark, f"{root}/inbox"), root, availableNow=True)
+    bronze, clean = read_bronze(spark, f"{root}/bronze"), read_silver(spark, f"{root}/silver")
+    columns = ["id", "source", F.md5("title").alias("title_md5"), "link"]
+    return bronze.select(F.lit("bronze").alias("name"), *columns).unionByName(clean.select(F.lit("silver").alias("name"), *columns))
+
+
+@query("replayed_batches")
+def q_replayed_batches(spark, sf):
+    """Bronze and silver after batches were delivered again."""
+    root = workspace(spark, "replayed")
+    drops = [events(spark, sf).filter(F.col("drop_no") == n) for n in range(LAST_DROP + 1)]
+    for n in (0, 0, 1, 2, 2, 1):
+        write_bronze(drops[n], n, f"{root}/bronze")
+        write_silver(drops[n], n, f"{root}/silver")
+    bronze, clean = read_bronze(spark, f"{root}/bronze"), read_silver(spark, f"{root}/silver")
+    columns = ["id", "source", "published", F.md5("title").alias("title_md5")]
+    bronze = bronze.withColumn("published", F.col("published_raw"))
+    clean = clean.withColumn("published", shown(F.col("published_at")))
+    return bronze.select(F.lit("bronze").alias("name"), *columns).unionByName(clean.select(F.lit("silver").alias("name"), *columns))
+
+
 @query("stream_dedupe")
 def q_stream_dedupe(spark, sf):
     """First event per id over a delay longer than the log."""
     path = _stream(spark, sf, "dedupe", lambda m, t: start_dedupe(m, t, "400 days", availableNow=True))
-    return spark.read.parquet(f"{path}/data").select("id", "link", "title")
+    rows = read_first(spark, path)
+    return rows.select("id", "source", "link", F.md5("title").alias("title_md5"), "published_raw", shown(F.col("kafka_ts")).alias("kafka_ts"))
+
+
+@query("silver_by_name")
+def q_silver_by_name(spark, sf):
+    """One day of silver through its catalog name, with a snapshot and a later batch."""
+    root = workspace(spark, "named")
+    database = "d" + root.rsplit("-", 1)[-1]
+    rows = events(spark, sf)
+    opened = [open_tables(spark, database, root)]
+    for n in range(LAST_DROP + 1):
+        write_silver(rows.filter(F.col("drop_no") == n), n, f"{root}/silver")
+        if n == 1:
+            compact(spark, f"{root}/silver", SILVER_LOG, "id", "dt")
+    opened.append(open_tables(spark, database, root))
+    named = spark.table(f"{database}.silver_news").filter(F.col("dt") == F.to_date(F.lit(DATE)))
+    return _silver_shown(named).withColumn("opened", F.lit("/".join(str(len(names)) for names in opened)))
 
 
 @query("daily_run")
 def q_daily_run(spark, sf):
-    """The daily jobs for one date on stored silver: marts, index of recent articles, briefings."""
+    """The daily jobs for one date on stored silver: marts, index of recent articles, briefings; these as filed."""
     root = workspace(spark, "daily")
     rows = events(spark, sf)
     for n in range(LAST_DROP + 1):
         write_silver(rows.filter(F.col("drop_no") == n), n, f"{root}/silver")
     compact(spark, f"{root}/silver", SILVER_LOG, "id", "dt")
     asked = _questions(spark, sf).withColumnRenamed("text", "query")
-    return run_daily(spark, root, AS_OF, asked, lookback=1).select("qid", "contexts", "verdict", "loops", "briefing")
+    done = run_daily(spark, root, AS_OF, asked, lookback=1).select("qid", "contexts", "verdict", "loops")
+    return done.join(read_briefings(spark, f"{root}/briefings").select("dt", "qid", "briefing"), "qid")
 
 
 def queries() -> dict[str, Query]:
