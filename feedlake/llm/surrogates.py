@@ -14,8 +14,8 @@ surrogate from a keyed hash, so all its mentions in the corpus stay the same ent
 
 Collision check: a surrogate that two entities share, or that is itself an entity of the
 corpus, goes to the least of them or to none, and the others draw again until none
-is left. Entities are few against texts; they are drawn, checked and joined as stored tables, and
-only texts with mentions are shuffled.
+is left. Entities are few against texts; they are drawn, checked and joined as stored tables. The
+surrogates of each text go to the texts by broadcast if they are small enough, else both are shuffled.
 
 Built-in expressions only. Defined results: null texts stay null, texts without a mention stay as
 they are; rows with equal id and text get equal results; an empty table gives an
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import cut_lineage
+from feedlake.session import BROADCAST_BYTES, measure
 
 # Titles with the gender they show, and given names by gender and script.
 TITLES = {
@@ -62,7 +63,7 @@ _PART = r"\p{Lu}[\p{L}'’-]+"
 _TITLE = "(?:" + "|".join(t for group in TITLES.values() for t in group) + ")"
 _KNOWN = "(?:" + "|".join(n for group in GIVEN.values() for n in group) + ")"
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "iban": r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
     "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
@@ -70,8 +71,11 @@ PATTERNS = {
     "card": r"(?<![\p{L}\d])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,4}(?![\p{L}\d])",
     "name": rf"(?<!\p{{L}})(?:{_TITLE}\.? {_PART}(?: {_PART})?|{_KNOWN} {_PART})",
 }
+# Which characters a pattern can begin with is looked at first, which spares most places the rest.
+_FIRST = {"ip": "[0-9]", "iban": "[A-Z]{2}[0-9]", "phone": r"[0-9+(]", "ssn": "[0-9]", "card": "[0-9]", "name": r"[\p{Lu}г]"}
+_GUARDED = {kind: (f"(?={_FIRST[kind]})" if kind in _FIRST else "") + f"(?:{pattern})" for kind, pattern in PATTERNS.items()}
 # One alternation; the numbered group of the card pattern is the only one.
-MENTION = "|".join(PATTERNS.values())
+MENTION = "|".join(_GUARDED.values())
 ATTEMPTS = 64
 
 
@@ -216,7 +220,9 @@ def _dressed(kind: Column, mention: Column, surrogates: Column) -> Column:
 def mentions(docs: DataFrame) -> DataFrame:
     """(_id, _text, _at, kind, mention, parts): the mentions of the different (id, text), in order; stored."""
     ident, text = _keyed(docs)
-    found = docs.filter(F.rlike(docs["text"], F.lit(MENTION))).select(
+    # A text without these has no mention and is not searched for all of them.
+    quick = F.contains(docs["text"], F.lit("@")) | F.rlike(docs["text"], F.lit("[0-9][0-9.]")) | F.rlike(docs["text"], F.lit(_GUARDED["name"]))
+    found = docs.filter(quick).filter(F.rlike(docs["text"], F.lit(MENTION))).select(
         ident.alias("_id"), text.alias("_text"), F.regexp_extract_all(docs["text"], F.lit(MENTION), 0).alias("_found")
     )
     found = found.dropDuplicates(["_id", "_text"])
@@ -225,7 +231,7 @@ def mentions(docs: DataFrame) -> DataFrame:
     return rows.withColumn("parts", _parts(F.col("kind"), F.col("mention")))
 
 
-def pseudonymized(docs: DataFrame, key: str) -> DataFrame:
+def pseudonymized(docs: DataFrame, key: str, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """`docs` with replaced text, and `_n_entities`, the mentions replaced."""
     found = mentions(docs)
     parts = found.select("_id", "_text", "_at", "kind", "mention", F.posexplode("parts").alias("_no", "p")).select("_id", "_text", "_at", "kind", "mention", "_no", "p.*")
@@ -238,12 +244,14 @@ def pseudonymized(docs: DataFrame, key: str) -> DataFrame:
     dressed = known.select("_id", "_text", "_at", _dressed(F.col("kind"), F.col("mention"), F.col("_surrogates")).alias("_fresh"))
     per_text = dressed.groupBy("_id", "_text").agg(F.array_sort(F.collect_list(F.struct("_at", "_fresh"))).alias("_fresh"))
     per_text = cut_lineage(per_text, "surrogates-texts")
-    touched = F.coalesce(F.rlike(docs["text"], F.lit(MENTION)), F.lit(False))
-    ident, text = _keyed(docs)
-    joined = docs.filter(touched).join(per_text.hint("shuffle_hash"), ident.eqNullSafe(per_text["_id"]) & (text == per_text["_text"]))
+    small = measure(per_text)[1] <= limit_bytes
+    per_text = F.broadcast(per_text) if small else per_text.hint("shuffle_hash")
+    ident, key_of_text = _keyed(docs)
+    joined = docs.join(per_text, ident.eqNullSafe(per_text["_id"]) & (key_of_text == per_text["_text"]), "left")
     fresh = F.transform(per_text["_fresh"], lambda f: f["_fresh"])
     pieces = F.arrays_zip(F.split(docs["text"], MENTION, -1).alias("gap"), fresh.alias("fresh"))
     rest = F.array_join(F.transform(pieces, lambda p: F.concat(p["gap"], F.coalesce(p["fresh"], F.lit("")))), "")
-    columns = [rest.alias("text") if name == "text" else docs[name] for name in docs.columns]
-    replaced = joined.select(*columns, F.size(per_text["_fresh"]).cast("long").alias("_n_entities"))
-    return replaced.unionByName(docs.filter(~touched).select(*[docs[c] for c in docs.columns], F.lit(0).cast("long").alias("_n_entities")))
+    text = F.when(per_text["_fresh"].isNull(), docs["text"]).otherwise(rest)
+    columns = [text.alias("text") if name == "text" else docs[name] for name in docs.columns]
+    mentioned = F.when(per_text["_fresh"].isNull(), 0).otherwise(F.size(per_text["_fresh"]))
+    return joined.select(*columns, mentioned.cast("long").alias("_n_entities"))

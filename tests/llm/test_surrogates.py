@@ -74,6 +74,12 @@ def test_distinct_entities_stay_distinct(spark):
     assert not any(a & b for a, b in zip(before, after))
 
 
+def test_both_ways_to_the_texts(spark):
+    docs = plain(spark, *[(i, f"mail user{i}.x@mail{i % 3}.example.com and 10.0.0.{i}") for i in range(40)], (None, None), (99, "none"))
+    ways = [sorted(map(repr, surrogates.pseudonymized(docs, KEY, limit).collect())) for limit in (0, 1 << 30)]
+    assert ways[0] == ways[1] and len(ways[0]) == 42
+
+
 def test_key_decides(spark):
     docs = plain(spark, (1, "see 1.2.3.4"))
     first, again, other = (surrogates.pseudonymized(docs, key).first()["text"] for key in ("a", "a", "b"))
