@@ -150,28 +150,46 @@ def battery(candidates: DataFrame) -> DataFrame:
         total(F.transform("codes", lambda x: high(x).cast("double"))).alias("_high"),
         (1 + total(F.zip_with(behind, ahead, lambda a, b: (high(a) != high(b)).cast("double")))).alias("_runs"),
     )
-    chi = F.col("_squares") * F.col("_k") / F.col("_n") - F.col("_n")
-    # Mean and variance of the statistic itself, which hold where cells are sparse.
-    z_chi = (chi - (F.col("_k") - 1)) / F.sqrt(2 * (F.col("_k") - 1) * (F.col("_n") - 1) / F.col("_n"))
-    # Its upper tail is skewed; the cube root of the ratio to its mean is nearly normal.
-    spread = 2 / (9 * F.col("_k"))
-    z_cube = (F.pow(F.greatest(chi, F.lit(0.0)) / (F.col("_k") - 1), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
-    p_chi = normal_tail(F.least(z_chi, z_cube))
+    # Every step is a projection of its own: the formulas use their parts many times.
     up, down = F.col("_high"), F.col("_n") - F.col("_high")
-    mixed = 2 * up * down
-    runs_mean = mixed / F.col("_n") + 1
-    runs_variance = mixed * (mixed - F.col("_n")) / (F.col("_n") * F.col("_n") * (F.col("_n") - 1))
-    z_runs = F.when(runs_variance > 0, F.abs(F.col("_runs") - runs_mean) / F.sqrt(runs_variance)).otherwise(F.lit(8.0))
     mean = F.col("_s1") / F.col("_n")
-    variance = F.col("_s2") - F.col("_n") * mean * mean
-    lagged = F.col("_s11") - mean * (2 * F.col("_s1") - F.col("_ends")) + (F.col("_n") - 1) * mean * mean
-    z_serial = F.when(variance > 0, F.abs(lagged / variance + 1 / (F.col("_n") - 1)) * F.sqrt(F.col("_n"))).otherwise(F.lit(8.0))
+    rows = rows.withColumns(
+        {
+            "_chi": F.col("_squares") * F.col("_k") / F.col("_n") - F.col("_n"),
+            "_mixed": 2 * up * down,
+            "_variance": F.col("_s2") - F.col("_n") * mean * mean,
+            "_lagged": F.col("_s11") - mean * (2 * F.col("_s1") - F.col("_ends")) + (F.col("_n") - 1) * mean * mean,
+        }
+    )
+    # Mean and variance of the statistic itself, which hold where cells are sparse; and as its upper
+    # tail is skewed, the cube root of its ratio to the mean, which is nearly normal.
+    spread = 2 / (9 * F.col("_k"))
+    ratio = F.greatest("_chi", F.lit(0.0)) / (F.col("_k") - 1)
+    runs_variance = F.col("_mixed") * (F.col("_mixed") - F.col("_n")) / (F.col("_n") * F.col("_n") * (F.col("_n") - 1))
+    rows = rows.withColumns(
+        {
+            "_z_chi": F.least(
+                (F.col("_chi") - (F.col("_k") - 1)) / F.sqrt(2 * (F.col("_k") - 1) * (F.col("_n") - 1) / F.col("_n")),
+                (F.pow(ratio, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread),
+            ),
+            "_z_runs": F.when(
+                runs_variance > 0, F.abs(F.col("_runs") - F.col("_mixed") / F.col("_n") - 1) / F.sqrt(runs_variance)
+            ).otherwise(F.lit(8.0)),
+            "_z_serial": F.when(
+                F.col("_variance") > 0, F.abs(F.col("_lagged") / F.col("_variance") + 1 / (F.col("_n") - 1)) * F.sqrt("_n")
+            ).otherwise(F.lit(8.0)),
+        }
+    )
     least = F.lit(1e-300)
-    logs = [F.log(F.greatest(p, least)) for p in (p_chi, 2 * normal_tail(z_runs), 2 * normal_tail(z_serial))]
-    half = -F.least(F.lit(0.0), logs[0] + logs[1] + logs[2])
-    p_random = F.exp(-half) * (1 + half + half * half / 2)  # upper tail of chi-squared with 6 degrees
-    work = ["_n", "_k", "_squares", "_s1", "_s2", "_s11", "_ends", "_high", "_runs"]
-    return rows.withColumn("p_random", p_random).drop(*work)
+    logs = {
+        "_log_chi": F.log(F.greatest(normal_tail(F.col("_z_chi")), least)),
+        "_log_runs": F.log(F.greatest(2 * normal_tail(F.col("_z_runs")), least)),
+        "_log_serial": F.log(F.greatest(2 * normal_tail(F.col("_z_serial")), least)),
+    }
+    rows = rows.withColumns(logs).withColumn("_half", -F.least(F.lit(0.0), F.col("_log_chi") + F.col("_log_runs") + F.col("_log_serial")))
+    half = F.col("_half")
+    joined = F.exp(-half) * (1 + half + half * half / 2)  # upper tail of chi-squared with 6 degrees
+    return rows.select(*candidates.columns, joined.alias("p_random"))
 
 
 def ordinary_use(runs: DataFrame) -> dict[str, float]:
@@ -208,8 +226,8 @@ def _candidates(runs: DataFrame, counts: dict[str, float]) -> DataFrame:
     coded = cut_lineage(coded.withColumn("codes", code).drop("alphabet", "_bare"), "secrets-candidates")
     n = F.size("codes").cast("double")
     score = F.aggregate("codes", F.lit(0.0), lambda s, c: s + F.get("ratio", c))
-    p_ordinary = normal_tail((score - n * F.col("mean")) / F.sqrt(n * F.col("variance")))
-    tested = battery(coded).withColumn("p_ordinary", F.when(F.col("variance") > 0, p_ordinary).otherwise(F.lit(1.0)))
+    tested = battery(coded).withColumn("_z", (score - n * F.col("mean")) / F.sqrt(n * F.col("variance")))
+    tested = tested.withColumn("p_ordinary", F.when(F.col("variance") > 0, normal_tail(F.col("_z"))).otherwise(F.lit(1.0)))
     return tested.withColumn("length_class", F.least(F.floor(F.log2(n) + 1e-9), F.lit(7)).cast("int"))
 
 
