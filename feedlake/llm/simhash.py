@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import cut_lineage, ids_and_texts, map_rows
+from feedlake.session import BROADCAST_BYTES, measure
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -227,17 +228,26 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int =
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, limit_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """The rows of `docs` with the smallest id of their component, all columns kept.
 
-    Of rows that share this id one stays. Rows without an id stay.
+    What is joined to the texts are the ids that go, which are fewer than those that stay, as a
+    rule; up to `limit_bytes` of them are broadcast, and the texts are not shuffled. An id stays if any of its rows has the smallest id of its component; of rows that share an
+    id one stays. Rows without an id stay.
     """
     found = near_duplicates(docs, size, max_bits)
-    heads = cut_lineage(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_head")), "simhash-heads")
-    kept = docs.join(heads.distinct(), docs["doc_id"] == heads["_head"], "left_semi")
-    if heads.groupBy("_head").count().filter("count > 1").take(1):
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    heads = F.max((F.col("doc_id") == F.col("component_id")).cast("int"))
+    ids = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(heads.alias("_head"), F.count(F.lit(1)).alias("_rows"))
+    ids = cut_lineage(ids.withColumnRenamed("doc_id", "_doc"), "simhash-ids")
+    gone = cut_lineage(ids.filter("_head = 0").select("_doc"), "simhash-gone")
+    if measure(gone)[1] <= limit_bytes:
+        gone = F.broadcast(gone)
+    kept = docs.join(gone, docs["doc_id"] == gone["_doc"], "left_anti")
+    if ids.filter("_head = 1 AND _rows > 1").take(1):
+        kept = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id IS NULL"))
+    return kept
 
 
 def hex_digits(value: Column) -> Column:

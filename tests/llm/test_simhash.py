@@ -111,9 +111,10 @@ def test_odd_rows(spark):
         assert (value - (1 << 64) if value >> 63 else value) in {f for f, _ in of[doc]}
 
 
-def test_one_document_stays(spark):
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_one_document_stays(spark, limit):
     docs = plain(spark, *odd_rows())
-    kept = simhash.deduplicated(docs)
+    kept = simhash.deduplicated(docs, limit_bytes=limit)
     assert kept.columns == docs.columns
     ids = sorted((r["doc_id"] for r in kept.collect()), key=lambda i: (i is not None, i or 0))
     assert ids == [None, None, 1, 4, 6, 7, 8]
