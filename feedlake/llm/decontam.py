@@ -4,9 +4,9 @@ A seed is a mask over token positions; positions with 0 are ignored, so that a
 substituted token there does not spoil the hash. Every window of every benchmark
 item is hashed under every mask, the windows of all documents are probed against
 these hashes, and around each hit the item and the document are compared token by
-token without gaps: all tokens that lie side by side, or else the best stretch of them,
-scored +1 for an equal token and -2 for an unequal one, are an overlap if they are
-enough and enough of them are equal.
+token without gaps: all tokens that lie side by side, or else any stretch of them, are an
+overlap if they are enough and enough of them are equal. Of several stretches the one with
+the most equal tokens is given.
 
 The benchmark side is what is broadcast. It is measured first and dealt into
 slices of a bounded number of tokens; documents are scanned once per slice and
@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,6 @@ MASKS = ("11000101011", "1110111", "10100100111")
 MIN_TOKENS = 13
 LEAST_TOKENS = 8
 MIN_EQUAL = 0.8
-MISMATCH = -2
 # Long items are cut into pieces that share this many tokens with the next.
 PIECE_TOKENS, PIECE_OVERLAP = 4096, 64
 # Benchmark tokens in one broadcast: 24 bytes each per mask, 36 MB in all.
@@ -113,21 +113,31 @@ def build_index(rows: list, masks: tuple, min_tokens: int, min_equal: float) ->
     return Index([row["item_id"] for row in rows], pieces, built, min_tokens, min_equal)
 
 
-def best_stretch(equal: np.ndarray) -> tuple[int, int]:
-    """[from, to) of the stretch with the largest score; the first one of equals."""
-    sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, MISMATCH))])
-    gains = sums - np.minimum.accumulate(sums)
-    to = int(np.argmax(gains))
-    return int(np.argmin(sums[: to + 1])), to
+def best_stretch(equal: np.ndarray, least: int, share: float) -> tuple[int, int]:
+    """[from, to) of the stretch of `least` tokens or more that holds the most equal ones, of all whose
+    share of equal tokens is enough, cut to the tokens it needs; the first one of equals, (0, 0) if there is none."""
+    part = Fraction(share).limit_denominator(1000)
+    same = np.concatenate([[0], np.cumsum(equal)])
+    # A stretch has the share if its sum of these scores is not below 0. For each start the last such
+    # stop is the best one: it is where the largest sum from there on falls below that of the start.
+    sums = part.denominator * same - part.numerator * np.arange(len(same))
+    later = np.maximum.accumulate(sums[::-1])[::-1]
+    stops = np.searchsorted(-later, -sums, "right") - 1
+    gains = np.where(stops - np.arange(len(same)) >= least, same[stops] - same, -1)
+    start = int(np.argmax(gains))
+    if gains[start] < 0:
+        return 0, 0
+    stop = max(int(np.searchsorted(same, same[stops[start]])), start + least)
+    return min(int(np.searchsorted(same, same[start], "right")) - 1, stop - least), stop
 
 
 def best_overlap(equal: np.ndarray, least: int, share: float) -> tuple[int, int]:
     """[from, to) of all tokens that lie side by side, or else of their best stretch, if it is
     long and equal enough; (0, 0) if neither is."""
-    for start, stop in ((0, len(equal)), best_stretch(equal)):
-        if stop - start >= max(1, least) and equal[start:stop].sum() >= share * (stop - start):
-            return start, stop
-    return 0, 0
+    least, same = max(1, least), int(np.count_nonzero(equal))
+    if len(equal) < least or same < share * least:
+        return 0, 0
+    return (0, len(equal)) if same >= share * len(equal) else best_stretch(equal, least, share)
 
 
 def overlaps(index: Index, tokens: np.ndarray) -> dict:

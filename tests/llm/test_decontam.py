@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 from feedlake.llm import decontam
@@ -60,6 +61,54 @@ def test_against_all_diagonals(spark):
     assert exact <= found
 
 
+def every_stretch(equal):
+    """Most equal tokens of a stretch of 13 or more with 80 % equal ones, trying all (start, stop); 0 if there is none."""
+    sizes = [(sum(equal[a:b]), b - a) for a in range(len(equal)) for b in range(a + 13, len(equal) + 1)]
+    return max((same for same, size in sizes if 5 * same >= 4 * size), default=0)
+
+
+def test_stretch_against_all_stretches():
+    rng = random.Random(4)
+    for n in range(600):
+        level = rng.random()
+        equal = [rng.random() < (level if k < 30 else 0.6) for k in range(rng.randrange(1, 60))]
+        start, stop = decontam.best_overlap(np.array(equal), 13, 0.8)
+        assert sum(equal[start:stop]) == every_stretch(equal), equal
+        assert stop == 0 or stop - start >= 13 and 5 * sum(equal[start:stop]) >= 4 * (stop - start)
+
+
+def test_against_all_stretches(spark):
+    benchmark, docs = cases(11)
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(plain(spark, *docs), items(spark, *benchmark)).collect()}
+    expected = set()
+    for (d, text), (i, item) in itertools.product(docs, benchmark):
+        a, b = text.split(), item.split()
+        for diagonal in range(-len(b), len(a)):
+            equal = [a[k] == b[k - diagonal] for k in range(max(0, diagonal), min(len(a), diagonal + len(b)))]
+            whole = len(equal) == len(b) and 5 * sum(equal) >= 4 * len(b)
+            if whole or every_stretch(equal):
+                expected.add((d, i))
+    assert found <= expected
+    assert len(found) >= 0.95 * len(expected) > 20
+
+
+@pytest.mark.parametrize("exact", [13, 16, 20, 30, 40])
+@pytest.mark.parametrize("tail", [50, 75, 100])
+def test_passage_with_an_edited_tail(spark, exact, tail):
+    rng = random.Random(exact * tail)
+    item = words(rng, exact + tail, 10_000).split()
+    copy = [w if k < exact or k % 10 not in (2, 5, 8) else f"changed{k}" for k, w in enumerate(item)]
+    index = decontam.build_index([{"item_id": 1, "tokens": list(decontam.Words().hashes(" ".join(item)).view("int64"))}], decontam.MASKS, 13, 0.8)
+    assert decontam.overlaps(index, decontam.Words().hashes(" ".join(copy)))[1][0] >= exact
+
+
+def test_short_run_before_a_passage():
+    # 12 equal tokens, a gap, then 13 tokens with two substitutions, on one diagonal.
+    equal = [True] * 12 + [False] * 20 + [k not in (4, 8) for k in range(13)]
+    start, stop = decontam.best_overlap(np.array(equal), 13, 0.8)
+    assert sum(equal[start:stop]) == every_stretch(equal) == 12
+
+
 def test_slices_find_the_same(spark):
     benchmark, docs = cases(12)
     frames = plain(spark, *docs), items(spark, *benchmark)
