@@ -12,11 +12,12 @@ The benchmark side is what is broadcast. It is measured first and dealt into
 slices of a bounded number of tokens; documents are scanned once per slice and
 never shuffled, so hot sources and copies need no care.
 
-Tokens are runs of letters and digits in lower case.
+Tokens are runs of letters and digits in lower case, and in scripts without spaces
+(Chinese, Japanese, Thai and the like) each letter.
 
-Defined results: null or empty texts overlap nothing; items with fewer than
+Defined results: null or empty texts and items of a single token overlap nothing; items with fewer than
 `min_tokens` tokens are matched only as a whole, and items below `least_tokens` tokens
-not at all, since they identify nothing; equal items give one row each; repeated
+only as a whole with all tokens equal; equal items give one row each; repeated
 document rows give one row each; empty tables give empty results. Columns other
 than the id and the text are passed through by `clean` and ignored otherwise.
 """
@@ -42,6 +43,8 @@ from feedlake.llm.common import cut_lineage, ids_and_texts, map_rows
 MASKS = ("11000101011", "1110111", "10100100111")
 MIN_TOKENS = 13
 LEAST_TOKENS = 8
+# An item of a single word is no passage: every text with the word would count.
+FEWEST_TOKENS = 2
 MIN_EQUAL = 0.8
 # Long items are cut into pieces that share this many tokens with the next.
 PIECE_TOKENS, PIECE_OVERLAP = 4096, 64
@@ -50,7 +53,13 @@ SLICE_TOKENS = 500_000
 # Distinct words whose hash a task remembers.
 WORD_CACHE = 200_000
 
-_TOKEN = re.compile(r"[^\W_]+")
+# Kana, ideographs with their extensions, Thai to Myanmar, Khmer.
+_SPACELESS = (
+    "\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\uff66-\uff9f\u3005-\u3007\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\U00020000-\U0003ffff\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff"
+)
+_TOKEN = re.compile(rf"[^\W_{_SPACELESS}]+|(?!_)[{_SPACELESS}](?<=\w)")
+_ASCII_TOKEN = re.compile(r"[^\W_]+")
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(64)], dtype=np.uint64)
 
 
@@ -64,7 +73,7 @@ class Words(dict):
         return value
 
     def hashes(self, text: str) -> np.ndarray:
-        found = _TOKEN.findall(text.lower())
+        found = (_ASCII_TOKEN if text.isascii() else _TOKEN).findall(text.lower())
         return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
 
 
@@ -89,10 +98,11 @@ class Index:
     pieces: list  # token hashes, by piece
     masks: list  # (mask, sorted hashes, piece of each, position of each, bitmap by the top 20 bits)
     min_tokens: int
+    least_tokens: int
     min_equal: float
 
 
-def build_index(rows: list, masks: tuple, min_tokens: int, min_equal: float) -> Index:
+def build_index(rows: list, masks: tuple, min_tokens: int, min_equal: float, least_tokens: int = LEAST_TOKENS) -> Index:
     pieces = [np.array(row["tokens"], dtype=np.int64).view(np.uint64) for row in rows]
     longest = max(len(mask) for mask in masks)
     short = {"1" * len(p) for p in pieces if len(p) < longest}
@@ -110,7 +120,7 @@ def build_index(rows: list, masks: tuple, min_tokens: int, min_equal: float) ->
         bitmap = np.zeros(1 << 20, bool)
         bitmap[hashes >> np.uint64(44)] = True
         built.append((mask, hashes[order], owner[order], place[order], bitmap))
-    return Index([row["item_id"] for row in rows], pieces, built, min_tokens, min_equal)
+    return Index([row["item_id"] for row in rows], pieces, built, min_tokens, least_tokens, min_equal)
 
 
 def best_stretch(equal: np.ndarray, least: int, share: float) -> tuple[int, int]:
@@ -143,7 +153,7 @@ def best_overlap(equal: np.ndarray, least: int, share: float) -> tuple[int, int]
 def overlaps(index: Index, tokens: np.ndarray) -> dict:
     """item id -> (equal tokens, tokens, position in the document, in the piece) of its best overlap."""
     found: dict = {}
-    tried = set()
+    tried, whole = set(), set()
     for mask, hashes, owner, place, bitmap in index.masks:
         probes = seeded(tokens, mask)
         if not len(probes):
@@ -159,10 +169,15 @@ def overlaps(index: Index, tokens: np.ndarray) -> dict:
                     continue
                 tried.add((piece, diagonal))
                 item = index.pieces[piece]
+                if piece in whole:
+                    continue
                 low, high = max(0, diagonal), min(len(tokens), diagonal + len(item))
                 equal = tokens[low:high] == item[low - diagonal : high - diagonal]
-                start, stop = best_overlap(equal, min(index.min_tokens, len(item)), index.min_equal)
+                share = index.min_equal if len(item) >= index.least_tokens else 1
+                start, stop = best_overlap(equal, min(index.min_tokens, len(item)), share)
                 if stop:
+                    if share == 1:  # its first place is the best, and a short item may have many
+                        whole.add(piece)
                     entry = (int(equal[start:stop].sum()), stop - start, -(low + start), low + start - diagonal)
                     name = index.items[piece]
                     if name not in found or entry > found[name]:
@@ -170,7 +185,7 @@ def overlaps(index: Index, tokens: np.ndarray) -> dict:
     return {name: (same, size, -negative, at) for name, (same, size, negative, at) in found.items()}
 
 
-def _benchmark_pieces(benchmark: DataFrame, least_tokens: int) -> DataFrame:
+def _benchmark_pieces(benchmark: DataFrame) -> DataFrame:
     def task():
         words = Words()
 
@@ -178,7 +193,7 @@ def _benchmark_pieces(benchmark: DataFrame, least_tokens: int) -> DataFrame:
             out = {"item_id": [], "n": [], "tokens": []}
             for item, text in zip(rows["item_id"], rows["text"], strict=True):
                 tokens = words.hashes(text).view(np.int64)
-                if len(tokens) < least_tokens:
+                if len(tokens) < FEWEST_TOKENS:
                     continue
                 for at in range(0, max(1, len(tokens) - PIECE_OVERLAP), PIECE_TOKENS - PIECE_OVERLAP):
                     piece = tokens[at : at + PIECE_TOKENS]
@@ -198,7 +213,7 @@ def indexes(benchmark: DataFrame, masks=MASKS, min_tokens=MIN_TOKENS, least_toke
             min_equal=MIN_EQUAL, slice_tokens=SLICE_TOKENS) -> list:
     """The benchmark as broadcast slices, each of about `slice_tokens` tokens."""
     spark = benchmark.sparkSession
-    pieces = cut_lineage(_benchmark_pieces(benchmark, least_tokens), "decontam-benchmark")
+    pieces = cut_lineage(_benchmark_pieces(benchmark), "decontam-benchmark")
     total = pieces.agg(F.sum("n")).first()[0] or 0
     slices = max(1, math.ceil(total / slice_tokens))
     dealt = pieces.withColumn("slice", F.pmod(F.xxhash64("item_id", "tokens"), F.lit(slices)))
@@ -206,7 +221,7 @@ def indexes(benchmark: DataFrame, masks=MASKS, min_tokens=MIN_TOKENS, least_toke
     for k in range(slices if total else 0):
         rows = dealt.filter(F.col("slice") == k).select("item_id", "tokens").collect()
         if rows:
-            found.append(spark.sparkContext.broadcast(build_index(rows, masks, min_tokens, min_equal)))
+            found.append(spark.sparkContext.broadcast(build_index(rows, masks, min_tokens, min_equal, least_tokens)))
     return found
 
 

@@ -142,6 +142,23 @@ def test_case_and_punctuation(spark):
     assert [(r["doc_id"], r["item_id"], r["equal_tokens"]) for r in found.collect()] == [(1, 5, 15)]
 
 
+def test_short_items_match_as_a_whole(spark):
+    bench = items(spark, (1, "What is the capital of France?"), (2, "法国的首都是哪里？"), (3, "ฝรั่งเศส"), (4, "one more 二"))
+    docs = plain(spark, (1, "Quiz: what is the capital, of France"), (2, "问题：法国的首都是哪里，请回答"), (3, "What is the capital of Spain?"),
+                 (4, "法国的首都在哪里"), (5, "แปลว่าฝรั่งเศสหรือ"), (6, "one more. 二三"), (7, "one more 三"))
+    found = decontam.contaminated(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (2, 2), (5, 3), (6, 4)}
+    assert {r["doc_id"] for r in decontam.clean(docs, bench).collect()} == {3, 4, 7}
+
+
+def test_long_items_without_spaces(spark):
+    rng = random.Random(8)
+    item = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(60))
+    copy = "的" + item[10:50] + "，是"
+    found = decontam.contaminated(plain(spark, (1, copy), (2, "的是")), items(spark, (1, item))).collect()
+    assert [(r["doc_id"], r["equal_tokens"]) for r in found] == [(1, 40)]
+
+
 def test_odd_rows(spark):
     rows = odd_rows()
     docs, bench = documents(spark, *rows), items(spark, (1, rows[3][1]), (2, None), (3, ""), (None, "a b"), (4, "one"))
