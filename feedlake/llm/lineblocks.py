@@ -5,10 +5,10 @@ references decoded, white space as one space. Parts that the markup itself names
 something else (menus, page headers and footers, sidebars, notices, adverts, forms,
 scripts, styles, reader comments, hidden parts) hold no text. Over the lengths of the
 blocks, links not counted, a window slides; where its sum surges over a part of the page's
-peak or a number of characters, a stretch begins, and it ends where the sum dives below it. The text between the
-first surge and the last dive of the heaviest stretch is the core. It is widened to the
-element that holds it (an article, or else main element if there is one around it), so that
-short headings and paragraphs at its ends stay.
+peak or a number of characters, a stretch begins, and it ends where the sum dives below it. The
+heaviest stretch is widened to the article, or else main element around it. If there is none, it
+is widened to the element that holds it and all other stretches that are not mostly links. So
+short headings and paragraphs between and beside the stretches stay.
 
 Defined results: null or empty html gives an empty text; unclosed and wrongly nested tags
 end with the element around them; a page without blocks is empty; repeated rows give a
@@ -158,20 +158,29 @@ def stretches(lengths: list[int], window: int = WINDOW, surge: float = SURGE) ->
     return found
 
 
-def main_text(page: str) -> str:
-    parts = blocks(page)
-    lengths = [plain for _, plain, _ in parts]
-    found = stretches(lengths)
-    if not found:
-        return ""
-    start, stop = max(found, key=lambda span: (sum(lengths[span[0] : span[1]]), -span[0]))
-    core = [holders for (_, plain, holders) in parts[start:stop] if plain]
+def _around(parts: list[tuple[str, int, tuple]], spans: list[tuple[int, int]]) -> list:
+    """The elements that hold all blocks of the stretches."""
+    core = [holders for span in spans for _, plain, holders in parts[slice(*span)] if plain]
     shared = list(core[0])
     for holders in core[1:]:
         same = 0
         while same < min(len(shared), len(holders)) and shared[same] == holders[same]:
             same += 1
         shared = shared[:same]
+    return shared
+
+
+def main_text(page: str) -> str:
+    parts = blocks(page)
+    lengths = [plain for _, plain, _ in parts]
+    found = stretches(lengths)
+    if not found:
+        return ""
+    heaviest = max(found, key=lambda span: (sum(lengths[span[0] : span[1]]), -span[0]))
+    shared = _around(parts, [heaviest])
+    if not any(tag in ("article", "main") for tag, _ in shared):
+        texts = [span for span in found if 2 * sum(lengths[slice(*span)]) >= sum(len(text) for text, _, _ in parts[slice(*span)])]
+        shared = _around(parts, [heaviest, *texts])
     # The outermost article around the core, else main, else the element that holds it.
     tags = [tag for tag, _ in shared]
     depth = next((tags.index(tag) + 1 for tag in ("article", "main") if tag in tags), len(shared))
@@ -180,7 +189,13 @@ def main_text(page: str) -> str:
         kept = [text for text, _, holders in parts if holders[:depth] == holder]
     else:
         first, last = found[0][0], found[-1][1]
-        kept = [text for text, plain, _ in parts[first:last] if 2 * plain >= len(text)]
+        # The parts of the page in which the first surge and the last dive lie are taken to their ends.
+        core = [holders for _, plain, holders in parts[first:last] if plain]
+        edges = {holders[: depth + 1] for holders in (core[0], core[-1]) if len(holders) > depth}
+        kept = [
+            text for i, (text, plain, holders) in enumerate(parts)
+            if (first <= i < last or holders[: depth + 1] in edges) and 2 * plain >= len(text)
+        ]
     return "\n".join(kept)
 
 

@@ -51,6 +51,15 @@ def test_without_an_article_element(holder):
     assert lineblocks.main_text(page("<div class=menu><a href=a>Home</a> <a href=b>News</a></div>", article=body)) == "\n".join(PARAGRAPHS)
 
 
+@pytest.mark.parametrize("around", ["<div>{}</div>", "<div class=page><div><div>{}</div></div></div>", "{}"])
+def test_sections_that_end_in_short_blocks(around):
+    section = "<div><section><h2>Head {0}</h2><p>{1} {0}</p><p>{1}</p><ul><li>a{0}</li><li>b{0}</li><li>c{0}</li><li>d{0}</li></ul></section></div>"
+    body = around.format("".join(section.format(k, LONG) for k in range(4)))
+    lines = [line for k in range(4) for line in (f"Head {k}", f"{LONG} {k}", LONG, f"a{k}", f"b{k}", f"c{k}", f"d{k}")]
+    menu = "<div><ul>" + "".join(f"<li><a href='/{k}'>{LONG}</a></li>" for k in range(6)) + "</ul></div>"
+    assert lineblocks.main_text(page(menu, menu, body)) == "\n".join(lines)
+
+
 def test_text_between_surge_and_dive_without_any_holder():
     links = "".join(f"<p><a href='/{k}'>Link {k}</a></p>" for k in range(8))
     body = links + "".join(f"<p>{p}</p>" for p in PARAGRAPHS) + links
