@@ -33,22 +33,24 @@ SURGE_CHARS = 80
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button|title)\b[^>]*>"
-    r".*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
 
+# Boilerplate within a line: it is followed as the holders are, but breaks no block.
+_EMBEDDED = frozenset("noscript template svg math iframe object canvas audio video select button".split())
 # Elements that are followed from their start tag to their end tag.
-_HOLDERS = frozenset(
+_HOLDERS = _EMBEDDED | frozenset(
     "html head body main article section div nav header footer aside form menu dialog ul ol dl table tbody thead "
     "tfoot tr td th fieldset figure details center blockquote a".split()
 )
-_BREAKS = _HOLDERS - {"a"} | frozenset(
+_INLINE = _EMBEDDED | {"a"}
+_BREAKS = _HOLDERS - _INLINE | frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd pre address hr caption figcaption summary legend option article hgroup".split()
 )
-_BOILERPLATE = frozenset("head nav header footer aside form menu dialog fieldset".split())
+_BOILERPLATE = _EMBEDDED | frozenset("head nav header footer aside form menu dialog fieldset".split())
 _NEVER_BY_NAME = frozenset("html body main".split())
 # Names that tell what an element goes with, not what it is.
 _BESIDE = ("has-", "with-", "no-", "without-", "is-")
@@ -91,7 +93,8 @@ def blocks(page: str) -> list[tuple[str, int, tuple]]:
     """(text, characters outside links, holding elements) of every block that counts."""
     found, parts, linked = [], [], 0
     stack: list[tuple[str, int, bool]] = []  # (tag, number, boilerplate)
-    skipped = links = number = at = 0
+    skipped = links = number = at = nested = 0
+    line = ""  # the open paragraph or the like
     muted = False  # in a paragraph or the like that is boilerplate itself
 
     def end_block() -> None:
@@ -99,9 +102,16 @@ def blocks(page: str) -> list[tuple[str, int, tuple]]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                found.append((text, max(0, len(text) - linked), tuple((tag, n) for tag, n, _ in stack if tag != "a")))
+                found.append((text, max(0, len(text) - linked), tuple((tag, n) for tag, n, _ in stack if tag not in _INLINE)))
             parts, linked = [], 0
 
+    def close(depth: int) -> None:
+        nonlocal skipped, links
+        while len(stack) > depth:
+            open_tag, _, boiler = stack.pop()
+            skipped -= boiler
+            links -= open_tag == "a"
+
     def add(text: str) -> None:
         nonlocal linked
         if text and not skipped and not muted:
@@ -117,8 +127,21 @@ def blocks(page: str) -> list[tuple[str, int, tuple]]:
         if tag == "br":
             add(" ")
             continue
-        if tag in _BREAKS:
+        inside = next((i for i, (open_tag, _, _) in enumerate(stack) if open_tag in _EMBEDDED), None) if skipped else None
+        if inside is not None and tag not in _HOLDERS and tag == line:
+            nested += -1 if match.group(2) else 1
+            if nested < 0:  # the paragraph around an embedded element that was left open
+                close(inside)
+                inside = None
+        elif inside is None:
+            nested = 0
+        if inside is not None and not (
+            tag == "body" or match.group(2) and tag in [t for t, _, _ in stack[:inside]] and tag not in [t for t, _, _ in stack[inside:]]
+        ):
+            pass  # within an embedded element
+        elif tag in _BREAKS:
             end_block()
+            line = "" if match.group(2) or tag in _HOLDERS else tag
             muted = not match.group(2) and tag not in _HOLDERS and _is_boilerplate(tag, match.group(4))
         if tag not in _HOLDERS:
             continue
@@ -132,12 +155,7 @@ def blocks(page: str) -> list[tuple[str, int, tuple]]:
             skipped += stack[-1][2]
             links += tag == "a"
         elif any(open_tag == tag for open_tag, _, _ in stack):
-            while True:
-                open_tag, _, boiler = stack.pop()
-                skipped -= boiler
-                links -= open_tag == "a"
-                if open_tag == tag:
-                    break
+            close(max(i for i, (open_tag, _, _) in enumerate(stack) if open_tag == tag))
     add(page[at:])
     end_block()
     return found

@@ -72,6 +72,23 @@ def test_paragraphs_of_very_different_length():
     assert lineblocks.main_text(page(OTHERS[0], article=body)) == "\n".join(parts)
 
 
+@pytest.mark.parametrize("part", [
+    "<video-js id=v></video-js>", "<audio-player>", "<svg-icon></svg-icon>", "<title-card>", "<button-group>", "<select-box/>",
+    "<svg viewBox='0 0 1 1'/>", "<math/>", "<div><button>Share</div>", "<div><div><object><p>old</div></div>", "<p><button>Menu</p>",
+    "<svg><svg><path/></svg>old</svg>", "<noscript><p>old</p></noscript>", "<video><source src=a><p>old</p></video >", "<iframe src='a>b'></iframe>",
+])
+def test_embedded_elements_do_not_swallow_the_page(part):
+    inside = ARTICLE.replace("</h1>", "</h1>" + part)
+    assert lineblocks.main_text(page(part, article=inside)) == TEXT
+
+
+def test_embedded_elements_break_no_line():
+    article = "<article><p>one <video><p>old</p></video>two <select><option>a<option>b</select>three <svg><div>x</div></svg>four</p><p><button>go</p><p>five</p></article>"
+    assert lineblocks.main_text(page(article=article)) == "one two three four\nfive"
+    for name in ("script", "style", "textarea", "title"):
+        assert lineblocks.main_text(page(article=f"{ARTICLE}<{name}><p>{LONG}")) == TEXT
+
+
 def test_stretches():
     found = lineblocks.stretches([0, 0, 0, 0, 90, 80, 90, 0, 0, 0, 0])
     assert found == [(3, 8)]
