@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests.
 
 Base spans come from three patterns. The battery looks at every maximal run of at
-least `MIN_CHARS` characters of the base64 alphabets (padding aside) that holds a letter and a digit:
+least `MIN_CHARS` characters of the base64 alphabets (padding aside) that holds a letter. A run
+that mixes the signs of both alphabets is split at those that are foreign to each, and every part that is
+long enough is tested in its place; of found parts that overlap, the one that is least like words stays.
 
 * The encoding is inferred from the characters: hex, base32, base62, base64 or
   base64url, each with its alphabet.
@@ -13,7 +15,8 @@ least `MIN_CHARS` characters of the base64 alphabets (padding aside) that holds
   drawn like those of long ordinary words. Its statistic is the log-likelihood ratio
   of uniform against ordinary use, whose mean and spread follow the length. Benjamini-Hochberg
   holds the share of false discoveries at `FALSE_DISCOVERIES` in each stratum of
-  encoding and length, since short strings carry less evidence than long ones.
+  encoding, length and whether there is a digit, since short strings and letters alone carry less
+  evidence.
 
 How ordinary words use each character is counted over the letter-only runs of the whole
 corpus. P-values are counted in steps of a tenth of a power of ten, rounded against
@@ -103,11 +106,45 @@ def _spans(located: DataFrame) -> DataFrame:
     return rows.withColumn("end", end).filter("ok").select("_row", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "run")
 
 
+def _tested(runs: DataFrame) -> DataFrame:
+    """(_row, start, end, run, origin): the runs, those that mix both alphabets as their parts; `origin` is the start of such a run, else null."""
+
+    def parts(foreign: str) -> Column:
+        pieces = F.split("run", foreign, -1)
+        ends = F.aggregate(
+            pieces,
+            F.array(F.lit(0)),
+            lambda ends, piece: F.concat(ends, F.array(F.element_at(ends, -1) + F.length(piece) + 1)),
+        )
+        placed = F.arrays_zip(pieces.alias("run"), F.slice(ends, 1, F.size(pieces)).alias("at"))
+        return F.filter(placed, lambda part: F.length(F.rtrim(part["run"], F.lit("="))) >= MIN_CHARS)
+
+    mixed = F.col("run").rlike("[+/]") & F.col("run").rlike("[-_]")
+    split = runs.filter(mixed).select("_row", F.col("start").alias("origin"), F.explode(F.concat(parts("[-_]"), parts("[+/]"))).alias("part"))
+    start = F.col("origin") + F.col("part.at")
+    split = split.select("_row", start.alias("start"), (start + F.length("part.run")).alias("end"), "part.run", "origin")
+    return runs.filter(~mixed).select("_row", "start", "end", "run", F.lit(None).cast("bigint").alias("origin")).unionByName(split)
+
+
+def _apart(found: DataFrame) -> DataFrame:
+    """(_row, start, end) of the found runs; of overlapping parts of one run the one with the larger score."""
+    span = F.struct((-F.col("score")).alias("cost"), "start", "end")
+    listed = found.filter("origin IS NOT NULL").groupBy("_row", "origin").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    none = F.array().cast("array<struct<cost:double,start:bigint,end:bigint>>")
+    kept = F.aggregate(
+        "spans",
+        none,
+        lambda kept, x: F.when(F.exists(kept, lambda k: (k["start"] < x["end"]) & (x["start"] < k["end"])), kept).otherwise(F.concat(kept, F.array(x))),
+    )
+    parts = listed.select("_row", F.explode(kept).alias("s")).select("_row", "s.start", "s.end")
+    return found.filter("origin IS NULL").select("_row", "start", "end").unionByName(parts)
+
+
 def _inferred(run: Column) -> Column:
-    """Name of the encoding, null for runs that no encoding or only words explain."""
+    """Name of the encoding, null for runs without a letter."""
     bare = F.rtrim(run, F.lit("="))
     return (
-        F.when(~bare.rlike("[0-9]") | ~bare.rlike("[A-Za-z]"), None)
+        F.when(~bare.rlike("[A-Za-z]"), None)
         .when(bare.rlike("^[0-9a-f]+$"), "hex")
         .when(bare.rlike("^[0-9A-F]+$"), "HEX")
         .when(bare.rlike("^[A-Z2-7]+$"), "base32")
@@ -226,14 +263,15 @@ def _candidates(runs: DataFrame, counts: dict[str, float]) -> DataFrame:
     coded = cut_lineage(coded.withColumn("codes", code).drop("alphabet", "_bare"), "secrets-candidates")
     n = F.size("codes").cast("double")
     score = F.aggregate("codes", F.lit(0.0), lambda s, c: s + F.get("ratio", c))
-    tested = battery(coded).withColumn("_z", (score - n * F.col("mean")) / F.sqrt(n * F.col("variance")))
+    tested = battery(coded).withColumn("score", score).withColumn("_z", (F.col("score") - n * F.col("mean")) / F.sqrt(n * F.col("variance")))
+    tested = tested.withColumn("with_digit", F.col("run").rlike("[0-9]"))
     tested = tested.withColumn("p_ordinary", F.when(F.col("variance") > 0, normal_tail(F.col("_z"))).otherwise(F.lit(1.0)))
     return tested.withColumn("length_class", F.least(F.floor(F.log2(n) + 1e-9), F.lit(7)).cast("int"))
 
 
 def discovered(tested: DataFrame, share: float = FALSE_DISCOVERIES) -> DataFrame:
-    """The rows that Benjamini-Hochberg finds at `share`, in each stratum of encoding and length class."""
-    stratum = ["encoding", "length_class"]
+    """The rows that Benjamini-Hochberg finds at `share`, in each stratum of encoding, length class and digits."""
+    stratum = ["encoding", "length_class", "with_digit"]
     step = F.least(F.floor(-_STEP * F.log10(F.greatest("p_ordinary", F.lit(1e-300)))), F.lit(_MOST)).cast("int")
     stepped = tested.withColumn("_step", F.greatest(step, F.lit(0)))
     counts = stepped.groupBy(*stratum, "_step").agg(F.count(F.lit(1)).alias("_n"))
@@ -248,8 +286,8 @@ def discovered(tested: DataFrame, share: float = FALSE_DISCOVERIES) -> DataFrame
 def random_spans(spans: DataFrame) -> DataFrame:
     """(_row, kind, start, end): runs that look random and not like words."""
     runs = spans.filter("kind = 3")
-    found = discovered(_candidates(runs, ordinary_use(runs))).filter(F.col("p_random") >= RANDOM_LEVEL)
-    return found.select("_row", "kind", "start", "end")
+    found = discovered(_candidates(_tested(runs), ordinary_use(runs))).filter(F.col("p_random") >= RANDOM_LEVEL)
+    return _apart(cut_lineage(found.select("_row", "start", "end", "origin", "score"), "secrets-random")).select("_row", F.lit(3).alias("kind"), "start", "end")
 
 
 def scanned(docs: DataFrame) -> DataFrame:

@@ -66,6 +66,34 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert len(extra) <= 0.02 * len(added) + 1
 
 
+def added_spans(spark, rows):
+    return {(doc, s[0], s[2]) for doc, spans in found(spark, plain(spark, *rows)) for s in spans if s[1] == 3}
+
+
+def test_tokens_in_paths_with_hyphens(spark):
+    rng = random.Random(5)
+    rows, hidden = corpus(9)[0], set()
+    for k in range(40):
+        token = random_string(rng, string.ascii_letters + string.digits, 32)
+        before = rng.choice(["https://api.example.com/v1/reset-password/", "see path/of_the/file-", "x_y+"])
+        rows.append((1000 + k, f"\U0001f600 {before}{token}/end of it"))
+        hidden.add((1000 + k, len(before) + 2, len(before) + 34))
+    got = {s for s in added_spans(spark, rows) if s[0] >= 1000}
+    covered = {h for h in hidden if any(d == h[0] and a < h[2] and h[1] < z for d, a, z in got)}
+    assert len(covered) >= 0.95 * len(hidden)
+    assert all(z1 <= a2 or z2 <= a1 for d1, a1, z1 in got for d2, a2, z2 in got if d1 == d2 and (a1, z1) != (a2, z2))
+
+
+def test_tokens_without_a_digit(spark):
+    rng = random.Random(6)
+    rows = corpus(9)[0]
+    hidden = set()
+    for k in range(40):
+        rows.append((1000 + k, "key " + random_string(rng, string.ascii_letters, 32)))
+        hidden.add((1000 + k, 4, 36))
+    assert len(hidden & added_spans(spark, rows)) >= 0.9 * len(hidden)
+
+
 @pytest.mark.parametrize("text", ["a1" * 12, "aaaaaaaaaaaaaaaaaaaa1", "abcdefghijklmnopqrstuvwxyz0123456789", "covid-19-and-the-long-way-home-in-2021"])
 def test_patterned_strings_are_not_random(spark, text):
     rows = corpus(3)[0] + [(9999, f"see {text} here")]
