@@ -9,7 +9,8 @@ surrogate from a keyed hash, so all its mentions in the corpus stay the same ent
   its first digit and a valid check digit, an account number its country; addresses come from 10.0.0.0/8;
 * e-mail users and the domains below the top level are entities of their own;
 * the parts of a name are entities of their own, so "Ms Maria Keller" and "Ms Keller"
-  keep their family name in common; given names keep the gender that title or name shows, and
+  keep their family name in common, as a later "Keller" by itself in the same document does; titles
+  and particles such as "de la" stay; given names keep the gender that title or name shows, and
   all names the script.
 
 Collision check: a surrogate that two entities share, or that is itself an entity of the
@@ -59,9 +60,21 @@ ENDS = {
 }
 KINDS = ("email", "ip", "iban", "phone", "ssn", "card", "name")
 
-_PART = r"\p{Lu}[\p{L}'’-]+"
+# Words within a name that stay as they are.
+PARTICLES = (
+    "de", "la", "las", "los", "del", "y", "da", "do", "dos", "das", "di", "du", "le", "von", "vom", "van", "der", "den", "dem",
+    "zu", "zum", "zur", "ten", "ter", "bin", "ibn", "фон",
+)
+
+# A trailing 's is no part of the name.
+_JOINED = r"(?:['’-](?!s(?!\p{L}))\p{L}+)"
+_PART = rf"\p{{Lu}}(?:\p{{L}}++{_JOINED}*+|{_JOINED}++)"
 _TITLE = "(?:" + "|".join(t for group in TITLES.values() for t in group) + ")"
 _KNOWN = "(?:" + "|".join(n for group in GIVEN.values() for n in group) + ")"
+_TITLES = rf"{_TITLE}\.?(?: {_TITLE}(?!\p{{L}})\.?)*+"
+_PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) )*+"
+_MORE = _PARTICLES + _PART
+_BARE_PART = rf"(?<!\p{{L}}){_PART}"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
@@ -69,7 +82,7 @@ PATTERNS = {
     "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\p{L}\d])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,4}(?![\p{L}\d])",
-    "name": rf"(?<!\p{{L}})(?:{_TITLE}\.? {_PART}(?: {_PART})?|{_KNOWN} {_PART})",
+    "name": rf"(?<!\p{{L}})(?:{_TITLES} {_MORE}(?: {_MORE})*+|{_KNOWN}(?: {_MORE})++)",
 }
 # Which characters a pattern can begin with is looked at first, which spares most places the rest.
 _FIRST = {"ip": "[0-9]", "iban": "[A-Z]{2}[0-9]", "phone": r"[0-9+(]", "ssn": "[0-9]", "card": "[0-9]", "name": r"[\p{Lu}г]"}
@@ -99,24 +112,40 @@ def _bare(value: Column) -> Column:
     return F.regexp_replace(value, r"[^\p{L}\d]", "")
 
 
-def _parts(kind: Column, mention: Column) -> Column:
+def _words(mention: Column) -> Column:
+    """The words of a name after its titles, each with the particles before it."""
+    return F.regexp_extract_all(F.regexp_replace(mention, rf"^{_TITLES} ", ""), F.lit(_MORE), 0)
+
+
+def _gender(mention: Column) -> Column:
+    """What title or given name of a mention show."""
+    shown = {}
+    for gender in ("f", "m"):
+        titled = f"^(?:{_TITLE}\\.? )*(?:{'|'.join(TITLES[gender])})\\.? "
+        shown[gender] = mention.rlike(titled) | mention.rlike(f"(?:^| )(?:{'|'.join(GIVEN[gender])}) ")
+    return F.when(shown["f"], "f").when(shown["m"], "m").otherwise("n")
+
+
+def _parts(kind: Column, mention: Column, words: Column, gender: Column) -> Column:
     """array<struct<part, value, style>>: the entities of a mention in order; style holds gender and script, or what the number keeps."""
-    script = F.when(mention.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    shown = {g: F.lit(False) for g in ("f", "m")}
-    for gender in shown:
-        shown[gender] = mention.rlike(f"^(?:{'|'.join(TITLES[gender])})\\.? ") | mention.rlike(f"(?:^| )(?:{'|'.join(GIVEN.get(gender, ()))}) ")
-    gender = F.when(shown["f"], "f").when(shown["m"], "m").otherwise("n")
-    words = F.split(F.regexp_replace(mention, f"^{_TITLE}\\.? ", ""), " ")
+    script = lambda word: F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    known = lambda word: F.when(word.isin(*GIVEN["f"]), "f").when(word.isin(*GIVEN["m"]), "m")
     part = lambda name, value, style: F.struct(F.lit(name).alias("part"), value.alias("value"), style.alias("style"))
-    given = part("given", F.element_at(words, 1), F.concat(gender, F.lit(" "), script))
-    family = part("family", F.element_at(words, -1), F.concat(F.lit("family "), script))
+
+    def of_name(lead: Column, i: Column) -> Column:
+        """The first of several words is a given name, the last one a family name, others as far as known."""
+        word = F.regexp_replace(lead, f"^{_PARTICLES}", "")
+        first, last = i == 0, i == F.size(words) - 1
+        is_given = ~last & F.when(first, word == lead).otherwise(known(word).isNotNull())
+        given = part("given", word, F.concat(F.when(first, gender).otherwise(known(word)), F.lit(" "), script(word)))
+        return F.when(is_given, given).otherwise(part("family", word, F.concat(F.lit("family "), script(word))))
+
     user = part("user", F.lower(F.substring_index(mention, "@", 1)), F.lit(""))
     domain = part("domain", F.lower(F.substring_index(mention, "@", -1)), F.lit(""))
     number = F.struct(kind.alias("part"), F.when(kind == "ip", mention).otherwise(F.upper(_bare(mention))).alias("value"), _number_style(kind, mention).alias("style"))
     return (
         F.when(kind == "email", F.array(user, domain))
-        .when((kind == "name") & (F.size(words) > 1), F.array(given, family))
-        .when(kind == "name", F.array(family))
+        .when(kind == "name", F.transform(words, of_name))
         .otherwise(F.array(number))
     )
 
@@ -203,8 +232,10 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
 def _dressed(kind: Column, mention: Column, surrogates: Column) -> Column:
     """The surrogates in the format of the mention."""
     first, last = F.element_at(surrogates, 1), F.element_at(surrogates, -1)
-    title = F.regexp_extract(mention, f"^{_TITLE}\\.? ", 0)
-    name = F.concat(title, F.array_join(surrogates, " "))
+    title = F.regexp_extract(mention, rf"^{_TITLES} ", 0)
+    pairs = F.arrays_zip(_words(mention).alias("word"), surrogates.alias("fresh"))
+    fresh = F.transform(pairs, lambda p: F.concat(F.regexp_extract(p["word"], f"^{_PARTICLES}", 0), p["fresh"]))
+    name = F.concat(title, F.array_join(fresh, " "))
     spots = F.transform(
         _characters(mention),
         lambda c, i: F.when(c.rlike(r"[\p{L}\d]"), F.substr(first, F.length(_bare(F.substr(mention, F.lit(1), i + 1))), F.lit(1))).otherwise(c),
@@ -217,6 +248,19 @@ def _dressed(kind: Column, mention: Column, surrogates: Column) -> Column:
     )
 
 
+def _bare_named(gap: Column, families: Column) -> Column:
+    """struct<text, n>: text between mentions with the family names of the document (a map to
+    surrogates) replaced where they stand alone or within a hyphenated word, and how many they are."""
+    known = lambda word: F.element_at(families, word)
+    found = F.regexp_extract_all(gap, F.lit(_BARE_PART), 0)
+    fresh = F.transform(
+        found, lambda word: F.coalesce(known(word), F.array_join(F.transform(F.split(word, "-"), lambda w: F.coalesce(known(w), w)), "-"))
+    )
+    zipped = F.arrays_zip(F.split(gap, _BARE_PART, -1).alias("gap"), found.alias("found"), fresh.alias("fresh"))
+    text = F.array_join(F.transform(zipped, lambda p: F.concat(p["gap"], F.coalesce(p["fresh"], F.lit("")))), "")
+    return F.struct(text.alias("text"), F.size(F.filter(zipped, lambda p: p["found"] != p["fresh"])).alias("n"))
+
+
 def mentions(docs: DataFrame) -> DataFrame:
     """(_id, _text, _at, kind, mention, parts): the mentions of the different (id, text), in order; stored."""
     ident, text = _keyed(docs)
@@ -227,8 +271,11 @@ def mentions(docs: DataFrame) -> DataFrame:
     )
     found = found.dropDuplicates(["_id", "_text"])
     rows = found.select("_id", "_text", F.posexplode("_found").alias("_at", "mention"))
-    rows = cut_lineage(rows.withColumn("kind", kind_of(F.col("mention"))), "surrogates-mentions")
-    return rows.withColumn("parts", _parts(F.col("kind"), F.col("mention")))
+    # Stored, since the parts use words and gender once a word.
+    rows = rows.withColumns({"kind": kind_of(F.col("mention")), "_words": _words(F.col("mention")), "_gender": _gender(F.col("mention"))})
+    rows = cut_lineage(rows, "surrogates-mentions")
+    parts = _parts(F.col("kind"), F.col("mention"), F.col("_words"), F.col("_gender"))
+    return rows.withColumn("parts", parts).drop("_words", "_gender")
 
 
 def pseudonymized(docs: DataFrame, key: str, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -240,18 +287,36 @@ def pseudonymized(docs: DataFrame, key: str, limit_bytes: int = BROADCAST_BYTES)
     table = cut_lineage(surrogate_table(entities, key), "surrogates-table")
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("_no", "surrogate"))), lambda p: p["surrogate"])
     known = parts.join(table, ["part", "value", "style"])
-    known = known.groupBy("_id", "_text", "_at", "kind", "mention").agg(ordered.alias("_surrogates"))
-    dressed = known.select("_id", "_text", "_at", _dressed(F.col("kind"), F.col("mention"), F.col("_surrogates")).alias("_fresh"))
-    per_text = dressed.groupBy("_id", "_text").agg(F.array_sort(F.collect_list(F.struct("_at", "_fresh"))).alias("_fresh"))
+    family = F.collect_set(F.when(F.col("part") == "family", F.struct("value", "surrogate")))
+    known = known.groupBy("_id", "_text", "_at", "kind", "mention").agg(ordered.alias("_surrogates"), family.alias("_families"))
+    dressed = known.select("_id", "_text", "_at", _dressed(F.col("kind"), F.col("mention"), F.col("_surrogates")).alias("_fresh"), "_families")
+    per_text = dressed.groupBy("_id", "_text").agg(
+        F.array_sort(F.collect_list(F.struct("_at", "_fresh"))).alias("_fresh"),
+        F.map_from_entries(F.array_distinct(F.flatten(F.collect_list("_families")))).alias("_families"),
+    )
     per_text = cut_lineage(per_text, "surrogates-texts")
     small = measure(per_text)[1] <= limit_bytes
     per_text = F.broadcast(per_text) if small else per_text.hint("shuffle_hash")
     ident, key_of_text = _keyed(docs)
     joined = docs.join(per_text, ident.eqNullSafe(per_text["_id"]) & (key_of_text == per_text["_text"]), "left")
     fresh = F.transform(per_text["_fresh"], lambda f: f["_fresh"])
-    pieces = F.arrays_zip(F.split(docs["text"], MENTION, -1).alias("gap"), fresh.alias("fresh"))
-    rest = F.array_join(F.transform(pieces, lambda p: F.concat(p["gap"], F.coalesce(p["fresh"], F.lit("")))), "")
-    text = F.when(per_text["_fresh"].isNull(), docs["text"]).otherwise(rest)
-    columns = [text.alias("text") if name == "text" else docs[name] for name in docs.columns]
-    mentioned = F.when(per_text["_fresh"].isNull(), 0).otherwise(F.size(per_text["_fresh"]))
-    return joined.select(*columns, mentioned.cast("long").alias("_n_entities"))
+    families = per_text["_families"]
+    plain = lambda gap: F.struct(gap.alias("text"), F.lit(0).alias("n"))
+    gaps = F.split(docs["text"], MENTION, -1)
+    gaps = F.when(F.size(families) > 0, F.transform(gaps, lambda gap: _bare_named(gap, families))).otherwise(F.transform(gaps, plain))
+    pieces = F.transform(
+        F.arrays_zip(gaps.alias("gap"), fresh.alias("fresh")),
+        lambda p: F.struct(F.concat(p["gap"]["text"], F.coalesce(p["fresh"], F.lit(""))).alias("text"), p["gap"]["n"].alias("n")),
+    )
+    pieces = F.when(per_text["_fresh"].isNotNull(), pieces)
+    renewed = F.struct(
+        F.array_join(F.transform(pieces, lambda p: p["text"]), "").alias("text"),
+        (F.size(per_text["_fresh"]) + F.aggregate(pieces, F.lit(0), lambda n, p: n + p["n"])).cast("long").alias("n"),
+    )
+    original = [docs[name].alias(f"_c{i}") for i, name in enumerate(docs.columns)]
+    done = joined.select(*original, F.when(per_text["_fresh"].isNotNull(), renewed).alias("_renewed"))
+    columns = [
+        (F.when(F.col("_renewed").isNull(), F.col(f"_c{i}")).otherwise(F.col("_renewed.text")) if name == "text" else F.col(f"_c{i}")).alias(name)
+        for i, name in enumerate(docs.columns)
+    ]
+    return done.select(*columns, F.coalesce("_renewed.n", F.lit(0).cast("long")).alias("_n_entities"))

@@ -58,6 +58,33 @@ def test_coreference_across_documents_and_formats(spark):
     assert e.split("@")[1] == a.split("@")[1] and e.split("@")[0] != a.split()[-1].split("@")[0]
 
 
+def test_whole_names_go(spark):
+    texts = [
+        "Juan García Márquez vino", "Señora María López García vino", "Ms Anna Maria Keller came", "Prof. Dr. Huber kam", "Maria de la Cruz vino",
+        "Herr Prof. Dr. von der Heide kam", "Juan García Márquez de los Ríos vino", "Ms Srivastava-O'Neil came", "Frau Keller's Haus",
+    ]
+    shapes = [
+        "Xton Xmann Xmann vino", "Señora Xlia Xmann Xmann vino", "Ms Xlia Xlia Xmann came", "Prof. Dr. Xmann kam", "Xlia de la Xmann vino",
+        "Herr Prof. Dr. von der Xmann kam", "Xton Xmann Xmann de los Xmann vino", "Ms Xmann came", "Frau Xmann's Haus",
+    ]
+    fresh = replaced(spark, *texts)
+    for text, shape in zip(fresh, shapes, strict=True):
+        assert re.fullmatch(re.escape(shape).replace("X", "[A-Z][a-z]+"), text), text
+    assert fresh[0].split()[1] == fresh[1].split()[3] == fresh[6].split()[1]
+    assert fresh[2].split()[-2] == fresh[8].split()[1].removesuffix("'s")
+    long_name = "Juan " + "García " * 5_000 + "vino"
+    assert "García" not in replaced(spark, long_name)[0]
+
+
+def test_bare_family_names_in_the_same_document(spark):
+    rows = plain(spark, (1, "Keller: Ms Keller said that Keller's aide, the Keller-Huber plan and Kellerman (Keller) differ."), (2, "Keller alone"))
+    rows = surrogates.pseudonymized(rows, KEY).orderBy("doc_id").collect()
+    name = rows[0]["text"].split(":")[0]
+    assert name.endswith("mann")
+    assert rows[0]["text"] == f"{name}: Ms {name} said that {name}'s aide, the {name}-Huber plan and Kellerman ({name}) differ."
+    assert [r["_n_entities"] for r in rows] == [5, 0] and rows[1]["text"] == "Keller alone"
+
+
 def test_check_digits(spark):
     valid = "4539578763621486"
     assert luhn(valid)
