@@ -15,7 +15,9 @@ surrogate from a keyed hash, so all its mentions in the corpus stay the same ent
 
 Collision check: a surrogate that two entities share, or that is itself an entity of the
 corpus, goes to the least of them or to none, and the others draw again until none
-is left. Entities are few against texts; they are drawn, checked and joined as stored tables. The
+is left; every few attempts surrogates of names, users and domains get longer. Numbers cannot: where phone,
+social-security or address entities fill an eighth of their format, all of them get the free values of it in
+a keyed order, and those beyond the free values each other's, in a cycle. Entities are few against texts; they are drawn, checked and joined as stored tables. The
 surrogates of each text go to the texts by broadcast if they are small enough, else both are shuffled.
 
 Built-in expressions only. Defined results: null texts stay null, texts without a mention stay as
@@ -25,7 +27,7 @@ empty result; other columns are passed through by `pseudonymized`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import cut_lineage
@@ -90,6 +92,11 @@ _GUARDED = {kind: (f"(?={_FIRST[kind]})" if kind in _FIRST else "") + f"(?:{patt
 # One alternation; the numbered group of the card pattern is the only one.
 MENTION = "|".join(_GUARDED.values())
 ATTEMPTS = 64
+# Surrogates that can, grow each so many attempts.
+LONGER_EACH = 4
+# Pools of numbers with fewer values than so many an entity are dealt out instead of drawn from.
+ROOM = 8
+_CHUNK = 1 << 16
 
 
 def _keyed(docs: DataFrame) -> tuple[Column, Column]:
@@ -165,9 +172,9 @@ def _number_style(kind: Column, mention: Column) -> Column:
     return F.when((kind == "card") & valid, "valid").otherwise("")
 
 
-def _drawn(key: str, part: Column, value: Column, style: Column, attempt: Column) -> Column:
+def _drawn(key: str, part: Column, value: Column, style: Column, attempt: int) -> Column:
     """The surrogate of an entity at an attempt."""
-    digest = F.concat(*[F.sha2(F.concat_ws("\x1f", F.lit(f"{key}{half}"), part, value, attempt.cast("string")), 512) for half in (0, 1)])
+    digest = F.concat(*[F.sha2(F.concat_ws("\x1f", F.lit(f"{key}{half}"), part, value, F.lit(str(attempt))), 512) for half in (0, 1)])
     byte = lambda i: F.conv(F.substr(digest, (i % 128) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
     def swapped(text: Column, kept: Column) -> Column:
@@ -185,16 +192,16 @@ def _drawn(key: str, part: Column, value: Column, style: Column, attempt: Column
     check = (10 - _luhn(_digits(F.concat(head, F.lit("0"))))) % 10
     card = F.when(style == "valid", F.concat(head, check.cast("string"))).otherwise(number)
     ip = F.concat_ws(".", F.lit("10"), *[byte(F.lit(i)).cast("string") for i in (0, 1, 2)])
-    # Short users run out of surrogates of their length; later attempts are longer.
-    more = F.when(attempt > 3, F.concat(F.char(F.lit(97) + byte(F.lit(99)) % 26), byte(F.lit(100)).cast("string"))).otherwise("")
+    # Surrogates of a length run out; later attempts are longer.
+    longer = attempt // LONGER_EACH
+    more = F.concat(F.lit(""), *[x for i in range(longer) for x in (F.char(F.lit(97) + byte(F.lit(99 - 2 * i)) % 26), byte(F.lit(100 - 2 * i)).cast("string"))])
     user = F.concat(swapped(value, F.lit(0)), more)
     labels = F.substring_index(value, ".", -1)
     domain = F.concat(swapped(F.left(value, F.length(value) - F.length(labels) - 1), F.lit(0)), more, F.lit("."), labels)
     name = F.lit(None).cast("string")
     for script, syllables in SYLLABLES.items():
         table = F.array(*[F.lit(s) for s in syllables])
-        stem = F.concat(*[F.get(table, byte(F.lit(i)) % len(syllables)) for i in range(3)])
-        stem = F.concat(stem, F.when(attempt > 3, F.get(table, byte(F.lit(3)) % len(syllables))).otherwise(""))
+        stem = F.concat(*[F.get(table, byte(F.lit(i)) % len(syllables)) for i in range(3 + longer)])
         for shown, end in ENDS[script].items():
             name = F.when(style == f"{shown} {script}", F.initcap(F.concat(stem, F.lit(end)))).otherwise(name)
     return (
@@ -203,6 +210,52 @@ def _drawn(key: str, part: Column, value: Column, style: Column, attempt: Column
     )
 
 
+def _pool() -> tuple[Column, Column]:
+    """(name, size) of the pool of an entity: values of one format. Null for parts whose surrogates can grow or
+    whose formats (cards, accounts) have 10^11 values or more."""
+    length = F.length("value")
+    name = F.when(F.col("part") == "ip", "ip").when(F.col("part") == "ssn", "ssn")
+    size = F.when(F.col("part") == "ip", F.lit(1 << 24)).when(F.col("part") == "ssn", F.lit(10**9))
+    is_phone = (F.col("part") == "phone") & (length <= 18)
+    phone = F.concat_ws(" ", "part", F.left("value", F.lit(1)), length.cast("string"))
+    return name.when(is_phone, phone), size.when(is_phone, F.pow(F.lit(10.0), length - 1)).cast("long")
+
+
+def _dealt(entities: DataFrame, key: str) -> tuple[DataFrame, list]:
+    """(part, value, style, surrogate) of the entities of crowded pools, and the names of these.
+
+    The free values of the pool are ranked in a keyed order and joined to the ranked entities. Entities
+    beyond them get the value of the next entity in the cycle of all, which nobody else gets.
+    """
+    name, size = _pool()
+    pooled = entities.withColumns({"pool": name, "size": size}).filter("pool IS NOT NULL")
+    crowded = pooled.groupBy("pool", "size", "part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("size") < ROOM * F.col("n"))
+    crowded = crowded.collect()  # a few formats at most
+    if not crowded:
+        return None, []
+    order = F.sha2(F.concat_ws("\x1f", F.lit(key), "pool", "value"), 256)
+    ranked = Window.partitionBy("pool").orderBy(order, "value")
+    mine = pooled.join(F.broadcast(entities.sparkSession.createDataFrame([(c["pool"],) for c in crowded], "pool string")), "pool")
+    following = F.coalesce(F.lead("value").over(ranked), F.first("value").over(Window.partitionBy("pool").orderBy(order, "value")))
+    mine = mine.withColumns({"rank": F.row_number().over(ranked), "next": following})
+    mine = cut_lineage(mine, "surrogates-ranked")
+    pools = entities.sparkSession.createDataFrame([(c["pool"], c["part"], c["size"]) for c in crowded], "pool string, part string, size long")
+    chunks = pools.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(_CHUNK).cast("long")))).repartition("pool", "at")
+    whole = chunks.withColumn("no", F.explode(F.sequence("at", F.least(F.col("at") + _CHUNK, "size") - 1)))
+    digits = F.length(F.col("size").cast("string")) - 1
+    octet = lambda place: F.shiftright("no", place).bitwiseAND(F.lit(255)).cast("string")
+    number = F.lpad(F.col("no").cast("string"), digits, F.lit("0"))
+    value = (
+        F.when(F.col("part") == "ip", F.concat_ws(".", F.lit("10"), octet(16), octet(8), octet(0)))
+        .when(F.col("part") == "ssn", number)
+        .otherwise(F.concat(F.substring_index(F.substring_index("pool", " ", 2), " ", -1), number))
+    )
+    free = whole.select("pool", value.alias("value")).join(pooled.select("pool", "value"), ["pool", "value"], "left_anti")
+    free = free.withColumn("rank", F.row_number().over(ranked)).withColumnRenamed("value", "free")
+    dealt = mine.join(free, ["pool", "rank"], "left")
+    return dealt.select("part", "value", "style", F.coalesce("free", "next").alias("surrogate")), [c["pool"] for c in crowded]
+
+
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(part, value, style, surrogate): distinct surrogates for distinct (part, value, style).
 
@@ -211,10 +264,13 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """
     space = F.when(F.col("part").isin("given", "family"), "name").otherwise(F.col("part"))
     taken = entities.select(space.alias("space"), F.col("value").alias("surrogate")).distinct()
-    waiting = entities.withColumns({"attempt": F.lit(0), "space": space})
-    settled = None
+    settled, crowded = _dealt(entities, key)
+    waiting = entities.withColumn("space", space)
+    if crowded:
+        settled = cut_lineage(settled, "surrogates-dealt")
+        waiting = waiting.filter(~F.coalesce(_pool()[0].isin(crowded), F.lit(False)))
     for attempt in range(ATTEMPTS):
-        drawn = waiting.withColumn("surrogate", _drawn(key, F.col("part"), F.col("value"), F.col("style"), F.lit(attempt)))
+        drawn = waiting.withColumn("surrogate", _drawn(key, F.col("part"), F.col("value"), F.col("style"), attempt))
         drawn = cut_lineage(drawn, "surrogates-drawn")
         fresh = drawn.join(taken, ["space", "surrogate"], "left_anti")
         heads = fresh.groupBy("space", "surrogate").agg(F.min(F.struct("part", "value", "style")).alias("head"))
