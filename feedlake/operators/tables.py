@@ -110,8 +110,9 @@ def write_keys(fresh: DataFrame, root: str, batch_id: int, key: str) -> None:
 def write_keyed(
     df: DataFrame, root: str, batch_id: int, key: str, partition_by: str | None = None, sort_by: str | None = None,
     replace: bool = True,
-) -> None:
-    """Store a batch that holds a key once, with what readers need to find the latest rows.
+) -> int:
+    """Store a batch that holds a key once, with what readers need to find the latest rows;
+    returns its number of rows, as counted in the keys just written.
 
     The batch counts as stored when the last of the three folders is complete.
     """
@@ -121,6 +122,7 @@ def write_keyed(
     write_keys(written, root, batch_id, key)
     again = stored_keys(written, root, df.schema, key, before=batch_id)
     _write(again, f"{root}/again/batch_id={batch_id}", None)
+    return _read_keys(spark, root, df.schema, key, [batch_id]).count()
 
 
 def _again(spark: SparkSession, root: str, schema: StructType, key: str, numbers: list[int]) -> DataFrame:

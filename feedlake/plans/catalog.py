@@ -8,6 +8,8 @@ prunes folders, and the rows are not shuffled while those tables fit a broadcast
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -15,6 +17,10 @@ from feedlake.operators.tables import batch_numbers, create_database, create_tab
 from feedlake.schema import BRONZE, POINT, POINT_LOG, SILVER, SILVER_LOG
 from feedlake.session import BROADCAST_BYTES, list_names, measure, path_exists
 
+# The folder of rows whose partition value is null or empty.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+_PARTITIONS_AT_ONCE = 200
+
 _DAILY_SOURCE = StructType().add("source", "string").add("article_count", "long").add("dt", "date")
 _DAILY_KEYWORD = StructType().add("token", "string").add("freq", "long").add("dt", "date")
 
@@ -86,14 +92,23 @@ def _add_finished(spark: SparkSession, table: str, root: str, folder: str, parts
         first = f"{parts[0]}={number}"
         path = f"{root}/{folder}/{first}"
         inner = [name for name in list_names(spark, path) if "=" in name] if len(parts) > 1 else [""]
-        for part in inner:
-            spec = "/".join(p for p in (first, part) if p)
-            if spec not in known:
-                values = ", ".join(f"`{c}` = '{v}'" for c, v in (p.split("=", 1) for p in spec.split("/")))
-                spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({values}) LOCATION '{root}/{folder}/{spec}'")
+        specs = ["/".join(p for p in (first, part) if p) for part in inner]
+        new = [f"PARTITION ({_values(s)}) LOCATION {_literal(f'{root}/{folder}/{s}')}" for s in specs if s not in known]
+        for start in range(0, len(new), _PARTITIONS_AT_ONCE):
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(new[start : start + _PARTITIONS_AT_ONCE])}")
     spark.catalog.refreshTable(table)
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _values(spec: str) -> str:
+    """The partition values that a folder name stands for; writers escape what a path cannot hold."""
+    pairs = [part.split("=", 1) for part in spec.split("/")]
+    return ", ".join(f"`{c}` = {'null' if v == _NULL_FOLDER else _literal(unquote(v))}" for c, v in pairs)
+
+
 def _latest_view(spark: SparkSession, view: str, prefix: str, key: str, schema: StructType, base: int | None) -> None:
     columns = ", ".join(f"`{name}`" for name in schema.fieldNames())
     rows = f"SELECT {columns}, batch_id AS version FROM {prefix}_log"

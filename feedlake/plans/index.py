@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
@@ -84,17 +84,15 @@ def open_collection(spark: SparkSession, root: str, dim: int) -> bool:
 def index_articles(
     silver: DataFrame, root: str, batch_id: int, dim: int = EMBED_DIM, model: Embedder | None = None, replace: bool = True
 ) -> int:
-    """Upsert the points of the given articles (one row per id); returns their number.
+    """Upsert the points of the given articles (one row per id); returns their number, 0 if there are none.
 
     Two jobs that take the same new number would replace each other's points; without
     `replace` the later one fails.
     """
     open_collection(silver.sparkSession, root, dim)
-    seen = Observation("indexed")
     rows = points(silver, dim, model).withColumn("vec_id", point_to_long(F.col("point_id")))
-    rows = rows.withColumn("bucket", bucket_of("vec_id", POINT_BUCKETS)).observe(seen, F.count(F.lit(1)).alias("n"))
-    write_keyed(rows, root, batch_id, "point_id", "bucket", "vec_id", replace)
-    return seen.get["n"]
+    rows = rows.withColumn("bucket", bucket_of("vec_id", POINT_BUCKETS))
+    return write_keyed(rows, root, batch_id, "point_id", "bucket", "vec_id", replace)
 
 
 def collection(spark: SparkSession, root: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from feedlake.plans.briefing import Roles
 from feedlake.schema import BLANKS, NO_HITS, ROLE_CHARS, STOP_WORDS
 from workload.base import FEED_ROOT, FIRST_DAY, LINK_ROOT, NO_EVENT, RFC822
-from workload.queries import AS_OF, DATE
+from workload.queries import AS_OF, DATE, ODD_SOURCES
 
 
 def _strip(text: str) -> str:
@@ -210,6 +210,13 @@ _COMPONENTS = ", ".join(f"round(v[{i + 1}] / size, 8) AS v{i}" for i in range(32
 _ASKED = "asked AS (SELECT item_id AS qid, text FROM benchmark)"
 
 
+def _literal(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+_ODD_SOURCE = "CASE source " + " ".join(f"WHEN '{k}' THEN {_literal(v)}" for k, v in ODD_SOURCES.items()) + " ELSE source END"
+
+
 def oracle_sql() -> dict[str, str]:
     silver_like = f"SELECT {_SILVER_COLUMNS} FROM"
     return {
@@ -367,12 +374,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "indexed_total": _sql(
             CLEAN,
-            "SELECT CAST(drop_no AS INTEGER) AS batch, count(DISTINCT id) AS indexed FROM clean GROUP BY drop_no",
+            """SELECT CAST(drop_no AS INTEGER) AS batch, count(DISTINCT id) AS indexed FROM clean GROUP BY drop_no
+            UNION ALL SELECT 3, 0""",
         ),
         "empty_inputs": _sql(
             SILVER,
-            """SELECT unnest(['hits', 'contexts', 'briefings', 'points', 'published again', 'stored']) AS name,
-              unnest([0, 0, 0, 0, 0, count(*)]) AS n FROM silver""",
+            """SELECT unnest(['hits', 'contexts', 'briefings', 'points', 'published again', 'indexed', 'stored']) AS name,
+              unnest([0, 0, 0, 0, 0, 0, count(*)]) AS n FROM silver""",
         ),
         "both_tables": _sql(
             f"{CLEAN}, {_BRONZE}, {_STREAM_SILVER}",
@@ -388,6 +396,10 @@ def oracle_sql() -> dict[str, str]:
             f"{CLEAN}, {_STREAM_SILVER}",
             f"SELECT {_SILVER_COLUMNS}, '9/0' AS opened FROM last WHERE last.dt = DATE '{DATE}'",
         ),
+        "bronze_by_name": _sql(
+            f"{EV}, {_BRONZE}",
+            f"SELECT drop_no AS batch_id, id, {_ODD_SOURCE} AS source, md5(title) AS title_md5 FROM bronze",
+        ),
         "stream_bronze": _sql(f"{EV}, {_BRONZE}", f"SELECT {_BRONZE_COLUMNS} FROM bronze"),
         "stream_silver": _sql(f"{CLEAN}, {_STREAM_SILVER}", f"{silver_like} last"),
         "stream_dedupe": _sql(

@@ -393,10 +393,10 @@ def q_vector_upsert(spark, sf):
 
 @query("indexed_total")
 def q_indexed_total(spark, sf):
-    """What each of three index jobs reports."""
+    """What each of three index jobs reports, and a fourth on a day without articles."""
     root = workspace(spark, "points")
     rows = events(spark, sf)
-    drops = [rows.filter(F.col("drop_no") == n) for n in range(LAST_DROP + 1)]
+    drops = [rows.filter(F.col("drop_no") == n) for n in range(LAST_DROP + 2)]
     counts = [(n, index_articles(silver(drop), root, n, KNN_DIM)) for n, drop in enumerate(drops)]
     return spark.createDataFrame(counts, "batch int, indexed long")
 
@@ -417,6 +417,8 @@ def q_empty_inputs(spark, sf):
         "stored": stored,
     }
     counts = [part.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, part in parts.items()]
+    indexed = index_articles(old, workspace(spark, "points"), 0)
+    counts.append(spark.createDataFrame([("indexed", indexed)], "name string, n long"))
     return reduce(lambda left, right: left.unionByName(right), counts)
 
 
@@ -565,6 +567,25 @@ def q_silver_by_name(spark, sf):
     return _silver_shown(named).withColumn("opened", F.lit("/".join(str(len(names)) for names in opened)))
 
 
+# Names that a path cannot hold as they are.
+ODD_SOURCES = {"src0": "A/B: 10%", "src1": "O'Neil", "src2": 'back\\slash "x"', "src3": None, "src4": "a=b?c#d", "src5": "é %41"}
+
+
+@query("bronze_by_name")
+def q_bronze_by_name(spark, sf):
+    """Bronze through its catalog name; the folders of its partitions have escaped names."""
+    root = workspace(spark, "named")
+    database = "d" + root.rsplit("-", 1)[-1]
+    odd = F.create_map(*[F.lit(part) for pair in ODD_SOURCES.items() for part in pair])
+    source = F.when(F.col("source").isin(list(ODD_SOURCES)), odd[F.col("source")]).otherwise(F.col("source"))
+    rows = events(spark, sf).withColumn("source", source)
+    for n in range(LAST_DROP + 1):
+        write_bronze(rows.filter(F.col("drop_no") == n), n, f"{root}/bronze")
+    open_tables(spark, database, root)
+    named = spark.table(f"{database}.bronze_news")
+    return named.select("batch_id", "id", "source", F.md5("title").alias("title_md5"))
+
+
 @query("daily_run")
 def q_daily_run(spark, sf):
     """The daily jobs for one date on stored silver: marts, index of recent articles, briefings; these as filed."""
