@@ -14,25 +14,6 @@ def items(spark, *rows):
     return spark.createDataFrame([(i, t, 9) for i, t in rows], ITEMS)
 
 
-def brute(tokens, item, least=13, share=0.8):
-    """Some stretch on some diagonal is long and equal enough, trying all of them that begin and end with an equal token."""
-    for diagonal in range(-len(item), len(tokens)):
-        pairs = [(i, i - diagonal) for i in range(max(0, diagonal), min(len(tokens), diagonal + len(item)))]
-        equal = [tokens[i] == item[j] for i, j in pairs]
-        sums = best = start = 0
-        found = None
-        for k, same in enumerate(equal):
-            sums += 1 if same else -2
-            if sums < 0:
-                sums, start = 0, k + 1
-            elif sums > best:
-                best, found = sums, (start, k + 1)
-        for part in ((0, len(equal)), found):
-            if part and part[1] - part[0] >= min(least, len(item)) and sum(equal[slice(*part)]) >= share * (part[1] - part[0]):
-                return True
-    return False
-
-
 def cases(seed):
     rng = random.Random(seed)
     benchmark = [(k, words(rng, rng.randrange(8, 40))) for k in range(30)]
@@ -51,16 +32,6 @@ def cases(seed):
     return benchmark, docs
 
 
-def test_against_all_diagonals(spark):
-    benchmark, docs = cases(11)
-    found = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(plain(spark, *docs), items(spark, *benchmark)).collect()}
-    expected = {(d, i) for d, text in docs for i, item in benchmark if brute(text.split(), item.split())}
-    assert found <= expected  # whatever is reported is an overlap
-    assert len(found) >= 0.95 * len(expected) > 20  # seeds miss a few with several substitutions at once
-    exact = {(d, i) for d, text in docs for i, item in benchmark if item in text}
-    assert exact <= found
-
-
 def every_stretch(equal):
     """Most equal tokens of a stretch of 13 or more with 80 % equal ones, trying all (start, stop); 0 if there is none."""
     sizes = [(sum(equal[a:b]), b - a) for a in range(len(equal)) for b in range(a + 13, len(equal) + 1)]
@@ -88,8 +59,9 @@ def test_against_all_stretches(spark):
             whole = len(equal) == len(b) and 5 * sum(equal) >= 4 * len(b)
             if whole or every_stretch(equal):
                 expected.add((d, i))
-    assert found <= expected
-    assert len(found) >= 0.95 * len(expected) > 20
+    assert found <= expected  # whatever is reported is an overlap
+    assert len(found) >= 0.95 * len(expected) > 20  # seeds miss a few with several substitutions at once
+    assert {(d, i) for d, text in docs for i, item in benchmark if item in text} <= found
 
 
 @pytest.mark.parametrize("exact", [13, 16, 20, 30, 40])
