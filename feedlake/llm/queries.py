@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm import (
+    bpe,
     decontam,
     fixity,
     linedup,
@@ -105,6 +106,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digested(documents(spark, sf_dir), TOKENIZER()["tokenizer_path"])
+
+
 def queries() -> dict[str, Query]:
     named = [
         op1_best_fit_packing,
@@ -117,5 +122,6 @@ def queries() -> dict[str, Query]:
         op8_url_filters,
         op9_html_extraction,
         op10_quality_rules,
+        op13_bpe_round_trip,
     ]
     return {query.__name__: query for query in named}
