@@ -19,6 +19,7 @@ from feedlake.llm import (
     simhash,
     surrogates,
     urlrules,
+    whitening,
 )
 from feedlake.llm.common import cut_lineage, documents, table
 
@@ -106,6 +107,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digested(documents(spark, sf_dir), TOKENIZER()["tokenizer_path"])
 
@@ -122,6 +127,7 @@ def queries() -> dict[str, Query]:
         op8_url_filters,
         op9_html_extraction,
         op10_quality_rules,
+        op12_embedding_whitening,
         op13_bpe_round_trip,
     ]
     return {query.__name__: query for query in named}

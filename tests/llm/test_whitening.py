@@ -1,0 +1,175 @@
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from feedlake.llm import whitening
+from feedlake.llm.queries import queries
+from tests.conftest import SMALL
+
+ROWS = "vec_id long, embedding array<float>, label int, x string, n long, component string"
+
+
+def rows(spark, *pairs):
+    return spark.createDataFrame([(i, v, 0, "x", 1, "c") for i, v in pairs], ROWS)
+
+
+def scatter(x):
+    """n times the sum of products, less the product of the sums, in Python's integers."""
+    n, sums = len(x), [sum(c) for c in zip(*x, strict=True)]
+    return [[n * sum(a[i] * a[j] for a in x) - sums[i] * sums[j] for j in range(len(sums))] for i in range(len(sums))]
+
+
+def exact_polynomial(matrix):
+    """Faddeev and LeVerrier, in fractions."""
+    dim = len(matrix)
+    out, product = [Fraction(1)], [[Fraction(0)] * dim for _ in range(dim)]
+    for k in range(1, dim + 1):
+        inner = [[product[i][j] + (out[-1] if i == j else 0) for j in range(dim)] for i in range(dim)]
+        product = [[sum(matrix[i][m] * inner[m][j] for m in range(dim)) for j in range(dim)] for i in range(dim)]
+        out.append(-sum(product[i][i] for i in range(dim)) / k)
+    return [int(c) for c in reversed(out)]
+
+
+def random_scatter(seed, n, dim, size=300):
+    rng = random.Random(seed)
+    return scatter([[rng.randrange(-size, size) for _ in range(dim)] for _ in range(n)])
+
+
+@pytest.mark.parametrize("n,dim", [(50, 1), (50, 2), (9, 5), (40, 9), (3, 6)])
+def test_polynomial(spark, n, dim):
+    matrix = random_scatter(n, n, dim)
+    assert whitening.characteristic_polynomial(spark, matrix) == exact_polynomial(matrix)
+
+
+def test_polynomial_of_sparse_matrices():
+    """Columns without a pivot, and pivots that have to be fetched."""
+    rng = random.Random(2)
+    for _ in range(200):
+        dim = rng.randrange(1, 7)
+        matrix = [[rng.choice([0, 0, 0, 1, 2, -3]) for _ in range(dim)] for _ in range(dim)]
+        assert whitening.polynomial_modulo(matrix, 10_007) == [c % 10_007 for c in exact_polynomial(matrix)]
+
+
+def test_primes():
+    assert whitening.primes(3) == [2147483647, 2147483629, 2147483587]
+    assert whitening.primes(4, 12) == [11, 7, 5, 3]
+    with pytest.raises(ValueError):
+        whitening.primes(9, 12)
+
+
+def times(a, b):
+    out = [0] * (len(a) + len(b) - 1)
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            out[i + j] += x * y
+    return out
+
+
+@pytest.mark.parametrize("roots", [[5], [0, 0, 7], [3, 3, 3, 8], [1, 2, 4, 1000, 1001], [0, 0], [9, 9, 9], [10**30, 10**30 + 1, 4]])
+def test_roots(roots):
+    polynomial = [1]
+    for root in roots:
+        polynomial = times(polynomial, [-root, 1])
+    found, bits = whitening.largest_roots(polynomial, 3, sum(roots) or 1)
+    want = sorted((r for r in roots if r), reverse=True)[:3]
+    assert [Fraction(low + 1, 2**bits) for low, _ in found] == want  # an integer root is the end of its interval
+    assert [n for _, n in found] == [roots.count(r) for r in want]
+    for point in range(0, 12):
+        assert whitening.roots_above(polynomial, point) == sum(r > point for r in roots)
+
+
+def test_components(spark):
+    matrix = random_scatter(7, 60, 12)
+    vectors, lengths, shares = whitening.components(spark, matrix, 4)
+    values, basis = np.linalg.eigh(np.array(matrix, float))
+    assert np.allclose(lengths**2, values[::-1][:4], rtol=1e-12)
+    assert np.allclose(np.abs(vectors @ basis[:, ::-1][:, :4]), np.eye(4), atol=1e-9)
+    assert np.allclose(vectors @ vectors.T, np.eye(4), atol=1e-15)
+    assert np.allclose(shares, lengths**2 / sum(matrix[i][i] for i in range(12)))
+
+
+def test_close_and_equal_roots(spark):
+    """Roots that doubles do not tell apart, and one that occurs twice."""
+    vectors, lengths, _ = whitening.components(spark, [[10**18, 1, 0], [1, 10**18, 0], [0, 0, 5]], 3)
+    assert np.allclose(np.abs(vectors), [[math.sqrt(0.5)] * 2 + [0]] * 2 + [[0, 0, 1]], atol=1e-15)
+    assert vectors[0] @ vectors[1] == pytest.approx(0, abs=1e-15) and lengths[2] == pytest.approx(math.sqrt(5))
+    vectors, lengths, _ = whitening.components(spark, [[2, 0, 0], [0, 2, 0], [0, 0, 0]], 3)
+    assert np.allclose(vectors @ vectors.T, np.eye(2), atol=1e-15) and np.allclose(lengths, math.sqrt(2))
+    assert np.allclose(vectors[:, 2], 0, atol=1e-15)
+
+
+def brute(pairs, count=4):
+    """The same from numpy, over a plain list of (vec_id, vector)."""
+    usable = [(i, v) for i, v in pairs if v and all(c is not None and math.isfinite(c) for c in v)]
+    x = np.array([[math.floor(256 * float(np.float32(c))) for c in v] for _, v in usable])
+    fit = np.unique(x, axis=0)
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = fit - sums / n
+    values, basis = np.linalg.eigh(centred.T @ centred / n)
+    values, basis = values[::-1][:count], basis[:, ::-1][:, :count]
+    out = {}
+    for (i, _), row in zip(usable, x, strict=True):
+        white = (row - sums / n) @ basis / np.sqrt(values)
+        for k in range(count):
+            out.setdefault((i, k + 1), []).append((n, int(((n * row - sums) ** 2).sum()), white[k], values[k] / centred.var(axis=0).sum()))
+    return out
+
+
+def compare(got, want):
+    assert len(got) == sum(map(len, want.values()))
+    for k in {r["component"] for r in got}:
+        signs = {np.sign(r["whitened"] * want[r["vec_id"], k][0][2]) for r in got if r["component"] == k and abs(r["whitened"]) > 1e-6}
+        assert len(signs) == 1  # either sign, but the same for all rows
+    for r in got:
+        n, deviation, white, share = want[r["vec_id"], r["component"]][0]
+        assert (r["n"], r["deviation"]) == (n, deviation)
+        assert abs(r["whitened"]) == pytest.approx(abs(white), abs=1e-9)
+        assert r["explained"] == pytest.approx(share, rel=1e-9)
+        assert r["identity_error"] < 1e-9
+    assert len({r["identity_error"] for r in got}) == 1
+
+
+def test_against_numpy(spark):
+    rng = random.Random(8)
+    pairs = [(i, [rng.gauss(0, 0.1 + 0.1 * d) for d in range(7)]) for i in range(300)]
+    pairs += [(1000 + i, pairs[0][1]) for i in range(150)]  # one vector that holds a third of all rows
+    compare(whitening.whitened(rows(spark, *pairs).repartition(5)).collect(), brute(pairs))
+
+
+def test_query(spark):
+    stored = spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()
+    compare(queries()["op12_embedding_whitening"](spark, SMALL).collect(), brute([(r["vec_id"], list(r["embedding"])) for r in stored]))
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rng = random.Random(9)
+    good = [(i, [rng.gauss(0, 1) for _ in range(3)]) for i in range(40)]
+    odd = [(50, None), (51, []), (52, [1.0, None, 2.0]), (53, [nan, 0.0, 0.0]), (54, [0.0, -inf, 0.0])]
+    more = [(None, good[0][1]), (7, good[7][1]), (60, [-0.0, 0.0, 0.0]), (61, [1e5, -1e5, 1e5])]
+    compare(whitening.whitened(rows(spark, *good, *odd, *more), 2).collect(), brute([*good, *more], 2))
+
+
+def test_fewer_components(spark):
+    line = rows(spark, (1, [0.0, 0.0]), (2, [1.0, 1.0]), (3, [2.0, 2.0]))
+    got = whitening.whitened(line).collect()
+    assert {r["component"] for r in got} == {1} and {r["explained"] for r in got} == {1.0}
+    assert sorted(r["whitened"] for r in got) == pytest.approx([-math.sqrt(1.5), 0, math.sqrt(1.5)])
+    for none in (rows(spark, (1, [1.0, 2.0]), (2, [1.0, 2.0])), rows(spark, (1, None)), line.limit(0)):
+        found = whitening.whitened(none)
+        assert found.count() == 0 and found.columns == whitening.whitened(line).columns
+
+
+def test_lengths_must_agree(spark):
+    with pytest.raises(ValueError, match="2 to 3"):
+        whitening.whitened(rows(spark, (1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0])))
+
+
+@pytest.mark.parametrize("size", [10, 2**27, 2**40])
+def test_products_of_any_size(size):
+    rng = random.Random(size)
+    x = np.array([[rng.randrange(-size, size) for _ in range(3)] for _ in range(20)])
+    assert whitening._products(x).tolist() == (x.astype(object).T @ x.astype(object)).tolist()
