@@ -15,6 +15,7 @@ from feedlake.llm import (
     lineblocks,
     packing,
     quality,
+    resampling,
     secret_scan,
     simhash,
     surrogates,
@@ -107,6 +108,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -127,6 +132,7 @@ def queries() -> dict[str, Query]:
         op8_url_filters,
         op9_html_extraction,
         op10_quality_rules,
+        op11_importance_resampling,
         op12_embedding_whitening,
         op13_bpe_round_trip,
     ]
