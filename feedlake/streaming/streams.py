@@ -1,12 +1,14 @@
 """Streams from the message log into bronze and silver, and watermark dedupe.
 
-All tables take one folder per micro-batch (see `operators.tables`). A batch
+Bronze and silver take one folder per micro-batch (see `operators.tables`). A batch
 that is delivered again overwrites its own folders, so at-least-once delivery
-leaves each id once.
+leaves each id once. The dedupe stream keeps its ids in Spark's state store.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,9 +16,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from feedlake.operators.dedupe import one_per_key
 from feedlake.operators.tables import (
-    batch_numbers,
     current_rows,
-    read_batches,
     stored_keys,
     stored_rows,
     write_batch,
@@ -25,12 +25,15 @@ from feedlake.operators.tables import (
 )
 from feedlake.plans.silver import arrival_order, silver_batch
 from feedlake.schema import BRONZE, SILVER, SILVER_LOG, WATERMARK
+from feedlake.session import path_exists
 from feedlake.sources.messages import decode
 
 # How often a running ingest looks whether a query has ended.
 POLL_SECONDS = 1
 
-FIRST_LOG = StructType([*BRONZE.fields, StructField("day", DateType())])
+FIRST = StructType([*BRONZE.fields, StructField("day", DateType())])
+
+_CHECK = "spark.sql.streaming.unsupportedOperationCheck"
 
 
 def event_stream(messages: DataFrame, delay: str = WATERMARK) -> DataFrame:
@@ -104,55 +107,60 @@ def run_ingest(messages: DataFrame, root: str, **trigger) -> None:
             raise query.exception()
 
 
-def _marks(spark: SparkSession, root: str, before: int) -> DataFrame:
-    """(newest): the newest time of each batch below a number."""
-    folders = [f"{root}/marks/batch_id={n}" for n in batch_numbers(spark, root) if n < before]
-    if not folders:
-        return spark.createDataFrame([], "newest timestamp")
-    return spark.read.schema("newest timestamp").parquet(*folders)
+def first_events(messages: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """The first event of each id, on Spark's own state: late events are dropped, and an id is remembered until
+    the watermark has passed the time of its event by the delay.
 
+    Across micro-batches the earlier one wins. Within one, the first by arrival among those in time wins, as the
+    rows of a state partition are sorted below the operator; they are shuffled once, by id, and only ids and times are kept.
+    What one micro-batch holds is bounded by `per_batch` of its source.
+    """
+    events = decode(messages).filter(F.col("id").isNotNull()).withWatermark("kafka_ts", delay)
+    arranged = events.repartition("id").sortWithinPartitions("id", *arrival_order())
+    return arranged.dropDuplicatesWithinWatermark(["id"])
 
-def write_first(batch: DataFrame, batch_id: int, root: str, delay: str = WATERMARK) -> None:
-    """Store the first event of each id of a batch, unless it is late or its id is remembered.
 
-    The watermark is the newest time of all earlier batches less the delay. Events before
-    it are late; ids are remembered while the time of their first event is
-    no more than the delay behind it. Events lie in folders by day, and only the days
-    within reach are read.
-    """
-    spark = batch.sparkSession
-    span = F.expr(f"INTERVAL {delay}")
-    mark = _marks(spark, root, batch_id).agg((F.max("newest") - span).alias("w"), (F.max("newest") - span - span).alias("reach")).first()
-    seen = batch.persist()
+@contextmanager
+def _sorted_batches(spark: SparkSession):
+    """Streams refuse sorts, as no order holds across micro-batches. Here one within a partition of a micro-batch is
+    meant, so the check is left out for what is started inside."""
+    known = spark.conf.get(_CHECK, None)
+    spark.conf.set(_CHECK, "false")
     try:
-        rows = seen.filter(F.col("id").isNotNull())
-        if mark["w"] is not None:
-            rows = rows.filter(F.col("kafka_ts") >= F.lit(mark["w"]))
-        first = one_per_key(rows, "id", arrival_order())
-        stored = read_batches(spark, root, FIRST_LOG, upto=batch_id - 1)
-        if mark["reach"] is not None:
-            reach = F.lit(mark["reach"])
-            stored = stored.filter((F.col("day") >= F.to_date(reach)) & (F.col("kafka_ts") >= reach))
-        new = first.join(stored.select("id"), "id", "left_anti").select(*BRONZE.fieldNames())
-        newest = seen.agg(F.max("kafka_ts").alias("newest")).filter("newest IS NOT NULL")
-        newest.coalesce(1).write.mode("overwrite").parquet(f"{root}/marks/batch_id={batch_id}")
-        write_batch(new.withColumn("day", F.to_date("kafka_ts")), root, batch_id, "day")
+        yield
     finally:
-        seen.unpersist()
-
-
-def read_first(spark: SparkSession, root: str) -> DataFrame:
-    return read_batches(spark, root, FIRST_LOG).select(*BRONZE.fieldNames())
+        spark.conf.unset(_CHECK) if known is None else spark.conf.set(_CHECK, known)
 
 
 def start_dedupe(messages: DataFrame, root: str, delay: str = WATERMARK, **trigger) -> StreamingQuery:
-    """First event per id, remembered for `delay` behind the newest event.
+    """Store the first event per id, in folders by day. The file sink lists what complete micro-batches have
+    written, so a batch that is run again leaves each event once."""
+    rows = first_events(messages, delay).withColumn("day", F.to_date("kafka_ts"))
+    with _sorted_batches(rows.sparkSession):
+        return (
+            rows.writeStream.format("parquet")
+            .option("path", f"{root}/first")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .partitionBy("day")
+            .outputMode("append")
+            .trigger(**(trigger or {"processingTime": "0 seconds"}))
+            .start()
+        )
 
-    A stateful operator would send every event to the task of its id and keep whichever
-    comes first there. Here each micro-batch is a static frame, so that the first event by
-    arrival wins, each task sends one row per id, and the memory is the stored table itself.
-    """
-    return _start(
-        decode(messages), lambda batch, batch_id, path: write_first(batch, batch_id, path, delay), root,
-        trigger or {"processingTime": "0 seconds"},
-    )
+
+def read_first(spark: SparkSession, root: str) -> DataFrame:
+    if not path_exists(spark, f"{root}/first"):
+        return spark.createDataFrame([], BRONZE)
+    return spark.read.schema(FIRST).parquet(f"{root}/first").select(*BRONZE.fieldNames())
+
+
+def batch_report(query: StreamingQuery) -> list[tuple[int, int, int, int, str]]:
+    """(batch, rows read, rows dropped as late, rows dropped as repeated, watermark it ran with) of the latest
+    micro-batches of a query with state, from its progress reports."""
+    rows = []
+    for progress in query.recentProgress:
+        states = progress["stateOperators"]
+        late = sum(state["numRowsDroppedByWatermark"] for state in states)
+        repeated = sum(state.get("customMetrics", {}).get("numDroppedDuplicateRows", 0) for state in states)
+        rows.append((progress["batchId"], progress["numInputRows"], late, repeated, progress.get("eventTime", {}).get("watermark")))
+    return rows

@@ -1,3 +1,4 @@
+import os
 import threading
 import time
 
@@ -7,6 +8,7 @@ from feedlake.operators.tables import last_batch, stored_keys
 from feedlake.plans.silver import silver
 from feedlake.sources.messages import decode, message_file_stream, message_files, publish_files, to_messages
 from feedlake.streaming.streams import (
+    batch_report,
     event_stream,
     read_bronze,
     read_first,
@@ -16,7 +18,6 @@ from feedlake.streaming.streams import (
     start_dedupe,
     start_silver,
     write_bronze,
-    write_first,
 )
 from feedlake.schema import BRONZE
 from tests.helpers import event, events, plan, values
@@ -111,16 +112,67 @@ def test_dedupe_keeps_the_first_event_of_a_batch(spark, root):
     assert dedupe(spark, root, [drop, [event("a", title="later", arrived="2025-11-03 10:55:00")]], "2 hours") == [("a", "at 10")]
 
 
-def test_dedupe_survives_replay(spark, root):
-    one = events(spark, event("a", title="1"), event("b", title="1", arrived="2025-11-03 10:30:00"), event(None))
-    two = events(spark, event("a", title="2", arrived="2025-11-03 11:00:00"), event("c", title="2", arrived="2025-11-03 11:00:00"))
-    write_first(one, 0, root)
-    for _ in range(2):
-        write_first(two, 1, root)
-    assert values(read_first(spark, root), "id", "title") == [("a", "1"), ("b", "1"), ("c", "2")]
-    write_first(events(spark, event(None)), 2, root)
-    write_first(one.limit(0), 3, root)
-    assert read_first(spark, root).count() == 3
+def test_dedupe_settles_equal_ids_of_a_batch(spark, root):
+    """The pick is the first by arrival, then by source, date text and title, whatever file a row comes from."""
+    rows = [event(f"id{n % 40}", title=f"t{n:03}", source=f"s{n % 7}", arrived=f"2025-11-03 10:{n % 3:02}:00") for n in range(400)]
+    land(spark, f"{root}/inbox", rows[::2])
+    got = dedupe(spark, root, [rows[1::2]], "2 hours")
+    want = {}
+    for id, source, title, *_, arrived in sorted(rows, key=lambda r: (r[7], r[1], r[5], r[2])):
+        want.setdefault(id, title)
+    assert got == sorted(want.items())
+
+
+def test_late_and_timely_events_of_one_id(spark, root):
+    drops = [
+        [event("far", arrived="2025-11-03 12:00:00")],
+        [event("a", title="late", arrived="2025-11-03 09:00:00"), event("a", title="in time", arrived="2025-11-03 11:00:00")],
+    ]
+    assert dedupe(spark, root, drops, "2 hours") == [("a", "in time"), ("far", "title")]
+
+
+def test_dedupe_reports(spark, root):
+    land(spark, f"{root}/inbox", [event("a"), event("a"), event(None), event("b", arrived="2025-11-03 13:00:00")])
+    run = lambda: start_dedupe(message_file_stream(spark, f"{root}/inbox"), f"{root}/t", "1 hour", availableNow=True)
+    first = run()
+    first.awaitTermination()
+    first, last = batch_report(first)[0], batch_report(first)[-1]
+    assert first[1:4] == (4, 0, 1) and last[4] == "2025-11-03T12:00:00.000Z"
+    land(spark, f"{root}/inbox", [event("b", arrived="2025-11-03 13:30:00"), event("c", arrived="2025-11-03 12:00:00"), event("d", arrived="2025-11-03 12:00:01")])
+    second = run()
+    second.awaitTermination()
+    assert batch_report(second)[0][1:4] == (3, 1, 1)
+    assert values(read_first(spark, f"{root}/t"), "id") == [("a",), ("b",), ("d",)]
+
+
+def test_dedupe_runs_a_lost_batch_again(spark, root):
+    """A batch whose commit is lost is run again from its checkpoint, and its events are stored once."""
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # else the last batch is an empty one
+    try:
+        assert dedupe(spark, root, DROPS[:2], "3 hours") == [("a", "a0"), ("b", "b1"), ("c", "")]
+        commits = f"{root}/t/checkpoint/commits"
+        last = max(int(name) for name in os.listdir(commits) if name.isdigit())
+        for name in (f"{last}", f".{last}.crc"):
+            os.remove(f"{commits}/{name}")
+        assert dedupe(spark, root, DROPS[2:], "3 hours") == [("a", "a0"), ("b", "b1"), ("c", ""), ("d", "d3")]
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+
+
+def test_dedupe_without_events(spark, root):
+    assert read_first(spark, root).count() == 0 and read_first(spark, root).columns == BRONZE.fieldNames()
+    assert dedupe(spark, root, [[event(None)]], "2 hours") == []
+
+
+def test_dedupe_shuffles_once_and_keeps_ids(spark, root):
+    land(spark, f"{root}/inbox", DROPS[0])
+    query = start_dedupe(message_file_stream(spark, f"{root}/inbox"), f"{root}/t", availableNow=True)
+    query.awaitTermination()
+    text = query._jsq.explainInternal(False) if hasattr(query._jsq, "explainInternal") else ""
+    above, below = text.split("StreamingDeduplicateWithinWatermark")[:2]
+    assert below.count("Exchange") == 1 and "Sort" in below.split("Exchange")[0] and "Exchange" not in above
+    assert spark.conf.get("spark.sql.streaming.unsupportedOperationCheck") == "true"
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
 
 def test_only_touched_key_buckets_are_read(spark, root):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from feedlake.plans.briefing import Roles
 from feedlake.schema import BLANKS, NO_HITS, ROLE_CHARS, STOP_WORDS
 from workload.base import FEED_ROOT, FIRST_DAY, LINK_ROOT, NO_EVENT, RFC822
-from workload.queries import AS_OF, DATE, ODD_SOURCES
+from workload.queries import AS_OF, DATE, ODD_SOURCES, SHORT_DELAY
 
 
 def _strip(text: str) -> str:
@@ -217,6 +217,33 @@ def _literal(value: str | None) -> str:
 _ODD_SOURCE = "CASE source " + " ".join(f"WHEN '{k}' THEN {_literal(v)}" for k, v in ODD_SOURCES.items()) + " ELSE source END"
 
 
+# The dedupe stream over three drops that hold events of all days. `m0` to `m2` are the watermarks that the drops
+# run with, `k0` to `k2` what they keep; an id is remembered while its event is not the delay behind the watermark.
+_WINDOW = f"""{EV},
+mixed AS (
+  SELECT *, (CAST('0x' || substr(id, 1, 1) AS INTEGER) + CAST(minute(kafka_ts) AS INTEGER)) % 3 AS part FROM ev),
+m0 AS (SELECT TIMESTAMP '1970-01-01' AS w),
+m1 AS (SELECT date_trunc('millisecond', max(kafka_ts)) - INTERVAL {SHORT_DELAY} AS w FROM mixed WHERE part < 1),
+m2 AS (SELECT date_trunc('millisecond', max(kafka_ts)) - INTERVAL {SHORT_DELAY} AS w FROM mixed WHERE part < 2),
+m3 AS (SELECT date_trunc('millisecond', max(kafka_ts)) - INTERVAL {SHORT_DELAY} AS w FROM mixed),
+k0 AS {_one('mixed', _ARRIVAL, 'part = 0')},
+s1 AS (SELECT id FROM k0, m1 WHERE kafka_ts + INTERVAL {SHORT_DELAY} > w),
+k1 AS {_one('mixed, m1', _ARRIVAL, 'part = 1 AND kafka_ts > w AND id NOT IN (SELECT id FROM s1)')},
+s2 AS (SELECT id FROM (FROM k0 SELECT id, kafka_ts UNION ALL FROM k1 SELECT id, kafka_ts), m2
+  WHERE kafka_ts + INTERVAL {SHORT_DELAY} > w),
+k2 AS {_one('mixed, m2', _ARRIVAL, 'part = 2 AND kafka_ts > w AND id NOT IN (SELECT id FROM s2)')}"""
+
+
+def _drop_report(n: int) -> str:
+    return f"""SELECT {n} AS drop_no, count(*) AS rows_read, count(*) FILTER (kafka_ts <= m{n}.w) AS rows_late,
+      count(*) FILTER (kafka_ts > m{n}.w) - (SELECT count(*) FROM k{n}) AS rows_repeated,
+      strftime((SELECT w FROM m{n + 1}), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS watermark
+    FROM mixed, m{n} WHERE part = {n}"""
+
+
+_FIRST_COLUMNS = f"id, source, link, md5(title) AS title_md5, published_raw, {_shown('kafka_ts')} AS kafka_ts"
+
+
 def oracle_sql() -> dict[str, str]:
     silver_like = f"SELECT {_SILVER_COLUMNS} FROM"
     return {
@@ -402,9 +429,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_bronze": _sql(f"{EV}, {_BRONZE}", f"SELECT {_BRONZE_COLUMNS} FROM bronze"),
         "stream_silver": _sql(f"{CLEAN}, {_STREAM_SILVER}", f"{silver_like} last"),
-        "stream_dedupe": _sql(
-            f"{EV}, {_BRONZE}",
-            f"""SELECT id, source, link, md5(title) AS title_md5, published_raw, {_shown('kafka_ts')} AS kafka_ts
-            FROM bronze""",
+        "stream_dedupe": _sql(f"{EV}, {_BRONZE}", f"SELECT {_FIRST_COLUMNS} FROM bronze"),
+        "stream_dedupe_window": _sql(
+            _WINDOW, " UNION ALL ".join(f"SELECT {_FIRST_COLUMNS} FROM k{n}" for n in range(3))
         ),
+        "late_events": _sql(_WINDOW, " UNION ALL ".join(map(_drop_report, range(3)))),
     }

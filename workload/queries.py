@@ -44,6 +44,7 @@ from feedlake.sources.messages import (
     to_messages,
 )
 from feedlake.streaming.streams import (
+    batch_report,
     event_stream,
     read_bronze,
     read_first,
@@ -490,13 +491,15 @@ def q_briefing_loop(spark, sf):
 # --- streams ---------------------------------------------------------------
 
 
-def _stream(spark, sf, label, start):
+def _stream(spark, sf, label, start, drop="drop_no", ended=lambda n, query: None):
     """Land the drops one by one, running the stream to its end after each."""
     root = workspace(spark, label)
     rows = events(spark, sf)
     for n in range(LAST_DROP + 1):
-        publish_files(to_messages(rows.filter(F.col("drop_no") == n), "kafka_ts"), f"{root}/inbox")
-        start(message_file_stream(spark, f"{root}/inbox"), f"{root}/table").awaitTermination()
+        publish_files(to_messages(rows.filter(F.expr(drop) == n), "kafka_ts"), f"{root}/inbox")
+        query = start(message_file_stream(spark, f"{root}/inbox"), f"{root}/table")
+        query.awaitTermination()
+        ended(n, query)
     return f"{root}/table"
 
 
@@ -543,12 +546,44 @@ def q_replayed_batches(spark, sf):
     return bronze.select(F.lit("bronze").alias("name"), *columns).unionByName(clean.select(F.lit("silver").alias("name"), *columns))
 
 
+def _first_shown(rows):
+    return rows.select("id", "source", "link", F.md5("title").alias("title_md5"), "published_raw", shown(F.col("kafka_ts")).alias("kafka_ts"))
+
+
 @query("stream_dedupe")
 def q_stream_dedupe(spark, sf):
     """First event per id over a delay longer than the log."""
     path = _stream(spark, sf, "dedupe", lambda m, t: start_dedupe(m, t, "400 days", availableNow=True))
-    rows = read_first(spark, path)
-    return rows.select("id", "source", "link", F.md5("title").alias("title_md5"), "published_raw", shown(F.col("kafka_ts")).alias("kafka_ts"))
+    return _first_shown(read_first(spark, path))
+
+
+# Drops that each hold events of all days, so that much of the later ones is late.
+MIXED_DROP = f"pmod(cast(conv(substring(id, 1, 1), 16, 10) AS int) + minute(kafka_ts), {LAST_DROP + 1})"
+SHORT_DELAY = "20 hours"
+
+
+def _mixed(spark, sf, label, ended=lambda n, query: None):
+    start = lambda m, t: start_dedupe(m, t, SHORT_DELAY, availableNow=True)
+    return _stream(spark, sf, label, start, MIXED_DROP, ended)
+
+
+@query("stream_dedupe_window")
+def q_stream_dedupe_window(spark, sf):
+    """First event per id with late events dropped and ids forgotten; the stream is started again for each drop."""
+    return _first_shown(read_first(spark, _mixed(spark, sf, "window")))
+
+
+@query("late_events")
+def q_late_events(spark, sf):
+    """What the watermark does, per drop: rows read, dropped as late, dropped as repeated, and the watermark after it."""
+    rows = []
+
+    def ended(n, stream):
+        report = batch_report(stream)
+        rows.append((n, *(sum(batch[k] for batch in report) for k in (1, 2, 3)), report[-1][4]))
+
+    _mixed(spark, sf, "late", ended)
+    return spark.createDataFrame(rows, "drop_no int, rows_read long, rows_late long, rows_repeated long, watermark string")
 
 
 @query("silver_by_name")
