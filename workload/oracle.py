@@ -234,6 +234,11 @@ s2 AS (SELECT id FROM (FROM k0 SELECT id, kafka_ts UNION ALL FROM k1 SELECT id,
 k2 AS {_one('mixed, m2', _ARRIVAL, 'part = 2 AND kafka_ts > w AND id NOT IN (SELECT id FROM s2)')}"""
 
 
+_POLLS = """SELECT strftime(poll, '%Y-%m-%d %H:%M') AS poll_at, n AS published_count,
+  CAST(sum(n) OVER (ORDER BY poll) AS BIGINT) AS seen_total
+FROM (SELECT date_trunc('minute', kafka_ts) AS poll, count(*) AS n FROM first GROUP BY 1)"""
+
+
 def _drop_report(n: int) -> str:
     return f"""SELECT {n} AS drop_no, count(*) AS rows_read, count(*) FILTER (kafka_ts <= m{n}.w) AS rows_late,
       count(*) FILTER (kafka_ts > m{n}.w) - (SELECT count(*) FROM k{n}) AS rows_repeated,
@@ -276,12 +281,7 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT id, source, link, {_shown('kafka_ts')} AS kafka_ts FROM later
             WHERE id NOT IN (SELECT id FROM ev WHERE drop_no = 0)""",
         ),
-        "ingest_counters": _sql(
-            f"{EV}, {_FIRST}",
-            """SELECT strftime(poll, '%Y-%m-%d %H:%M') AS poll_at, n AS published_count,
-              CAST(sum(n) OVER (ORDER BY poll) AS BIGINT) AS seen_total
-            FROM (SELECT date_trunc('minute', kafka_ts) AS poll, count(*) AS n FROM first GROUP BY 1)""",
-        ),
+        "ingest_counters": _sql(f"{EV}, {_FIRST}", _POLLS),
         "keyed_publish": _sql(
             EV,
             f"""SELECT id AS key, id, source, title, md5(summary) AS summary, link, published_raw, ingested_at,
@@ -433,5 +433,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_dedupe_window": _sql(
             _WINDOW, " UNION ALL ".join(f"SELECT {_FIRST_COLUMNS} FROM k{n}" for n in range(3))
         ),
+        "stream_counters": _sql(f"{EV}, {_FIRST}", _POLLS),
         "late_events": _sql(_WINDOW, " UNION ALL ".join(map(_drop_report, range(3)))),
     }

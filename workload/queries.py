@@ -43,6 +43,7 @@ from feedlake.sources.messages import (
     publish_files,
     to_messages,
 )
+from feedlake.streaming.counters import read_counters, start_counters
 from feedlake.streaming.streams import (
     batch_report,
     event_stream,
@@ -586,6 +587,19 @@ def q_late_events(spark, sf):
     return spark.createDataFrame(rows, "drop_no int, rows_read long, rows_late long, rows_repeated long, watermark string")
 
 
+@query("stream_counters")
+def q_stream_counters(spark, sf):
+    """Counts per poll of what three drops publish, by a stream that is started again for each; a last, empty poll closes the days."""
+    root = workspace(spark, "counters")
+    fresh = cut_lineage(first_seen(events(spark, sf), arrival_order()), "published")
+    nothing = fresh.limit(1).select(*[F.lit(None).cast(kind).alias(c) for c, kind in fresh.dtypes])
+    last = nothing.withColumn("kafka_ts", F.lit("2999-01-01 00:00:00").cast("timestamp"))
+    for rows in [*(fresh.filter(F.col("drop_no") == n) for n in range(LAST_DROP + 1)), last]:
+        publish_files(to_messages(rows, "kafka_ts"), f"{root}/inbox")
+        start_counters(message_file_stream(spark, f"{root}/inbox"), f"{root}/table", availableNow=True).awaitTermination()
+    return read_counters(spark, f"{root}/table").withColumn("poll_at", F.date_format("poll_at", "yyyy-MM-dd HH:mm"))
+
+
 @query("silver_by_name")
 def q_silver_by_name(spark, sf):
     """One day of silver through its catalog name, with a snapshot and a later batch."""
