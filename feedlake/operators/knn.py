@@ -36,10 +36,10 @@ _CANDIDATE_BYTES = 16
 _BLOCK_ROWS = 2048
 _BLOCK_CELLS = 4_000_000
 
-_CANDIDATE = "qid long, vec_id long, score double"
+CANDIDATE = "qid long, vec_id long, score double"
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+def unit_matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     """Rows of `dim` values as a matrix of unit vectors; a zero row stays zero."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -52,7 +52,12 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return matrix / np.where(size == 0, 1.0, size)[:, None]
 
 
-class _Best:
+def block_rows(others: int) -> int:
+    """Rows of a block that is multiplied with so many others."""
+    return max(1, min(_BLOCK_ROWS, _BLOCK_CELLS // max(1, others)))
+
+
+class Best:
     """The k best candidates per query seen so far, best first; free places score -inf."""
 
     def __init__(self, n_queries: int, k: int):
@@ -60,10 +65,12 @@ class _Best:
         self.score = np.full((n_queries, k), -np.inf)
         self.vec_id = np.zeros((n_queries, k), np.int64)
 
-    def add(self, queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, which: np.ndarray | None = None) -> None:
+        """Look at a block of vectors for all queries, or for those with the numbers `which`."""
+        which = np.arange(len(queries)) if which is None else which
         step = max(1, _BLOCK_CELLS // max(1, len(ids)))
-        for start in range(0, len(queries), step):
-            own = slice(start, start + step)
+        for start in range(0, len(which), step):
+            own = which[start : start + step]
             scores = queries[own] @ vectors.T
             # Only what can take a place is looked at: what reaches the k-th
             # score so far or, while there are free places, the k-th of the
@@ -79,7 +86,7 @@ class _Best:
             found, new_ids = np.round(scores[q, c], SCORE_DIGITS) + 0.0, ids[c]
             better = (found > floor[q]) | (new_ids < last_id[q])
             if better.any():
-                self._merge(q[better] + start, new_ids[better], found[better])
+                self._merge(own[q[better]], new_ids[better], found[better])
 
     def _merge(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """Rank the new candidates of some queries together with their old ones."""
@@ -99,7 +106,7 @@ class _Best:
         return {"qid": query_ids[q], "vec_id": self.vec_id[q, place], "score": self.score[q, place]}
 
 
-def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def id_array(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.asarray(column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy(), np.int64)
 
 
@@ -107,19 +114,19 @@ def _candidates(queries: DataFrame, vectors: DataFrame, k: int, dim: int) -> Dat
     """The k best vectors of each task for a chunk of queries."""
     table = queries.toArrow()
     if not table.num_rows:
-        return vectors.sparkSession.createDataFrame([], _CANDIDATE)
-    sent = vectors.sparkSession.sparkContext.broadcast((_ids(table["qid"]), _matrix(table["vector"], dim)))
+        return vectors.sparkSession.createDataFrame([], CANDIDATE)
+    sent = vectors.sparkSession.sparkContext.broadcast((id_array(table["qid"]), unit_matrix(table["vector"], dim)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, query_matrix = sent.value
-        best = _Best(len(query_ids), k)
+        best = Best(len(query_ids), k)
         for batch in batches:
             for start in range(0, batch.num_rows, _BLOCK_ROWS):
                 part = batch.slice(start, _BLOCK_ROWS)
-                best.add(query_matrix, _matrix(part.column("vector"), dim), _ids(part.column("vec_id")))
+                best.add(query_matrix, unit_matrix(part.column("vector"), dim), id_array(part.column("vec_id")))
         yield pa.RecordBatch.from_pydict(best.rows(query_ids))
 
-    return vectors.mapInArrow(score, _CANDIDATE)
+    return vectors.mapInArrow(score, CANDIDATE)
 
 
 def knn(queries: DataFrame, vectors: DataFrame, k: int, query_bytes: int = QUERY_BYTES) -> DataFrame:

@@ -22,6 +22,7 @@ from feedlake.session import BROADCAST_BYTES, cut_lineage, measure, path_exists
 POINT_BUCKETS = 16
 
 Embedder = Callable[[list[str]], list[list[float]]]
+Nearest = Callable[[DataFrame, int], DataFrame]
 
 
 def recent(silver: DataFrame, as_of: Column | str | dt.date, days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -99,14 +100,17 @@ def collection(spark: SparkSession, root: str) -> DataFrame:
     return current_rows(spark, root, POINT_LOG, "point_id")
 
 
-def search(queries: DataFrame, stored: DataFrame, k: int = TOP_K, **limits: int) -> DataFrame:
+def search(queries: DataFrame, stored: DataFrame, k: int = TOP_K, nearest: Nearest | None = None, **limits: int) -> DataFrame:
     """Top k points for each (qid, vector), with score and payload fields.
 
+    `nearest(queries, k)` finds the hits in place of the exact search, as a `CellIndex` over the same points does.
+
     Vectors and payloads are read separately: the scan that scores carries no
     text, and the one that fetches payloads carries no vectors and reads only the buckets
     that hold a hit. The hits are stored first; if they fit a broadcast, the payloads are not shuffled.
     """
-    hits = cut_lineage(knn(queries, stored.select("vec_id", "vector"), k, **limits), "hits")
+    found = nearest(queries, k) if nearest else knn(queries, stored.select("vec_id", "vector"), k, **limits)
+    hits = cut_lineage(found, "hits")
     hits = hits.withColumn("bucket", bucket_of("vec_id", POINT_BUCKETS))
     touched = [row[0] for row in hits.select("bucket").distinct().collect()]  # at most one per bucket
     if measure(hits)[1] <= BROADCAST_BYTES:
@@ -117,9 +121,14 @@ def search(queries: DataFrame, stored: DataFrame, k: int = TOP_K, **limits: int)
 
 
 def retrieve(
-    queries: DataFrame, stored: DataFrame, k: int = TOP_K, dim: int = EMBED_DIM, model: Embedder | None = None
+    queries: DataFrame,
+    stored: DataFrame,
+    k: int = TOP_K,
+    dim: int = EMBED_DIM,
+    model: Embedder | None = None,
+    nearest: Nearest | None = None,
 ) -> DataFrame:
     """Top k articles for each (qid, text). Questions are embedded once and stored, as the
     search looks at them more than once."""
     asked = embedded(queries, F.col("text"), "vector", dim, model).select("qid", "vector")
-    return search(cut_lineage(asked, "questions"), stored, k)
+    return search(cut_lineage(asked, "questions"), stored, k, nearest)

@@ -56,7 +56,7 @@ def test_blocks_of_any_size_agree(cells, monkeypatch):
     vectors[7] = np.nan
     ids = rng.permutation(50).astype(np.int64)
     unit = lambda m: m / np.linalg.norm(m, axis=1)[:, None]
-    best = module._Best(17, 8)
+    best = module.Best(17, 8)
     for start in range(0, 50, 9):
         part = slice(start, start + 9)
         best.add(unit(queries), unit(vectors)[part], ids[part])

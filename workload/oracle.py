@@ -234,6 +234,15 @@ s2 AS (SELECT id FROM (FROM k0 SELECT id, kafka_ts UNION ALL FROM k1 SELECT id,
 k2 AS {_one('mixed, m2', _ARRIVAL, 'part = 2 AND kafka_ts > w AND id NOT IN (SELECT id FROM s2)')}"""
 
 
+_KNN = _sql(
+    f"""asked AS (SELECT item_id AS qid, {_digest_vector('text', copies=2)} AS qv FROM benchmark)""",
+    """SELECT qid, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+      SELECT qid, vec_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rank
+      FROM (SELECT q.qid, e.vec_id,
+        round(list_cosine_similarity(q.qv, CAST(e.embedding AS DOUBLE[])), 8) + 0.0 AS score
+        FROM asked q CROSS JOIN embeddings e)) WHERE rank <= 6""",
+)
+
 _POLLS = """SELECT strftime(poll, '%Y-%m-%d %H:%M') AS poll_at, n AS published_count,
   CAST(sum(n) OVER (ORDER BY poll) AS BIGINT) AS seen_total
 FROM (SELECT date_trunc('minute', kafka_ts) AS poll, count(*) AS n FROM first GROUP BY 1)"""
@@ -363,14 +372,8 @@ def oracle_sql() -> dict[str, str]:
               id AS article_id, source, title, substr(body, 1, 2000) AS body, link,
               CAST(published_at AS VARCHAR) AS published_at FROM sized""",
         ),
-        "knn_topk": _sql(
-            f"""asked AS (SELECT item_id AS qid, {_digest_vector('text', copies=2)} AS qv FROM benchmark)""",
-            """SELECT qid, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-              SELECT qid, vec_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rank
-              FROM (SELECT q.qid, e.vec_id,
-                round(list_cosine_similarity(q.qv, CAST(e.embedding AS DOUBLE[])), 8) + 0.0 AS score
-                FROM asked q CROSS JOIN embeddings e)) WHERE rank <= 6""",
-        ),
+        "knn_topk": _KNN,
+        "knn_cells": _KNN,
         "rag_contexts": _sql(
             f"{SILVER}, {_points()}, {_ASKED}, {_search('found', 'asked', 'points')}", "SELECT qid, contexts FROM found"
         ),

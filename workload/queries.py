@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlake.functions import vector as vec
@@ -13,6 +13,7 @@ from feedlake.functions.ids import link_id, point_id
 from feedlake.functions.text import embed_text, plain_body, strip
 from feedlake.functions.times import parsed, published_at
 from feedlake.operators.dedupe import first_seen
+from feedlake.operators.ivf import build_index, open_index, recall
 from feedlake.operators.knn import knn
 from feedlake.operators.merge import insert_only, upsert
 from feedlake.operators.tables import compact
@@ -64,6 +65,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 DATE = "2024-01-02"
 AS_OF = "2024-01-03"
 KNN_DIM = 64
+# Above what is asked for, as it is met on a sample of the questions.
+RECALL_WANTED = 0.95
+
+# Approximate answers, for which there is no SQL; the tests compare them with brute force.
+WITHOUT_SQL = {"ann_topk"}
 
 _QUERIES: dict[str, Query] = {}
 
@@ -436,6 +442,35 @@ def q_knn_topk(spark, sf):
     return knn(asked, stored, BRIEFING_TOP_K)
 
 
+def _cell_index(spark, sf):
+    root = workspace(spark, "cells")
+    build_index(table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector")), root)
+    return open_index(spark, root)
+
+
+@query("ann_topk")
+def q_ann_topk(spark, sf):
+    """Nearest stored vectors of every benchmark text, from some cells only: the recall of each question against
+    the exact search, and the share of all pairs that was scored."""
+    asked = _questions(spark, sf).select("qid", vec.hash_embedding(F.col("text"), KNN_DIM).alias("vector"))
+    asked = cut_lineage(asked, "questions")
+    index = _cell_index(spark, sf)
+    probes = index.calibrated(asked, BRIEFING_TOP_K, RECALL_WANTED)
+    found = cut_lineage(index.search(asked, BRIEFING_TOP_K, probes), "ann-hits")
+    truth = knn(asked, index.vectors.select("vec_id", "vector"), BRIEFING_TOP_K)
+    mean = F.avg("recall").over(Window.partitionBy())
+    shares = recall(found, truth).withColumn("mean_recall", mean)  # a row per question
+    share = F.lit(index.scanned_share(asked, probes)).alias("scanned_share")
+    return found.join(shares, "qid").select("qid", "rank", "vec_id", "score", "recall", "mean_recall", share)
+
+
+@query("knn_cells")
+def q_knn_cells(spark, sf):
+    """The exact search through cells: those that may hold a better vector are read as well."""
+    asked = _questions(spark, sf).select("qid", vec.hash_embedding(F.col("text"), KNN_DIM).alias("vector"))
+    return _cell_index(spark, sf).exact(cut_lineage(asked, "questions"), BRIEFING_TOP_K)
+
+
 def _stored_points(spark, sf, rows=None):
     root = workspace(spark, "points")
     index_articles(_silver(spark, sf) if rows is None else rows, root, 0)
