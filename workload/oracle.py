@@ -234,6 +234,19 @@ s2 AS (SELECT id FROM (FROM k0 SELECT id, kafka_ts UNION ALL FROM k1 SELECT id,
 k2 AS {_one('mixed, m2', _ARRIVAL, 'part = 2 AND kafka_ts > w AND id NOT IN (SELECT id FROM s2)')}"""
 
 
+# Silver and both marts after each of the drops, the last drop winning.
+_LIVE = CLEAN + "".join(
+    f", after{n} AS {_one('clean', 'drop_no DESC, ' + _LATEST, f'drop_no <= {n}')}"
+    f", {_words(f'words{n}', f'after{n}')}, {_counts(f'counts{n}', f'after{n}')}"
+    for n in range(3)
+)
+
+
+def _marts_after(n: int) -> str:
+    return f"""SELECT {n} AS drop_no, 'source' AS mart, CAST(dt AS VARCHAR) AS dt, source AS name, article_count AS n FROM counts{n}
+    UNION ALL SELECT {n}, 'token', CAST(dt AS VARCHAR), token, freq FROM words{n}"""
+
+
 _KNN = _sql(
     f"""asked AS (SELECT item_id AS qid, {_digest_vector('text', copies=2)} AS qv FROM benchmark)""",
     """SELECT qid, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
@@ -437,5 +450,6 @@ def oracle_sql() -> dict[str, str]:
             _WINDOW, " UNION ALL ".join(f"SELECT {_FIRST_COLUMNS} FROM k{n}" for n in range(3))
         ),
         "stream_counters": _sql(f"{EV}, {_FIRST}", _POLLS),
+        "live_marts": _sql(_LIVE, " UNION ALL ".join(map(_marts_after, range(3)))),
         "late_events": _sql(_WINDOW, " UNION ALL ".join(map(_drop_report, range(3)))),
     }

@@ -16,7 +16,7 @@ from feedlake.operators.dedupe import first_seen
 from feedlake.operators.ivf import build_index, open_index, recall
 from feedlake.operators.knn import knn
 from feedlake.operators.merge import insert_only, upsert
-from feedlake.operators.tables import compact
+from feedlake.operators.tables import compact, last_batch
 from feedlake.plans import briefing as br
 from feedlake.plans.briefing import read_briefings
 from feedlake.plans.catalog import open_tables
@@ -45,6 +45,7 @@ from feedlake.sources.messages import (
     to_messages,
 )
 from feedlake.streaming.counters import read_counters, start_counters
+from feedlake.streaming.live_marts import MARTS, read_live, start_live_marts
 from feedlake.streaming.streams import (
     batch_report,
     event_stream,
@@ -635,6 +636,26 @@ def q_stream_counters(spark, sf):
     return read_counters(spark, f"{root}/table").withColumn("poll_at", F.date_format("poll_at", "yyyy-MM-dd HH:mm"))
 
 
+@query("live_marts")
+def q_live_marts(spark, sf):
+    """Both marts as they stand after each of three drops, kept up to date by the rows that change."""
+    ends = {}
+    path = workspace(spark, "live")
+    rows = events(spark, sf)
+    for n in range(LAST_DROP + 1):
+        publish_files(to_messages(rows.filter(F.col("drop_no") == n), "kafka_ts"), f"{path}/inbox")
+        start_live_marts(message_file_stream(spark, f"{path}/inbox"), f"{path}/table", availableNow=True).awaitTermination()
+        ends[n] = last_batch(spark, f"{path}/table/gold_daily_source")
+    parts = [
+        read_live(spark, f"{path}/table", mart, upto).select(
+            F.lit(n).alias("drop_no"), F.lit(key).alias("mart"), "dt", F.col(key).alias("name"), F.col(count).alias("n")
+        )
+        for n, upto in ends.items()
+        for mart, (key, count) in MARTS.items()
+    ]
+    return _dated(reduce(DataFrame.unionByName, parts))
+
+
 @query("silver_by_name")
 def q_silver_by_name(spark, sf):
     """One day of silver through its catalog name, with a snapshot and a later batch."""
