@@ -23,11 +23,15 @@ def daily_source(silver: DataFrame) -> DataFrame:
     return silver.groupBy("dt", "source").agg(F.count(F.lit(1)).alias("article_count"))
 
 
-def daily_keyword(silver: DataFrame, stop_words: list[str] = STOP_WORDS) -> DataFrame:
-    """Occurrences of each token in the titles of a day; case counts."""
+def keywords(silver: DataFrame, stop_words: list[str] = STOP_WORDS) -> DataFrame:
+    """(dt, token) of each occurrence in a title; case counts."""
     words = silver.select("dt", F.explode(title_words(F.col("title"))).alias("token"))
-    kept = words.filter((F.length("token") >= MIN_TOKEN_CHARS) & ~F.col("token").isin(stop_words))
-    return kept.groupBy("dt", "token").agg(F.count(F.lit(1)).alias("freq"))
+    return words.filter((F.length("token") >= MIN_TOKEN_CHARS) & ~F.col("token").isin(stop_words))
+
+
+def daily_keyword(silver: DataFrame, stop_words: list[str] = STOP_WORDS) -> DataFrame:
+    """Occurrences of each token in the titles of a day."""
+    return keywords(silver, stop_words).groupBy("dt", "token").agg(F.count(F.lit(1)).alias("freq"))
 
 
 def top_sources(daily: DataFrame, k: int = TOP_SOURCES) -> DataFrame:

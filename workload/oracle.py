@@ -451,5 +451,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_counters": _sql(f"{EV}, {_FIRST}", _POLLS),
         "live_marts": _sql(_LIVE, " UNION ALL ".join(map(_marts_after, range(3)))),
+        "sketched_keywords": _sql(
+            WORDS,
+            """SELECT token, CAST(sum(freq) AS BIGINT) AS freq, TRUE AS within_bound FROM words
+            GROUP BY token ORDER BY 2 DESC, 1 LIMIT 15""",
+        ),
         "late_events": _sql(_WINDOW, " UNION ALL ".join(map(_drop_report, range(3)))),
     }

@@ -17,6 +17,7 @@ from feedlake.operators.ivf import build_index, open_index, recall
 from feedlake.operators.knn import knn
 from feedlake.operators.merge import insert_only, upsert
 from feedlake.operators.tables import compact, last_batch
+from feedlake.operators.topk import top
 from feedlake.plans import briefing as br
 from feedlake.plans.briefing import read_briefings
 from feedlake.plans.catalog import open_tables
@@ -24,15 +25,18 @@ from feedlake.plans.daily import run_daily
 from feedlake.plans.index import collection, index_articles, points, recent, retrieve
 from feedlake.plans.ingest import poll_counters, publish_new
 from feedlake.plans.marts import (
+    TOP_KEYWORDS,
     build_gold,
     daily_keyword,
     daily_source,
     for_date,
+    keywords,
     read_gold,
     top_keywords,
     top_keywords_per_day,
     top_sources,
 )
+from feedlake.plans.sketches import build_sketches, candidates, read_sketches
 from feedlake.plans.silver import arrival_order, cleaned, latest_order, silver
 from feedlake.schema import BRIEFING_TOP_K, SILVER_LOG
 from feedlake.session import cut_lineage, pin, workspace
@@ -349,6 +353,20 @@ def q_top_keywords_per_day(spark, sf):
     return _dated(top_keywords_per_day(daily_keyword(_silver(spark, sf))))
 
 
+@query("sketched_keywords")
+def q_sketched_keywords(spark, sf):
+    """The first keywords over all days from the stored sketches of the days, one of them built again; those that may
+    be among them are counted, and the estimates compared with the counts."""
+    root = workspace(spark, "sketches")
+    rows = cut_lineage(_silver(spark, sf).select("dt", "title"), "titles")
+    build_sketches(rows.filter(F.col("dt") != F.to_date(F.lit(DATE))), root)
+    build_sketches(rows, root, DATE)
+    found = cut_lineage(candidates(read_sketches(spark, root)), "candidates")
+    counted = keywords(rows).join(F.broadcast(found), "token").groupBy("token", "estimate", "bound").agg(F.count(F.lit(1)).alias("freq"))
+    first = top(counted, TOP_KEYWORDS, [F.col("freq").desc(), F.col("token").asc()])
+    return first.select("token", "freq", (F.abs(F.col("estimate") - F.col("freq")) <= F.col("bound")).alias("within_bound"))
+
+
 # --- index -----------------------------------------------------------------
 
 
