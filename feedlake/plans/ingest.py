@@ -9,6 +9,7 @@ from feedlake.functions.ids import link_id
 from feedlake.functions.text import first_filled, strip
 from feedlake.functions.times import iso
 from feedlake.operators.dedupe import first_seen
+from feedlake.operators.seen import first_unseen
 from feedlake.schema import POLL_SECONDS
 from feedlake.session import cut_lineage, list_names
 from feedlake.sources.feeds import entries_from_documents, tagged, unread_documents
@@ -52,8 +53,10 @@ def publish_new(
     sent = F.current_timestamp() if sent_at is None else sent_at
     entries = cut_lineage(entries_from_documents(documents), "entries")
     events = to_events(tagged(entries, feeds), ingested_at, keep=["feed_no", "entry_no"])
-    published = message_files(spark, log).select(F.col("key").alias("id")) if list_names(spark, log) else None
-    fresh = first_seen(events, list_order(), published)
+    if list_names(spark, log):
+        fresh = first_unseen(events, list_order(), message_files(spark, log).select(F.col("key").alias("id")))
+    else:
+        fresh = first_seen(events, list_order())
     publish_files(to_messages(fresh.withColumn("_sent", sent), "_sent"), log)
     came = documents.groupBy("feed_url").agg(F.count(F.lit(1)).alias("documents"))
     unread = unread_documents(documents).groupBy("feed_url").agg(F.count(F.lit(1)).alias("unread"))

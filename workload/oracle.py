@@ -456,5 +456,10 @@ def oracle_sql() -> dict[str, str]:
             """SELECT token, CAST(sum(freq) AS BIGINT) AS freq, TRUE AS within_bound FROM words
             GROUP BY token ORDER BY 2 DESC, 1 LIMIT 15""",
         ),
+        "seen_filter": _sql(
+            f"{EV}, published AS (SELECT DISTINCT id FROM ev WHERE drop_no = 0), asked AS (SELECT DISTINCT id FROM ev WHERE drop_no > 0)",
+            """SELECT (SELECT count(*) FROM published) AS published, count(*) AS asked,
+              count(*) FILTER (id IN (SELECT id FROM published)) AS known, 0::BIGINT AS missed, TRUE AS few_false_alarms FROM asked""",
+        ),
         "late_events": _sql(_WINDOW, " UNION ALL ".join(map(_drop_report, range(3)))),
     }

@@ -16,6 +16,8 @@ from feedlake.operators.dedupe import first_seen
 from feedlake.operators.ivf import build_index, open_index, recall
 from feedlake.operators.knn import knn
 from feedlake.operators.merge import insert_only, upsert
+from feedlake.operators.seen import FALSE_RATE, first_unseen, with_maybe
+from feedlake.operators.seen import seen_filter as build_filter
 from feedlake.operators.tables import compact, last_batch
 from feedlake.operators.topk import top
 from feedlake.plans import briefing as br
@@ -221,10 +223,30 @@ def q_new_since_published(spark, sf):
     """What the later drops add to the ids published in the first one."""
     rows = events(spark, sf)
     published = rows.filter(F.col("drop_no") == 0).select("id")
-    later = first_seen(rows.filter(F.col("drop_no") > 0), arrival_order(), published)
+    later = first_unseen(rows.filter(F.col("drop_no") > 0), arrival_order(), published)
     return later.select("id", "source", "link", shown(F.col("kafka_ts")).alias("kafka_ts"))
 
 
+@query("seen_filter")
+def q_seen_filter(spark, sf):
+    """What the filter in front of that join does: ids that ask, known ones among them, and whether the rate of
+    false alarms among the new ones is as stated (small samples get twice the rate and three more)."""
+    rows = events(spark, sf).select("id", "drop_no")
+    published = cut_lineage(rows.filter(F.col("drop_no") == 0).select("id").distinct(), "published")
+    asked = rows.filter(F.col("drop_no") > 0).select("id").distinct()
+    known = published.count()
+    flagged = with_maybe(asked, build_filter(published, "id", known), "id")
+    hits = flagged.join(published.withColumn("_known", F.lit(True)), "id", "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    counted = hits.agg(
+        F.count(F.lit(1)).alias("asked"),
+        F.count_if("_known").alias("known"),
+        F.count_if(F.col("_known") & ~F.col("_maybe")).alias("missed"),
+        F.count_if(~F.col("_known") & F.col("_maybe")).alias("false_alarms"),
+    )
+    few = F.col("false_alarms") <= 2 * FALSE_RATE * (F.col("asked") - F.col("known")) + 3
+    return counted.select(F.lit(known).cast("long").alias("published"), "asked", "known", "missed", few.alias("few_false_alarms"))
+
+
 @query("ingest_counters")
 def q_ingest_counters(spark, sf):
     counted = poll_counters(first_seen(events(spark, sf), arrival_order()), "kafka_ts")
