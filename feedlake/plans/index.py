@@ -22,6 +22,7 @@ from feedlake.session import BROADCAST_BYTES, cut_lineage, measure, path_exists
 POINT_BUCKETS = 16
 
 Embedder = Callable[[list[str]], list[list[float]]]
+Embed = Callable[[DataFrame, Column], DataFrame]
 Nearest = Callable[[DataFrame, int], DataFrame]
 
 
@@ -52,10 +53,13 @@ def embedded(
     return source.mapInArrow(call, schema)
 
 
-def points(silver: DataFrame, dim: int = EMBED_DIM, model: Embedder | None = None) -> DataFrame:
-    """Index points (point_id, vector, payload) of articles."""
+def points(
+    silver: DataFrame, dim: int = EMBED_DIM, model: Embedder | None = None, embed: Embed | None = None
+) -> DataFrame:
+    """Index points (point_id, vector, payload) of articles; `embed(rows, text)` adds the vectors in place of the model."""
     body = F.coalesce(F.col("body"), F.lit(""))
-    vectors = embedded(silver, embed_text(F.col("title"), body), "vector", dim, model)
+    text = embed_text(F.col("title"), body)
+    vectors = embed(silver, text) if embed else embedded(silver, text, "vector", dim, model)
     return vectors.select(
         point_id(F.col("id")).alias("point_id"),
         checked(F.col("vector"), dim).alias("vector"),
@@ -83,7 +87,13 @@ def open_collection(spark: SparkSession, root: str, dim: int) -> bool:
 
 
 def index_articles(
-    silver: DataFrame, root: str, batch_id: int, dim: int = EMBED_DIM, model: Embedder | None = None, replace: bool = True
+    silver: DataFrame,
+    root: str,
+    batch_id: int,
+    dim: int = EMBED_DIM,
+    model: Embedder | None = None,
+    replace: bool = True,
+    embed: Embed | None = None,
 ) -> int:
     """Upsert the points of the given articles (one row per id); returns their number, 0 if there are none.
 
@@ -91,7 +101,7 @@ def index_articles(
     `replace` the later one fails.
     """
     open_collection(silver.sparkSession, root, dim)
-    rows = points(silver, dim, model).withColumn("vec_id", point_to_long(F.col("point_id")))
+    rows = points(silver, dim, model, embed).withColumn("vec_id", point_to_long(F.col("point_id")))
     rows = rows.withColumn("bucket", bucket_of("vec_id", POINT_BUCKETS))
     return write_keyed(rows, root, batch_id, "point_id", "bucket", "vec_id", replace)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from feedlake.plans.briefing import Roles
 from feedlake.schema import BLANKS, NO_HITS, ROLE_CHARS, STOP_WORDS
 from workload.base import FEED_ROOT, FIRST_DAY, LINK_ROOT, NO_EVENT, RFC822
-from workload.queries import AS_OF, DATE, ODD_SOURCES, SHORT_DELAY
+from workload.queries import AS_OF, DATE, LETTERS, ODD_SOURCES, SHORT_DELAY
 
 
 def _strip(text: str) -> str:
@@ -461,5 +461,15 @@ def oracle_sql() -> dict[str, str]:
             """SELECT (SELECT count(*) FROM published) AS published, count(*) AS asked,
               count(*) FILTER (id IN (SELECT id FROM published)) AS known, 0::BIGINT AS missed, TRUE AS few_false_alarms FROM asked""",
         ),
+        "embed_once": _sql(
+            f"""{SILVER}, early AS {_one('clean', _LATEST, 'drop_no = 0')},
+            runs AS (SELECT 0 AS run, id, {_embed_text('title', 'body')} AS text FROM early
+              UNION ALL SELECT 1, id, {_embed_text('title', 'body')} FROM silver),
+            made AS (SELECT text, min(run) AS made_in FROM runs GROUP BY text)""",
+            f"""SELECT r.run, r.id AS article_id,
+              {', '.join(f"length(r.text) - length(replace(r.text, '{c}', '')) AS n_{c}" for c in LETTERS)}, m.made_in,
+              (SELECT count(*) FROM made o WHERE o.made_in = r.run) AS embedded
+            FROM runs r JOIN made m ON m.text = r.text""",
+        ),
         "late_events": _sql(_WINDOW, " UNION ALL ".join(map(_drop_report, range(3)))),
     }

@@ -40,6 +40,7 @@ from feedlake.plans.marts import (
 )
 from feedlake.plans.sketches import build_sketches, candidates, read_sketches
 from feedlake.plans.silver import arrival_order, cleaned, latest_order, silver
+from feedlake.plans.vector_store import VectorStore
 from feedlake.schema import BRIEFING_TOP_K, SILVER_LOG
 from feedlake.session import cut_lineage, pin, workspace
 from feedlake.sources.feeds import entries_from_documents, tagged, unread_documents
@@ -450,6 +451,33 @@ def q_indexed_total(spark, sf):
     return spark.createDataFrame(counts, "batch int, indexed long")
 
 
+LETTERS = "aent"
+
+
+def letter_counts(texts):
+    """A local model: how often some letters occur."""
+    return [[float(text.count(letter)) for letter in LETTERS] for text in texts]
+
+
+@query("embed_once")
+def q_embed_once(spark, sf):
+    """Two index runs with a local model over a store of vectors: the articles of the first drop, then all of them. Per
+    article and run its vector, the run that embedded its text, and how many texts the model got in that run."""
+    root = workspace(spark, "vectors")
+    store = VectorStore(f"{root}/store", "letters", len(LETTERS), letter_counts)
+    rows = events(spark, sf)
+    runs = []
+    for n, articles in enumerate((silver(rows.filter(F.col("drop_no") == 0)), silver(rows))):
+        index_articles(articles, f"{root}/points{n}", 0, store.dim, embed=lambda df, text, n=n: store.embedded(df, text, n))
+        made = store.stored(spark).filter(F.col("batch_id") == n).count()
+        runs.append(collection(spark, f"{root}/points{n}").select(F.lit(n).alias("run"), "payload.article_id", "vector", F.lit(made).alias("embedded")))
+    origin = store.stored(spark).select(F.col("vector").alias("_v"), F.col("batch_id").cast("int").alias("made_in"), "_hash")
+    text = _silver(spark, sf).select(F.col("id").alias("article_id"), F.sha2(embed_text(F.col("title"), F.col("body")), 256).alias("_hash"))
+    both = reduce(DataFrame.unionByName, runs).join(text, "article_id").join(origin, "_hash")
+    letters = [F.get("vector", F.lit(k)).cast("long").alias(f"n_{letter}") for k, letter in enumerate(LETTERS)]
+    return both.select("run", "article_id", *letters, "made_in", F.col("embedded").cast("long").alias("embedded"))
+
+
 @query("empty_inputs")
 def q_empty_inputs(spark, sf):
     """Rows that jobs make of no questions, no articles in reach and no new events."""
