@@ -12,7 +12,7 @@ from feedlake.operators.dedupe import first_seen
 from feedlake.operators.seen import first_unseen
 from feedlake.schema import POLL_SECONDS
 from feedlake.session import cut_lineage, list_names
-from feedlake.sources.feeds import entries_from_documents, tagged, unread_documents
+from feedlake.sources.feeds import read_documents, tagged
 from feedlake.sources.messages import message_files, publish_files, to_messages
 
 
@@ -51,7 +51,7 @@ def publish_new(
     """
     spark = documents.sparkSession
     sent = F.current_timestamp() if sent_at is None else sent_at
-    entries = cut_lineage(entries_from_documents(documents), "entries")
+    entries, lost = read_documents(documents)
     events = to_events(tagged(entries, feeds), ingested_at, keep=["feed_no", "entry_no"])
     if list_names(spark, log):
         fresh = first_unseen(events, list_order(), message_files(spark, log).select(F.col("key").alias("id")))
@@ -59,7 +59,7 @@ def publish_new(
         fresh = first_seen(events, list_order())
     publish_files(to_messages(fresh.withColumn("_sent", sent), "_sent"), log)
     came = documents.groupBy("feed_url").agg(F.count(F.lit(1)).alias("documents"))
-    unread = unread_documents(documents).groupBy("feed_url").agg(F.count(F.lit(1)).alias("unread"))
+    unread = lost.groupBy("feed_url").agg(F.count(F.lit(1)).alias("unread"))
     found = entries.groupBy("feed_url").agg(F.count(F.lit(1)).alias("entries"))
     report = feeds.join(came, "feed_url", "left").join(unread, "feed_url", "left").join(found, "feed_url", "left")
     counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("documents", "unread", "entries")]

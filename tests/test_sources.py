@@ -1,13 +1,23 @@
 import os
+import random
 import urllib.parse
 
+import pytest
 from pyspark.sql import functions as F
 
 from feedlake.plans.ingest import poll_counters, publish_new, to_events
 from feedlake.operators.dedupe import first_seen
-from feedlake.sources.feeds import entries_from_documents, feed_list, read_feed_files, tagged, unread_documents
+from feedlake.sources.feeds import (
+    entries_from_documents,
+    feed_list,
+    read_documents,
+    read_feed_files,
+    read_large_feeds,
+    tagged,
+    unread_documents,
+)
 from feedlake.sources.messages import decode, message_files, publish_files, to_messages
-from tests.helpers import at, event, events, values
+from tests.helpers import at, event, events, plan, values
 
 RSS = """<?xml version="1.0" encoding="UTF-8"?>
 <rss version="2.0" xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>c</title>
@@ -158,3 +168,59 @@ def test_unreadable_values_become_nulls(spark):
     assert [(r["id"], r["title"]) for r in got][0] == ("a", "3")
     assert all(r["id"] is None and r["link"] is None for r in got[1:])
     assert all(r["kafka_ts"] is not None for r in got)
+
+
+ENTRY = ["feed_url", "entry_no", "link", "title", "published", "updated", "summary", "description"]
+
+
+def land_large(root, tag, n, name="1"):
+    folder = f"{root}/feed_url={urllib.parse.quote('https://a/' + name, safe='')}"
+    os.makedirs(folder, exist_ok=True)
+    rng = random.Random(n)
+    with open(f"{folder}/{name}.xml", "w", encoding="utf-8") as out:
+        out.write("<?xml version='1.0'?>\n" + ("<rss xmlns:media='urn:m'><channel><title>a feed</title><items>2</items>" if tag == "item" else "<feed><title>a feed</title>"))
+        for k in range(n):
+            text = "".join(rng.choice(["w ", "é ", "&lt;b&gt; ", "& ", "한글 "]) for _ in range(rng.randrange(60)))
+            if tag == "item":
+                out.write(f"<item>\n<title>t {k} {text}</title><media:title>no</media:title>")
+                out.write(f"<link>https://n/{k}</link>" if k % 3 else f"<guid>https://n/{k}</guid>")
+                out.write(f"<description><![CDATA[<b>{k}</b> {text}]]></description></item>" + "\n" * (k % 2))
+            else:
+                out.write(f"<entry xml:lang='x'><title>t {k}</title><link rel='alternate' href='https://n/{k}'/><summary>{text}</summary></entry>\n")
+        out.write("</channel></rss>" if tag == "item" else "</feed>")
+
+
+@pytest.mark.parametrize("tag", ["item", "entry"])
+def test_large_files_are_read_in_pieces(spark, root, tag):
+    for n, name in ((4000, "1"), (3, "2"), (0, "3")):
+        land_large(root, tag, n, name)
+    want = values(entries_from_documents(read_feed_files(spark, root)), *ENTRY)
+    assert len(want) == 4003
+    size = sum(os.path.getsize(f"{folder}/{name}") for folder, _, names in os.walk(root) for name in names)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 12))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+    try:
+        rows = read_large_feeds(spark, root, tag)
+        assert values(rows, *ENTRY) == want
+        pieces = spark.read.option("lineSep", f"</{tag}>").text(root)
+        tasks = pieces.filter("value like '%<link%'").groupBy(F.spark_partition_id()).count().count()
+        assert tasks >= 8  # one file, several tasks
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_entries_of_a_broken_large_file(spark, root):
+    os.makedirs(f"{root}/feed_url=a")
+    with open(f"{root}/feed_url=a/1.xml", "w", encoding="utf-8") as out:
+        out.write("<rss><item><link>1</link></item><item><link>2<link></item><itemless/><item ><link>3</link></item><item><link>4</link>")
+    rows = read_large_feeds(spark, root).filter("link is not null")
+    assert values(rows, "link") == [("1",), ("3",), ("4",)]  # the last lacks its end tag only
+
+
+def test_documents_are_parsed_once(spark):
+    docs = spark.createDataFrame([("a", "<rss><channel><item><link>x</link></item></channel></rss>"), ("b", "no")], "feed_url string, xml string")
+    entries, unread = read_documents(docs)
+    assert values(entries, "feed_url", "link") == [("a", "x")] and values(unread, "feed_url") == [("b",)]
+    for part in (entries, unread):
+        assert "from_xml" not in plan(part) and "FileScan" in plan(part)

@@ -471,5 +471,10 @@ def oracle_sql() -> dict[str, str]:
               (SELECT count(*) FROM made o WHERE o.made_in = r.run) AS embedded
             FROM runs r JOIN made m ON m.text = r.text""",
         ),
+        "feed_files_split": _sql(
+            ENTRIES,
+            f"""SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS INTEGER) AS entry_no, link,
+              {_strip('title')} AS title, published, md5({_strip('coalesce(summary, description)')}) AS text_md5 FROM entries""",
+        ),
         "late_events": _sql(_WINDOW, " UNION ALL ".join(map(_drop_report, range(3)))),
     }

@@ -43,7 +43,7 @@ from feedlake.plans.silver import arrival_order, cleaned, latest_order, silver
 from feedlake.plans.vector_store import VectorStore
 from feedlake.schema import BRIEFING_TOP_K, SILVER_LOG
 from feedlake.session import cut_lineage, pin, workspace
-from feedlake.sources.feeds import entries_from_documents, tagged, unread_documents
+from feedlake.sources.feeds import read_documents, read_large_feeds, tagged
 from feedlake.sources.messages import (
     decode,
     message_file_stream,
@@ -168,7 +168,7 @@ def q_feed_items_xml(spark, sf):
     broken = F.col("doc_id") % 25 == 3
     documents = rows.select("doc_id", "feed_url", F.when(broken, F.regexp_replace(xml, "second</title>.*$", "")).otherwise(xml).alias("xml"))
     documents = cut_lineage(documents, "feed-documents")
-    read, unread = entries_from_documents(documents), unread_documents(documents)
+    read, unread = read_documents(documents)
     both = read.select("doc_id", "feed_url", "entry_no", "link", "title", "published", "updated", "summary", "description")
     none = [F.lit(None).cast(kind).alias(name) for name, kind in both.dtypes[2:]]
     found = tagged(both.unionByName(unread.select("doc_id", "feed_url", *none)), feeds(spark, sf))
@@ -184,6 +184,36 @@ def q_feed_items_xml(spark, sf):
     )
 
 
+@query("feed_files_split")
+def q_feed_files_split(spark, sf):
+    """One feed document per source with all its entries, landed as a file and read in pieces."""
+    root = workspace(spark, "large-feeds")
+    rows = entries(spark, sf)
+    item = F.concat(
+        F.lit("<item rank='1'>"),
+        _element("title", F.col("title")),
+        F.lit("<media:title>picture</media:title>"),
+        _element("link", F.col("link")),
+        _element("pubDate", F.coalesce("published", F.lit(""))),
+        _element("description", F.coalesce("summary", "description")),
+        F.lit("</item>"),
+    )
+    head = "<?xml version='1.0'?><rss xmlns:media='urn:m'><channel><title>feed</title><itemCount>n</itemCount>"
+    feed = rows.select("feed_url").distinct()
+    parts = [
+        feed.select("feed_url", F.lit(0).alias("part"), F.lit(0).cast("long").alias("doc_id"), F.lit(head).alias("value")),
+        rows.select("feed_url", F.lit(1).alias("part"), "doc_id", item.alias("value")),
+        feed.select("feed_url", F.lit(2).alias("part"), F.lit(0).cast("long").alias("doc_id"), F.lit("</channel></rss>").alias("value")),
+    ]
+    landed = reduce(DataFrame.unionByName, parts).repartition("feed_url").sortWithinPartitions("feed_url", "part", "doc_id")
+    landed.select("feed_url", "value").write.partitionBy("feed_url").text(root)
+    found = tagged(read_large_feeds(spark, root), feeds(spark, sf))
+    return found.select(
+        "source", "entry_no", "link", strip(F.col("title")).alias("title"), F.coalesce("published", F.lit("")).alias("published"),
+        F.md5(strip(F.col("description"))).alias("text_md5"),
+    )
+
+
 @query("feeds_to_log")
 def q_feeds_to_log(spark, sf):
     """Feed documents that land in three drops, published where the log does not hold them yet."""
