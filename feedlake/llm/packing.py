@@ -64,7 +64,10 @@ class Encoder:
 
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is not None and not _LATIN.search(text):
-            return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
+            try:
+                return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
+            except ValueError:
+                pass  # its pattern gives up on very long runs of white space
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
