@@ -109,20 +109,17 @@ def _spans(located: DataFrame) -> DataFrame:
 def _tested(runs: DataFrame) -> DataFrame:
     """(_row, start, end, run, origin): the runs, those that mix both alphabets as their parts; `origin` is the start of such a run, else null."""
 
-    def parts(foreign: str) -> Column:
-        pieces = F.split("run", foreign, -1)
-        ends = F.aggregate(
-            pieces,
-            F.array(F.lit(0)),
-            lambda ends, piece: F.concat(ends, F.array(F.element_at(ends, -1) + F.length(piece) + 1)),
-        )
-        placed = F.arrays_zip(pieces.alias("run"), F.slice(ends, 1, F.size(pieces)).alias("at"))
-        return F.filter(placed, lambda part: F.length(F.rtrim(part["run"], F.lit("="))) >= MIN_CHARS)
-
     mixed = F.col("run").rlike("[+/]") & F.col("run").rlike("[-_]")
-    split = runs.filter(mixed).select("_row", F.col("start").alias("origin"), F.explode(F.concat(parts("[-_]"), parts("[+/]"))).alias("part"))
-    start = F.col("origin") + F.col("part.at")
-    split = split.select("_row", start.alias("start"), (start + F.length("part.run")).alias("end"), "part.run", "origin")
+
+    def parts(foreign: str) -> DataFrame:
+        """The pieces between foreign characters, at their places: each ends where the lengths so far do."""
+        pieces = runs.filter(mixed).select("_row", F.col("start").alias("origin"), F.posexplode(F.split("run", foreign, -1)).alias("_nth", "run"))
+        so_far = Window.partitionBy("_row", "origin").orderBy("_nth")
+        placed = pieces.withColumn("end", F.col("origin") + F.sum(F.length("run") + 1).over(so_far) - 1)
+        long_enough = placed.filter(F.length(F.rtrim("run", F.lit("="))) >= MIN_CHARS)
+        return long_enough.select("_row", (F.col("end") - F.length("run")).alias("start"), "end", "run", "origin")
+
+    split = parts("[-_]").unionByName(parts("[+/]"))
     return runs.filter(~mixed).select("_row", "start", "end", "run", F.lit(None).cast("bigint").alias("origin")).unionByName(split)
 
 
