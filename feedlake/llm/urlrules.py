@@ -4,7 +4,8 @@ A rule (host, path, verdict) fits its host and all subdomains where the URL's pa
 starts with the rule's path. A canonical key is the host with its labels reversed,
 a separator that no host holds, and the path; as a prefix of keys, a rule is an interval of
 the sorted keys, and such intervals are nested or apart. A URL has one key per
-domain above it, so a rule for a parent domain is found at the parent's key.
+domain above it that is no longer than the longest host of a rule, so a rule for a parent domain is found at the
+parent's key. A key that many URLs share, such as that of a top domain's home pages, is swept once.
 
 Rules and keys are dealt into ranges at bounds taken from a bounded sample of the
 keys, each rule into every range that its interval meets, and each range is swept in
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import cut_lineage, map_rows
+from feedlake.session import BROADCAST_BYTES, measure
 
 DEFAULT = "allow"
 # Ranges are about this many keys; so many keys a range are sampled for the bounds.
@@ -50,10 +52,12 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, _UPPER, _LOWER), path
 
 
-def _domain_keys(urls: DataFrame) -> DataFrame:
-    """(key, host, path): one key for the host and for each domain above it."""
+def _domain_keys(urls: DataFrame, most_labels: int) -> DataFrame:
+    """(key, host, path): one key for the host and for each domain above it, up to a number of labels."""
     labels = F.reverse(F.split("host", r"\.", -1))
-    above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(labels, 1, n), "."))
+    above = F.transform(
+        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most_labels))), lambda n: F.array_join(F.slice(labels, 1, n), ".")
+    )
     named = urls.filter("host != ''").select("host", "path", F.explode(above).alias("domain"))
     return named.select(F.concat("domain", F.lit(_SEPARATOR), "path").alias("key"), "host", "path")
 
@@ -83,7 +87,7 @@ def range_bounds(keys: DataFrame) -> list[str]:
 
 
 def _dealt(rules: DataFrame, keys: DataFrame, bounds: list[str]) -> DataFrame:
-    """All rules and keys as (part, key, kind, host, path, verdict)."""
+    """All rules and (different) keys as (part, key, kind, host, path, verdict)."""
     shared = keys.sparkSession.sparkContext.broadcast(bounds)
 
     @F.pandas_udf("int")
@@ -94,13 +98,15 @@ def _dealt(rules: DataFrame, keys: DataFrame, bounds: list[str]) -> DataFrame:
     spans = spans.withColumn("part", F.explode(F.sequence("_from", "_to")))
     columns = ["part", "key", "kind", "host", "path", "verdict"]
     return spans.withColumn("kind", F.lit(0)).select(*columns).unionByName(
-        keys.withColumns({"part": part_of("key"), "kind": F.lit(1), "verdict": F.lit(None).cast("string")}).select(*columns)
+        keys.withColumns(
+            {"part": part_of("key"), "kind": F.lit(1)} | {name: F.lit(None).cast("string") for name in ("host", "path", "verdict")}
+        ).select(*columns)
     )
 
 
 def _sweep(dealt: DataFrame) -> DataFrame:
-    """(host, path, rule_host, rule_path, verdict): the top of the stack at each key with one."""
-    names = ["host", "path", "rule_host", "rule_path", "verdict"]
+    """(key, rule_host, rule_path, verdict): the top of the stack at each key with one."""
+    names = ["key", "rule_host", "rule_path", "verdict"]
 
     def task():
         stack: list[tuple[str, str, str, str]] = []
@@ -118,7 +124,7 @@ def _sweep(dealt: DataFrame) -> DataFrame:
                 if kind == 0:
                     stack.append((key, host, path, verdict))
                 elif stack:
-                    for name, value in zip(names, (host, path, *stack[-1][1:]), strict=True):
+                    for name, value in zip(names, (key, *stack[-1][1:]), strict=True):
                         out[name].append(value)
             return out
 
@@ -128,15 +134,24 @@ def _sweep(dealt: DataFrame) -> DataFrame:
     return map_rows(dealt, task, ", ".join(f"{name} string" for name in names), arrow)
 
 
+def _sized(lookup: DataFrame) -> DataFrame:
+    """A lookup table for a join: broadcast while its measured size allows, else shuffled, whatever its files' size."""
+    return F.broadcast(lookup) if measure(lookup)[1] <= BROADCAST_BYTES else lookup.hint("merge")
+
+
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path, rule, verdict) of the different (host, path) that a rule fits."""
-    keys = cut_lineage(_domain_keys(urls), "urls-keys")
-    bounds = range_bounds(keys)
-    dealt = _dealt(_rule_keys(rules), keys, bounds)
+    rules = cut_lineage(_rule_keys(rules), "urls-rules")
+    labels = rules.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0]
+    keys = cut_lineage(_domain_keys(urls, labels or 0).filter(F.lit(bool(labels))), "urls-keys")
+    different = cut_lineage(keys.select("key").distinct(), "urls-different-keys")
+    bounds = range_bounds(different)
+    dealt = _dealt(rules, different, bounds)
     ordered = dealt.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "key", "kind")
     size = F.length("rule_host") + F.length("rule_path")
     rule = F.struct(size.alias("size"), F.length("rule_host").alias("host_size"), F.concat("rule_host", "rule_path").alias("rule"), "verdict")
-    best = _sweep(ordered).groupBy("host", "path").agg(F.max(rule).alias("best"))
+    found = cut_lineage(_sweep(ordered), "urls-swept")
+    best = keys.join(_sized(found), "key").groupBy("host", "path").agg(F.max(rule).alias("best"))
     return best.select("host", "path", "best.rule", "best.verdict")
 
 
@@ -146,7 +161,7 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFr
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
     split = cut_lineage(split, "urls-split")
     verdicts = cut_lineage(matched(split.select("host", "path").distinct(), rules), "urls-verdicts")
-    found = split.join(verdicts, ["host", "path"], "left")
+    found = split.join(_sized(verdicts), ["host", "path"], "left")
     return found.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
