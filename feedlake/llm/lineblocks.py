@@ -11,7 +11,8 @@ is widened to the element that holds it and all other stretches that are not mos
 short headings and paragraphs between and beside the stretches stay.
 
 Defined results: null or empty html gives an empty text; unclosed and wrongly nested tags
-end with the element around them; a page without blocks is empty; repeated rows give a
+end with the element around them, open parts of tables also with the next of their kind, and open links with the next
+link; a tag whose quote is never closed ends at its `>`; a page without blocks is empty; repeated rows give a
 row each; other columns are ignored.
 """
 
@@ -19,6 +20,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,11 +34,14 @@ WINDOW = 3
 SURGE = 0.1
 SURGE_CHARS = 80
 
+# Nothing here looks beyond the next `<` outside quotes, so that open tags cost no more than their length.
+_ATTRIBUTES = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
+    rf"|<(script|style|textarea|title)(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1(?=[\s/>])[^<>]*+>|\Z)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)({_ATTRIBUTES})>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^<>]*+)>"  # a quote that is never closed
+    r"|<[!?][^<>]*+>",
     re.S | re.I,
 )
 
@@ -47,6 +53,11 @@ _HOLDERS = _EMBEDDED | frozenset(
     "tfoot tr td th fieldset figure details center blockquote a".split()
 )
 _INLINE = _EMBEDDED | {"a"}
+# Parts of a table whose end tags may be left out: what the next one ends.
+_ENDED_BY = {
+    "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "tbody": ("thead", "tbody", "tfoot"), "thead": ("thead", "tbody", "tfoot"),
+    "tfoot": ("thead", "tbody", "tfoot"),
+}
 _BREAKS = _HOLDERS - _INLINE | frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd pre address hr caption figcaption summary legend option article hgroup".split()
 )
@@ -62,7 +73,7 @@ _NAMES = re.compile(
     r"taboola|login|signup|signin|search|pagination|pager|toolbar|copyright|disclaimer|skip",
     re.I,
 )
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+_ATTRIBUTE = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|/|$)", re.I)
 
@@ -89,11 +100,60 @@ def _is_boilerplate(tag: str, attributes: str) -> bool:
     return False
 
 
-def blocks(page: str) -> list[tuple[str, int, tuple]]:
-    """(text, characters outside links, holding elements) of every block that counts."""
-    found, parts, linked = [], [], 0
-    stack: list[tuple[str, int, bool]] = []  # (tag, number, boilerplate)
-    skipped = links = number = at = nested = 0
+@dataclass
+class Elements:
+    """The elements that hold blocks, numbered in page order; 0 is the page itself. A number stands for all elements
+    around it, so that a block stores one, however deep it lies."""
+
+    parent: list[int] = field(default_factory=lambda: [0])
+    tag: list[str] = field(default_factory=lambda: [""])
+    last: list[int] = field(default_factory=list)  # the highest number within an element
+
+    def open(self, tag: str, parent: int) -> int:
+        self.parent.append(parent)
+        self.tag.append(tag)
+        return len(self.tag) - 1
+
+    def end(self) -> None:
+        self.last = list(range(len(self.tag)))
+        for n in range(len(self.tag) - 1, 0, -1):
+            self.last[self.parent[n]] = max(self.last[self.parent[n]], self.last[n])
+
+    def holds(self, n: int, inner: int) -> bool:
+        return n <= inner <= self.last[n]
+
+    def path(self, numbers: list[int]) -> list[int]:
+        """The elements around all of the given ones, outermost first, without the page."""
+        n, highest = min(numbers), max(numbers)
+        while self.last[n] < highest:
+            n = self.parent[n]
+        found = []
+        while n:
+            found.append(n)
+            n = self.parent[n]
+        return found[::-1]
+
+    def child(self, n: int, inner: int) -> int | None:
+        """The element just below n that holds an inner one, if they differ."""
+        if n == inner:
+            return None
+        while self.parent[inner] != n:
+            inner = self.parent[inner]
+        return inner
+
+
+Block = tuple[str, int, int]
+
+
+def blocks(page: str) -> tuple[list[Block], Elements]:
+    """(text, characters outside links, innermost holding element) of every block that counts."""
+    found: list[Block] = []
+    parts: list[str] = []
+    elements = Elements()
+    stack: list[tuple[str, int, bool]] = []  # (tag, element around what follows, boilerplate)
+    places: dict[str, list[int]] = defaultdict(list)  # where a tag stands in the stack
+    embedded: list[int] = []  # where embedded elements stand in it
+    linked = skipped = links = at = nested = 0
     line = ""  # the open paragraph or the like
     muted = False  # in a paragraph or the like that is boilerplate itself
 
@@ -102,13 +162,16 @@ def blocks(page: str) -> list[tuple[str, int, tuple]]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                found.append((text, max(0, len(text) - linked), tuple((tag, n) for tag, n, _ in stack if tag not in _INLINE)))
+                found.append((text, max(0, len(text) - linked), stack[-1][1] if stack else 0))
             parts, linked = [], 0
 
     def close(depth: int) -> None:
         nonlocal skipped, links
         while len(stack) > depth:
             open_tag, _, boiler = stack.pop()
+            places[open_tag].pop()
+            if open_tag in _EMBEDDED:
+                embedded.pop()
             skipped -= boiler
             links -= open_tag == "a"
 
@@ -121,44 +184,59 @@ def blocks(page: str) -> list[tuple[str, int, tuple]]:
     for match in _TOKEN.finditer(page):
         add(page[at : match.start()])
         at = match.end()
-        tag = (match.group(3) or "").lower()
+        tag = (match.group(3) or match.group(6) or "").lower()
         if not tag:
             continue
+        ends = bool(match.group(2) or match.group(5))
+        attributes = match.group(4) if match.group(4) is not None else match.group(7)
         if tag == "br":
             add(" ")
             continue
-        inside = next((i for i, (open_tag, _, _) in enumerate(stack) if open_tag in _EMBEDDED), None) if skipped else None
+        inside = embedded[0] if embedded else None
         if inside is not None and tag not in _HOLDERS and tag == line:
-            nested += -1 if match.group(2) else 1
+            nested += -1 if ends else 1
             if nested < 0:  # the paragraph around an embedded element that was left open
                 close(inside)
                 inside = None
         elif inside is None:
             nested = 0
-        if inside is not None and not (
-            tag == "body" or match.group(2) and tag in [t for t, _, _ in stack[:inside]] and tag not in [t for t, _, _ in stack[inside:]]
-        ):
+        # An end tag of what is around the embedded element, and not within it, ends that.
+        ends_it = ends and bool(places[tag]) and places[tag][0] < (inside or 0) and places[tag][-1] < (inside or 0)
+        if inside is not None and not (tag == "body" or ends_it):
             pass  # within an embedded element
         elif tag in _BREAKS:
             end_block()
-            line = "" if match.group(2) or tag in _HOLDERS else tag
-            muted = not match.group(2) and tag not in _HOLDERS and _is_boilerplate(tag, match.group(4))
+            line = "" if ends or tag in _HOLDERS else tag
+            muted = not ends and tag not in _HOLDERS and _is_boilerplate(tag, attributes)
         if tag not in _HOLDERS:
             continue
-        if not match.group(2):
+        if not ends:
             if tag == "body":  # ends a head that was left open
-                stack, skipped, links = [], 0, 0
-            if match.group(4).rstrip().endswith("/"):
+                close(0)
+                skipped = links = 0
+            if attributes.rstrip().endswith("/"):
                 continue
-            number += 1
-            stack.append((tag, number, _is_boilerplate(tag, match.group(4))))
-            skipped += stack[-1][2]
+            if tag == "a" and stack and stack[-1][0] == "a":
+                close(len(stack) - 1)
+            within = places["table"][-1] if places["table"] else -1
+            before = max((places[t][-1] for t in _ENDED_BY.get(tag, ()) if places[t]), default=-1)
+            if before > within and not (embedded and embedded[-1] > before):
+                close(before)
+            around = stack[-1][1] if stack else 0
+            element = around if tag in _INLINE else elements.open(tag, around)
+            boiler = _is_boilerplate(tag, attributes)
+            places[tag].append(len(stack))
+            if tag in _EMBEDDED:
+                embedded.append(len(stack))
+            stack.append((tag, element, boiler))
+            skipped += boiler
             links += tag == "a"
-        elif any(open_tag == tag for open_tag, _, _ in stack):
-            close(max(i for i, (open_tag, _, _) in enumerate(stack) if open_tag == tag))
+        elif places[tag]:
+            close(places[tag][-1])
     add(page[at:])
     end_block()
-    return found
+    elements.end()
+    return found, elements
 
 
 def stretches(lengths: list[int], window: int = WINDOW, surge: float = SURGE) -> list[tuple[int, int]]:
@@ -176,44 +254,34 @@ def stretches(lengths: list[int], window: int = WINDOW, surge: float = SURGE) ->
     return found
 
 
-def _around(parts: list[tuple[str, int, tuple]], spans: list[tuple[int, int]]) -> list:
-    """The elements that hold all blocks of the stretches."""
-    core = [holders for span in spans for _, plain, holders in parts[slice(*span)] if plain]
-    shared = list(core[0])
-    for holders in core[1:]:
-        same = 0
-        while same < min(len(shared), len(holders)) and shared[same] == holders[same]:
-            same += 1
-        shared = shared[:same]
-    return shared
-
-
 def main_text(page: str) -> str:
-    parts = blocks(page)
+    parts, elements = blocks(page)
     lengths = [plain for _, plain, _ in parts]
     found = stretches(lengths)
     if not found:
         return ""
+
+    def core(*spans: tuple[int, int]) -> list[int]:
+        return [element for span in spans for _, plain, element in parts[slice(*span)] if plain]
+
     heaviest = max(found, key=lambda span: (sum(lengths[span[0] : span[1]]), -span[0]))
-    shared = _around(parts, [heaviest])
-    if not any(tag in ("article", "main") for tag, _ in shared):
+    path = elements.path(core(heaviest))
+    if not any(elements.tag[n] in ("article", "main") for n in path):
         texts = [span for span in found if 2 * sum(lengths[slice(*span)]) >= sum(len(text) for text, _, _ in parts[slice(*span)])]
-        shared = _around(parts, [heaviest, *texts])
+        path = elements.path(core(heaviest, *texts))
     # The outermost article around the core, else main, else the element that holds it.
-    tags = [tag for tag, _ in shared]
-    depth = next((tags.index(tag) + 1 for tag in ("article", "main") if tag in tags), len(shared))
-    holder = tuple(shared[:depth])
-    if holder and holder[-1][0] not in ("html", "body"):
-        kept = [text for text, _, holders in parts if holders[:depth] == holder]
-    else:
-        first, last = found[0][0], found[-1][1]
-        # The parts of the page in which the first surge and the last dive lie are taken to their ends.
-        core = [holders for _, plain, holders in parts[first:last] if plain]
-        edges = {holders[: depth + 1] for holders in (core[0], core[-1]) if len(holders) > depth}
-        kept = [
-            text for i, (text, plain, holders) in enumerate(parts)
-            if (first <= i < last or holders[: depth + 1] in edges) and 2 * plain >= len(text)
-        ]
+    named = [n for tag in ("article", "main") for n in path if elements.tag[n] == tag]
+    holder = named[0] if named else path[-1] if path else 0
+    if holder and elements.tag[holder] not in ("html", "body"):
+        return "\n".join(text for text, _, element in parts if elements.holds(holder, element))
+    first, last = found[0][0], found[-1][1]
+    # The parts of the page in which the first surge and the last dive lie are taken to their ends.
+    ends = core((first, last))
+    edges = [n for n in {elements.child(holder, inner) for inner in (ends[0], ends[-1])} if n is not None]
+    kept = [
+        text for i, (text, plain, element) in enumerate(parts)
+        if (first <= i < last or any(elements.holds(n, element) for n in edges)) and 2 * plain >= len(text)
+    ]
     return "\n".join(kept)
 
 
