@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import ids_and_texts, map_rows
+from feedlake.llm.common import cut_lineage, ids_and_texts, map_rows
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -167,6 +167,11 @@ def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     chosen = known.orderBy(F.xxhash64("doc_id"), "quality").limit(SAMPLE_DOCS)
     texts = ids_and_texts(docs).join(F.broadcast(chosen), "doc_id")
     texts = texts.filter(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) < SAMPLE_LINES)
+    # An id may occur in very many rows: equal ones count once, and what is sampled is bounded after the join.
+    texts = cut_lineage(texts.withColumn("_hash", F.xxhash64("text")), "quality-labelled")
+    row = ["doc_id", "quality", "_hash"]
+    picked = texts.select(*row).distinct().orderBy(F.xxhash64("doc_id"), "quality", "_hash").limit(SAMPLE_DOCS)
+    texts = texts.join(F.broadcast(picked), row, "left_semi").dropDuplicates(row)
 
     def task():
         def each(rows):
