@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import cut_lineage
+from feedlake.session import BROADCAST_BYTES, measure
 
 MIN_WORDS = 50
 WORD = "[^ \\t-\\r]+"
@@ -150,8 +151,9 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return islands.groupBy("_id", "_text", "_island").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to")).drop("_island")
 
 
-def _with_cuts(docs: DataFrame, min_words: int) -> tuple[DataFrame, Column, Column]:
-    """(`docs` joined with its cuts, the text that remains, the cuts)."""
+def _with_cuts(docs: DataFrame, min_words: int, limit_bytes: int) -> tuple[DataFrame, Column, Column]:
+    """(`docs` joined with its cuts, the text that remains, the cuts). The cuts are measured: up to a limit they go to the
+    texts, which are not shuffled then."""
     stretches = later_copies(docs, min_words)
     cuts = stretches.groupBy("_id", "_text").agg(F.array_sort(F.collect_list(F.struct("_from", "_to"))).alias("_cuts"))
     cuts = cut_lineage(cuts, "linedup-cuts")
@@ -160,20 +162,21 @@ def _with_cuts(docs: DataFrame, min_words: int) -> tuple[DataFrame, Column, Colu
     inside = lambda i: F.exists(found, lambda c: i.between(c["_from"], c["_to"]))
     rest = F.array_join(F.filter(F.split(docs["text"], "\n", -1), lambda x, i: ~inside(i)), "\n")
     text = F.when(found.isNull() | docs["text"].isNull(), docs["text"]).otherwise(rest)
-    return docs.join(cuts.hint("shuffle_hash"), same, "left"), text, found
+    cuts = F.broadcast(cuts) if measure(cuts)[1] <= limit_bytes else cuts.hint("shuffle_hash")
+    return docs.join(cuts, same, "left"), text, found
 
 
-def without_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def without_copies(docs: DataFrame, min_words: int = MIN_WORDS, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """`docs` with the text that remains, and last `_cuts`: the deleted stretches of lines (null if none)."""
-    joined, text, cuts = _with_cuts(docs, min_words)
+    joined, text, cuts = _with_cuts(docs, min_words, limit_bytes)
     columns = [text.alias("text") if name == "text" else docs[name] for name in docs.columns]
     return joined.select(*columns, cuts.alias("_cuts"))
 
 
-def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """`docs` without later copies of line runs; documents that lost all their words go.
     `n_chars`, where there is one, is counted anew."""
-    joined, text, cuts = _with_cuts(docs, min_words)
+    joined, text, cuts = _with_cuts(docs, min_words, limit_bytes)
     columns = {name: docs[name] for name in docs.columns} | {"text": text}
     if "n_chars" in columns:
         counted = F.length(text).cast(docs.schema["n_chars"].dataType)

@@ -78,7 +78,7 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rest = linedup.without_copies(documents(spark, sf_dir))
+    rest = linedup.without_copies(documents(spark, sf_dir).select("doc_id", "text"))
     size = F.aggregate("_cuts", F.lit(0), lambda n, c: n + c["_to"] - c["_from"] + 1)
     return rest.select("doc_id", "text", F.coalesce(size, F.lit(0)).cast("long").alias("n_deleted_lines"))
 
