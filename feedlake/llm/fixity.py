@@ -10,7 +10,8 @@ are the records that are changed, missing or extra, with their places.
 Trees are built by grouping on (file, range): a group is a bounded range of a file, so a
 file that holds a third of all records is spread like any other. Levels are stored.
 
-Defined results: null record bytes count as empty; records with equal file and offset are
+Defined results: null record bytes count as empty; pages without an id lie in files below zero, dealt by their
+content, equal ones one by one; records with equal file and offset are
 hashed together in the order of their digests, and a multiset difference of them is
 reported record by record; a file in one replica only is missing or extra as a
 whole; empty tables give empty results; other columns are ignored.
@@ -29,6 +30,8 @@ RANGE_BYTES = 1 << 16
 FANOUT = 16
 # Pages in one archive file.
 FILE_PAGES = 1000
+# Equal records without an id that one row stands for.
+_LOT = 1 << 16
 _ENDS = "\r\n\r\n"
 
 
@@ -47,20 +50,36 @@ def warc_record(url: Column, record_id: Column, body: Column) -> Column:
     return F.concat(head, body, F.lit(_ENDS))
 
 
+def _nameless(rows: DataFrame, files: int) -> DataFrame:
+    """Records without a page id, dealt into files below zero by a hash. Equal ones are counted and dealt one by one, so
+    that no file holds all copies of a record."""
+    record = ["page_id", "_tie", "length", "digest"]
+    counted = rows.groupBy(*record).agg(F.count(F.lit(1)).alias("_n"))
+    lots = counted.withColumn("_lot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(_LOT).cast("long"))))
+    lots = lots.repartition("_tie", "_lot")  # the copies of one record are numbered by several tasks
+    copies = lots.withColumn("_copy", F.explode(F.sequence("_lot", F.least(F.col("_lot") + _LOT, "_n") - 1)))
+    return copies.select(*record, (-1 - F.pmod(F.xxhash64("_tie", "_copy"), F.lit(files))).cast("long").alias("file"))
+
+
 def archived(
     pages: DataFrame, file_pages: int = FILE_PAGES, stored: Callable[[Column], Column] = lambda record: record
 ) -> DataFrame:
     """(file, offset, length, digest, page_id): pages as records, one after another, in files of
     `file_pages` consecutive page ids. `stored` is what a store gives back for a record."""
     record = warc_record(F.col("url"), F.col("page_id"), F.col("html"))
-    rows = pages.select(F.floor(F.coalesce("page_id", F.lit(-1)) / file_pages).cast("long").alias("file"), "page_id", record.alias("_record"))
-    rows = rows.select(
-        "file",
+    rows = pages.select("page_id", record.alias("_record")).select(
         "page_id",
         F.xxhash64("_record").alias("_tie"),
         F.octet_length("_record").cast("long").alias("length"),
         F.sha2(stored(F.col("_record")), 256).alias("digest"),
     )
+    file = F.floor(F.col("page_id") / file_pages).cast("long")
+    placed = rows.filter(F.col("page_id").isNotNull()).withColumn("file", file)
+    nameless = rows.filter(F.col("page_id").isNull())
+    count = nameless.count()
+    if count:
+        placed = placed.unionByName(_nameless(nameless, -(-count // file_pages)))
+    rows = placed
     order = Window.partitionBy("file").orderBy("page_id", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.withColumn("offset", F.sum("length").over(order) - F.col("length")).drop("_tie")
 
