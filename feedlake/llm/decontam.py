@@ -15,9 +15,10 @@ never shuffled, so hot sources and copies need no care.
 Tokens are runs of letters and digits in lower case, and in scripts without spaces
 (Chinese, Japanese, Thai and the like) each letter.
 
-Defined results: null or empty texts and items of a single token overlap nothing; items with fewer than
+Defined results: null or empty texts overlap nothing; items with fewer than
 `min_tokens` tokens are matched only as a whole, and items below `least_tokens` tokens
-only as a whole with all tokens equal; equal items give one row each; repeated
+only as a whole with all tokens equal; an item of a single token, which is no passage, overlaps documents of
+that token alone; equal items give one row each; repeated
 document rows give one row each; empty tables give empty results. Columns other
 than the id and the text are passed through by `clean` and ignored otherwise.
 """
@@ -43,8 +44,6 @@ from feedlake.llm.common import cut_lineage, ids_and_texts, map_rows
 MASKS = ("11000101011", "1110111", "10100100111")
 MIN_TOKENS = 13
 LEAST_TOKENS = 8
-# An item of a single word is no passage: every text with the word would count.
-FEWEST_TOKENS = 2
 MIN_EQUAL = 0.8
 # Long items are cut into pieces that share this many tokens with the next.
 PIECE_TOKENS, PIECE_OVERLAP = 4096, 64
@@ -155,6 +154,8 @@ def overlaps(index: Index, tokens: np.ndarray) -> dict:
     found: dict = {}
     tried, whole = set(), set()
     for mask, hashes, owner, place, bitmap in index.masks:
+        if len(mask) == 1 and len(tokens) > 1:
+            continue
         probes = seeded(tokens, mask)
         if not len(probes):
             continue
@@ -193,7 +194,7 @@ def _benchmark_pieces(benchmark: DataFrame) -> DataFrame:
             out = {"item_id": [], "n": [], "tokens": []}
             for item, text in zip(rows["item_id"], rows["text"], strict=True):
                 tokens = words.hashes(text).view(np.int64)
-                if len(tokens) < FEWEST_TOKENS:
+                if not len(tokens):
                     continue
                 for at in range(0, max(1, len(tokens) - PIECE_OVERLAP), PIECE_TOKENS - PIECE_OVERLAP):
                     piece = tokens[at : at + PIECE_TOKENS]
