@@ -135,10 +135,10 @@ def test_odd_rows(spark):
     rows = odd_rows()
     docs, bench = documents(spark, *rows), items(spark, (1, rows[3][1]), (2, None), (3, ""), (None, "a b"), (4, "one"))
     found = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()}
-    assert found == {(4, 1), (5, 1), (None, 1)}
+    assert found == {(4, 1), (5, 1), (None, 1), (7, 4)}  # an item of one token, and a document of that token alone
     kept = decontam.clean(plain(spark, *rows), bench)
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    assert kept.count() == len(rows) - 3
+    assert kept.count() == len(rows) - 4
 
 
 def test_empty_tables(spark):
@@ -146,3 +146,18 @@ def test_empty_tables(spark):
     assert decontam.contaminated(docs.filter("doc_id > 1"), bench).count() == 0
     assert decontam.contaminated(docs, bench.filter("item_id > 1")).count() == 0
     assert decontam.clean(docs, bench.filter("item_id > 1")).count() == 1
+
+
+@pytest.mark.parametrize("size", range(13, 51))
+def test_recall_at_its_own_limit(size):
+    """Random places of as many substitutions as 80 % equal tokens allow: the seeds find nearly all."""
+    rng = random.Random(size)
+    tokens = np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    index = decontam.build_index([{"item_id": 1, "tokens": tokens.view(np.int64)}], decontam.MASKS, 13, 0.8)
+    found = 0
+    for _ in range(300):
+        copy = tokens.copy()
+        for place in rng.sample(range(size), size // 5):
+            copy[place] = rng.randrange(1, 1 << 63)
+        found += bool(decontam.overlaps(index, copy))
+    assert found >= 0.97 * 300

@@ -71,3 +71,15 @@ def test_odd_rows(spark):
     assert fixity.audit(empty, empty).count() == 0
     assert {r["state"] for r in fixity.audit(empty, master).collect()} == {"extra"}
     assert fixity.audit(master, empty).count() == 6
+
+
+def test_pages_without_an_id(spark):
+    """They are spread over files like any other, copies of one page too, and audited record by record."""
+    rows = [(None, f"u{i % 7}" if i % 2 else "same", "x" * (i % 5) if i % 2 else "copy") for i in range(300)]
+    master = fixity.archived(pages(spark, *rows, *sample(5)), file_pages=10)
+    sizes = {r["file"]: r["count"] for r in master.filter("file < 0").groupBy("file").count().collect()}
+    assert sum(sizes.values()) == 300 and len(sizes) == 30 and max(sizes.values()) < 40
+    assert fixity.audit(master, fixity.archived(pages(spark, *rows[::-1], *sample(5)), file_pages=10)).count() == 0
+    lost = master.filter("file < 0").orderBy("file", "offset").limit(3).select("file", "offset")
+    found = fixity.audit(master, master.join(lost, ["file", "offset"], "left_anti"))
+    assert {(r["page_id"], r["state"]) for r in found.collect()} == {(None, "missing")} and found.count() == 3

@@ -93,6 +93,16 @@ def test_odd_rows(spark):
     assert kept.filter("doc_id = 5").count() == 0 and kept.filter("doc_id IN (2, 3)").count() == 2
 
 
+def test_both_ways_to_the_texts(spark):
+    """The cuts are broadcast up to a limit; beyond it both sides are shuffled."""
+    passage = "\n".join(f"line {n} of a passage" for n in range(20))
+    docs = plain(spark, *[(n, f"own {n}\n{passage}\nend {n}") for n in range(30)], (None, passage), (99, "none"))
+    ways = [linedup.without_copies(docs, limit_bytes=limit) for limit in (0, 1 << 30)]
+    assert [sorted(map(repr, way.collect())) for way in ways][0] == sorted(map(repr, ways[1].collect()))
+    shown = [way._jdf.queryExecution().executedPlan().toString() for way in ways]
+    assert "ShuffledHashJoin" in shown[0] and "BroadcastHashJoin" in shown[1] and "Exchange hashpartitioning" not in shown[1]
+
+
 def test_empty_table(spark):
     assert linedup.deduplicated(plain(spark, (1, "a")).filter("doc_id > 1")).count() == 0
 

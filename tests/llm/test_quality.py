@@ -104,3 +104,16 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.judged(docs, quality.fit(docs, labels)).count() == 0
     assert quality.kept_documents(docs, quality.prior_field()).count() == 0
+
+
+def test_an_id_in_very_many_rows(spark, monkeypatch):
+    """Labelled ids that occur again and again: equal rows count once, and the sample stays bounded."""
+    monkeypatch.setattr(quality, "SAMPLE_DOCS", 50)
+    rng = random.Random(4)
+    rows = [(1, words(rng, 30)) for _ in range(300)] + [(2, "same text\nand more")] * 300 + [(3, "x")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    found = quality._sampled(documents(spark, *rows), labels).collect()
+    assert len(found) == 50 and sum(r["doc_id"] == 2 for r in found) <= 1
+    every = quality.fit(documents(spark, *rows), labels)
+    again = quality.fit(documents(spark, *rows[::-1]).repartition(5), labels)
+    assert (every.emission == again.emission).all()

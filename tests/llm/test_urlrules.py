@@ -73,3 +73,22 @@ def test_hot_url_and_empty_tables(spark):
     assert judged(spark, urls[:3], [("", "", "block")]) == sorted(((i, *brute(u, [])) for i, u in urls[:3]), key=repr)
     empty = urlrules.judged(pages(spark, (1, "a")).filter("page_id > 1"), urlrules.rule_table(spark, rules))
     assert empty.count() == 0
+
+
+def test_hosts_of_many_labels_and_hot_keys(spark):
+    """Keys go no deeper than the longest rule host, and a key that many URLs share is swept once."""
+    rows = [(1, "http://" + "a." * 20_000 + "example.org/x"), (2, "http://" + "b." * 20_000 + "org")]
+    rows += [(n, f"http://host{n}.com/") for n in range(10, 3000)]
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    rules = urlrules.rule_table(spark, [("com", "/", "block"), ("example.org", "/", "block"), ("org", "", "allow")])
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urlrules.judged(frame, rules).collect()}
+    assert got[1] == ("example.org/", "block") and got[2] == ("org", "allow")
+    assert {got[n] for n in range(10, 3000)} == {("com/", "block")}
+    urls = frame.select(*[c.alias(n) for c, n in zip(urlrules.split_url(frame["url"]), ("host", "path"), strict=True)])
+    assert urlrules._domain_keys(urls, 2).count() == 2 * len(rows)
+
+
+def test_without_rules(spark):
+    frame = spark.createDataFrame([(1, "http://a.com/"), (2, None)], "page_id long, url string")
+    none = urlrules.rule_table(spark, [("x", "/", "block")]).limit(0)
+    assert [(r["rule"], r["verdict"]) for r in urlrules.judged(frame, none).collect()] == [(None, "allow")] * 2
