@@ -9,10 +9,10 @@ compaction, as a snapshot of all batches up to one,
 
     <root>/snapshot/upto=<n>/<partition>=<value>/…
 
-Beside the rows of a batch lie its keys, dealt into hash buckets, and those of
+Beside the rows of a batch lie its keys, dealt into hash buckets whose number is measured, and those of
 its keys that an earlier batch holds too:
 
-    <root>/keys/batch_id=<n>/bucket=<b>/…
+    <root>/keys/batch_id=<n>/of=<number of buckets>/bucket=<b>/…
     <root>/again/batch_id=<n>/…
 
 A writer looks for its keys in their buckets only, and a reader learns from the
@@ -22,6 +22,8 @@ keys of all rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -29,7 +31,9 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from feedlake.operators.joins import known_keys
 from feedlake.session import BROADCAST_BYTES, list_names, measure, path_exists
 
-KEY_BUCKETS = 16
+# Keys of a batch are dealt into buckets of about this many.
+KEYS_PER_BUCKET = 50_000
+MOST_BUCKETS = 1 << 16
 
 
 def create_database(spark: SparkSession, name: str, path: str | None = None) -> None:
@@ -75,18 +79,30 @@ def write_batch(
     _write(df, f"{root}/log/batch_id={batch_id}", partition_by, sort_by, "overwrite" if replace else "errorifexists")
 
 
-def bucket_of(key: Column | str, buckets: int = KEY_BUCKETS) -> Column:
+def bucket_of(key: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def _read_keys(spark: SparkSession, root: str, schema: StructType, key: str, wanted: list[int]) -> DataFrame:
-    """(key, bucket, batch_id) of the keys of some batches."""
+def bucket_count(keys: int) -> int:
+    """A power of two, so that batches of like size have the same number."""
+    wanted = 1
+    while wanted < MOST_BUCKETS and wanted * KEYS_PER_BUCKET < keys:
+        wanted *= 2
+    return wanted
+
+
+def _read_keys(spark: SparkSession, root: str, schema: StructType, key: str, wanted: list[int]) -> dict[int, DataFrame]:
+    """(key, bucket) of the keys of some batches, by the number of buckets that they are dealt into."""
     path = f"{root}/keys"
-    wide = StructType([schema[key], StructField("bucket", IntegerType()), StructField("batch_id", LongType())])
-    folders = [f"{path}/batch_id={n}" for n in wanted if path_exists(spark, f"{path}/batch_id={n}/_SUCCESS")]
-    if not folders:
-        return spark.createDataFrame([], wide)
-    return spark.read.schema(wide).option("basePath", path).parquet(*folders).select(*wide.fieldNames())
+    wide = StructType([schema[key], StructField("bucket", IntegerType())])
+    folders: dict[int, list[str]] = {}
+    for n in wanted:
+        batch = f"{path}/batch_id={n}"
+        if path_exists(spark, f"{batch}/_SUCCESS"):
+            for of in _folder_numbers(spark, batch, "of"):
+                folders.setdefault(of, []).append(f"{batch}/of={of}")
+    read = spark.read.schema(wide).option("basePath", path)
+    return {of: read.parquet(*found).select(*wide.fieldNames()) for of, found in folders.items()}
 
 
 def stored_keys(
@@ -97,14 +113,24 @@ def stored_keys(
     spark = fresh.sparkSession
     numbers = _folder_numbers(spark, f"{root}/keys", "batch_id")
     wanted = [n for n in numbers if (before is None or n < before) and n != without]
-    touched = [row[0] for row in fresh.select(bucket_of(key)).distinct().collect()]  # at most one per bucket
-    stored = _read_keys(spark, root, schema, key, wanted).filter(F.col("bucket").isin(touched))
-    return known_keys(stored, fresh.select(key), key).distinct()
-
-
-def write_keys(fresh: DataFrame, root: str, batch_id: int, key: str) -> None:
-    keys = fresh.select(key, bucket_of(key).alias("bucket"))
-    _write(keys, f"{root}/keys/batch_id={batch_id}", "bucket", key)
+    found = []
+    for of, stored in _read_keys(spark, root, schema, key, wanted).items():
+        if of > 1:
+            touched = [row[0] for row in fresh.select(bucket_of(key, of)).distinct().collect()]  # at most one per bucket
+            stored = stored.filter(F.col("bucket").isin(touched))
+        found.append(stored.select(key))
+    if not found:
+        return spark.createDataFrame([], StructType([schema[key]]))
+    return known_keys(reduce(DataFrame.unionByName, found), fresh.select(key), key).distinct()
+
+
+def write_keys(fresh: DataFrame, root: str, batch_id: int, key: str) -> int:
+    """Store the keys of a batch; returns their number."""
+    path, count = f"{root}/keys/batch_id={batch_id}", fresh.count()
+    of = bucket_count(count)
+    keys = fresh.select(key, F.lit(of).alias("of"), bucket_of(key, of).alias("bucket"))
+    balanced(keys, "bucket").sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("of", "bucket").parquet(path)
+    return count
 
 
 def write_keyed(
@@ -112,17 +138,17 @@ def write_keyed(
     replace: bool = True,
 ) -> int:
     """Store a batch that holds a key once, with what readers need to find the latest rows;
-    returns its number of rows, as counted in the keys just written.
+    returns its number of rows.
 
     The batch counts as stored when the last of the three folders is complete.
     """
     spark = df.sparkSession
     write_batch(df, root, batch_id, partition_by, sort_by, replace)
     written = spark.read.schema(df.schema).parquet(f"{root}/log/batch_id={batch_id}").select(key)
-    write_keys(written, root, batch_id, key)
+    count = write_keys(written, root, batch_id, key)
     again = stored_keys(written, root, df.schema, key, before=batch_id)
     _write(again, f"{root}/again/batch_id={batch_id}", None)
-    return _read_keys(spark, root, df.schema, key, [batch_id]).count()
+    return count
 
 
 def _again(spark: SparkSession, root: str, schema: StructType, key: str, numbers: list[int]) -> DataFrame:

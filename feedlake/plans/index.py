@@ -20,6 +20,8 @@ from feedlake.session import BROADCAST_BYTES, cut_lineage, measure, path_exists
 
 # Points are stored by bucket, and by id within it.
 POINT_BUCKETS = 16
+# Ids of hits that the scan of the payloads is given as a filter.
+PUSHED_IDS = 1000
 
 Embedder = Callable[[list[str]], list[list[float]]]
 Embed = Callable[[DataFrame, Column], DataFrame]
@@ -117,15 +119,21 @@ def search(queries: DataFrame, stored: DataFrame, k: int = TOP_K, nearest: Neare
 
     Vectors and payloads are read separately: the scan that scores carries no
     text, and the one that fetches payloads carries no vectors and reads only the buckets
-    that hold a hit. The hits are stored first; if they fit a broadcast, the payloads are not shuffled.
+    that hold a hit. Points lie sorted by id within them, and the ids of up to `PUSHED_IDS` hits are handed to the
+    scan, which then skips the pages without one. The hits are stored first; if they fit a broadcast, the
+    payloads are not shuffled.
     """
     found = nearest(queries, k) if nearest else knn(queries, stored.select("vec_id", "vector"), k, **limits)
     hits = cut_lineage(found, "hits")
     hits = hits.withColumn("bucket", bucket_of("vec_id", POINT_BUCKETS))
     touched = [row[0] for row in hits.select("bucket").distinct().collect()]  # at most one per bucket
+    wanted = hits.select("vec_id").distinct()
     if measure(hits)[1] <= BROADCAST_BYTES:
         hits = F.broadcast(hits)
     payloads = stored.select("vec_id", "bucket", "payload").filter(F.col("bucket").isin(touched))
+    ids = [row[0] for row in wanted.limit(PUSHED_IDS + 1).collect()]
+    if len(ids) <= PUSHED_IDS:
+        payloads = payloads.filter(F.col("vec_id").isin(ids))
     found = payloads.join(hits, ["bucket", "vec_id"])
     return found.select("qid", "rank", long_to_point(F.col("vec_id")).alias("point_id"), "score", "payload.*")
 

@@ -18,6 +18,8 @@ _SETTINGS = {
     # Where every task's part of the smaller side is below this, AQE hashes it
     # and the wide side of a join (texts, mostly) is not sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Longer lists of wanted ids reach the files as a list, not as their range only.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # State of streams lies on disk beside the tasks, and only its changes go to the checkpoint.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -7,8 +7,8 @@ from tests.helpers import plan
 from workload.queries import queries
 
 DEDUPED = ["first_seen", "new_since_published", "silver_clean", "daily_source", "daily_keyword", "top_keywords", "recent_articles"]
-IN_PYTHON = {"knn_topk"}
-RUN_STREAMS = ("stream_", "both_", "replayed_", "daily_run", "indexed_", "empty_")
+IN_PYTHON = {"knn_topk", "knn_cells", "ann_topk"}
+RUN_STREAMS = ("stream_", "both_", "replayed_", "daily_run", "indexed_", "empty_", "live_", "late_", "embed_")
 
 
 @pytest.mark.parametrize("name", [n for n in queries() if not n.startswith(RUN_STREAMS)])

@@ -4,6 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from feedlake.operators import tables
 from feedlake.operators.tables import last_batch, stored_keys
 from feedlake.plans.silver import silver
 from feedlake.sources.messages import decode, message_file_stream, message_files, publish_files, to_messages
@@ -175,14 +176,29 @@ def test_dedupe_shuffles_once_and_keeps_ids(spark, root):
     assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
 
 
-def test_only_touched_key_buckets_are_read(spark, root):
-    write_bronze(events(spark, *[event(f"id{n}") for n in range(200)]), 0, root)
-    fresh = events(spark, event("id7"), event("other"))
+def test_only_touched_key_buckets_are_read(spark, root, monkeypatch):
+    """The number of buckets follows the number of keys, so that a small batch reads a small share of them."""
+    monkeypatch.setattr(tables, "KEYS_PER_BUCKET", 25)
+    write_bronze(events(spark, *[event(f"id{n}") for n in range(1600)]), 0, root)
+    write_bronze(events(spark, event("small")), 1, root)
+    assert os.listdir(f"{root}/keys/batch_id=0")[0] != "of=1" and "of=64" in os.listdir(f"{root}/keys/batch_id=0")
+    assert "of=1" in os.listdir(f"{root}/keys/batch_id=1")
+    fresh = events(spark, event("id7"), event("other"), event("small"))
     known = stored_keys(fresh, root, BRONZE, "id")
-    assert values(known, "id") == [("id7",)]
+    assert values(known, "id") == [("id7",), ("small",)]
     scans = [line for line in plan(known).splitlines() if "FileScan" in line and "bucket" in line]
     assert any("PartitionFilters: [" in line and "bucket" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
     assert not any("title" in line for line in scans)
+    pruned = stored_keys(fresh.filter("id = 'id7'"), root, BRONZE, "id", before=1)
+    assert pruned.count() == 1
+    shown = [line for line in plan(pruned).splitlines() if "PartitionFilters" in line]
+    assert len(shown) == 1
+    buckets = shown[0].split("PartitionFilters: [")[1].split("]")[0]
+    assert buckets.count("bucket") <= 2  # one of 64 buckets, and that it is not null
+
+
+def test_key_buckets_follow_the_count():
+    assert [tables.bucket_count(n) for n in (0, 1, 50_000, 50_001, 10**6, 10**9, 10**13)] == [1, 1, 1, 2, 32, 32768, 65536]
 
 
 def test_run_until_a_query_ends(spark, root):
