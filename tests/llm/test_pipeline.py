@@ -1,0 +1,171 @@
+"""The pipeline against a plain-Python version of its five stages."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from feedlake.llm import linedup, packing, quality, simhash
+from feedlake.llm.queries import TOKENIZER
+from tests.conftest import SMALL
+from tests.llm.test_packing import gapless, naive_best_fit
+from tests.llm.test_quality import base
+from tests.llm.test_simhash import naive_fingerprint
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def best_labels(field, features):
+    """Labels of the highest total score, by a table over lines and labels; content wins ties."""
+    odds = features @ field.emission[1:] + field.emission[0]
+    table = [{0: (0.0, [0]), 1: (float(odds[0]), [1])}]
+    for odd in odds[1:].tolist():
+        row = {}
+        for label in (0, 1):
+            ways = [(table[-1][b][0] + float(field.transition[b, label]), -b) for b in (0, 1)]
+            score, before = max(ways)
+            row[label] = (score + (odd if label else 0.0), table[-1][-before][1] + [label])
+        table.append(row)
+    return table[-1][1][1] if table[-1][1][0] > table[-1][0][0] else table[-1][0][1]
+
+
+def kept_by_quality(field, text):
+    n, *_, failed = base(text)
+    if failed:
+        return False
+    features, per_line, _ = quality.line_features(text.encode())
+    content = sum(w for w, label in zip(per_line, best_labels(field, features), strict=True) if not label)
+    return content >= quality.CONTENT_SHARE * n
+
+
+def without_later_runs(docs, least):
+    """Lines that lie in a run of `least` words or more that begins earlier too, and blank ones between such lines."""
+    runs, order = defaultdict(list), sorted(docs)
+    lines = {}
+    for doc in order:
+        lines[doc] = own = [(p, x, len(WORD.findall(x))) for p, x in enumerate(docs[doc].split("\n")) if WORD.search(x)]
+        words = np.concatenate([[0], np.cumsum([w for *_, w in own])])
+        spans = set()
+        for k in range(len(own)):
+            stop = int(np.searchsorted(words, words[k] + least))  # the shortest run from here on, and up to here
+            start = int(np.searchsorted(words, words[k + 1] - least, "right")) - 1
+            spans |= {(k, stop)} if stop <= len(own) else set()
+            spans |= {(start, k + 1)} if start >= 0 and words[k + 1] - words[start] >= least else set()
+        for a, z in spans:
+            runs[tuple(x for _, x, _ in own[a:z])].append((doc, a, z))
+    gone = defaultdict(set)
+    for places in runs.values():
+        first = min(places)[:2]
+        for doc, a, z in places:
+            if (doc, a) > first:
+                gone[doc].update(range(a, z))
+    out = {}
+    for doc, text in docs.items():
+        own, cut = lines[doc], set()
+        for k in gone[doc]:
+            cut.add(own[k][0])
+            if k + 1 in gone[doc]:
+                cut.update(range(own[k][0], own[k + 1][0]))
+        rest = "\n".join(x for p, x in enumerate(text.split("\n")) if p not in cut)
+        if not cut or WORD.search(rest):
+            out[doc] = rest
+    return out
+
+
+def one_of_each_component(docs):
+    prints = {doc: naive_fingerprint(text) for doc, text in docs.items()}
+    ids = sorted(docs)
+    root = {doc: doc for doc in ids}
+
+    def find(doc):
+        while root[doc] != doc:
+            doc = root[doc]
+        return doc
+
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= simhash.MAX_BITS:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {doc: text for doc, text in docs.items() if find(doc) == doc}
+
+
+def overlaps(text, item):
+    """Some stretch of 13 tokens or more (or the whole item, if shorter) has 80 % equal tokens, on any diagonal."""
+    a, b = (re.findall(r"[^\W_]+", t.lower()) for t in (text, item))
+    number = {w: n for n, w in enumerate(set(b))}
+    a, b = np.array([number.get(w, -1) for w in a]), np.array([number[w] for w in b])
+    least = min(13, len(b))
+    share = 0.8 if len(b) >= 8 else 1.0
+    padded = np.concatenate([np.full(len(b), -2), a, np.full(len(b), -2)])
+    side = np.lib.stride_tricks.sliding_window_view(padded, len(b)) == b
+    for row, start in zip(side, range(-len(b), len(a) + 1), strict=True):
+        if row.sum() < share * least:
+            continue
+        inside = row[max(0, -start) : len(a) - start]
+        sums = np.concatenate([[0], np.cumsum(inside)])
+        for x in range(len(inside)):
+            for y in range(x + least, len(inside) + 1):
+                if sums[y] - sums[x] >= share * (y - x):
+                    return True
+    return False
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """The small tables, and near copies in one line each, which no earlier stage takes for copies."""
+    path = str(tmp_path_factory.mktemp("tables"))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    long = [r for r in docs.collect() if r["n_chars"] > 3000 and r["lang"] == "en"][:6]
+    near = [(90_000 + 10 * k + i, " ".join(r["text"].split()) + " more" * i, "en", "s", 0) for k, r in enumerate(long) for i in range(3)]
+    docs.unionByName(spark.createDataFrame(near, docs.schema)).write.parquet(f"{path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+@pytest.fixture(scope="module")
+def stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    field = quality.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    items = [r["text"] for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    out = [{doc: text for doc, text in texts.items() if kept_by_quality(field, text)}]
+    out.append(without_later_runs(out[-1], linedup.MIN_WORDS))
+    out.append(one_of_each_component(out[-1]))
+    out.append({doc: text for doc, text in out[-1].items() if not any(overlaps(text, item) for item in items)})
+    return out
+
+
+def test_stages_keep_the_same_documents(spark, stages, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    sizes = [docs.count()]
+    for (name, stage), want in zip(corpus_pipeline.STAGES, stages, strict=False):
+        docs = stage(spark, docs, folder)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert {r["doc_id"]: r["text"] for r in docs.collect()} == want, name
+        sizes.append(len(want))
+    assert len(set(sizes)) == len(sizes)  # every stage has something to do
+
+
+def test_packed_pieces(spark, stages, folder):
+    library = Tokenizer.from_file(TOKENIZER()["tokenizer_path"])
+    want = Counter()
+    for doc, text in stages[-1].items():
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        first = len(ids) if len(ids) <= 2048 else len(ids) % 2048 or 2048
+        for piece, start in enumerate([0, *range(first, len(ids), 2048)]):
+            part = ids[start : first if not start else start + 2048]
+            want[doc, piece, start, len(part), zlib.crc32(part.tobytes())] += 1
+    rows = corpus_pipeline.run(spark, folder).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+    lengths = Counter(r["length"] for r in rows)
+    assert len({r["sequence_id"] for r in rows}) == len(naive_best_fit(lengths, packing.CAPACITY))
+    filled = defaultdict(list)
+    for r in rows:
+        filled[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert all(gapless(parts) and sum(n for _, n in parts) <= packing.CAPACITY for parts in filled.values())

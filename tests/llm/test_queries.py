@@ -17,11 +17,14 @@ COLUMNS = {
     "op8": ["page_id", "host", "path", "rule", "verdict"],
     "op9": ["page_id", "url", "text", "n_chars"],
     "op10": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op11": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op12": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name.split("_")[0][2:]) for name in llm_queries()) == list(range(1, 11))
+    assert sorted(int(name.split("_")[0][2:]) for name in llm_queries()) == list(range(1, 14))
     assert set(llm_queries()) | {"pipeline"} <= set(queries())
     assert set(llm_sql()) <= set(oracle_sql()) & set(llm_queries())
 
@@ -33,7 +36,7 @@ def test_query_runs_over_its_table(spark, name):
     assert frame.columns[: len(wanted)] == wanted or set(wanted) <= set(frame.columns)
     rows = frame.collect()
     keys = {row[0] for row in rows}
-    if name.split("_")[0] in ("op1", "op2", "op3", "op5", "op6", "op10"):
+    if name.split("_")[0] in ("op1", "op2", "op3", "op5", "op6", "op10", "op11", "op13"):
         assert keys == {r[0] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id").collect()}
     elif name.split("_")[0] in ("op8", "op9"):
         assert keys == {r[0] for r in spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id").collect()}
