@@ -1,4 +1,7 @@
+import collections
 import hashlib
+import itertools
+import math
 import random
 import re
 import string
@@ -129,3 +132,106 @@ def test_shown(spark):
 def test_native_plan(spark):
     rows = secret_scan.scanned(plain(spark, (1, words(random.Random(1), 5))))
     assert not re.search("Python|Pandas|Arrow", rows._jdf.queryExecution().executedPlan().toString())
+
+
+class Twin:
+    """The discovery stage in plain Python: (row, start, end) of the runs that look random."""
+
+    run = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+
+    def tested(self, row, start, run):
+        if not (re.search("[+/]", run) and re.search("[-_]", run)):
+            return [(row, start, start + len(run), run, None)]
+        out = []
+        for foreign in ("[-_]", "[+/]"):
+            at = start
+            for piece in re.split(foreign, run):
+                if len(piece.rstrip("=")) >= 20:
+                    out.append((row, at, at + len(piece), piece, start))
+                at += len(piece) + 1
+        return out
+
+    def encoding(self, run):
+        bare = run.rstrip("=")
+        kinds = [("hex", "[0-9a-f]+"), ("HEX", "[0-9A-F]+"), ("base32", "[A-Z2-7]+"), ("base62", "[A-Za-z0-9]+"), ("base64", "[A-Za-z0-9+/]+"), ("base64url", "[A-Za-z0-9_-]+")]
+        return next((name for name, p in kinds if re.fullmatch(p, bare)), None) if re.search("[A-Za-z]", bare) else None
+
+    def tail(self, z):
+        t = 1 / (1 + 0.2316419 * abs(z))
+        poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        upper = math.exp(-z * z / 2) / math.sqrt(2 * math.pi) * poly
+        return upper if z >= 0 else 1 - upper
+
+    def p_random(self, codes, k):
+        n = len(codes)
+        chi = sum(c * c for c in collections.Counter(codes).values()) * k / n - n
+        z_chi = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+        spread = 2 / (9 * k)
+        z_chi = min(z_chi, ((max(chi, 0) / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+        high = [2 * c >= k for c in codes]
+        mixed = 2 * sum(high) * (n - sum(high))
+        runs = 1 + sum(a != b for a, b in itertools.pairwise(high))
+        spread = mixed * (mixed - n) / (n * n * (n - 1))
+        z_runs = abs(runs - mixed / n - 1) / math.sqrt(spread) if spread > 0 else 8.0
+        mean = sum(codes) / n
+        variance = sum((c - mean) ** 2 for c in codes)
+        lagged = sum((a - mean) * (b - mean) for a, b in itertools.pairwise(codes))
+        z_serial = abs(lagged / variance + 1 / (n - 1)) * math.sqrt(n) if variance > 1e-9 else 8.0
+        logs = [math.log(max(p, 1e-300)) for p in (self.tail(z_chi), 2 * self.tail(z_runs), 2 * self.tail(z_serial))]
+        half = -min(0.0, sum(logs))
+        return math.exp(-half) * (1 + half + half * half / 2)
+
+    def found(self, texts):
+        runs = [(n, m.start(), m.group()) for n, text in enumerate(texts) for m in self.run.finditer(text)]
+        use = collections.Counter("".join(r for *_, r in runs if r.isascii() and r.isalpha()))
+        tables = {}
+        for name, alphabet in secret_scan.ENCODINGS.items():
+            seen = [use[c] for c in alphabet] if sum(use[c] for c in alphabet) else [float(c.isalpha()) for c in alphabet]
+            share = [(1 - secret_scan.UNIFORM_SHARE) * s / sum(seen) + secret_scan.UNIFORM_SHARE / len(alphabet) for s in seen]
+            ratio = [math.log(1 / len(alphabet) / u) for u in share]
+            mean = sum(u * r for u, r in zip(share, ratio, strict=True))
+            tables[name] = ratio, mean, sum(u * (r - mean) ** 2 for u, r in zip(share, ratio, strict=True))
+        strata = collections.defaultdict(list)
+        for row, start, end, run, origin in (part for r in runs for part in self.tested(*r)):
+            if not (name := self.encoding(run)):
+                continue
+            ratio, mean, variance = tables[name]
+            codes = [secret_scan.ENCODINGS[name].index(c) for c in run.rstrip("=")]
+            score = sum(ratio[c] for c in codes)
+            n = len(codes)
+            p = self.tail((score - n * mean) / math.sqrt(n * variance)) if variance > 0 else 1.0
+            step = max(0, min(math.floor(-10 * math.log10(max(p, 1e-300))), 3000))
+            stratum = name, min(math.floor(math.log2(n) + 1e-9), 7), bool(re.search("[0-9]", run))
+            strata[stratum].append((step, row, start, end, origin, score, self.p_random(codes, len(ratio))))
+        kept = []
+        for rows in strata.values():
+            fine = [s for s in {r[0] for r in rows} if 10 ** (-s / 10) <= 0.01 * sum(r[0] >= s for r in rows) / len(rows)]
+            kept += [r for r in rows if fine and r[0] >= min(fine) and r[-1] >= secret_scan.RANDOM_LEVEL]
+        out, parts = [], collections.defaultdict(list)
+        for _, row, start, end, origin, score, _ in kept:
+            if origin is None:
+                out.append((row, start, end))
+            else:
+                parts[row, origin].append((-score, start, end))
+        for (row, _), spans in parts.items():
+            taken = []
+            for _, start, end in sorted(spans):
+                if all(end <= a or b <= start for a, b in taken):
+                    taken.append((start, end))
+            out += [(row, *span) for span in taken]
+        return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_discovery_against_the_twin(spark, seed):
+    rng = random.Random(seed)
+    alphabets = [*secret_scan.ENCODINGS.values(), string.ascii_lowercase[:9], "abcABC012", string.ascii_letters + string.digits + "+/-_"]
+    texts = []
+    for _ in range(250):
+        pieces = [words(rng, 4)]
+        for _ in range(rng.randrange(5)):
+            part = random_string(rng, rng.choice(alphabets), rng.randrange(10, 90))
+            pieces.append(rng.choice(["", "https://x.org/v1/", "a-b_c/", "key="]) + part + rng.choice(["", "=", "==", "-tail_of/it"]))
+        texts.append(rng.choice([" ", "\n", ", "]).join(pieces))
+    got = sorted((doc, a, b) for doc, spans in found(spark, plain(spark, *enumerate(texts))) for a, kind, b in spans if kind == 3)
+    assert got == Twin().found(texts) and len(got) > 100
