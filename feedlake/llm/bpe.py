@@ -43,6 +43,8 @@ WORDS_AT_ONCE = 200_000
 # A longer word ends what is remembered, and a longer text is split step by step.
 REMEMBERED_CHARS = 4096
 LONG_CHARS = 4_000_000
+# Words of so many bytes are merged together, longer ones one by one.
+SHORT_BYTES = 48
 
 # How byte-level vocabularies split words, and the letters that stand for bytes in the file.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -106,6 +108,7 @@ class Vocabulary:
         self.left, self.right = np.full(self.size, -1, np.int64), np.full(self.size, -1, np.int64)
         self.rank = np.full(self.size, -1, np.int64)
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.made = np.array([ids["".join(pair if isinstance(pair, list) else pair.split(" "))] for pair in model["merges"]], np.int64)
         once = True
         for rank, pair in enumerate(model["merges"]):
             first, second = pair if isinstance(pair, list) else pair.split(" ")
@@ -192,6 +195,42 @@ class Vocabulary:
                     heapq.heappush(heap, (found[0], first, found[1], ids[first], ids[after[first]]))
         return [token for token in ids if token >= 0]
 
+    def merged_together(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of all words, number of each), merged in rounds: each takes the first merge of lowest rank in every
+        word that has one left. For short words, as there are as many rounds as a word has merges."""
+        sizes = np.array([len(word) for word in raw], np.int64)
+        ids = np.array(self.byte_token, np.int64)[np.frombuffer(b"".join(raw), np.uint8)]
+        word = np.repeat(np.arange(len(raw)), sizes)
+        rank = np.full(len(ids), _NEVER)
+
+        def rank_at(places: np.ndarray) -> None:
+            """Ranks of the pairs that begin at these places; none at the end of a word."""
+            places = places[places >= 0]
+            rank[places] = _NEVER
+            places = places[places + 1 < len(ids)]
+            places = places[word[places] == word[places + 1]]
+            rank[places] = self.pair_rank(ids[places], ids[places + 1])
+
+        rank_at(np.arange(len(ids)))
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(ids):
+            begins = np.concatenate([[True], word[1:] != word[:-1]])
+            lowest = np.minimum.reduceat(rank, np.flatnonzero(begins))[np.cumsum(begins) - 1]
+            over = lowest == _NEVER
+            done.append((word[over], ids[over]))
+            ids, word, rank, lowest = (x[~over] for x in (ids, word, rank, lowest))
+            at = np.flatnonzero(rank == lowest)
+            at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])] if len(at) else at
+            ids[at] = self.made[rank[at]]
+            kept = np.ones(len(ids), bool)
+            kept[at + 1] = False
+            ids, word, rank = ids[kept], word[kept], rank[kept]
+            at = at - np.arange(len(at))
+            rank_at(at)
+            rank_at(at - 1)
+        word, ids = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (ids, ids)
+        return ids[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(raw))
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
         raw = [word.encode() for word in words]
@@ -210,11 +249,15 @@ class Vocabulary:
         failing[word[~self.usable[ids]]] = True
 
         sizes = np.bincount(word, minlength=len(words))
-        redone = {at: self.merged(raw[at]) for at in np.flatnonzero(failing).tolist()}
-        sizes[list(redone)] = [len(tokens) for tokens in redone.values()]
+        long = failing & (np.array([len(word) for word in raw]) > SHORT_BYTES)
+        short = failing & ~long
+        redone, short_sizes = self.merged_together([raw[at] for at in np.flatnonzero(short)])
+        alone = [self.merged(raw[at]) for at in np.flatnonzero(long)]
+        sizes[short], sizes[long] = short_sizes, [len(tokens) for tokens in alone]
         out = np.empty(sizes.sum(), np.int64)
         out[np.repeat(~failing, sizes)] = ids[~failing[word]]
-        out[np.repeat(failing, sizes)] = np.fromiter(chain.from_iterable(redone.values()), np.int64)
+        out[np.repeat(short, sizes)] = redone
+        out[np.repeat(long, sizes)] = np.fromiter(chain.from_iterable(alone), np.int64)
         return out, sizes
 
     def split(self, text: str) -> Iterator[list[str | int]]:

@@ -62,13 +62,22 @@ def test_tokens_that_their_bytes_do_not_give(vocabulary):
 
 def test_only_failing_words_are_merged(vocabulary, monkeypatch):
     redone = []
-    exact = bpe.Vocabulary.merged
-    monkeypatch.setattr(bpe.Vocabulary, "merged", lambda self, word: redone.append(word) or exact(self, word))
+    exact = bpe.Vocabulary.merged_together
+    monkeypatch.setattr(bpe.Vocabulary, "merged_together", lambda self, raw: redone.extend(raw) or exact(self, raw))
     text = "The people of the city have been there for many years and the government said that it would help them."
     ids_of(vocabulary, text)
     assert len(redone) < 3
 
 
+def test_merging_together_and_one_by_one(vocabulary):
+    rng = random.Random(7)
+    raw = ["".join(rng.choice("aab theéx") for _ in range(rng.randrange(1, 30))).encode() for _ in range(3000)] + [b"a" * n for n in range(1, 40)]
+    tokens, sizes = vocabulary.merged_together(raw)
+    ends = np.cumsum(sizes)
+    assert [tokens[end - n : end].tolist() for n, end in zip(sizes, ends, strict=True)] == [vocabulary.merged(word) for word in raw]
+    assert [len(x) for x in vocabulary.merged_together([])] == [0, 0]
+
+
 @pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, "a" * 300_000, "ab" * 150_000, "-+" * 400_000, "x" * 300_000 + " y", "中" * 100_000, "a b" * 400_000])
 def test_long_words(library, vocabulary, text):
     assert ids_of(vocabulary, text) == [expected(library, text)]
