@@ -6,7 +6,7 @@ from tests.conftest import SMALL
 from tests.helpers import plan
 from workload.queries import queries
 
-DEDUPED = ["first_seen", "new_since_published", "silver_clean", "daily_source", "daily_keyword", "top_keywords", "recent_articles"]
+DEDUPED = ["first_seen", "silver_clean", "daily_source", "daily_keyword", "top_keywords", "recent_articles"]
 IN_PYTHON = {"knn_topk", "knn_cells", "ann_topk"}
 RUN_STREAMS = ("stream_", "both_", "replayed_", "daily_run", "indexed_", "empty_", "live_", "late_", "embed_")
 
@@ -25,6 +25,12 @@ def test_one_row_per_key_leaves_each_task(spark, name):
     assert "row_number(), 1, Partial" in text and "SinglePartition" not in text
 
 
+def test_new_rows_meet_the_published_ids_without_a_shuffle(spark):
+    """First arrivals are stored before they are asked for; neither they nor the published ids are shuffled then."""
+    text = plan(queries()["new_since_published"](spark, SMALL))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text and "Window" not in text
+
+
 @pytest.mark.parametrize("name", ["daily_keyword", "daily_source", "top_keywords"])
 def test_marts_do_not_carry_bodies(spark, name):
     frame = queries()[name](spark, SMALL)
