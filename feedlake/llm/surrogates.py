@@ -86,8 +86,9 @@ _JOINED = r"(?:['’-](?!s(?!\p{L}))\p{L}+)"
 _PART = rf"\p{{Lu}}(?:\p{{L}}++{_JOINED}*+|{_JOINED}++)(?![0-9])"
 _TITLE = "(?:" + "|".join(t for group in TITLES.values() for t in group) + ")"
 _KNOWN = "(?:" + "|".join(n for group in GIVEN.values() for n in group) + ")"
-_TITLES = rf"{_TITLE}\.?(?: {_TITLE}(?!\p{{L}})\.?)*+"
-_PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) )*+"
+# Chains are bounded, so that a text of nothing else is not searched to its end from each place.
+_TITLES = rf"{_TITLE}\.?(?: {_TITLE}(?!\p{{L}})\.?){{0,9}}+"
+_PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) ){{0,9}}+"
 _MORE = _PARTICLES + _PART
 _BARE_PART = rf"(?<!\p{{L}}){_PART}"
 PATTERNS = {
@@ -143,7 +144,7 @@ def _gender(mention: Column) -> Column:
     """What title or given name of a mention show."""
     shown = {}
     for gender in ("f", "m"):
-        titled = f"^(?:{_TITLE}\\.? )*(?:{'|'.join(TITLES[gender])})\\.? "
+        titled = f"^(?:{_TITLE}\\.? ){{0,9}}(?:{'|'.join(TITLES[gender])})\\.? "
         shown[gender] = mention.rlike(titled) | mention.rlike(f"(?:^| )(?:{'|'.join(GIVEN[gender])}) ")
     return F.when(shown["f"], "f").when(shown["m"], "m").otherwise("n")
 

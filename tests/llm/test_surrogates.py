@@ -96,7 +96,7 @@ def test_phrases_that_give_a_name(spark):
 LONG = {
     "labels": "x@" + "a." * 500_000, "names": "Ms " + "Keller " * 20_000, "capitals": "Keller " * 140_000, "digits": "1" * 1_000_000,
     "groups": "1234 " * 200_000, "at": "@" * 1_000_000, "user": "a" * 1_000_000 + "@b.com", "dots": "a." * 500_000, "spaces": " " * 1_000_000,
-    "dashes": "+1-" * 300_000, "letters": "A" * 1_000_000, "account": "DE89" * 250_000, "titles": "Dr " * 300_000,
+    "dashes": "+1-" * 300_000, "letters": "A" * 1_000_000, "account": "DE89" * 250_000, "titles": "Dr " * 300_000, "particles": "Dr " + "de la " * 150_000, "given": "Juan " * 200_000 + "de " * 50_000,
 }
 
 
