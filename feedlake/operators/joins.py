@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.session import BROADCAST_BYTES, measure
+from feedlake.session import BROADCAST_BYTES, cut_lineage, measure
 
 # A key with more than one part in this many of all rows is split.
 PIECES = 1000
@@ -57,3 +57,12 @@ def known_keys(
     if measure(batch_keys)[1] <= limit_bytes:
         return keys.join(F.broadcast(batch_keys), key, "left_semi")
     return keys.join(batch_keys, key, "left_semi")
+
+
+def without_keys(rows: DataFrame, keys: DataFrame, key: str, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows whose key is not among `keys`. The keys are stored first; while they fit a broadcast, the rows are
+    not shuffled."""
+    stored = cut_lineage(keys.select(key).filter(F.col(key).isNotNull()).distinct(), "keys")
+    if measure(stored)[1] <= limit_bytes:
+        stored = F.broadcast(stored)
+    return rows.join(stored, key, "left_anti").select(*rows.columns)

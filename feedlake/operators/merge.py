@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.operators.dedupe import one_per_key
+from feedlake.operators.joins import without_keys
 
 
 def not_yet_stored(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """Rows of the batch to insert: first per key, null keys rejected."""
-    fresh = one_per_key(batch.filter(F.col(key).isNotNull()), key, order)
-    return fresh.join(target.select(key), key, "left_anti").select(*batch.columns)
+    fresh = without_keys(batch.filter(F.col(key).isNotNull()), target, key)
+    return one_per_key(fresh, key, order)
 
 
 def insert_only(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -27,8 +28,7 @@ def insert_only(target: DataFrame, batch: DataFrame, key: str, order: list[Colum
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """Rows of the batch replace stored rows with the same key."""
     latest = one_per_key(batch.filter(F.col(key).isNotNull()), key, order)
-    kept = target.join(latest.select(key), key, "left_anti").select(*target.columns)
-    return kept.unionByName(latest.select(*target.columns))
+    return without_keys(target, batch, key).unionByName(latest.select(*target.columns))
 
 
 def insert_only_table(batch: DataFrame, table: str, key: str, order: list[Column]) -> None:

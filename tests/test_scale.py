@@ -1,0 +1,55 @@
+"""What wide rows go through: shuffles, sorts, and batches for Python."""
+
+import glob
+from contextlib import contextmanager
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from feedlake.functions.vector import hash_embedding
+from feedlake.operators.dedupe import one_per_key, one_per_key_apart
+from feedlake.operators.joins import without_keys
+from feedlake.operators.merge import insert_only, upsert
+from feedlake.plans import index
+from feedlake.plans.silver import silver, silver_batch
+from feedlake.plans.vector_store import VectorStore
+from feedlake.session import cut_lineage
+from tests.conftest import SMALL
+from tests.helpers import event, events, plan, values
+from workload import base
+
+
+@contextmanager
+def no_chance_broadcasts(spark):
+    """Only joins that are told to broadcast do."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name)
+
+
+def test_texts_are_not_shuffled_to_their_arrivals(spark):
+    with no_chance_broadcasts(spark):
+        text = plan(base.entries(spark, SMALL))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_merges_do_not_shuffle_the_target(spark):
+    target = cut_lineage(spark.createDataFrame([("a", 1), ("b", 2), (None, 0)], "id string, v int"), "target")
+    batch = spark.createDataFrame([("b", 5), ("b", 3), ("c", 4), (None, 9)], "id string, v int")
+    with no_chance_broadcasts(spark):
+        latest = upsert(target, batch, "id", [F.col("v").desc()])
+        first = insert_only(target, batch, "id", [F.col("v")])
+        assert all("SortMergeJoin" not in plan(df) and "ShuffledHashJoin" not in plan(df) for df in (latest, first))
+    assert values(latest, "id", "v") == sorted([("a", 1), ("b", 5), ("c", 4), (None, 0)], key=repr)
+    assert values(first, "id", "v") == sorted([("a", 1), ("b", 2), ("c", 4), (None, 0)], key=repr)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_rows_without_keys_keep_nulls_and_repeats(spark, limit):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("c", 3), (None, 4)], "id string, v int")
+    keys = spark.createDataFrame([("b",), ("b",), (None,), ("x",)], "id string")
+    assert values(without_keys(rows, keys, "id", limit), "id", "v") == sorted([("a", 1), ("c", 3), ("c", 3), (None, 4)], key=repr)
