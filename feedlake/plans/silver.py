@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.text import plain_body
 from feedlake.functions.times import parsed, published_at
-from feedlake.operators.dedupe import one_per_key
+from feedlake.operators.dedupe import one_per_key, one_per_key_apart
 from feedlake.schema import SILVER
 
 
@@ -43,6 +43,6 @@ def silver(events: DataFrame, rfc822: bool = False) -> DataFrame:
 
 
 def silver_batch(events: DataFrame, rfc822: bool = False) -> DataFrame:
-    """Silver rows of one batch with their arrival time, for the keyed log."""
-    one = one_per_key(cleaned(events, rfc822).filter(F.col("id").isNotNull()), "id", latest_order())
+    """Silver rows of one batch with their arrival time, for the keyed log. The events are read several times."""
+    one = one_per_key_apart(cleaned(events, rfc822), "id", latest_order())
     return one.select(*SILVER.fieldNames(), "kafka_ts")

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StructField, StructType
 
-from feedlake.operators.dedupe import one_per_key
+from feedlake.operators.dedupe import one_per_key_apart
+from feedlake.operators.joins import without_keys
 from feedlake.operators.tables import (
     current_rows,
     stored_keys,
@@ -48,11 +49,11 @@ def write_bronze(batch: DataFrame, batch_id: int, root: str) -> None:
 
     Of what is stored only the key buckets are read in which the batch has ids.
     """
-    fresh = one_per_key(batch.filter(F.col("id").isNotNull()), "id", arrival_order()).persist()
+    fresh = batch.filter(F.col("id").isNotNull()).persist()
     try:
-        known = stored_keys(fresh, root, BRONZE, "id", without=batch_id)
-        new = fresh.join(known, "id", "left_anti").select(*BRONZE.fieldNames())
-        write_batch(new, root, batch_id, "source")
+        known = stored_keys(fresh.select("id").distinct(), root, BRONZE, "id", without=batch_id)
+        new = one_per_key_apart(without_keys(fresh, known, "id"), "id", arrival_order())
+        write_batch(new.select(*BRONZE.fieldNames()), root, batch_id, "source")
         stored = batch.sparkSession.read.schema(BRONZE).parquet(f"{root}/log/batch_id={batch_id}")
         write_keys(stored.select("id"), root, batch_id, "id")
     finally:
@@ -61,7 +62,11 @@ def write_bronze(batch: DataFrame, batch_id: int, root: str) -> None:
 
 def write_silver(batch: DataFrame, batch_id: int, root: str) -> None:
     """Append the clean rows of a batch; readers take the latest per id."""
-    write_keyed(silver_batch(batch), root, batch_id, "id", "dt")
+    kept = batch.persist()
+    try:
+        write_keyed(silver_batch(kept), root, batch_id, "id", "dt")
+    finally:
+        kept.unpersist()
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:

@@ -53,3 +53,19 @@ def test_rows_without_keys_keep_nulls_and_repeats(spark, limit):
     rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("c", 3), (None, 4)], "id string, v int")
     keys = spark.createDataFrame([("b",), ("b",), (None,), ("x",)], "id string")
     assert values(without_keys(rows, keys, "id", limit), "id", "v") == sorted([("a", 1), ("c", 3), ("c", 3), (None, 4)], key=repr)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_only_repeated_keys_are_compared(spark, limit):
+    rows = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("b", 3, "z"), (None, 4, "n"), ("c", 5, None)], "id string, v int, t string")
+    order = [F.col("v").desc()]
+    apart = one_per_key_apart(rows, "id", order, limit)
+    assert apart.columns == rows.columns
+    assert values(apart, "id", "v", "t") == values(one_per_key(rows.filter("id is not null"), "id", order), "id", "v", "t")
+
+
+def test_a_batch_shuffles_repeated_ids_only(spark):
+    batch = events(spark, event("a"), event("b"), event("a", arrived="2025-11-03 11:00:00", title="new"))
+    rows = silver_batch(batch)
+    assert "Union" in plan(rows) and "LeftAnti" in plan(rows)
+    assert values(rows, "id", "title") == [("a", "new"), ("b", "title")]
