@@ -37,6 +37,13 @@ def test_texts_are_not_shuffled_to_their_arrivals(spark):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
+def test_arrivals_above_the_limit_give_the_same_rows_and_are_joined_once(spark):
+    large = base.dated(spark, SMALL, 0)
+    assert "Join" not in plan(large)
+    columns = ["doc_id", "source", "lang", "link", "kafka_ts", "text"]
+    assert values(large, *columns) == values(base.dated(spark, SMALL), *columns)
+
+
 def test_merges_do_not_shuffle_the_target(spark):
     target = cut_lineage(spark.createDataFrame([("a", 1), ("b", 2), (None, 0)], "id string, v int"), "target")
     batch = spark.createDataFrame([("b", 5), ("b", 3), ("c", 4), (None, 9)], "id string, v int")

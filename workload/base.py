@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.times import iso
 from feedlake.plans.ingest import to_events
+from feedlake.session import BROADCAST_BYTES, cut_lineage, measure
 
 FIRST_DAY = "2024-01-01"
 LAST_DROP = 2
@@ -45,35 +46,54 @@ def feeds(spark: SparkSession, sf: str) -> DataFrame:
     return names.select(number.alias("feed_no"), F.concat(F.lit(FEED_ROOT), F.col("source")).alias("feed_url"), "source")
 
 
+def dated(spark: SparkSession, sf: str, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Documents with their time of arrival, `kafka_ts`.
+
+    Of the arrivals only those of documents are kept. While they fit a broadcast, the texts are not shuffled, however
+    often the frame is read; else they are shuffled once, and the frame is stored.
+    """
+    documents = table(spark, sf, "documents").select(
+        "doc_id",
+        "source",
+        "lang",
+        "text",
+        F.concat(F.lit(LINK_ROOT), F.md5(F.col("text"))).alias("link"),
+    )
+    known = documents.select("doc_id")
+    if measure(known)[1] <= limit_bytes:
+        known = F.broadcast(known)
+    arrivals = table(spark, sf, "events").select(
+        F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("_arrived")
+    )
+    arrivals = cut_lineage(arrivals.join(known, "doc_id", "left_semi"), "arrivals")
+    small = measure(arrivals)[1] <= limit_bytes
+    joined = documents.join(F.broadcast(arrivals) if small else arrivals, "doc_id", "left")
+    found = joined.withColumn("kafka_ts", F.coalesce("_arrived", F.lit(NO_EVENT).cast("timestamp"))).drop("_arrived")
+    return found if small else cut_lineage(found, "dated")
+
+
 def entries(spark: SparkSession, sf: str) -> DataFrame:
     """One entry per document, and the linkless ones.
 
-    All that comes from the text is computed before the join, so that a query
-    which needs only an id and a title does not shuffle the text.
+    A text goes through the join once, title and summary are made of it behind the join.
     """
     form = F.col("doc_id") % 4
     french = F.col("lang") == "fr"
-    documents = table(spark, sf, "documents").select(
+    moment = F.col("kafka_ts")
+    rows = dated(spark, sf).select(
         "doc_id",
         "source",
         F.concat(F.lit(FEED_ROOT), F.col("source")).alias("feed_url"),
-        F.concat(F.lit(LINK_ROOT), F.md5(F.col("text"))).alias("link"),
+        "link",
         F.concat(F.lit("  "), F.col("text"), F.lit("　")).alias("title"),
         F.when(~french, F.col("text")).alias("summary"),
         F.when(french, F.col("text")).alias("description"),
         form.alias("_form"),
+        "kafka_ts",
     )
-    arrivals = table(spark, sf, "events").select(
-        F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("_arrived")
-    )
-    moment = F.col("kafka_ts")
-    # Arrivals are narrow: where they fit, they go to the texts instead of both being shuffled.
-    dated = documents.join(arrivals, "doc_id", "left")
-    dated = dated.withColumn("kafka_ts", F.coalesce("_arrived", F.lit(NO_EVENT).cast("timestamp")))
     # The second, linkless entries.
     twice = F.when(F.col("doc_id") % 10 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    dated = dated.withColumn("_bare", F.explode(twice))
-    return dated.select(
+    return rows.withColumn("_bare", F.explode(twice)).select(
         F.when(F.col("_bare"), -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"),
         "source",
         "feed_url",
