@@ -45,8 +45,11 @@ class VectorStore:
 
         A batch that is run again replaces what it wrote.
         """
-        spark = texts.sparkSession
-        hashed = texts.filter(F.col("text").isNotNull()).select(F.sha2("text", 256).alias("_hash"), "text")
+        return self._add(texts.filter(F.col("text").isNotNull()).select(F.sha2("text", 256).alias("_hash"), "text"), batch_id)
+
+    def _add(self, hashed: DataFrame, batch_id: int) -> int:
+        """The same for `(_hash, text)`."""
+        spark = hashed.sparkSession
         wanted = hashed.select("_hash").distinct()
         others = [n for n in batch_numbers(spark, self.path) if n != batch_id]
         if others:
@@ -61,10 +64,14 @@ class VectorStore:
         return spark.read.schema(_ROW).parquet(f"{self.path}/log/batch_id={batch_id}").count()
 
     def embedded(self, df: DataFrame, text: Column, batch_id: int, out: str = "vector") -> DataFrame:
-        """The rows with the vectors of their texts, those of new texts being made; a null text has none."""
+        """The rows with the vectors of their texts, those of new texts being made; a null text has none.
+
+        The rows are looked at several times, so they are computed once and stored.
+        """
         spark = df.sparkSession
-        self.add(df.select(text.alias("text")), batch_id)
-        rows = df.withColumn("_hash", F.sha2(text, 256))
+        rows = cut_lineage(df.select("*", F.sha2(text, 256).alias("_hash"), text.alias("_text")), "texts")
+        self._add(rows.filter(F.col("_hash").isNotNull()).select("_hash", F.col("_text").alias("text")), batch_id)
+        rows = rows.drop("_text")
         hashes = cut_lineage(rows.select("_hash").filter(F.col("_hash").isNotNull()).distinct(), "text-hashes")
         if measure(hashes)[1] <= BROADCAST_BYTES:
             hashes = F.broadcast(hashes)

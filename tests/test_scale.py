@@ -76,3 +76,20 @@ def test_a_batch_shuffles_repeated_ids_only(spark):
     rows = silver_batch(batch)
     assert "Union" in plan(rows) and "LeftAnti" in plan(rows)
     assert values(rows, "id", "title") == [("a", "new"), ("b", "title")]
+
+
+def test_stored_texts_are_computed_once(spark, root):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    texts = [("a", 1), ("bb", 2), ("a", 3), (None, 4)]
+    rows = spark.createDataFrame(texts, "t string, k int").mapInArrow(counted, "t string, k int")
+    store = VectorStore(root, "m", 1, lambda batch: [[float(len(t))] for t in batch])
+    found = store.embedded(rows, F.col("t"), 0)
+    want = sorted([(1, [1.0]), (2, [2.0]), (3, [1.0]), (4, None)], key=repr)
+    assert values(found, "k", "vector") == want and found.columns == ["t", "k", "vector"]
+    assert seen.value == len(texts)

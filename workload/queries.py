@@ -496,13 +496,13 @@ def q_embed_once(spark, sf):
     root = workspace(spark, "vectors")
     store = VectorStore(f"{root}/store", "letters", len(LETTERS), letter_counts)
     rows = events(spark, sf)
-    runs = []
-    for n, articles in enumerate((silver(rows.filter(F.col("drop_no") == 0)), silver(rows))):
+    runs, last = [], cut_lineage(silver(rows), "articles")
+    for n, articles in enumerate((silver(rows.filter(F.col("drop_no") == 0)), last)):
         index_articles(articles, f"{root}/points{n}", 0, store.dim, embed=lambda df, text, n=n: store.embedded(df, text, n))
         made = store.stored(spark).filter(F.col("batch_id") == n).count()
         runs.append(collection(spark, f"{root}/points{n}").select(F.lit(n).alias("run"), "payload.article_id", "vector", F.lit(made).alias("embedded")))
     origin = store.stored(spark).select(F.col("vector").alias("_v"), F.col("batch_id").cast("int").alias("made_in"), "_hash")
-    text = _silver(spark, sf).select(F.col("id").alias("article_id"), F.sha2(embed_text(F.col("title"), F.col("body")), 256).alias("_hash"))
+    text = last.select(F.col("id").alias("article_id"), F.sha2(embed_text(F.col("title"), F.col("body")), 256).alias("_hash"))
     both = reduce(DataFrame.unionByName, runs).join(text, "article_id").join(origin, "_hash")
     letters = [F.get("vector", F.lit(k)).cast("long").alias(f"n_{letter}") for k, letter in enumerate(LETTERS)]
     return both.select("run", "article_id", *letters, "made_in", F.col("embedded").cast("long").alias("embedded"))
