@@ -22,6 +22,7 @@ keys of all rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,8 @@ from feedlake.session import BROADCAST_BYTES, list_names, measure, path_exists
 KEYS_PER_BUCKET = 50_000
 MOST_BUCKETS = 1 << 16
 
+Finish = Callable[[DataFrame], DataFrame]
+
 
 def create_database(spark: SparkSession, name: str, path: str | None = None) -> None:
     place = f" LOCATION '{path}'" if path else ""
@@ -61,22 +64,27 @@ def balanced(df: DataFrame, partition_by: str) -> DataFrame:
 
 
 def _write(
-    df: DataFrame, path: str, partition_by: str | None, sort_by: str | None = None, mode: str = "overwrite"
+    df: DataFrame, path: str, partition_by: str | None, sort_by: str | None = None, mode: str = "overwrite",
+    finish: Finish | None = None,
 ) -> None:
+    """`finish` makes of the rows what is written, when they have been dealt and sorted."""
     if partition_by:
         df = balanced(df, partition_by)
         if sort_by:
             df = df.sortWithinPartitions(partition_by, sort_by)
+    df = finish(df) if finish else df
+    if partition_by:
         df.write.mode(mode).partitionBy(partition_by).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
 
 
 def write_batch(
-    df: DataFrame, root: str, batch_id: int, partition_by: str | None = None, sort_by: str | None = None, replace: bool = True
+    df: DataFrame, root: str, batch_id: int, partition_by: str | None = None, sort_by: str | None = None, replace: bool = True,
+    finish: Finish | None = None,
 ) -> None:
     """Store the rows of a batch; without `replace` a number that is taken fails."""
-    _write(df, f"{root}/log/batch_id={batch_id}", partition_by, sort_by, "overwrite" if replace else "errorifexists")
+    _write(df, f"{root}/log/batch_id={batch_id}", partition_by, sort_by, "overwrite" if replace else "errorifexists", finish)
 
 
 def bucket_of(key: Column | str, buckets: int) -> Column:
@@ -135,18 +143,19 @@ def write_keys(fresh: DataFrame, root: str, batch_id: int, key: str) -> int:
 
 def write_keyed(
     df: DataFrame, root: str, batch_id: int, key: str, partition_by: str | None = None, sort_by: str | None = None,
-    replace: bool = True,
+    replace: bool = True, finish: Finish | None = None,
 ) -> int:
     """Store a batch that holds a key once, with what readers need to find the latest rows;
     returns its number of rows.
 
-    The batch counts as stored when the last of the three folders is complete.
+    `finish` adds wide columns row by row, behind the shuffle and the sort. The batch counts as stored when the last of the three folders is complete.
     """
     spark = df.sparkSession
-    write_batch(df, root, batch_id, partition_by, sort_by, replace)
-    written = spark.read.schema(df.schema).parquet(f"{root}/log/batch_id={batch_id}").select(key)
+    write_batch(df, root, batch_id, partition_by, sort_by, replace, finish)
+    schema = finish(df).schema if finish else df.schema
+    written = spark.read.schema(schema).parquet(f"{root}/log/batch_id={batch_id}").select(key)
     count = write_keys(written, root, batch_id, key)
-    again = stored_keys(written, root, df.schema, key, before=batch_id)
+    again = stored_keys(written, root, schema, key, before=batch_id)
     _write(again, f"{root}/again/batch_id={batch_id}", None)
     return count
 

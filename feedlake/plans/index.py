@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,9 +57,11 @@ def embedded(
 
 
 def points(
-    silver: DataFrame, dim: int = EMBED_DIM, model: Embedder | None = None, embed: Embed | None = None
+    silver: DataFrame, dim: int = EMBED_DIM, model: Embedder | None = None, embed: Embed | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Index points (point_id, vector, payload) of articles; `embed(rows, text)` adds the vectors in place of the model."""
+    """Index points (point_id, vector, payload) of articles; `embed(rows, text)` adds the vectors in place of the model,
+    `keep` names further columns to carry."""
     body = F.coalesce(F.col("body"), F.lit(""))
     text = embed_text(F.col("title"), body)
     vectors = embed(silver, text) if embed else embedded(silver, text, "vector", dim, model)
@@ -73,6 +76,7 @@ def points(
             F.col("link"),
             F.col("published_at").cast("string").alias("published_at"),
         ).alias("payload"),
+        *(keep or []),
     )
 
 
@@ -103,9 +107,13 @@ def index_articles(
     `replace` the later one fails.
     """
     open_collection(silver.sparkSession, root, dim)
-    rows = points(silver, dim, model, embed).withColumn("vec_id", point_to_long(F.col("point_id")))
+    rows = silver.withColumn("vec_id", point_to_long(point_id(F.col("id"))))
     rows = rows.withColumn("bucket", bucket_of("vec_id", POINT_BUCKETS))
-    return write_keyed(rows, root, batch_id, "point_id", "bucket", "vec_id", replace)
+    made = partial(points, dim=dim, model=model, embed=embed, keep=["vec_id", "bucket"])
+    if model or embed:
+        return write_keyed(made(rows), root, batch_id, "point_id", "bucket", "vec_id", replace)
+    # The hash embedding needs nothing but its row: the wide vectors are neither shuffled nor sorted.
+    return write_keyed(rows, root, batch_id, "point_id", "bucket", "vec_id", replace, made)
 
 
 def collection(spark: SparkSession, root: str) -> DataFrame:

@@ -93,3 +93,20 @@ def test_stored_texts_are_computed_once(spark, root):
     want = sorted([(1, [1.0]), (2, [2.0]), (3, [1.0]), (4, None)], key=repr)
     assert values(found, "k", "vector") == want and found.columns == ["t", "k", "vector"]
     assert seen.value == len(texts)
+
+
+def test_vectors_are_made_behind_the_shuffle(spark, root, monkeypatch):
+    written = []
+    whole = index.write_keyed
+
+    def watched(rows, *rest):
+        written.append(rows.columns)
+        return whole(rows, *rest)
+
+    monkeypatch.setattr(index, "write_keyed", watched)
+    clean = silver(events(spark, event("a1"), event("b2")))
+    assert index.index_articles(clean, root, 0) == 2
+    assert "vector" not in written[0] and "payload" not in written[0]
+    assert values(index.collection(spark, root), "point_id", "vector", "payload") == values(
+        index.points(clean), "point_id", "vector", "payload"
+    )

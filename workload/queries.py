@@ -512,9 +512,10 @@ def q_embed_once(spark, sf):
 def q_empty_inputs(spark, sf):
     """Rows that jobs make of no questions, no articles in reach and no new events."""
     asked = _questions(spark, sf).filter(F.length("text") < 0)
-    stored = _stored_points(spark, sf)
-    old = recent(_silver(spark, sf), "2999-01-01", 1)
     rows = events(spark, sf)
+    clean = cut_lineage(silver(rows), "articles")
+    stored = _stored_points(spark, sf, clean)
+    old = recent(clean, "2999-01-01", 1)
     parts = {
         "hits": retrieve(asked, stored, BRIEFING_TOP_K),
         "contexts": br.contexts(asked, retrieve(asked, stored, BRIEFING_TOP_K)),
