@@ -110,3 +110,8 @@ def test_vectors_are_made_behind_the_shuffle(spark, root, monkeypatch):
     assert values(index.collection(spark, root), "point_id", "vector", "payload") == values(
         index.points(clean), "point_id", "vector", "payload"
     )
+
+
+def test_tables_are_stored_with_the_denser_codec(spark, root):
+    spark.range(3).write.parquet(f"{root}/t")
+    assert glob.glob(f"{root}/t/*.zstd.parquet")
