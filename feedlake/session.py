@@ -22,6 +22,8 @@ _SETTINGS = {
     "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Texts take about two thirds of the room that the default codec needs.
     "spark.sql.parquet.compression.codec": "zstd",
+    # Rows with vectors reach Python in small batches, of which every task holds a few.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # State of streams lies on disk beside the tasks, and only its changes go to the checkpoint.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

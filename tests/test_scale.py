@@ -115,3 +115,13 @@ def test_vectors_are_made_behind_the_shuffle(spark, root, monkeypatch):
 def test_tables_are_stored_with_the_denser_codec(spark, root):
     spark.range(3).write.parquet(f"{root}/t")
     assert glob.glob(f"{root}/t/*.zstd.parquet")
+
+
+def test_vectors_reach_python_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"b": [batch.num_rows]})
+
+    vectors = spark.range(0, 3000, 1, 1).select(hash_embedding(F.col("id").cast("string")).alias("vector"))
+    most = vectors.mapInArrow(sizes, "b long").agg(F.max("b")).first()[0]
+    assert most * 1536 * 8 <= 9 * 1024 * 1024
