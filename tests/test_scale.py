@@ -44,6 +44,17 @@ def test_arrivals_above_the_limit_give_the_same_rows_and_are_joined_once(spark):
     assert values(large, *columns) == values(base.dated(spark, SMALL), *columns)
 
 
+def test_arrivals_in_several_broadcasts_give_the_same_rows(spark):
+    # An arrival counts 32 bytes.
+    limit = base.table(spark, SMALL, "documents").count() * 32 // 3 + 1
+    with no_chance_broadcasts(spark):
+        several = base.dated(spark, SMALL, limit)
+        text = plan(several)
+        assert text.count("BroadcastHashJoin") > 1 and "Exchange hashpartitioning" not in text
+        columns = ["doc_id", "source", "lang", "link", "kafka_ts", "text"]
+        assert values(several, *columns) == values(base.dated(spark, SMALL), *columns)
+
+
 def test_merges_do_not_shuffle_the_target(spark):
     target = cut_lineage(spark.createDataFrame([("a", 1), ("b", 2), (None, 0)], "id string, v int"), "target")
     batch = spark.createDataFrame([("b", 5), ("b", 3), ("c", 4), (None, 9)], "id string, v int")

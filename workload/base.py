@@ -9,6 +9,9 @@ use: ISO with offset, a plain timestamp in `updated`, RFC-822, and none.
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ FEED_ROOT = "https://feeds.example/"
 LINK_ROOT = "https://news.example/"
 RFC822 = "Mon, 03 Nov 2025 10:00:00 +0900"
 NO_EVENT = "2024-01-01 00:00:00"
+# Broadcasts that the arrivals may take.
+MOST_PIECES = 4
 
 
 # Stated, so that no job has to look for them first.
@@ -49,8 +54,8 @@ def feeds(spark: SparkSession, sf: str) -> DataFrame:
 def dated(spark: SparkSession, sf: str, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Documents with their time of arrival, `kafka_ts`.
 
-    Of the arrivals only those of documents are kept. While they fit a broadcast, the texts are not shuffled, however
-    often the frame is read; else they are shuffled once, and the frame is stored.
+    Of the arrivals only those of documents are kept. While they fit a few broadcasts, the texts are not shuffled, however
+    often the frame is read (once per broadcast); else they are shuffled once, and the frame is stored.
     """
     documents = table(spark, sf, "documents").select(
         "doc_id",
@@ -66,8 +71,16 @@ def dated(spark: SparkSession, sf: str, limit_bytes: int = BROADCAST_BYTES) -> D
         F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("_arrived")
     )
     arrivals = cut_lineage(arrivals.join(known, "doc_id", "left_semi"), "arrivals")
-    small = measure(arrivals)[1] <= limit_bytes
-    joined = documents.join(F.broadcast(arrivals) if small else arrivals, "doc_id", "left")
+    pieces = max(1, ceil(measure(arrivals)[1] / max(1, limit_bytes)))
+    small = pieces <= MOST_PIECES
+    if small and pieces > 1:
+        own = [F.pmod(F.xxhash64("doc_id"), F.lit(pieces)) == n for n in range(pieces)]
+        joined = reduce(
+            DataFrame.unionByName,
+            [documents.filter(mine).join(F.broadcast(arrivals.filter(mine)), "doc_id", "left") for mine in own],
+        )
+    else:
+        joined = documents.join(F.broadcast(arrivals) if small else arrivals, "doc_id", "left")
     found = joined.withColumn("kafka_ts", F.coalesce("_arrived", F.lit(NO_EVENT).cast("timestamp"))).drop("_arrived")
     return found if small else cut_lineage(found, "dated")
 
