@@ -15,6 +15,7 @@ from feedlake.plans import index
 from feedlake.plans.silver import silver, silver_batch
 from feedlake.plans.vector_store import VectorStore
 from feedlake.session import cut_lineage
+from feedlake.sources.messages import to_messages
 from tests.conftest import SMALL
 from tests.helpers import event, events, plan, values
 from workload import base
@@ -55,6 +56,17 @@ def test_arrivals_in_several_broadcasts_give_the_same_rows(spark):
         assert values(several, *columns) == values(base.dated(spark, SMALL), *columns)
 
 
+@pytest.mark.parametrize("pieces", [1, 3])
+def test_what_a_stream_is_fed_with_is_not_shuffled(spark, monkeypatch, pieces):
+    # An arrival counts 32 bytes.
+    limit = base.table(spark, SMALL, "documents").count() * 32 // pieces + 1
+    monkeypatch.setattr(base.dated, "__defaults__", (limit,))
+    with no_chance_broadcasts(spark):
+        drops = [base.events(spark, SMALL).filter(F.col("drop_no") == n) for n in range(base.LAST_DROP + 1)]
+        texts = [plan(to_messages(drop, "kafka_ts")) for drop in drops]
+    assert all(text.count("BroadcastHashJoin") >= pieces and "Exchange hashpartitioning" not in text for text in texts)
+
+
 def test_merges_do_not_shuffle_the_target(spark):
     target = cut_lineage(spark.createDataFrame([("a", 1), ("b", 2), (None, 0)], "id string, v int"), "target")
     batch = spark.createDataFrame([("b", 5), ("b", 3), ("c", 4), (None, 9)], "id string, v int")
